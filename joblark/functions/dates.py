@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from joblark.functions.text import NON_SPACE_CLASS, SPACE_CLASS, or_empty, pad2, strip
+from joblark.functions.text import NON_SPACE_CLASS, SPACE_CLASS, let, or_empty, pad2, strip
 
 MINUTE, HOUR, DAY = 60, 3600, 86400
 
@@ -34,17 +34,23 @@ def relative_date(text: Column, anchor: Column) -> Column:
     without both, with an unknown unit, or that would lie before year 1 comes
     back as it is; null and empty text give ``""``.
     """
-    low = F.lower(text)
-    amount = F.regexp_extract(low, _AMOUNT_AND_UNIT, 1).try_cast("bigint")
-    unit = F.regexp_extract(low, _AMOUNT_AND_UNIT, 2)
-    seconds = F.lit(None).cast("bigint")
-    for word, length in reversed(UNIT_SECONDS):
-        seconds = F.when(F.contains(unit, F.lit(word)), F.lit(length).cast("bigint")).otherwise(seconds)
-    back = F.least(amount, F.lit(_MAX_AMOUNT)) * seconds
-    days = F.floor((F.unix_seconds(anchor) - back) / F.lit(DAY)).cast("bigint")
-    known = amount.isNotNull() & seconds.isNotNull() & (days >= _FIRST_DAY)
-    date = F.date_format(F.date_from_unix_date(days.try_cast("int")), "yyyy-MM-dd")
-    return F.when(or_empty(text) == "", F.lit("")).when(known, date).otherwise(text)
+    def unit_seconds(unit: Column) -> Column:
+        chain = F.when(F.lit(False), F.lit(0).cast("bigint"))
+        for word, length in UNIT_SECONDS:
+            chain = chain.when(F.contains(unit, F.lit(word)), F.lit(length).cast("bigint"))
+        return chain
+
+    def days_of(low: Column) -> Column:
+        amount = F.regexp_extract(low, _AMOUNT_AND_UNIT, 1).try_cast("bigint")
+        seconds = let(F.regexp_extract(low, _AMOUNT_AND_UNIT, 2), unit_seconds)
+        back = F.when(amount <= _MAX_AMOUNT, amount) * seconds
+        return F.floor((F.unix_seconds(anchor) - back) / F.lit(DAY)).cast("bigint")
+
+    def shown(days: Column) -> Column:
+        return F.when(days >= _FIRST_DAY, F.date_format(F.date_from_unix_date(days.try_cast("int")), "yyyy-MM-dd"))
+
+    date = let(let(F.lower(text), days_of), shown)
+    return F.when(or_empty(text) == "", F.lit("")).otherwise(F.coalesce(date, text))
 
 
 def dmy_date(text: Column) -> Column:

@@ -25,15 +25,17 @@ VOID_TAGS = (
 )
 
 _GAP = "<!---->"  # stands for markup that was cut, so that texts around it stay apart
-_UNSEEN = r"(?is)<!--.*?-->|<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>"
+_UNSEEN = (
+    r"(?i)<(?:!--(?:[^-]++|-(?!->))*+-->"
+    r"|(script|style)(?=[\s/>])[^>]*+>[^<]*+(?:<(?!/\1[\s/>])[^<]*+)*+</\1\s*>)"
+)
 _TEXTLESS = r"(?is)<(template|rt|rp)(?=[\s/>])[^>]*>.*?</\1\s*>"
 
 # One attribute; possessive, so that a failed match does not try other splits.
 _ATTR = r"""(?:[\s/]++[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+)"""
-_QUOTED_ANGLE = (
-    r"""<[a-zA-Z][^<>"']*+(?:"[^"<>]*+"[^<>"']*+|'[^'<>]*+'[^<>"']*+)*+"""
-    r"""(?:"[^"<>]*+[<>][^"]*+"|'[^'<>]*+[<>][^']*+')"""
-)
+# Cheap and loose: a page that matches without need is only tokenised in vain.
+_QUOTED_ANGLE = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+_ALONE = rf"^(?:<[^>]*/>|<(?i:{'|'.join(VOID_TAGS)})[\s>])"
 _TOKEN = r"""<[/!?a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<"""
 
 
@@ -67,7 +69,8 @@ class Selector:
 
     def __init__(self, tag: str | None = None, classes: tuple[str, ...] = (), **attrs: str):
         self.tag = tag
-        name = f"(?i:{tag})" if tag else r"[a-zA-Z][^\s/>]*+"
+        name = f"(?i:{tag})" if tag else r"(?<tag>[a-zA-Z][^\s/>]*+)"
+        self.same_name = f"(?i:{tag})" if tag else r"(?i:\k<tag>)"
         looks = ""
         for word in classes:
             looks += _has("class", rf"(?:[^{{q}}]*\s)?{re.escape(word)}(?:\s[^{{q}}]*)?", re.escape(word))
@@ -77,8 +80,19 @@ class Selector:
         # The longest literal every match contains: a cheap first test.
         self.needle = max([*classes, *attrs.values()], key=len, default="")
 
-    def may_be_in(self, html: Column) -> Column:
-        return F.contains(html, F.lit(self.needle)) if self.needle else F.lit(True)
+    def search(self, html: Column, body: Callable[[Column], Column], absent: Column) -> Column:
+        """``body`` of the page from the tag that holds the needle on, ``absent``
+        without one. Plain string search is far cheaper than the expression."""
+        if not self.needle:
+            return body(html)
+
+        def from_tag(ahead: Column) -> Column:
+            tag = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
+            rest = F.substring(html, F.length(ahead) + 1, F.lit(2**31 - 1))
+            return F.when(F.contains(ahead, F.lit("<")), F.concat(tag, rest)).otherwise(html)
+
+        near = let(F.substring_index(html, self.needle, 1), from_tag)
+        return F.when(F.contains(html, F.lit(self.needle)), let(near, body)).otherwise(absent)
 
 
 def _has(attr: str, quoted: str, bare: str) -> str:
@@ -95,21 +109,24 @@ def attr(tag: Column, name: str) -> Column:
         rf"""(?is)^<[a-z][^\s/>]*+{_ATTR}*?[\s/]++{re.escape(name)}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++)""",
         1,
     )
-    bare = F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
-    return unescape(bare)
+    return let(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"), unescape)
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def open_tags(html: Column, sel: Selector) -> Column:
     """All matching opening tags in document order."""
-    found = F.regexp_extract_all(html, F.lit(f"(?s){sel.open}"), F.lit(0))
-    return F.when(sel.may_be_in(html), found).otherwise(F.array().cast("array<string>"))
+    pattern = F.lit(f"(?s){sel.open}")
+    return sel.search(html, lambda page: F.regexp_extract_all(page, pattern, F.lit(0)), _none())
 
 
 def flat(html: Column, sel: Selector) -> Column:
     """All matching elements of a kind that cannot nest, such as links."""
-    pattern = f"(?s){sel.open}.*?(?:</(?i:{sel.tag})\\s*>|$)"
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
-    return F.when(sel.may_be_in(html), found).otherwise(F.array().cast("array<string>"))
+    close = rf"</(?i:{sel.tag})\s*>"
+    pattern = F.lit(rf"{sel.open}[^<]*+(?:<(?!/(?i:{sel.tag})[\s>])[^<]*+)*+(?:{close}|$)")
+    return sel.search(html, lambda page: F.regexp_extract_all(page, pattern, F.lit(0)), _none())
 
 
 def _pieces(html: Column, tag: Column) -> Column:
@@ -146,21 +163,37 @@ def _head_element(rest: Column, tag: Column) -> Column:
 
 
 def first(html: Column, sel: Selector, nth: int = 1) -> Column:
-    """The ``nth`` matching element in document order, null when absent."""
+    """The ``nth`` matching element in document order, null when absent.
+
+    One expression reads up to the next tag of the same name. When that opens
+    another element, the end is found by counting.
+    """
     skip = rf"(?:{sel.open}.*?){{{nth - 1}}}" if nth > 1 else ""
-    rest = F.when(sel.may_be_in(html), F.regexp_extract(html, f"(?s){skip}({sel.open}.*)", 1))
+    inside = rf"[^<]*+(?:<(?!/?{sel.same_name}[\s/>])[^<]*+)*+"
+    upto = rf"(?s){skip}({sel.open}{inside}(?:</?{sel.same_name}(?=[\s/>])|$))"
+
+    def nested(page: Column) -> Column:
+        rest = F.regexp_extract(page, f"(?s){skip}({sel.open}.*)", 1)
+        if sel.tag:
+            return _head_element(rest, F.lit(sel.tag))
+        return let(rest, lambda r: _head_element(r, F.concat(F.lit(r"\Q"), _tag_name(r), F.lit(r"\E"))))
 
-    def element(found: Column) -> Column:
-        name = F.lit(sel.tag) if sel.tag else F.regexp_extract(found, r"^<([^\s/>]+)", 1)
-        pattern = F.lit(sel.tag) if sel.tag else F.concat(F.lit(r"\Q"), name, F.lit(r"\E"))
-        alone = F.lower(name).isin(*VOID_TAGS) | _empty_element(found)
+    def element(page: Column, found: Column) -> Column:
         return (
-            F.when(or_empty(found) == "", F.lit(None).cast("string"))
-            .when(alone, F.regexp_extract(found, "^<[^>]*>", 0))
-            .otherwise(_head_element(found, pattern))
+            F.when(found == "", F.lit(None).cast("string"))
+            .when(F.rlike(found, F.lit(_ALONE)), F.regexp_extract(found, "^<[^>]*>", 0))
+            .when(F.rlike(found, F.lit(r"<[a-zA-Z][^\s/><]*$")), nested(page))
+            .otherwise(F.regexp_replace(found, r"</[^\s/><]*$", ""))
         )
 
-    return let(rest, element)
+    def found_in(page: Column) -> Column:
+        return let(F.regexp_extract(page, upto, 1), lambda found: element(page, found))
+
+    return sel.search(html, found_in, F.lit(None).cast("string"))
+
+
+def _tag_name(element: Column) -> Column:
+    return F.regexp_extract(element, r"^<([^\s/>]+)", 1)
 
 
 def outermost(html: Column, sel: Selector) -> Column:
@@ -180,14 +213,15 @@ def outermost(html: Column, sel: Selector) -> Column:
     def _state(depth: Column, buf: Column, out: Column) -> Column:
         return F.struct(depth.alias("depth"), buf.alias("buf"), out.alias("out"))
 
-    none = F.array().cast("array<string>")
-    found = F.aggregate(
-        _pieces(html, F.lit(sel.tag)),
-        _state(F.lit(0), F.lit(""), none),
-        step,
-        lambda acc: F.when(acc["depth"] > 0, F.array_append(acc["out"], acc["buf"])).otherwise(acc["out"]),
-    )
-    return F.when(sel.may_be_in(html), found).otherwise(none)
+    def search(page: Column) -> Column:
+        return F.aggregate(
+            _pieces(page, F.lit(sel.tag)),
+            _state(F.lit(0), F.lit(""), _none()),
+            step,
+            lambda acc: F.when(acc["depth"] > 0, F.array_append(acc["out"], acc["buf"])).otherwise(acc["out"]),
+        )
+
+    return sel.search(html, search, _none())
 
 
 def first_where(html: Column, tags: str, test: Callable[[Column], Column]) -> Column:
@@ -232,14 +266,18 @@ def first_where(html: Column, tags: str, test: Callable[[Column], Column]) -> Co
     return let(_pieces(html, F.lit(tags)), search)
 
 
-def text(element: Column, sep: str = "") -> Column:
+def text(element: Column, sep: str | Column = "") -> Column:
     """The stripped texts of an element joined by ``sep``; ``""`` when it is null."""
-    seen = F.when(
-        F.rlike(element, F.lit(r"(?i)<(?:template|rt|rp)[\s/>]")),
-        F.regexp_replace(element, _TEXTLESS, _GAP),
-    ).otherwise(element)
-    parts = F.transform(F.split(seen, TAG), lambda t: strip(unescape(t)))
-    return or_empty(F.array_join(F.filter(parts, lambda t: t != ""), sep))
+
+    def joined(e: Column) -> Column:
+        seen = F.when(
+            F.rlike(e, F.lit(r"(?i)<(?:template|rt|rp)[\s/>]")), F.regexp_replace(e, _TEXTLESS, _GAP)
+        ).otherwise(e)
+        parts = F.transform(F.split(seen, TAG), lambda t: strip(unescape(t)))
+        kept = F.filter(parts, lambda t: t != "")
+        return F.call_function("array_join", kept, F.lit(sep) if isinstance(sep, str) else sep)
+
+    return or_empty(let(element, joined))
 
 
 def texts(elements: Column) -> Column:
@@ -248,4 +286,4 @@ def texts(elements: Column) -> Column:
 
 def raw_text(element: Column) -> Column:
     """All text of an element as it stands, with the references decoded."""
-    return unescape(F.regexp_replace(element, TAG, ""))
+    return let(F.regexp_replace(element, TAG, ""), unescape)

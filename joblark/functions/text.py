@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -33,11 +34,11 @@ def is_blank(c: Column) -> Column:
 
 def contains_any(c: Column, needles: tuple[str, ...]) -> Column:
     """Case-blind test for any of some lower-case needles; false for null."""
-    low = F.lower(or_empty(c))
-    hit = F.lit(False)
-    for needle in needles:
-        hit = hit | F.contains(low, F.lit(needle))
-    return hit
+
+    def test(low: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(low, F.lit(n)) for n in needles], F.lit(False))
+
+    return let(F.lower(or_empty(c)), test)
 
 
 def all_digits(c: Column) -> Column:
@@ -85,43 +86,51 @@ _ONLY_COMMON = r"&(?!(?:lt|gt|quot|nbsp|#39|amp);)"
 _REFERENCE = r"^&(#[xX]?[0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
-def _named_map() -> Column:
-    names = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-    cells = [F.lit(x) for pair in names.items() for x in pair]
-    return F.create_map(*cells)
+# Names and their characters as one text to search: a literal map of some 250
+# entries would weigh down every plan that decodes references.
+_NAMED = "".join(f"\x01{name}\x02{chr(code)}" for name, code in {**name2codepoint, "apos": 39}.items())
+# Numbers 128-159 stand for Windows-1252 characters.
+_C1 = "".join(bytes([n]).decode("cp1252", errors="ignore") or chr(n) for n in range(128, 160))
 
 
-def _c1_map() -> Column:
-    """Numbers 128-159 stand for Windows-1252 characters."""
-    cells = []
-    for code in range(128, 160):
-        char = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
-        cells += [F.lit(code), F.lit(char)]
-    return F.create_map(*cells)
+def _named_char(name: Column) -> Column:
+    at = F.instr(F.lit(_NAMED), F.concat(F.lit("\x01"), name, F.lit("\x02")))
+    return F.when(at > 0, F.substring(F.lit(_NAMED), at + F.length(name) + 2, F.lit(1)))
 
 
-def _from_code(code: Column) -> Column:
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+def _numbered_char(code: Column) -> Column:
     bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-    return F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(F.try_element_at(_c1_map(), code), char))
+    return (
+        F.when(bad, F.lit("\ufffd"))
+        .when(code.between(128, 159), F.substring(F.lit(_C1), code - 127, F.lit(1)))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
 
 
 def _decode_piece(piece: Column) -> Column:
     """``piece`` starts with "&" or holds no reference at all."""
-    name = F.regexp_extract(piece, _REFERENCE, 1)
-    hex_digits = F.regexp_extract(name, r"^#[xX]0*([0-9a-fA-F]{1,6})$", 1)
-    dec_digits = F.regexp_extract(name, r"^#0*([0-9]{1,7})$", 1)
-    code = F.when(
-        hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("int")
-    ).otherwise(dec_digits.try_cast("int"))
-    numeric = F.rlike(name, F.lit(r"^#(?:[0-9]+|[xX][0-9a-fA-F]+)$"))
-    char = F.when(numeric, _from_code(code)).otherwise(F.try_element_at(_named_map(), name))
-    rest = F.regexp_replace(piece, _REFERENCE, "")
-    return F.when(char.isNull(), piece).otherwise(F.concat(char, rest))
+
+    def char(name: Column) -> Column:
+        hex_digits = F.regexp_extract(name, r"^#[xX]0*([0-9a-fA-F]{1,6})$", 1)
+        dec_digits = F.regexp_extract(name, r"^#0*([0-9]{1,7})$", 1)
+        code = F.when(
+            hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("int")
+        ).otherwise(dec_digits.try_cast("int"))
+        numeric = F.rlike(name, F.lit(r"^#(?:[0-9]+|[xX][0-9a-fA-F]+)$"))
+        return F.when(numeric, let(code, _numbered_char)).otherwise(_named_char(name))
+
+    def put(found: Column) -> Column:
+        rest = F.regexp_replace(piece, _REFERENCE, "")
+        return F.when(found.isNull(), piece).otherwise(F.concat(found, rest))
+
+    return let(let(F.regexp_extract(piece, _REFERENCE, 1), char), put)
 
 
 def unescape(c: Column) -> Column:
-    """Decode HTML character references; one cheap test when there are none."""
+    """Decode HTML character references; one cheap test when there are none.
+
+    ``c`` is used several times: bind a costly expression with ``let`` first.
+    """
     common = c
     for ref, char in _COMMON:
         common = F.replace(common, F.lit(ref), F.lit(char))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from joblark.functions import dates, html
 from joblark.functions.html import Selector
-from joblark.functions.text import after_last, all_digits, before, contains_any, strip
-from joblark.sources.spec import SourceSpec
+from joblark.functions.text import after_last, all_digits, before, contains_any, let, strip
+from joblark.sources.spec import Field, ListField, SourceSpec
 
 # Addresses, markup and marker texts of the sites.
 ITVIEC_JOBS = "https://itviec.com/it-jobs"
@@ -82,71 +82,68 @@ def numbered_id(slug: Column) -> Column:
 # ---- detail rules ------------------------------------------------------------------
 
 
-def _text_of(sel: Selector, sep: str = "", nth: int = 1):
-    return lambda page, at: html.text(html.first(page, sel, nth), sep)
+def _element(sel: Selector, nth: int = 1):
+    return lambda page: html.first(page, sel, nth)
 
 
 _INFO = Selector("span", ("normal-text", "text-rich-grey"))
 
 ITVIEC_FIELDS = {
-    "title": _text_of(Selector("h1")),
-    "company": _text_of(Selector("div", ("employer-name",))),
-    "salary": _text_of(Selector("a", ("sign-in-view-salary",))),
-    "locations": _text_of(_INFO),
-    "working_method": _text_of(_INFO, nth=2),
-    "posted_date": lambda page, at: dates.relative_date(html.text(html.first(page, _INFO, 3)), at),
-    "skills": lambda page, at: html.texts(html.flat(page, Selector("a", ("itag",)))),
-    "description": _text_of(Selector("section", ("job-content",)), "\n"),
+    "title": Field(_element(Selector("h1"))),
+    "company": Field(_element(Selector("div", ("employer-name",)))),
+    "salary": Field(_element(Selector("a", ("sign-in-view-salary",)))),
+    "locations": Field(_element(_INFO)),
+    "working_method": Field(_element(_INFO, 2)),
+    "posted_date": Field(_element(_INFO, 3), then=dates.relative_date),
+    "skills": ListField(lambda page: html.flat(page, Selector("a", ("itag",)))),
+    "description": Field(_element(Selector("section", ("job-content",))), sep="\n"),
 }
 
 
-def _topdev_title(page: Column, at: Column) -> Column:
+def _topdev_title(page: Column) -> Column:
     link = Selector("a", ("text-brand-500", "font-semibold"))
-    return html.text(F.coalesce(html.first(page, Selector("h1")), html.first(page, link)))
+    return F.coalesce(html.first(page, Selector("h1")), html.first(page, link))
 
 
-def _topdev_company(page: Column, at: Column) -> Column:
-    links = html.flat(page, Selector("a", href="/companies/"))
-    spans = F.filter(
-        F.transform(links, lambda link: html.first(link, Selector("span"))), lambda s: s.isNotNull()
-    )
-    return html.text(F.coalesce(F.get(spans, F.lit(0)), F.get(links, F.lit(0))))
+def _topdev_company(page: Column) -> Column:
+    def pick(links: Column) -> Column:
+        spans = F.transform(links, lambda link: html.first(link, Selector("span")))
+        found = F.filter(spans, lambda s: s.isNotNull())
+        return F.coalesce(F.get(found, F.lit(0)), F.get(links, F.lit(0)))
+
+    return let(html.flat(page, Selector("a", href="/companies/")), pick)
 
 
-def _topdev_salary(page: Column, at: Column) -> Column:
+def _topdev_salary(page: Column) -> Column:
     named = html.first(page, Selector(**{"class": "salary"}))
     worded = html.first_where(page, "span", lambda e: contains_any(html.raw_text(e), SALARY_WORDS))
-    return html.text(F.coalesce(named, worded))
+    return F.coalesce(named, worded)
 
 
-def _topdev_posted_date(page: Column, at: Column) -> Column:
+def _first_dated(page: Column) -> Column:
     """The first date text of the page; the site may show the closing date there."""
-    dated = html.first_where(
-        page, "span|p", lambda e: F.rlike(html.raw_text(e), F.lit(dates.DMY))
-    )
-    return dates.dmy_date(html.raw_text(dated))
+    return html.first_where(page, "span|p", lambda e: F.rlike(html.raw_text(e), F.lit(dates.DMY)))
 
 
-def _topdev_skills(page: Column, at: Column) -> Column:
-    links = F.concat(
+def _topdev_skills(page: Column) -> Column:
+    return F.concat(
         html.flat(page, Selector("a", href="keyword=")), html.flat(page, Selector("a", href="/skills/"))
     )
-    return F.array_sort(F.array_distinct(html.texts(links)))
 
 
-def _topdev_description(page: Column, at: Column) -> Column:
+def _topdev_description(page: Column) -> Column:
     box = html.first(page, Selector(**{"class": "job-description"}))
-    return html.text(F.coalesce(box, html.first(page, Selector("article"))), "\n")
+    return F.coalesce(box, html.first(page, Selector("article")))
 
 
 TOPDEV_FIELDS = {
-    "title": _topdev_title,
-    "company": _topdev_company,
-    "salary": _topdev_salary,
-    "locations": _text_of(Selector(**{"class": "location"})),
-    "posted_date": _topdev_posted_date,
-    "skills": _topdev_skills,
-    "description": _topdev_description,
+    "title": Field(_topdev_title),
+    "company": Field(_topdev_company),
+    "salary": Field(_topdev_salary),
+    "locations": Field(_element(Selector(**{"class": "location"}))),
+    "posted_date": Field(_first_dated, raw=True, then=lambda t, at: dates.dmy_date(t)),
+    "skills": ListField(_topdev_skills, then=lambda t: F.array_sort(F.array_distinct(t))),
+    "description": Field(_topdev_description, sep="\n"),
 }
 
 

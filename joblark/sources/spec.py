@@ -13,11 +13,33 @@ EMPTY_THRESHOLD = 0.5
 
 
 @dataclass(frozen=True)
+class Field:
+    """A record column from one element of the cleaned page.
+
+    ``element`` picks the element; its stripped texts are joined by ``sep``, or
+    its text is taken as it stands when ``raw``; ``then`` turns that text and
+    the fetch time into the value.
+    """
+
+    element: Callable[[Column], Column]
+    sep: str = ""
+    raw: bool = False
+    then: Callable[[Column, Column], Column] | None = None
+
+
+@dataclass(frozen=True)
+class ListField:
+    """A record column from the texts of many elements of the cleaned page."""
+
+    elements: Callable[[Column], Column]
+    then: Callable[[Column], Column] | None = None
+
+
+@dataclass(frozen=True, eq=False)
 class SourceSpec:
     """The extension point: a new site is a new set of Column rules.
 
-    ``fields`` maps record columns to rules of the cleaned page and its fetch
-    time. ``slugs`` and ``page_count`` take a cleaned listing page.
+    ``fields`` maps record columns to rules of the cleaned page. ``slugs`` and ``page_count`` take a cleaned listing page.
     """
 
     name: str
@@ -25,7 +47,7 @@ class SourceSpec:
     job_id: Callable[[Column], Column]
     slugs: Callable[[Column], Column]
     page_count: Callable[[Column], Column]
-    fields: dict[str, Callable[[Column, Column], Column]] = field(default_factory=dict)
+    fields: dict[str, Field | ListField] = field(default_factory=dict)
     batch_size: int = 5
     check_urls: bool = True
     heading_required: bool = False
