@@ -37,11 +37,13 @@ def extract_details(pages: DataFrame, spec: SourceSpec) -> DataFrame:
     a batch number, pass through. Fields of a rejected page are null.
     """
     extra = [c for c in pages.columns if c not in DETAIL_PAGE.fieldNames()]
-    kept = ["source", "url", "job_id", "crawled_at", *extra, "page_reject"]
+    kept = ["source", "url", "job_id", *extra, "page_reject"]
     rules = _rules(spec, pages.sparkSession.sparkContext.applicationId)
     fetched = pages.where(F.col("source") == spec.name).withColumn("page_reject", rules["fetch_reject"])
     cleaned = fetched.withColumn("html", rules["clean"]).withColumn("page_reject", rules["page_reject"])
-    cut = cleaned.select(*kept, rules["pieces"], *rules["lists"])
+    # Named apart from the record's text column, which Spark would else take for it.
+    seen = F.col("crawled_at").alias("_seen_at")
+    cut = cleaned.select(*kept, seen, rules["pieces"], *rules["lists"])
     read = cut.withColumn("_texts", rules["texts"])
     return read.select(*rules["record"], *extra, "page_reject")
 
@@ -61,7 +63,7 @@ def _rules(spec: SourceSpec, application: str) -> dict:
     def value(name: str) -> Column:
         rule = spec.fields.get(name)
         if name == "crawled_at":
-            return utc_iso(F.col(name))
+            return utc_iso(F.col("_seen_at"))
         if name in ("source", "url", "job_id"):
             return F.col(name)
         if rule is None:
@@ -69,7 +71,7 @@ def _rules(spec: SourceSpec, application: str) -> dict:
         if isinstance(rule, ListField):
             return rule.then(F.col(name)) if rule.then else F.col(name)
         found = F.get("_texts", F.lit(single.index(name)))
-        return rule.then(found, F.col("crawled_at")) if rule.then else found
+        return rule.then(found, F.col("_seen_at")) if rule.then else found
 
     no_heading = F.when(~has_heading(html), F.lit(NO_HEADING))
     return {
