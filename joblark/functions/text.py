@@ -14,8 +14,10 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = f"[{WHITESPACE}]"
-NON_SPACE_CLASS = f"[^{WHITESPACE}]"
+# The same as a regular expression, in ranges, which match much faster.
+_SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CLASS = f"[{_SPACES}]"
+NON_SPACE_CLASS = f"[^{_SPACES}]"
 
 
 def strip(c: Column) -> Column:

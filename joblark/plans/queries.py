@@ -16,7 +16,7 @@ from joblark.operators import detail, incremental, listing, quality, url_checks
 from joblark.plans import ingest as jobs
 from joblark.plans import site_pages
 from joblark.schemas import BRONZE
-from joblark.session import materialize, shared_dir
+from joblark.session import fill_cores, materialize, shared_dir
 from joblark.sources import store as areas
 from joblark.sources.sites import DISCONNECT_MARKERS, ITVIEC, SITES, TOPDEV, link_slugs
 from joblark.sources.store import Store
@@ -39,8 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    return fill_cores(table(spark, sf_dir, name), key)
+
+
 def _clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", html.clean(F.col("html")).alias("html"))
+    return _spread(spark, sf_dir, "pages", "page_id").select("page_id", "url", html.clean(F.col("html")).alias("html"))
 
 
 def _day(ts: str) -> Column:
@@ -95,7 +99,7 @@ def challenge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def headed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pages and rendered site-1 pages per presence of a heading."""
     raw = _clean_pages(spark, sf_dir).select(F.lit("pages").alias("kind"), "html")
-    rendered = site_pages.itviec_pages(table(spark, sf_dir, "documents")).select(
+    rendered = site_pages.itviec_pages(_spread(spark, sf_dir, "documents", "doc_id")).select(
         F.lit("itviec").alias("kind"), html.clean(F.col("html")).alias("html")
     )
     both = raw.unionByName(rendered)
@@ -182,11 +186,11 @@ def job_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _itviec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_pages.itviec_pages(table(spark, sf_dir, "documents"))
+    return site_pages.itviec_pages(_spread(spark, sf_dir, "documents", "doc_id"))
 
 
 def _topdev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_pages.topdev_pages(table(spark, sf_dir, "conversations"))
+    return site_pages.topdev_pages(_spread(spark, sf_dir, "conversations", "conv_id"))
 
 
 def _flat_record(records: DataFrame) -> DataFrame:
@@ -196,14 +200,14 @@ def _flat_record(records: DataFrame) -> DataFrame:
 @query
 def itviec_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site-1 records; pages without a heading give none."""
-    records = detail.extract_details(_itviec(spark, sf_dir), ITVIEC)
+    records = materialize(detail.extract_details(_itviec(spark, sf_dir), ITVIEC), "itviec")
     return _flat_record(records.where(F.col("page_reject").isNull()).drop("page_reject"))
 
 
 @query
 def topdev_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site-2 records; challenge pages give none."""
-    records = detail.extract_details(_topdev(spark, sf_dir), TOPDEV)
+    records = materialize(detail.extract_details(_topdev(spark, sf_dir), TOPDEV), "topdev")
     return _flat_record(records.where(F.col("page_reject").isNull()).drop("page_reject", "working_method"))
 
 
@@ -219,12 +223,11 @@ def relative_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.lit(p) for p in phrases]), (F.col("l_orderkey") % len(phrases) + 1).cast("int")
     )
     phrase = F.concat(F.lit("Posted "), F.col("l_quantity").cast("int").cast("string"), pick)
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        phrase.alias("phrase"),
-        dates.relative_date(phrase, dates.ntz_as_utc(F.col("l_shipdate"))).alias("posted_date"),
+    rows = _spread(spark, sf_dir, "lineitem", "l_orderkey").select(
+        "l_orderkey", "l_linenumber", phrase.alias("phrase"), dates.ntz_as_utc(F.col("l_shipdate")).alias("at")
     )
+    posted = dates.relative_date(F.col("phrase"), F.col("at"))
+    return rows.select("l_orderkey", "l_linenumber", "phrase", posted.alias("posted_date"))
 
 
 @query
@@ -235,7 +238,7 @@ def dmy_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     phrase = F.when(key % 7 == 0, F.lit(" \topen ")).otherwise(
         F.concat(F.lit("Deadline: "), day, mark, month, mark, year, F.lit(" or 1/1/1999"))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.dmy_date(phrase).alias("posted_date"))
+    return _spread(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", dates.dmy_date(phrase).alias("posted_date"))
 
 
 @query
@@ -244,7 +247,7 @@ def key_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("o_orderkey") % 62 + 1
     raw = F.concat(F.date_format("o_orderdate", "yyyy-MM-"), text.pad2(number.cast("string")))
     shown = F.when(F.col("o_orderkey") % 9 == 0, F.lit("yesterday")).otherwise(raw)
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.key_date(shown).alias("key_date"))
+    return _spread(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", dates.key_date(shown).alias("key_date"))
 
 
 @query
@@ -260,7 +263,7 @@ def stripped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character references of every form, around whole texts."""
     shown = F.concat(F.lit("&eacute;&#8364;&#x1F600;&lt;b&gt; "), site_pages.escape(F.col("text")), F.lit(" &unknown; & &#128;"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.unescape(shown).alias("decoded"))
+    return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", text.unescape(shown).alias("decoded"))
 
 
 @query

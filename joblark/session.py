@@ -54,3 +54,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fill_cores(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a table that has fewer splits than the session has cores.
+
+    Meant for a small file ahead of CPU-heavy rules. A table with enough splits
+    is left as it is: moving its pages would cost more than it brings. ``scan``
+    has to be a plain scan, whose split count is known without running it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
