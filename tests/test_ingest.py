@@ -1,0 +1,193 @@
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from joblark.operators import quality, url_checks
+from joblark.plans import ingest as jobs
+from joblark.plans.ingest import IngestOptions
+from joblark.schemas import DETAIL_PAGE
+from joblark.sources import store as areas
+from joblark.sources.sites import ITVIEC, SITES, TOPDEV
+from joblark.streaming.ingest_stream import page_stream, start_ingest
+
+AT = datetime(2024, 3, 15, 12, 0, tzinfo=timezone.utc)
+
+
+def as_of():
+    return F.lit(date(2024, 3, 15))
+
+
+def itviec(i, title="Job", company="Co", days=1, at=AT):
+    info = "".join(f'<span class="normal-text text-rich-grey">{t}</span>' for t in ("HCM", "Office", f"{days} days ago"))
+    page = f"<h1>{title}</h1><div class='employer-name'>{company}</div>{info}<section class='job-content'><p>d</p></section>"
+    return ("itviec", f"https://itviec.com/it-jobs/s{i}", f"itviec_s{i}", page, at)
+
+
+def topdev(i, title="Dev", company="Firm", posted="5/3/2024", url=None, at=AT):
+    page = f"<h1>{title}</h1><a href='/companies/x'>{company}</a><p>{posted}</p>"
+    return ("topdev", url or f"https://topdev.vn/detail-jobs/j-{i}", f"topdev_{i}", page, at)
+
+
+def pages(spark, *rows):
+    return spark.createDataFrame(list(rows), DETAIL_PAGE)
+
+
+def ids(df):
+    return sorted(r["job_id"] for r in df.collect())
+
+
+def saved(spark, store):
+    return ids(areas.read_silver(spark, store))
+
+
+def ingest(spark, store, *rows, **kwargs):
+    kwargs.setdefault("as_of", as_of())
+    return jobs.run(pages(spark, *rows), SITES, store, **kwargs)
+
+
+def test_a_second_run_adds_nothing(spark, store):
+    rows = [itviec(1), itviec(2), topdev(1)]
+    assert ids(ingest(spark, store, *rows)) == ["itviec_s1", "itviec_s2", "topdev_1"]
+    assert ingest(spark, store, *rows).count() == 0
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "topdev_1"]
+    assert areas.read_jobs(spark, store, "itviec").count() == 2
+    raw = areas.read_jobs(spark, store, "topdev").first()
+    assert (raw["title"], raw["company"], raw["posted_date"], raw["working_method"]) == ("Dev", "Firm", "2024-03-05", None)
+
+
+def test_a_known_id_with_a_new_date(spark, store):
+    ingest(spark, store, itviec(1, days=9))
+    assert ingest(spark, store, itviec(1, days=1)).count() == 0  # by id alone
+    again = itviec(1, days=1, at=AT + timedelta(hours=1))
+    assert ids(ingest(spark, store, again, options=IngestOptions(mode="id_date"))) == ["itviec_s1"]
+    assert ingest(spark, store, again, options=IngestOptions(mode="id_date")).count() == 0
+
+
+def test_an_unparsed_date_meets_itself_again(spark, store):
+    options = IngestOptions(mode="id_date")
+    assert ingest(spark, store, topdev(1, posted="99-99-2024"), options=options).count() == 1
+    later = topdev(1, posted="99-99-2024", at=AT + timedelta(hours=1))
+    assert ingest(spark, store, later, options=options).count() == 0
+
+
+def test_a_key_outside_the_look_back_is_new(spark, store):
+    old = itviec(1, at=AT - timedelta(days=31))
+    ingest(spark, store, old, as_of=F.lit(date(2024, 2, 13)))
+    assert ids(ingest(spark, store, itviec(1))) == ["itviec_s1"]
+
+
+def test_many_known_ids_take_the_other_plan(spark, store):
+    ingest(spark, store, itviec(1), topdev(1))
+    options = IngestOptions(broadcast_ids=1)
+    assert ids(ingest(spark, store, itviec(1), itviec(2), topdev(1), topdev(2), options=options)) == ["itviec_s2", "topdev_2"]
+
+
+def test_few_known_ids_drop_pages_without_a_shuffle(spark):
+    known = spark.createDataFrame([("itviec_s1", "")], "job_id string, posted_date string")
+    records = jobs.fresh_records(pages(spark, itviec(1), itviec(2)), known, SITES)
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning(job_id" not in plan.split("FileScan")[0].split("BroadcastExchange")[0]
+    assert ids(records) == ["itviec_s2"]
+
+
+def test_rejects(spark, store):
+    rows = [itviec(1, title=""), ("itviec", "u2", "itviec_s2", "<h2>x</h2>", AT), ("itviec", "u3", "itviec_s3", None, AT),
+            ("topdev", "u4", "topdev_4", "<h1>x</h1> captcha", AT), topdev(5)]
+    assert ids(ingest(spark, store, *rows)) == ["topdev_5"]
+    keys = spark.createDataFrame([], "job_id string, posted_date string")
+    reasons = {r["job_id"]: r["reject_reason"] for r in jobs.triaged(pages(spark, *rows), keys, SITES, IngestOptions()).collect()}
+    assert reasons == {"itviec_s1": "no_title", "itviec_s2": "no_heading", "itviec_s3": "no_html", "topdev_4": "challenge_page", "topdev_5": None}
+
+
+def test_the_gate_stops_the_run(spark, store):
+    with pytest.raises(quality.DataQualityError, match="topdev"):
+        ingest(spark, store, itviec(1), topdev(1, company=""))
+    assert areas.silver_files(spark, store).count() == 0
+    error = areas.read_errors(spark, store).first()
+    assert (error["error_type"], error["context"]) == ("DataQualityError", "main")
+
+
+def test_the_gate_can_reject_a_batch(spark, store):
+    rows = pages(spark, topdev(1, company=""), topdev(2, company=" "), topdev(3), topdev(4), topdev(5, company=""))
+    batched = rows.withColumn("batch_no", F.when(F.col("job_id") < "topdev_4", 1).otherwise(2).cast("bigint"))
+    got = jobs.run(batched, SITES, store, options=IngestOptions(on_gate="reject"), as_of=as_of())
+    assert ids(got) == ["topdev_4", "topdev_5"]  # two of three bad fail, one of two passes
+    assert saved(spark, store) == ["topdev_4", "topdev_5"]
+
+
+def test_pairs_across_and_within_batches(spark, store):
+    rows = pages(spark, topdev(7, url="u/a-7"), topdev(7, url="u/b-7"), topdev(7, url="u/c-7"), topdev(7, url="u/d-7", posted="6/3/2024"))
+    batched = rows.withColumn("batch_no", F.when(F.col("url").isin("u/a-7", "u/b-7"), 1).otherwise(2).cast("bigint"))
+    got = jobs.run(batched, SITES, store, as_of=as_of())
+    assert sorted(r["url"] for r in got.collect()) == ["u/a-7", "u/b-7", "u/d-7"]
+
+
+@pytest.mark.parametrize("broadcast_ids", [0, 1000])
+def test_failed_urls_are_left_out_where_they_are_checked(spark, store, broadcast_ids):
+    rows = [itviec(1), itviec(2), topdev(1)]
+    log = spark.createDataFrame(
+        [("itviec", rows[0][1], 404, "gone", "", "t"), ("itviec", rows[1][1], 200, "", "", ""), ("topdev", rows[2][1], 403, "no", "", "t")],
+        "source string, url string, status_code int, reason string, error_type string, tb_str string",
+    )
+    got = ingest(spark, store, *rows, checks=url_checks.check_urls(log), options=IngestOptions(broadcast_ids=broadcast_ids))
+    assert ids(got) == ["itviec_s2", "topdev_1"]
+    errors = areas.read_errors(spark, store).collect()
+    assert [(e["source"], e["error_msg"]) for e in errors] == [("itviec", "[404] gone")]
+
+
+def run_stream(spark, store, files=1, **kwargs):
+    query = start_ingest(page_stream(spark, f"{store.base}/inbox", files), SITES, store, f"{store.base}/checkpoint", **kwargs)
+    query.awaitTermination()
+
+
+def drop(spark, store, *rows):
+    pages(spark, *rows).coalesce(1).write.mode("append").parquet(f"{store.base}/inbox")
+
+
+def test_stream_and_batch_agree(spark, store, tmp_path):
+    rows = [itviec(1), itviec(2), topdev(1), topdev(2), topdev(3, title="")]
+    for row in rows:
+        drop(spark, store, row)
+    run_stream(spark, store, files=2)
+    other = areas.Store(str(tmp_path / "batch"))
+    ingest(spark, other, *rows)
+    columns = [c for c in areas.SILVER.fieldNames() if c != "ingested_at"]
+    streamed, batch = (areas.read_silver(spark, s).select(columns).collect() for s in (store, other))
+    assert sorted(map(str, streamed)) == sorted(map(str, batch)) and len(batch) == 4
+
+
+def test_stream_goes_on_where_it_stopped(spark, store):
+    drop(spark, store, itviec(1), topdev(1))
+    run_stream(spark, store)
+    drop(spark, store, itviec(1, at=AT + timedelta(hours=2)), itviec(2, at=AT + timedelta(hours=2)))
+    run_stream(spark, store)
+    run_stream(spark, store)
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "topdev_1"]
+    assert areas.read_jobs(spark, store, "itviec").count() == 2
+
+
+@pytest.mark.parametrize("lost", ["silver", "raws", "nothing"])
+def test_a_replayed_batch_saves_the_same_rows(spark, store, lost, monkeypatch):
+    """A batch that fails between its sinks and runs again leaves every row once."""
+    rows = [itviec(1), itviec(2), topdev(1)]
+    sink = {"silver": "load_silver", "raws": "append_jobs"}.get(lost)
+    if sink:
+        real = getattr(areas, sink)
+        monkeypatch.setattr(areas, sink, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            ingest(spark, store, *rows, batch=0)
+        monkeypatch.setattr(areas, sink, real)
+    for _ in range(2):
+        assert ids(ingest(spark, store, *rows, batch=0)) == ["itviec_s1", "itviec_s2", "topdev_1"]
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "topdev_1"]
+    assert areas.read_jobs(spark, store, "itviec").count() == 2
+    assert areas.read_jobs(spark, store, "topdev").count() == 1
+    assert ingest(spark, store, *rows, batch=1).count() == 0
+
+
+def test_specifications_of_the_sites():
+    assert (ITVIEC.batch_size, ITVIEC.check_urls, ITVIEC.heading_required, ITVIEC.challenge_markers) == (5, True, True, ())
+    assert (TOPDEV.batch_size, TOPDEV.check_urls, TOPDEV.heading_required) == (1, False, False)
+    assert all((s.critical_fields, s.threshold) == (("title", "company"), 0.5) for s in SITES)

@@ -1,0 +1,120 @@
+import pytest
+from pyspark.sql import functions as F
+
+from joblark.operators import quality, url_checks
+from joblark.schemas import ERROR
+from joblark.sources.sites import DISCONNECT_MARKERS
+
+RECORD = "source string, batch_no int, url string, title string, company string"
+
+
+def records(spark, *rows):
+    return spark.createDataFrame([("s", 1, f"u{i}", t, c) for i, (t, c) in enumerate(rows)], RECORD)
+
+
+def report(spark, *rows, **kwargs):
+    return quality.quality_report(records(spark, *rows), ["source", "batch_no"], **kwargs).first()
+
+
+def test_half_bad_passes_and_more_fails(spark):
+    half = report(spark, ("t", "c"), ("t", ""))
+    assert (half["total"], half["bad"], half["clean"], half["ratio"], half["passed"]) == (2, 1, 1, 0.5, True)
+    assert half["message"] == "[s/1] Quality check passed: 1/2 records are clean"
+    more = report(spark, ("t", "c"), ("t", ""), ("", "c"))
+    assert (more["bad"], more["passed"]) == (2, False)
+    assert more["message"].startswith("Quality check failed for 's/1': 2/3 records (67%) lack a critical field (title, company)")
+
+
+@pytest.mark.parametrize("blank", ["", " ", "\t", "\xa0", "　\n", None])
+def test_blank_values_are_bad(spark, blank):
+    assert report(spark, (blank, "c"))["bad"] == 1
+    assert report(spark, ("t", blank))["bad"] == 1
+    assert report(spark, (blank, blank))["bad"] == 1
+
+
+def test_fields_and_threshold(spark):
+    rows = [("t", ""), ("t", ""), ("t", "c")]
+    assert report(spark, *rows, fields=("title",))["bad"] == 0
+    assert report(spark, *rows, threshold=0.7)["passed"]
+    assert not report(spark, *rows, threshold=0.6)["passed"]
+    assert report(spark, *rows, fields=("title", "salary"))["bad"] == 3  # a field no record has
+
+
+def test_no_records_pass(spark):
+    empty = quality.quality_report(records(spark, ("t", "c")).where("false"), ["source", "batch_no"])
+    assert empty.count() == 0
+    quality.enforce(empty)
+
+
+def test_enforce_raises(spark):
+    failed = quality.quality_report(records(spark, ("", "c")), ["source", "batch_no"])
+    with pytest.raises(quality.DataQualityError, match="1/1 records"):
+        quality.enforce(failed)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1000])
+def test_gate_keeps_whole_groups(spark, hot_rows):
+    rows = [("s", 1, "a", "t", "c"), ("s", 1, "b", "t", ""), ("s", 2, "c", "", "c"), ("s", 2, "d", "", "c"), ("s", 2, "e", "t", "c"), ("r", 2, "f", "t", "c")]
+    df = spark.createDataFrame(rows, RECORD)
+    by = ["source", "batch_no"]
+    got = quality.split_by_gate(df, quality.quality_report(df, by), by, ["url"], hot_rows)
+    assert {r["url"]: r["passed"] for r in got.collect()} == {"a": True, "b": True, "c": False, "d": False, "e": False, "f": True}
+
+
+CODES = [200, 204, 304, 404, 410, 451, 429, 500, 502, 503, 504, 403, 0, None]
+
+
+def fetch_log(spark):
+    rows = [(f"u{i}", c, "why", "TimeoutError" if i == 12 else None, "trace") for i, c in enumerate(CODES)]
+    return spark.createDataFrame(rows, "url string, status_code int, reason string, error_type string, tb_str string")
+
+
+def test_url_checks(spark):
+    got = {r["url"]: r for r in url_checks.check_urls(fetch_log(spark)).collect()}
+    assert [u for u, r in got.items() if r["is_valid"]] == ["u0", "u1"]
+    assert (got["u0"]["reason"], got["u0"]["error_type"], got["u0"]["tb_str"]) == ("OK", "", "")
+    assert (got["u2"]["reason"], got["u2"]["error_type"], got["u2"]["status_code"]) == ("why", "HTTPError", 304)
+    assert (got["u12"]["error_type"], got["u12"]["status_code"]) == ("TimeoutError", 0)
+    assert (got["u13"]["error_type"], got["u13"]["status_code"]) == ("URLError", 0)
+
+
+def test_partition_and_counts(spark):
+    checks = url_checks.check_urls(fetch_log(spark))
+    valid, failed = url_checks.partition_urls(checks)
+    assert sorted(r["url"] for r in valid.collect()) == ["u0", "u1"]
+    assert failed.count() == len(CODES) - 2
+    assert url_checks.check_counts(checks).first().asDict() == {"reachable": 2, "failed": 12, "total": 14}
+    assert url_checks.all_valid(checks).where("is_valid").count() == 14
+
+
+def test_severity_and_class(spark):
+    df = spark.createDataFrame([(c,) for c in CODES if c is not None], "c int")
+    got = {r["c"]: (r["s"], r["f"]) for r in df.select("c", url_checks.severity(F.col("c")).alias("s"), url_checks.failure_class(F.col("c")).alias("f")).collect()}
+    assert {c for c, v in got.items() if v == ("warning", "transient")} == {429, 500, 502, 503, 504}
+    assert {c for c, v in got.items() if v == ("error", "permanent")} == {404, 410, 451}
+    assert got[403] == got[0] == got[304] == ("error", "other")
+
+
+def test_error_records(spark):
+    _, failed = url_checks.partition_urls(url_checks.check_urls(fetch_log(spark)))
+    errors = url_checks.error_records(failed.where("url = 'u3'"), "itviec")
+    assert errors.columns == ERROR.fieldNames()
+    row = errors.first()
+    assert (row["source"], row["error_type"], row["error_msg"], row["context"], row["traceback"]) == (
+        "itviec", "HTTPError", "[404] why", "url_validator: u3", "trace")
+
+
+def test_exception_record(spark):
+    try:
+        raise ValueError("bad giờ")
+    except ValueError as error:
+        row = url_checks.exception_record(spark, error, "topdev", "main").first()
+    assert (row["error_type"], row["error_msg"], row["context"], row["source"]) == ("ValueError", "bad giờ", "main", "topdev")
+    assert "test_exception_record" in row["traceback"]
+
+
+def test_error_class(spark):
+    texts = ["Target page, context or browser has been CLOSED", "WebSocket failed", "timeout", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["c"] for r in df.orderBy("i").select(url_checks.error_class(F.col("t"), DISCONNECT_MARKERS).alias("c")).collect()]
+    assert got == ["disconnect", "disconnect", "generic", "generic", "generic"]
