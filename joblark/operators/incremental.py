@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from joblark.functions.text import or_empty
-from joblark.operators.joins import HOT_ROWS, skew_join
+from joblark.operators.joins import Join, skew_join
 from joblark.schemas import KEYS
 
 LOOK_BACK_DAYS = 30
@@ -55,15 +55,15 @@ def known_keys(spark: SparkSession, table: str, as_of: Column | None = None) ->
 # ---- new rows ----------------------------------------------------------------------
 
 
-def new_ids(candidates: DataFrame, keys: DataFrame, spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def new_ids(candidates: DataFrame, keys: DataFrame, spread: list[str], join: Join = skew_join) -> DataFrame:
     """Candidates whose ``job_id`` alone is not known; their other columns stay."""
-    return skew_join(candidates, keys.select("job_id").distinct(), ["job_id"], "left_anti", spread, hot_rows)
+    return join(candidates, keys.select("job_id").distinct(), ["job_id"], "left_anti", spread)
 
 
-def new_records(records: DataFrame, keys: DataFrame, spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def new_records(records: DataFrame, keys: DataFrame, spread: list[str], join: Join = skew_join) -> DataFrame:
     """Records whose pair of id and posted date is not known (null dates count as "")."""
     clean = records.withColumns({c: or_empty(F.col(c)) for c in PAIR})
-    return skew_join(clean, keys.select(*PAIR).distinct(), PAIR, "left_anti", spread, hot_rows)
+    return join(clean, keys.select(*PAIR).distinct(), PAIR, "left_anti", spread)
 
 
 def skipped_count(candidates: DataFrame, keys: DataFrame) -> DataFrame:
@@ -77,18 +77,26 @@ def skipped_count(candidates: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def dedup_across_batches(rows: DataFrame, spread: list[str], keys: list[str] = PAIR,
-                         hot_rows: int = HOT_ROWS) -> DataFrame:
+def dedup_across_batches(
+    rows: DataFrame, spread: list[str], keys: list[str] = PAIR, join: Join = skew_join
+) -> DataFrame:
     """Keep rows of the first batch that has their key; equal keys inside it all stay.
 
-    The first batch comes from a pre-aggregated minimum rather than a window, so
-    no task ever holds all rows of a key.
+    No window holds all rows of a key: the later batches of each key are found
+    on distinct ``(key, batch)`` pairs, which are few next to the rows, and the
+    rows are joined with those later pairs alone.
     """
-    firsts = rows.groupBy(*keys).agg(F.min("batch_no").alias("batch_no"))
-    return skew_join(rows, firsts, [*keys, "batch_no"], "left_semi", spread, hot_rows)
+    pairs = rows.select(*keys, "batch_no").distinct()
+    firsts = pairs.groupBy(*keys).agg(F.min("batch_no").alias("_first"))
+    later = (
+        skew_join(pairs, firsts, keys, "left", ["batch_no"])
+        .where(F.col("batch_no") > F.col("_first"))
+        .drop("_first")
+    )
+    return join(rows, later, [*keys, "batch_no"], "left_anti", spread)
 
 
-def triage(records: DataFrame, keys: DataFrame, spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def triage(records: DataFrame, keys: DataFrame, spread: list[str], join: Join = skew_join) -> DataFrame:
     """All records with a ``reject_reason``, null for those to save.
 
     Order of reasons: the page gave no content, no title, already known. The
@@ -99,7 +107,7 @@ def triage(records: DataFrame, keys: DataFrame, spread: list[str], hot_rows: int
         .distinct()
         .withColumn("_known", F.lit(True))
     )
-    joined = skew_join(records, known, ["job_id", "key_date"], "left", spread, hot_rows)
+    joined = join(records, known, ["job_id", "key_date"], "left", spread)
     reason = (
         F.when(F.col("page_reject").isNotNull(), F.col("page_reject"))
         .when(or_empty(F.col("title")) == "", F.lit(NO_TITLE))

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from joblark.session import materialize
+
+# left, right, key columns, join type, columns that tell rows of one key apart
+Join = Callable[[DataFrame, DataFrame, list[str], str, list[str]], DataFrame]
+
 # Rows of one key that still make a comfortable task, and copies of a hot key's
 # partner row. Keys at or above HOT_ROWS number at most total_rows / HOT_ROWS,
 # which bounds the broadcast list: 10^12 rows give no more than 10^6 short keys.
 HOT_ROWS = 1_000_000
 SALTS = 64
 
+# A narrow right side of up to this many rows (some 60 MB) is broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with at least ``hot_rows`` rows; counts are combined before the shuffle."""
@@ -45,3 +55,20 @@ def skew_join(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     partners = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.drop("_hot").join(partners, [*on, "_salt"], how).drop("_salt")
+
+
+def sized_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str,
+    spread: list[str],
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The same result by a plan that fits the size of ``right``, which is narrow
+    and written once to be counted: broadcast up to ``limit`` rows, so that
+    ``left`` is not shuffled at all, and salted beyond."""
+    written = materialize(right, "right")
+    if written.count() <= limit:
+        return left.join(F.broadcast(written), on, how)
+    return skew_join(left, written, on, how, spread)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.functions.text import is_blank
-from joblark.operators.joins import HOT_ROWS, skew_join
+from joblark.operators.joins import Join, skew_join
 from joblark.sources.spec import CRITICAL_FIELDS, EMPTY_THRESHOLD
 
 
@@ -65,9 +65,9 @@ def enforce(report: DataFrame) -> None:
         raise DataQualityError(failed[0]["message"])
 
 
-def split_by_gate(
-    records: DataFrame, report: DataFrame, by: list[str], spread: list[str], hot_rows: int = HOT_ROWS
+def passing_records(
+    records: DataFrame, report: DataFrame, by: list[str], spread: list[str], join: Join = skew_join
 ) -> DataFrame:
-    """The records with a flag ``passed`` of their group."""
-    verdicts = report.select(*by, "passed")
-    return skew_join(records, verdicts, by, "left", spread, hot_rows)
+    """The records of the groups that pass: a group is kept or left out whole."""
+    failed = report.where(~F.col("passed")).select(*by)
+    return join(records, failed, by, "left_anti", spread)

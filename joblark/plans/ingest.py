@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, quality, url_checks
-from joblark.operators.joins import skew_join
+from joblark.operators.joins import BROADCAST_ROWS, sized_join, skew_join
 from joblark.schemas import BRONZE
 from joblark.session import materialize
 from joblark.sources import store as areas
 from joblark.sources.spec import SourceSpec
 from joblark.sources.store import Store
 
-# Known ids up to this number (some 60 MB) are broadcast; beyond it the job
-# takes another plan that moves extracted records instead of pages.
-BROADCAST_IDS = 1_000_000
-
 _GIVEN = ("job_id", "source", "url", "crawled_at")  # columns every site's record has
 
 
@@ -31,7 +27,10 @@ class IngestOptions:
 
     mode: str = "id"
     on_gate: str = "raise"
-    broadcast_ids: int = BROADCAST_IDS
+    broadcast_rows: int = BROADCAST_ROWS
+
+    def join(self, *args) -> DataFrame:
+        return sized_join(*args, limit=self.broadcast_rows)
 
 
 def crawl_frontier(
@@ -43,8 +42,9 @@ def crawl_frontier(
     return listing.url_id_map(listing.frontier(facts, max_pages), specs)
 
 
-def fresh_records(pages: DataFrame, keys: DataFrame, specs: tuple[SourceSpec, ...], mode: str = "id",
-                  broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def fresh_records(
+    pages: DataFrame, keys: DataFrame, specs: tuple[SourceSpec, ...], options: IngestOptions = IngestOptions()
+) -> DataFrame:
     """Records of the pages whose id is not known, with ``page_reject``.
 
     Pages are never shuffled. Few known ids are broadcast and drop pages before
@@ -53,15 +53,14 @@ def fresh_records(pages: DataFrame, keys: DataFrame, specs: tuple[SourceSpec, ..
     def extracted(source_pages: DataFrame) -> DataFrame:
         return listing.union_all([detail.extract_details(source_pages, s) for s in specs])
 
-    if mode == "id_date":
+    if options.mode == "id_date":
         return extracted(pages)
-    if mode != "id":
-        raise ValueError(f"unknown mode: {mode}")
-    ids = keys.select("job_id").distinct()
-    few = ids.limit(broadcast_ids + 1).count() <= broadcast_ids
-    if few:
+    if options.mode != "id":
+        raise ValueError(f"unknown mode: {options.mode}")
+    ids = materialize(keys.select("job_id").distinct(), "ids")
+    if ids.count() <= options.broadcast_rows:
         return extracted(pages.join(F.broadcast(ids), "job_id", "left_anti"))
-    return incremental.new_ids(materialize(extracted(pages), "extracted"), keys, ["url"])
+    return incremental.new_ids(materialize(extracted(pages), "extracted"), ids, ["url"])
 
 
 def failed_urls(checks: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
@@ -75,10 +74,10 @@ def triaged(
     pages: DataFrame, keys: DataFrame, specs: tuple[SourceSpec, ...], options: IngestOptions
 ) -> DataFrame:
     """Records with ``reject_reason``, written once so that the HTML is read once."""
-    records = fresh_records(pages, keys, specs, options.mode, options.broadcast_ids)
+    records = fresh_records(pages, keys, specs, options)
     keyed = records.withColumn("key_date", or_empty(key_date(F.col("posted_date"))))
     written = materialize(keyed, "records")
-    return incremental.triage(written, keys, ["url"])
+    return incremental.triage(written, keys, ["url"], options.join)
 
 
 def gated(accepted: DataFrame, specs: tuple[SourceSpec, ...], options: IngestOptions) -> DataFrame:
@@ -92,8 +91,7 @@ def gated(accepted: DataFrame, specs: tuple[SourceSpec, ...], options: IngestOpt
             quality.enforce(report)
             passed.append(own)
         else:
-            split = quality.split_by_gate(own, report, by, ["url"])
-            passed.append(split.where("passed").drop("passed"))
+            passed.append(quality.passing_records(own, report, by, ["url"], options.join))
     return listing.union_all(passed)
 
 
@@ -136,20 +134,22 @@ def ingest(
             save(staged, specs, store, batch)
             return staged
     keys = materialize(silver_keys(spark, store, as_of), "keys")
-    if "batch_no" not in pages.columns:
-        pages = pages.withColumn("batch_no", F.lit((batch or 0) + 1).cast("bigint"))
-    failed, few_failed = None, True
+    failed = None
     if checks is not None:
         log_failed_urls(checks, specs, store, batch)
-        failed = failed_urls(checks, specs)
-        few_failed = failed.limit(options.broadcast_ids + 1).count() <= options.broadcast_ids
-    if failed is not None and few_failed:
-        pages = pages.join(F.broadcast(failed), ["source", "url"], "left_anti")
+        failed = materialize(failed_urls(checks, specs), "failed")
+        if failed.count() <= options.broadcast_rows:
+            pages, failed = pages.join(F.broadcast(failed), ["source", "url"], "left_anti"), None
+    batched = "batch_no" in pages.columns
+    if not batched:
+        pages = pages.withColumn("batch_no", F.lit((batch or 0) + 1).cast("bigint"))
     accepted = triaged(pages, keys, specs, options).where(F.col("reject_reason").isNull())
-    if not few_failed:  # too many for a broadcast: leave out records, so that no HTML is shuffled
+    if failed is not None:  # too many for a broadcast: leave out records, so that no HTML is shuffled
         accepted = skew_join(accepted, failed, ["source", "url"], "left_anti", ["crawled_at"])
-    unique = incremental.dedup_across_batches(accepted, ["url"], ["job_id", "key_date"])
-    records = gated(materialize(unique, "accepted"), specs, options)
+    accepted = materialize(accepted, "accepted")
+    if batched:
+        accepted = incremental.dedup_across_batches(accepted, ["url"], ["job_id", "key_date"], options.join)
+    records = gated(accepted, specs, options)
     if batch is not None:
         records = areas.stage_batch(records, store, batch)
     elif options.on_gate == "reject":

@@ -166,7 +166,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, {_strip(_UNESCAPE.format("regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1)"))} AS footer
             FROM pages""",
         "challenge_pages": f"""
-            SELECT page_id, url FROM pages WHERE {_any('html', (*CHALLENGE_MARKERS, 'cheap-pills'))}""",
+            SELECT page_id, url FROM pages WHERE {_any('html', (*CHALLENGE_MARKERS, 'track(1'))}""",
         "headed_pages": """
             SELECT 'pages' AS kind, contains(html, '<h1>') AS headed, count(*) AS n FROM pages GROUP BY ALL
             UNION ALL SELECT 'itviec', doc_id % 11 <> 0, count(*) FROM documents GROUP BY ALL""",

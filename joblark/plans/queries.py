@@ -89,8 +89,8 @@ def page_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def challenge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that are no content. The tables hold no real challenge page, so a
-    marker that some pages hold stands in beside the site's own."""
-    markers = (*TOPDEV.challenge_markers, "cheap-pills")
+    text that some pages hold stands in beside the site's own markers."""
+    markers = (*TOPDEV.challenge_markers, "track(1")
     rows = table(spark, sf_dir, "pages")
     return rows.where(text.contains_any(F.col("html"), markers)).select("page_id", "url")
 
@@ -443,7 +443,7 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the groups that pass the gate."""
     rows, by = _graded(spark, sf_dir), ["source", "batch_no"]
     report = quality.quality_report(rows, by)
-    return quality.split_by_gate(rows, report, by, ["doc_id"]).where("passed").select("doc_id", *by)
+    return quality.passing_records(rows, report, by, ["doc_id"]).select("doc_id", *by)
 
 
 # ---- URL checks and errors ---------------------------------------------------------

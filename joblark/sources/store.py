@@ -84,7 +84,7 @@ def append_jobs(records: DataFrame, store: Store, source: str, batch: int | None
     if own.isEmpty():
         return ""
     path = f"{store.raws}/{source}"
-    writer = own.hint("rebalance").write.option("ignoreNullFields", False)
+    writer = own.write.option("ignoreNullFields", False)
     if batch is None:
         writer.mode("append").json(path)
         return path

@@ -1,11 +1,12 @@
 import random
+from functools import partial
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from joblark.operators import incremental as inc
-from joblark.operators.joins import hot_keys, skew_join
+from joblark.operators.joins import hot_keys, sized_join, skew_join
 
 TABLE = "job_id string, posted_date date, crawled_at timestamp"
 
@@ -49,12 +50,15 @@ def keys(spark):
     return spark.createDataFrame(KEYS, "job_id string, posted_date string")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 1000])
-def test_new_ids_and_records(spark, hot_rows):
+JOINS = [partial(skew_join, hot_rows=n) for n in (1, 2, 1000)] + [sized_join, partial(sized_join, limit=0)]
+
+
+@pytest.mark.parametrize("join", JOINS)
+def test_new_ids_and_records(spark, join):
     rows = [("u1", "a", "2024-01-01"), ("u2", "a", "2024-01-09"), ("u3", "b", None), ("u4", "b", "x"), ("u5", "z", None), ("u6", "z", "y")]
     df = spark.createDataFrame(rows, "url string, job_id string, posted_date string")
-    assert sorted(r["url"] for r in inc.new_ids(df, keys(spark), ["url"], hot_rows).collect()) == ["u5", "u6"]
-    assert sorted(r["url"] for r in inc.new_records(df, keys(spark), ["url"], hot_rows).collect()) == ["u2", "u4", "u5", "u6"]
+    assert sorted(r["url"] for r in inc.new_ids(df, keys(spark), ["url"], join).collect()) == ["u5", "u6"]
+    assert sorted(r["url"] for r in inc.new_records(df, keys(spark), ["url"], join).collect()) == ["u2", "u4", "u5", "u6"]
 
 
 def test_skipped_count(spark):
@@ -62,11 +66,11 @@ def test_skipped_count(spark):
     assert inc.skipped_count(df, keys(spark)).first().asDict() == {"total": 4, "new": 2, "skipped": 2}
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1000])
-def test_dedup_across_batches(spark, hot_rows):
+@pytest.mark.parametrize("join", JOINS)
+def test_dedup_across_batches(spark, join):
     rows = [(1, "u1", "a", ""), (1, "u2", "a", ""), (2, "u3", "a", ""), (2, "u4", "b", ""), (3, "u5", "b", ""), (3, "u6", "b", "d")]
     df = spark.createDataFrame(rows, "batch_no int, url string, job_id string, posted_date string")
-    assert sorted(r["url"] for r in inc.dedup_across_batches(df, ["url"], hot_rows=hot_rows).collect()) == ["u1", "u2", "u4", "u6"]
+    assert sorted(r["url"] for r in inc.dedup_across_batches(df, ["url"], join=join).collect()) == ["u1", "u2", "u4", "u6"]
 
 
 def skewed(spark, n=6000):

@@ -79,7 +79,7 @@ def test_a_key_outside_the_look_back_is_new(spark, store):
 
 def test_many_known_ids_take_the_other_plan(spark, store):
     ingest(spark, store, itviec(1), topdev(1))
-    options = IngestOptions(broadcast_ids=1)
+    options = IngestOptions(broadcast_rows=0)
     assert ids(ingest(spark, store, itviec(1), itviec(2), topdev(1), topdev(2), options=options)) == ["itviec_s2", "topdev_2"]
 
 
@@ -124,14 +124,14 @@ def test_pairs_across_and_within_batches(spark, store):
     assert sorted(r["url"] for r in got.collect()) == ["u/a-7", "u/b-7", "u/d-7"]
 
 
-@pytest.mark.parametrize("broadcast_ids", [0, 1000])
-def test_failed_urls_are_left_out_where_they_are_checked(spark, store, broadcast_ids):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_failed_urls_are_left_out_where_they_are_checked(spark, store, broadcast_rows):
     rows = [itviec(1), itviec(2), topdev(1)]
     log = spark.createDataFrame(
         [("itviec", rows[0][1], 404, "gone", "", "t"), ("itviec", rows[1][1], 200, "", "", ""), ("topdev", rows[2][1], 403, "no", "", "t")],
         "source string, url string, status_code int, reason string, error_type string, tb_str string",
     )
-    got = ingest(spark, store, *rows, checks=url_checks.check_urls(log), options=IngestOptions(broadcast_ids=broadcast_ids))
+    got = ingest(spark, store, *rows, checks=url_checks.check_urls(log), options=IngestOptions(broadcast_rows=broadcast_rows))
     assert ids(got) == ["itviec_s2", "topdev_1"]
     errors = areas.read_errors(spark, store).collect()
     assert [(e["source"], e["error_msg"]) for e in errors] == [("itviec", "[404] gone")]
