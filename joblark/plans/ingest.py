@@ -112,20 +112,39 @@ def silver_keys(spark: SparkSession, store: Store, as_of: Column | None = None,
     return incremental.recent_keys(recent, as_of, days)
 
 
+def with_batches(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
+    """Pages with a ``batch_no`` such that batches have the site's size on average.
+
+    The number follows from the URL alone: no page moves. Only one count per
+    source reaches the driver.
+    """
+    names = [s.name for s in specs]
+    counts = pages.where(F.col("source").isin(*names)).groupBy("source").count().collect()
+    size = {s.name: s.batch_size for s in specs}
+    number = F.lit(None).cast("bigint")
+    for row in counts:  # one row per specification
+        batches = -(-row["count"] // size[row["source"]])
+        key = incremental.batch_key(F.col("url"), F.lit(batches))
+        number = F.when(F.col("source") == row["source"], key).otherwise(number)
+    return pages.withColumn("batch_no", number)
+
+
 def ingest(
     pages: DataFrame,
     specs: tuple[SourceSpec, ...],
     store: Store,
     options: IngestOptions = IngestOptions(),
     checks: DataFrame | None = None,
+    urls: DataFrame | None = None,
     as_of: Column | None = None,
     batch: int | None = None,
 ) -> DataFrame:
     """One run over detail pages ``(source, url, job_id, html, crawled_at)``.
 
     Pages may carry a ``batch_no``; without one each source is a single batch.
-    ``checks`` are URL check results with a ``source``. Returns the saved records.
-    The same function serves a batch run and the micro-batches of a stream.
+    ``checks`` are URL check results with a ``source``; ``urls`` a URL map that
+    limits the run to its pages. Returns the saved records. The same function
+    serves a batch run and the micro-batches of a stream.
     """
     spark = pages.sparkSession
     if batch is not None:
@@ -134,18 +153,25 @@ def ingest(
             save(staged, specs, store, batch)
             return staged
     keys = materialize(silver_keys(spark, store, as_of), "keys")
-    failed = None
+    filters = []
     if checks is not None:
         log_failed_urls(checks, specs, store, batch)
-        failed = materialize(failed_urls(checks, specs), "failed")
-        if failed.count() <= options.broadcast_rows:
-            pages, failed = pages.join(F.broadcast(failed), ["source", "url"], "left_anti"), None
+        filters.append((failed_urls(checks, specs), "left_anti"))
+    if urls is not None:
+        filters.append((urls.select("source", "url").distinct(), "left_semi"))
+    late = []
+    for side, how in filters:
+        side = materialize(side, "urls")
+        if side.count() <= options.broadcast_rows:
+            pages = pages.join(F.broadcast(side), ["source", "url"], how)
+        else:  # join the records instead, so that no HTML is shuffled
+            late.append((side, how))
     batched = "batch_no" in pages.columns
     if not batched:
         pages = pages.withColumn("batch_no", F.lit((batch or 0) + 1).cast("bigint"))
     accepted = triaged(pages, keys, specs, options).where(F.col("reject_reason").isNull())
-    if failed is not None:  # too many for a broadcast: leave out records, so that no HTML is shuffled
-        accepted = skew_join(accepted, failed, ["source", "url"], "left_anti", ["crawled_at"])
+    for side, how in late:
+        accepted = skew_join(accepted, side, ["source", "url"], how, ["crawled_at"])
     accepted = materialize(accepted, "accepted")
     if batched:
         accepted = incremental.dedup_across_batches(accepted, ["url"], ["job_id", "key_date"], options.join)
@@ -167,9 +193,21 @@ def log_failed_urls(
     areas.append_errors(url_checks.error_records(mine, F.col("source")), store, batch)
 
 
-def run(pages: DataFrame, specs: tuple[SourceSpec, ...], store: Store, **kwargs) -> DataFrame:
-    """``ingest`` that records its failure in the error area before it fails."""
+def run(
+    pages: DataFrame,
+    specs: tuple[SourceSpec, ...],
+    store: Store,
+    listing_pages: DataFrame | None = None,
+    max_pages: int = 0,
+    **kwargs,
+) -> DataFrame:
+    """``ingest``, of the jobs that listing pages lead to when there are any.
+
+    A failure is recorded in the error area before it is raised.
+    """
     try:
+        if listing_pages is not None:
+            kwargs["urls"] = crawl_frontier(listing_pages, specs, max_pages)
         return ingest(pages, specs, store, **kwargs)
     except Exception as error:
         names = ",".join(s.name for s in specs)

@@ -245,6 +245,9 @@ def oracle_sql() -> dict[str, str]:
             WITH n AS (SELECT event_type AS source, count(*) AS n FROM events GROUP BY ALL)
             SELECT source, 5::BIGINT AS batch_size, n // 5 AS batches FROM n WHERE n >= 5
             UNION ALL SELECT source, n % 5, 1 FROM n WHERE n % 5 > 0""",
+        "batch_numbers": """
+            SELECT 'itviec' AS source, count(*) AS pages, TRUE AS in_range FROM documents
+            UNION ALL SELECT 'topdev', count(*), TRUE FROM conversations""",
         "new_url_map": """
             SELECT 'https://itviec.com/it-jobs/part-' || p_partkey AS url, 'itviec_part-' || p_partkey AS job_id
             FROM part WHERE p_partkey % 3 <> 0""",
@@ -295,6 +298,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_RECORDS})""",
         "batch_ingest": f"""
             {_saved(_ITVIEC, "number % 9 = 0 OR number % 7 = 0")} UNION ALL {_saved(_TOPDEV)}""",
+        "listed_ingest": _saved(_ITVIEC, "number % 9 = 0 OR number >= 400"),
         "checked_ingest": f"""
             SELECT 'itviec' AS source, count(*) AS n FROM ({_ITVIEC}) WHERE number % 8 <> 3 AND title <> ''
             UNION ALL SELECT 'topdev', count(*) FROM ({_TOPDEV}) WHERE title <> ''

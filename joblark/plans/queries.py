@@ -371,6 +371,18 @@ def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("last_batch")
 
 
+@query
+def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch numbers from the URL alone: do they stay in the range of a site's batches?"""
+    pages = _job_pages(spark, sf_dir).select("source", "url")
+    numbered = jobs.with_batches(pages, SITES)
+    size = F.when(F.col("source") == ITVIEC.name, ITVIEC.batch_size).otherwise(TOPDEV.batch_size)
+    return numbered.groupBy("source").agg(
+        F.count(F.lit(1)).alias("pages"),
+        ((F.min("batch_no") >= 1) & (F.max("batch_no") <= F.ceil(F.count(F.lit(1)) / size))).alias("in_range"),
+    )
+
+
 @query
 def new_url_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The URL map of the ids that are new; every third part is known."""
@@ -630,6 +642,16 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved.select(*_SAVED)
 
 
+@query
+def listed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job from its listing pages on: only pages that the frontier names."""
+    store = _store_with_silver(spark, sf_dir, "listed")
+    listed = site_pages.listing_pages(table(spark, sf_dir, "documents"), "doc_id", "role-")
+    details = _itviec(spark, sf_dir)
+    jobs.run(details, (ITVIEC,), store, listing_pages=listed, max_pages=20, as_of=_as_of())
+    return areas.read_jobs(spark, store, ITVIEC.name).select(*_SAVED)
+
+
 @query
 def checked_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job with URL checks of the source that has them."""

@@ -115,17 +115,17 @@ def topdev_pages(conversations: DataFrame) -> DataFrame:
     )
 
 
-def listing_pages(part: DataFrame) -> DataFrame:
-    """Listing pages of both sites, twenty parts on each; every 77th page of site 1
+def listing_pages(rows: DataFrame, key: str = "p_partkey", slug: str = "part-") -> DataFrame:
+    """Listing pages of both sites, twenty rows on each; every 77th page of site 1
     is empty, and site 2 says on its first page that it has 40 pages."""
-    key = F.col("p_partkey")
-    cards = part.select(
+    key = F.col(key)
+    cards = rows.select(
         (F.floor(key / CARDS_PER_PAGE) + 1).cast("int").alias("page_no"),
         key.alias("key"),
-        _join('<div class="card job-card" data-x="1" ', ITVIEC_SLUG_ATTRIBUTE, '=" part-', key, ' "><h3>', key,
+        _join('<div class="card job-card" data-x="1" ', ITVIEC_SLUG_ATTRIBUTE, f'=" {slug}', key, ' "><h3>', key,
               "</h3></div>").alias("card"),
-        _join('<a href="https://topdev.vn/detail-jobs/part-x-', key, '/?src=list&amp;q=a/b"><b>', key,
-              '</b></a><a href="/detail-jobs/part-x-', key, '">again</a>').alias("link"),
+        _join('<a href="https://topdev.vn/detail-jobs/', f"{slug}x-", key, '/?src=list&amp;q=a/b"><b>', key,
+              '</b></a><a href="/detail-jobs/', f"{slug}x-", key, '">again</a>').alias("link"),
     )
     pages = cards.groupBy("page_no").agg(  # at most CARDS_PER_PAGE rows each
         F.array_sort(F.collect_list(F.struct("key", "card", "link"))).alias("rows")

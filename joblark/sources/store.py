@@ -38,6 +38,14 @@ class Store:
         return f"{self.schema}.{area}"
 
 
+# ---- fetched pages -----------------------------------------------------------------
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table of already fetched pages; the schema is given, never inferred."""
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
 # ---- catalog set-up ----------------------------------------------------------------
 
 

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from joblark.operators import quality, url_checks
+from joblark.operators.listing import ListingError
 from joblark.plans import ingest as jobs
 from joblark.plans.ingest import IngestOptions
-from joblark.schemas import DETAIL_PAGE
+from joblark.schemas import DETAIL_PAGE, LISTING_PAGE
 from joblark.sources import store as areas
 from joblark.sources.sites import ITVIEC, SITES, TOPDEV
 from joblark.streaming.ingest_stream import page_stream, start_ingest
@@ -191,3 +192,39 @@ def test_specifications_of_the_sites():
     assert (ITVIEC.batch_size, ITVIEC.check_urls, ITVIEC.heading_required, ITVIEC.challenge_markers) == (5, True, True, ())
     assert (TOPDEV.batch_size, TOPDEV.check_urls, TOPDEV.heading_required) == (1, False, False)
     assert all((s.critical_fields, s.threshold) == (("title", "company"), 0.5) for s in SITES)
+
+
+def listing_page(n, *slugs, pages=3):
+    cards = "".join(f'<div class="job-card" data-search--job-selection-job-slug-value="{s}"></div>' for s in slugs)
+    return ("itviec", n, f"u{n}", cards + f"<nav><div class='page'><a>{pages}</a></div></nav>")
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_a_run_from_listing_pages(spark, store, broadcast_rows):
+    listed = spark.createDataFrame(
+        [listing_page(1, "s1", "s2"), listing_page(2, "s3", "s1"), ("itviec", 3, "u3", ""), listing_page(4, "s4")], LISTING_PAGE
+    )
+    details = pages(spark, *[itviec(i) for i in range(1, 6)])
+    options = IngestOptions(broadcast_rows=broadcast_rows)
+    got = jobs.run(details, (ITVIEC,), store, listing_pages=listed, options=options, as_of=as_of())
+    assert ids(got) == ["itviec_s1", "itviec_s2", "itviec_s3"]
+
+
+def test_a_run_without_a_first_listing_page_fails(spark, store):
+    listed = spark.createDataFrame([listing_page(2, "s1")], LISTING_PAGE)
+    with pytest.raises(ListingError):
+        jobs.run(pages(spark, itviec(1)), (ITVIEC,), store, listing_pages=listed, as_of=as_of())
+    assert areas.read_errors(spark, store).first()["error_type"] == "ListingError"
+
+
+def test_batch_numbers(spark):
+    rows = pages(spark, *[itviec(i) for i in range(23)], *[topdev(i) for i in range(4)])
+    got = jobs.with_batches(rows, SITES).select("source", "batch_no").collect()
+    assert {r["batch_no"] for r in got if r["source"] == "itviec"} <= set(range(1, 6))
+    assert {r["batch_no"] for r in got if r["source"] == "topdev"} <= set(range(1, 5))
+
+
+def test_pages_are_read_with_a_given_schema(spark, store):
+    drop(spark, store, itviec(1))
+    got = areas.read_pages(spark, f"{store.base}/inbox", DETAIL_PAGE)
+    assert got.schema == DETAIL_PAGE and got.count() == 1
