@@ -76,7 +76,7 @@ def _rules(spec: SourceSpec, application: str) -> dict:
     no_heading = F.when(~has_heading(html), F.lit(NO_HEADING))
     return {
         "fetch_reject": fetch_reject(spec, html),
-        "clean": F.when(reject.isNull(), clean(html)),
+        "clean": F.when(reject.isNull(), clean(html, spec.well_nested)),
         "page_reject": F.coalesce(reject, no_heading) if spec.heading_required else reject,
         "pieces": F.when(reject.isNull(), pieces).alias("_pieces"),
         "lists": [F.when(reject.isNull(), texts(f.elements(html))).alias(n) for n, f in lists.items()],

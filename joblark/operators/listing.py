@@ -28,7 +28,7 @@ def listing_facts(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
             "source",
             F.col("page_no").cast("bigint").alias("page_no"),
             (or_empty(F.col("html")) != "").alias("has_html"),
-            clean(F.col("html")).alias("html"),
+            clean(F.col("html"), spec.well_nested).alias("html"),
         )
         return own.select(
             "source",

@@ -51,6 +51,7 @@ class SourceSpec:
     batch_size: int = 5
     check_urls: bool = True
     heading_required: bool = False
+    well_nested: bool = False  # pages as a browser serialises them need no repair
     challenge_markers: tuple[str, ...] = ()
     disconnect_markers: tuple[str, ...] = ()
     critical_fields: tuple[str, ...] = CRITICAL_FIELDS
