@@ -1,4 +1,6 @@
+import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +145,32 @@ def test_large_page(spark):
     h = F.col("h")
     got = values(spark, page, html.text(html.first(h, Selector("div"))), F.length(html.text(html.first(h, Selector("span", ("job-card",))))))
     assert got == ["deep", 249999]
+
+
+RAW_PAGES = Path(os.environ.get("JOBLARK_TESTDATA", "/root/testdata")) / "sf0.01" / "pages.parquet"
+
+
+@pytest.mark.skipif(not RAW_PAGES.exists(), reason="no test tables")
+def test_raw_pages_agree_with_a_document_tree(spark):
+    """The raw pages leave paragraphs and bold text open."""
+    h = F.col("h")
+    rows = spark.read.parquet(str(RAW_PAGES)).select("html", html.clean(F.col("html")).alias("h")).select(
+        "html",
+        html.text(html.first(h, Selector("p")), "\n").alias("p"),
+        html.text(html.first(h, Selector("p"), 2), "\n").alias("p2"),
+        html.text(html.first(h, Selector("b"))).alias("b"),
+        html.text(html.first(h, Selector("nav")), "|").alias("nav"),
+        html.text(html.first(h, Selector("footer"))).alias("footer"),
+        F.size(html.outermost(h, Selector("p"))).alias("outer"),
+    ).collect()
+    assert len(rows) == 250
+    for row in rows:
+        root = tree(row["html"])
+        paragraphs = select(root, "p")
+        outer = [p for p in paragraphs if not any(a.tag == "p" for a in p.ancestors())]
+        assert row["p"] == paragraphs[0].text("\n")
+        assert row["p2"] == (paragraphs[1].text("\n") if len(paragraphs) > 1 else "")
+        assert row["b"] == select(root, "b")[0].text()
+        assert row["nav"] == select(root, "nav")[0].text("|")
+        assert row["footer"] == select(root, "footer")[0].text()
+        assert row["outer"] == len(outer)
