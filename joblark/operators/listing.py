@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +23,31 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def listing_facts(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
     """``(source, page_no, has_html, slugs, page_count)``, the HTML read once per page."""
 
+    application = pages.sparkSession.sparkContext.applicationId
+
     def one(spec: SourceSpec) -> DataFrame:
+        rules = _rules(spec, application)
         own = pages.where(F.col("source") == spec.name).select(
             "source",
             F.col("page_no").cast("bigint").alias("page_no"),
             (or_empty(F.col("html")) != "").alias("has_html"),
-            clean(F.col("html"), spec.well_nested).alias("html"),
+            rules["clean"].alias("html"),
         )
+        first_page = F.when(F.col("page_no") == 1, rules["page_count"])
         return own.select(
-            "source",
-            "page_no",
-            "has_html",
-            spec.slugs(F.col("html")).alias("slugs"),
-            F.when(F.col("page_no") == 1, spec.page_count(F.col("html"))).alias("page_count"),
+            "source", "page_no", "has_html", rules["slugs"].alias("slugs"), first_page.alias("page_count")
         )
 
     return union_all([one(s) for s in specs])
 
 
+@lru_cache(maxsize=32)
+def _rules(spec: SourceSpec, application: str) -> dict:
+    """The listing Columns of a source, built once per application."""
+    html = F.col("html")
+    return {"clean": clean(html, spec.well_nested), "slugs": spec.slugs(html), "page_count": spec.page_count(html)}
+
+
 def require_first_pages(facts: DataFrame, specs: tuple[SourceSpec, ...]) -> None:
     """Raise when a source has no first page to start from."""
     seen = facts.where((F.col("page_no") == 1) & F.col("has_html")).select("source").distinct()
@@ -75,7 +82,7 @@ def frontier(facts: DataFrame, max_pages: int = 0) -> DataFrame:
         .select("source", F.least("last_page", F.greatest(limit, F.lit(1))).alias("_last"))
     )
     return (
-        usable.join(bounds, "source")
+        usable.join(F.broadcast(bounds), "source")  # one row per specification at most
         .where(F.col("page_no") <= F.col("_last"))
         .select("source", F.explode("slugs").alias("slug"))
         .distinct()

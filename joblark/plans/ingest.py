@@ -57,10 +57,9 @@ def fresh_records(
         return extracted(pages)
     if options.mode != "id":
         raise ValueError(f"unknown mode: {options.mode}")
-    ids = materialize(keys.select("job_id").distinct(), "ids")
-    if ids.count() <= options.broadcast_rows:
-        return extracted(pages.join(F.broadcast(ids), "job_id", "left_anti"))
-    return incremental.new_ids(materialize(extracted(pages), "extracted"), ids, ["url"])
+    if keys.count() <= options.broadcast_rows:
+        return extracted(pages.join(F.broadcast(keys.select("job_id")), "job_id", "left_anti"))
+    return incremental.new_ids(materialize(extracted(pages), "extracted"), keys, ["url"])
 
 
 def failed_urls(checks: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:

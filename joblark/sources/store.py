@@ -163,9 +163,15 @@ def read_silver(spark: SparkSession, store: Store) -> DataFrame:
     return silver_files(spark, store).select(*SILVER.fieldNames())
 
 
+def utc_day(at: Column) -> Column:
+    """The UTC date of a timestamp, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(at) / F.lit(86400)).cast("int"))
+
+
 def recent_silver(spark: SparkSession, store: Store, since: Column) -> DataFrame:
-    """Silver rows crawled from a day on; only that day's partitions and later are read."""
-    return silver_files(spark, store).where(F.col(SILVER_PARTITION) >= since)
+    """All silver rows crawled from a day on, and few older ones: partitions before
+    it are not read. One day more covers sessions in other zones."""
+    return silver_files(spark, store).where(F.col(SILVER_PARTITION) >= F.date_sub(since, 1))
 
 
 def to_silver(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -189,7 +195,7 @@ def load_silver(records: DataFrame, store: Store) -> None:
     """
     spark = records.sparkSession
     same = ["job_id", "url", "crawled_at"]
-    rows = to_silver(records).withColumn(SILVER_PARTITION, F.to_date("crawled_at"))
+    rows = to_silver(records).withColumn(SILVER_PARTITION, utc_day(F.col("crawled_at")))
     span = rows.agg(F.min(SILVER_PARTITION).alias("lo"), F.max(SILVER_PARTITION).alias("hi")).first()
     held = silver_files(spark, store)
     if span["lo"] is not None:
