@@ -41,6 +41,7 @@ def test_missing_table_gives_no_keys_and_other_failures_raise(spark, tmp_path):
     spark.createDataFrame([("x",)], "other string").createOrReplaceTempView("broken_fact_jobs")
     with pytest.raises(Exception, match="crawled_at"):
         inc.known_keys(spark, "broken_fact_jobs").count()
+    spark.catalog.dropTempView("broken_fact_jobs")
 
 
 KEYS = [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", ""), ("c", "2024-01-01")]
