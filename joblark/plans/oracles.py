@@ -30,9 +30,10 @@ def _iso(number: str) -> str:
     return f"strftime(epoch_ms(({_BASE} + {number} * 60) * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 
 
-_UNESCAPE = (
-    "replace(replace(replace(replace({0}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
-)
+# A reference may lack its semicolon, as where a title was cut in the middle of one.
+_UNESCAPE = "{0}"
+for _name, _char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _UNESCAPE = f"regexp_replace({_UNESCAPE}, '&{_name}(?:;|\\b)', '{_char}', 'g')"
 
 _ITVIEC = f"""
 SELECT 'itviec_role-' || doc_id AS job_id, {_TITLE} AS title,

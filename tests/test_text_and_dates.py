@@ -87,7 +87,7 @@ def test_unescape_matches_python(spark):
     values = [
         "plain", "a &amp; b", "&lt;b&gt;", "&amp;lt;", "&nbsp;x", "&eacute;&Eacute;&hearts;", "&#233;&#xe9;&#XE9;",
         "&#x1F600;", "&#128;&#150;", "&#0;", "&#xD800;", "AT&T & co", "&unknown;", "&;", "&", "&&amp;&", "&#;", "&#39;&apos;",
-        "&quot;q&quot;", "&copy 2024", "&#8364", "&amp;amp;",
+        "&quot;q&quot;", "&copy 2024", "&#8364", "&amp;amp;", "cut&amp",
     ]
     assert evaluate(spark, values, text.unescape) == [unescape(v) for v in values]
 
