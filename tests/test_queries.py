@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from joblark.plans import oracles
+from joblark.plans import queries as registered
 from tools.check_oracle import rows_of
 
 DATA = Path(os.environ.get("JOBLARK_TESTDATA", "/root/testdata")) / "sf0.001"
@@ -22,10 +24,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered.registry()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registered.registry()))
 def test_query_agrees_with_sql(spark, con, name):
     df = entry.queries()[name](spark, str(DATA))
     got = rows_of(df.columns, df.collect())
