@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblark.llm import simhash, substring_dedup, suffix_dedup
+from joblark.llm import bpe, simhash, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,15 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
@@ -44,6 +53,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_bpe": op4_bpe,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
