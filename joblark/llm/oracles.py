@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+OP6 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, array_to_string(ws[p + 1 : p + 10], ' ') AS g
+  FROM (SELECT item, ws, unnest(generate_series(0, greatest(len(ws) - 10, 0))) AS p FROM b WHERE len(ws) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, p, array_to_string(ws[p + 1 : p + n], ' ') AS g
+  FROM (SELECT doc_id, ws, n, unnest(generate_series(0, len(ws) - n)) AS p FROM d, sizes WHERE len(ws) >= n)
+),
+hits AS (SELECT doc_id, item, p, n FROM places JOIN windows USING (n, g)),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS w FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP7 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 grams AS (
@@ -57,4 +85,4 @@ FROM d LEFT JOIN cut USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_suffix_dedup": OP7, "op10_substring_dedup": OP10}
+    return {"op6_decontaminate": OP6, "op7_suffix_dedup": OP7, "op10_substring_dedup": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblark.llm import bpe, simhash, substring_dedup, suffix_dedup
+from joblark.llm import bpe, decontaminate, simhash, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,15 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = covered(F.col("runs"))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        sha256(F.array_join("items", ",")).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -55,6 +64,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_bpe": op4_bpe,
         "op5_simhash_dedup": op5_simhash_dedup,
+        "op6_decontaminate": op6_decontaminate,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
