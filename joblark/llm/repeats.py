@@ -11,8 +11,8 @@ the whole stretch the windows cover, place of the first window, their number.
    once more after a shuffle on the anchor: members of a class share every window.
    At most one entry a class leaves a task, so a passage that a third of all
    documents hold comes to its anchor's partition once for each task.
-2. Classes that share an anchor but not the stretch are compared window by window
-   (128-bit hashes), again collapsed before and after a shuffle.
+2. Of classes that share an anchor but not the stretch, one stretch each is sent to the
+   anchor's partition and compared window by window (128-bit hashes).
 3. What is marked meets its text in one join.
 
 A document is its doc_id and the hash of its text: rows that repeat both count as
@@ -41,7 +41,7 @@ TAG_BITS = 23
 PIECE = 1 << 22
 
 _WIRE = "kind tinyint, key long, cls long, doc long, pos long, n int"
-_FOUND = "kind tinyint, doc long, pos long, n int"
+_FOUND = "kind tinyint, key long, doc long, pos long, n int"
 
 
 class Levels:
@@ -171,8 +171,8 @@ def _wire(rows: np.ndarray, kind) -> pa.RecordBatch:
 
 def _found(rows: np.ndarray, kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(rows), kind, np.int8)), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("doc", "pos", "n"))],
-        ["kind", "doc", "pos", "n"],
+        [pa.array(np.full(len(rows), kind, np.int8)), pa.array(np.ascontiguousarray(rows["key"]).view(np.int64)), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("doc", "pos", "n"))],
+        ["kind", "key", "doc", "pos", "n"],
     )
 
 
@@ -227,8 +227,8 @@ def _anchored(length: int, gram: int, by_word: bool, every: bool) -> Callable:
     return run
 
 
-def _collapsed(every: bool, compare: bool) -> Callable:
-    """One partition's candidates in levels; with ``compare`` classes that share an anchor are asked for."""
+def _collapsed(every: bool) -> Callable:
+    """One partition's candidates in levels; classes that share an anchor are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(every)
@@ -236,13 +236,13 @@ def _collapsed(every: bool, compare: bool) -> Callable:
             kind = batch.column("kind").to_numpy()
             passed = kind == MARKED
             if passed.any():
-                yield batch.filter(pa.array(passed)).select(["kind", "doc", "pos", "n"])
+                yield batch.filter(pa.array(passed)).select(["kind", "key", "doc", "pos", "n"])
             if not passed.all():
                 marked = spanned(levels.insert(_entries(batch, ~passed)))
                 if len(marked):
                     yield _found(marked, MARKED)
         held = levels.entries()
-        if compare and len(held) > 1:
+        if len(held) > 1:
             held = held[np.argsort(held["key"], kind="stable")]
             same = held["key"][1:] == held["key"][:-1]
             held = held[np.r_[False, same] | np.r_[same, False]]
@@ -252,33 +252,46 @@ def _collapsed(every: bool, compare: bool) -> Callable:
     return run
 
 
+def _stretches_of(length: int, by_word: bool) -> Callable:
+    """The bytes of the stretches asked for, to be compared where their anchor's others are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, asked in enumerate(batch.column("asked").to_pylist()):
+                doc, base, body = batch.column("doc")[i].as_py(), batch.column("tag")[i].as_py() << POS_BITS, batch.column("text")[i].as_py()
+                if by_word:
+                    words = body.split()
+                    bodies = [b" ".join(words[w["ws"] : w["ws"] + w["n"] + length - 1]) for w in asked]
+                else:
+                    bodies = [body[w["ws"] : w["ws"] + w["n"] + length - 1] for w in asked]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w["key"] for w in asked]), pa.array([doc] * len(asked)), pa.array([base + w["ws"] for w in asked]), pa.array(bodies, pa.binary())],
+                    ["key", "doc", "pos", "body"],
+                )
+
+    return run
+
+
 def _compared(length: int, gram: int, by_word: bool, every: bool) -> Callable:
-    """Entries of single windows, for the stretches asked for."""
+    """Stretches that share an anchor, window by window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(every)
         for batch in batches:
-            asked = batch.column("asked").to_pylist()
-            rows = ((d, t, a, x.as_py()) for d, t, a, x in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), asked, batch.column("text")))
-            for part in hashing.chunks(rows):
+            for part in hashing.chunks(zip(*(batch.column(c).to_pylist() for c in ("doc", "pos", "body")))):
                 h, first, last = (hashing.word_elements if by_word else hashing.byte_elements)([r[-1] for r in part])
                 grams = hashing.run_hashes(h, gram)
                 one, two = window_hashes(grams, length, gram), second_hashes(grams, length, gram)
-                start = np.concatenate([np.array([w["ws"] for w in r[2]], np.int64) + f for r, f in zip(part, first)])
-                n = np.concatenate([np.array([w["n"] for w in r[2]], np.int64) for r in part])
-                owner = np.repeat(np.repeat(np.arange(len(part)), [len(r[2]) for r in part]), n)
-                at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                n = last - first - length + 1
+                offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(first, n) + offset
                 found = np.zeros(len(at), ENTRY)
                 found["key"], found["cls"], found["n"] = one[at], hashing.mix(two[at] + one[at] * hashing._ODD[3]), 1
-                found["doc"] = np.array([r[0] for r in part], np.int64)[owner]
-                found["pos"] = (np.array([r[1] for r in part], np.int64)[owner] << POS_BITS) + at - first[owner]
+                found["doc"] = np.repeat(np.array([r[0] for r in part], np.int64), n)
+                found["pos"] = np.repeat(np.array([r[1] for r in part], np.int64), n) + offset
                 marked = spanned(levels.insert(found))
                 if len(marked):
-                    yield _wire(marked, MARKED)
-        held = levels.entries()
-        for i in range(0, len(held), 100_000):
-            part = held[i : i + 100_000]
-            yield _wire(part, np.where(part["seen"], SEEN, CANDIDATE).astype(np.int8))
+                    yield _found(marked, MARKED)
 
     return run
 
@@ -294,12 +307,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _of_document(found: DataFrame, kind: int, name: str) -> DataFrame:
+def _of_document(found: DataFrame, kind: int, name: str, *more: str) -> DataFrame:
     """One row a document: the places found in it, whose number its length bounds."""
     return (
         found.where(F.col("kind") == kind)
         .groupBy("doc", F.shiftright("pos", POS_BITS).cast("int").alias("tag"))
-        .agg(F.collect_list(F.struct(F.col("pos").bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("ws"), "n")).alias(name))
+        .agg(F.collect_list(F.struct(F.col("pos").bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("ws"), "n", *more)).alias(name))
     )
 
 
@@ -309,12 +322,12 @@ def repeated_windows(texts: DataFrame, length: int, gram: int, by_word: bool, ev
     ``texts`` comes from ``keyed``. Documents without repeats have no row.
     """
     anchored = texts.select("doc", "tag", "text").mapInArrow(_anchored(length, gram, by_word, every), _WIRE)
-    found = materialize(anchored.repartition("key").mapInArrow(_collapsed(every, compare=True), _FOUND), "repeats")
-    asked = _of_document(found, REQUEST, "asked")
+    found = materialize(anchored.repartition("key").mapInArrow(_collapsed(every), _FOUND), "repeats")
+    asked = _of_document(found, REQUEST, "asked", "key")
     single = (
         texts.select("doc", "tag", "text").join(asked, ["doc", "tag"]).select("doc", "tag", "text", "asked")
-        .mapInArrow(_compared(length, gram, by_word, every), _WIRE)
-        .repartition("key").mapInArrow(_collapsed(every, compare=False), _FOUND)
+        .mapInArrow(_stretches_of(length, by_word), "key long, doc long, pos long, body binary")
+        .repartition("key").mapInArrow(_compared(length, gram, by_word, every), _FOUND)
     )
     marked = materialize(found.where(F.col("kind") == MARKED).unionByName(single), "marked")
     return _of_document(marked, MARKED, "ranges")
