@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+  SELECT *, 3 + CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 ELSE 12 + escaped(role) END + escaped(text) AS chars,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(coalesce(before, 'start') || '>' || role IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')
+    AND (back > 1 OR role IN ('user', 'assistant'))) AS valid
+FROM sized GROUP BY conv_id
+""".replace("escaped(role)", "(length(role) + {0})").replace("escaped(text)", "(length(text) + {1})").format(
+    *(
+        f"length({c}) - length(replace({c}, chr(92), '')) + "
+        + " + ".join(f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]"))
+        for c in ("role", "text")
+    )
+)
+
 OP6 = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
@@ -85,4 +111,4 @@ FROM d LEFT JOIN cut USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6, "op7_suffix_dedup": OP7, "op10_substring_dedup": OP10}
+    return {"op3_chat": OP3, "op6_decontaminate": OP6, "op7_suffix_dedup": OP7, "op10_substring_dedup": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblark.llm import bpe, decontaminate, simhash, substring_dedup, suffix_dedup
+from joblark.llm import bpe, chat, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,35 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
+def left_out(modulus: int, remainder: int) -> Column:
+    """Rows that nothing is learned from: crc32 of the id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality_classifier.quality_scores(docs, labels, left_out(5, 0))
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.explode(F.array(*(F.struct(F.lit(t).cast("long").alias("turn"), F.lit(role).alias("role")) for t, role in enumerate(("user", "assistant"))))).alias("t"),
+    ).select("conv_id", "t.turn", "t.role", F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra)
+    chats = chat.format_chats(rows).withColumns(
+        {"turns": chat.read_back(F.col("formatted")), "learned": chat.learned(F.col("segments"))}
+    )
+    return chats.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        sha256(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), sha256(F.col("learned")).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"))
     return coded.select(
@@ -53,6 +82,20 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~left_out(5, 0)))
+    found = language_id.languages(docs, model, left_out(5, 0).alias("held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,9 +105,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality_classifier": op2_quality_classifier,
+        "op3_chat": op3_chat,
         "op4_bpe": op4_bpe,
         "op5_simhash_dedup": op5_simhash_dedup,
         "op6_decontaminate": op6_decontaminate,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_language_id": op9_language_id,
         "op10_substring_dedup": op10_substring_dedup,
     }
