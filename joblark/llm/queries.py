@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblark.llm import bpe, chat, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup
+from joblark.llm import bpe, chat, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def left_out(modulus: int, remainder: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    lexicon = toxicity.fit(docs.where(~left_out(3, 1)), labels.where(~left_out(3, 1)))
+    found = toxicity.toxicity(docs, lexicon, F.coalesce(left_out(3, 1), F.lit(False)).alias("held_out"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("matches").alias("n_matches"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = quality_classifier.quality_scores(docs, labels, left_out(5, 0))
@@ -105,6 +113,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_chat": op3_chat,
         "op4_bpe": op4_bpe,
