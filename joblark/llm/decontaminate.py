@@ -20,10 +20,10 @@ from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblark.llm.repeats import keyed
+from joblark.llm.repeats import keyed, with_names
 from joblark.session import materialize
 
 LENGTH = 10
@@ -101,11 +101,13 @@ _OUT = (
 )
 
 
-def _scan(texts: DataFrame, items: tuple[tuple[str, bytes], ...], length: int) -> DataFrame:
+def _scan(texts: DataFrame, kept: DataFrame, items: tuple[tuple[str, bytes], ...], length: int) -> DataFrame:
+    names = kept.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = scanner(items, length).scan
         for batch in batches:
-            count, runs, spans, names = [], [], [], []
+            count, runs, spans, of_items = [], [], [], []
             for value in batch.column("text"):
                 body = value.as_py()
                 words = normal_words(body)
@@ -113,13 +115,13 @@ def _scan(texts: DataFrame, items: tuple[tuple[str, bytes], ...], length: int) -
                 count.append(len(words))
                 runs.append([{"start": s, "end": e} for s, e in hit])
                 spans.append(_in_original(body, hit))
-                names.append(sorted(of))
+                of_items.append(sorted(of))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "doc", "tag")), pa.array(count, pa.int64()), pa.array(runs, _SPANS), pa.array(spans, _SPANS), pa.array(names, pa.list_(pa.string()))],
-                ["id", "doc", "tag", "n_words", "runs", "spans", "items"],
+                [*(batch.column(c) for c in ("id", "doc", "tag")), pa.array(count, pa.int64()), pa.array(runs, _SPANS), pa.array(spans, _SPANS), pa.array(of_items, pa.list_(pa.string())), *(batch.column(n) for n in names)],
+                ["id", "doc", "tag", "n_words", "runs", "spans", "items", *names],
             )
 
-    return texts.mapInArrow(run, _OUT)
+    return texts.mapInArrow(run, with_names(_OUT, kept))
 
 
 def _union(spans: str) -> str:
@@ -133,10 +135,10 @@ def _union(spans: str) -> str:
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, block_words: int = BLOCK_WORDS,
+    docs: DataFrame, benchmark: DataFrame, *keep: Column, length: int = LENGTH, block_words: int = BLOCK_WORDS,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """``(doc_id, n_words, runs, spans, items)`` a row: runs of words and spans of code points
+    """``(doc_id, n_words, runs, spans, items, *keep)`` a row: runs of words and spans of code points
     (half open) inside windows of the benchmark, and the sorted ids of the items they are from."""
     tests = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
@@ -145,22 +147,22 @@ def contamination(
     total = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = -(-total // block_words) or 1
     dealt = tests.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
-    texts, found = keyed(docs, id_col, text_col), []
+    texts, kept, found = keyed(docs, id_col, text_col, *keep), docs.select(*keep), []
     for block in range(blocks):
         rows = dealt.where(F.col("block") == block).select("item", F.col("text").cast("binary").alias("text")).collect()
-        one = _scan(texts, tuple(sorted((r.item, bytes(r.text)) for r in rows)), length)
+        one = _scan(texts, kept, tuple(sorted((r.item, bytes(r.text)) for r in rows)), length)
         found.append(one if blocks == 1 else materialize(one, "scanned"))
     if blocks == 1:
-        return found[0].select(F.col("id").alias("doc_id"), "n_words", "runs", "spans", "items")
+        return found[0].select(F.col("id").alias("doc_id"), "n_words", "runs", "spans", "items", *kept.columns)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
     joined = every.groupBy("id", "doc", "tag").agg(
-        F.max("n_words").alias("n_words"),
+        F.max("n_words").alias("n_words"), *(F.first(c).alias(c) for c in kept.columns),
         *(F.flatten(F.collect_set(c)).alias(c) for c in ("runs", "spans", "items")),
         (F.count(F.lit(1)) / blocks).cast("int").alias("copies"),
     )
     return joined.select(
         F.col("id").alias("doc_id"), "n_words", F.expr(_union("runs")).alias("runs"), F.expr(_union("spans")).alias("spans"),
-        F.array_sort(F.array_distinct("items")).alias("items"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
+        F.array_sort(F.array_distinct("items")).alias("items"), *kept.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.llm import hashing, stats
+from joblark.llm.repeats import with_names
 from joblark.session import materialize
 
 FEATURES = (
@@ -64,7 +65,6 @@ def features(texts: list[bytes]) -> np.ndarray:
 def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *keep: Column) -> DataFrame:
     """``(doc_id, x, *keep)`` a row, written once."""
     names = docs.select(*keep).columns
-    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +76,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
             )
 
     texts = stats.texts_of(docs, text_col, F.col(id_col).cast("long").alias("doc_id"), *keep)
-    return materialize(texts.mapInArrow(run, f"doc_id long, x array<double>{kinds}"), "features")
+    return materialize(texts.mapInArrow(run, with_names("doc_id long, x array<double>", docs.select(*keep))), "features")
 
 
 @dataclass(frozen=True)
@@ -119,18 +119,17 @@ def fit(rows: DataFrame, label: str) -> Discriminant:
 def scored(rows: DataFrame, model: Discriminant) -> DataFrame:
     """``rows`` with their score in place of x."""
     names = [c for c in rows.columns if c != "x"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().reshape(-1, SIZE)
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(model.score(x))], [*names, "score"])
 
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return rows.mapInArrow(run, with_names("", rows.select(*names)).removeprefix(", ") + ", score double")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """``(doc_id, held_out, score)`` a row, learned from labelled rows that are not held out."""
-    rows = described(docs, id_col, text_col, F.coalesce(held_out, F.lit(False)).alias("held_out"))
+def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column, *keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """``(doc_id, held_out, *keep, score)`` a row, learned from labelled rows that are not held out."""
+    rows = described(docs, id_col, text_col, F.coalesce(held_out, F.lit(False)).alias("held_out"), *keep)
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    return scored(rows, fit(rows.where(~F.col("held_out")).join(known, "doc_id"), "label"))
+    return scored(rows, fit(rows.where(~F.col("held_out")).select("doc_id", "x").join(known, "doc_id"), "label"))

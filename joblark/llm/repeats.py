@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.llm import hashing
@@ -296,17 +296,23 @@ def _compared(length: int, gram: int, by_word: bool, every: bool) -> Callable:
     return run
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, doc, tag, text)``: null ids count as the smallest, null texts as empty."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
+    """``(id, doc, tag, text, *keep)``: null ids count as the smallest, null texts as empty."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"),
         F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int").alias("tag"),
         text.cast("binary").alias("text"),
+        *keep,
     )
 
 
+def with_names(types: str, kept: DataFrame) -> str:
+    """A schema for a Python function that hands the columns of ``kept`` on."""
+    return ", ".join([types, *(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)])
+
+
 def _of_document(found: DataFrame, kind: int, name: str, *more: str) -> DataFrame:
     """One row a document: the places found in it, whose number its length bounds."""
     return (

@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from joblark.llm import repeats
 
@@ -23,7 +23,7 @@ GRAM = 12
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def _kept(length: int):
+def _kept(length: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
@@ -47,23 +47,21 @@ def _kept(length: int):
                 out["kept_words"].append(b" ".join(left + words[at:]).decode())
                 out["kept"].append(b"".join(parts).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(out["n_words"], pa.int64()), pa.array(out["kept_words"], pa.string()), pa.array(out["kept"], pa.string()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                ["doc_id", "n_words", "kept_words", "kept", "spans"],
+                [batch.column("id"), *(batch.column(n) for n in names), pa.array(out["n_words"], pa.int64()), pa.array(out["kept_words"], pa.string()), pa.array(out["kept"], pa.string()), pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                ["doc_id", *names, "n_words", "kept_words", "kept", "spans"],
             )
 
     return run
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, kept_words, kept, spans)`` a row.
+def substring_dedup(docs: DataFrame, *keep: Column, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, *keep, n_words, kept_words, kept, spans)`` a row.
 
     ``spans`` are maximal runs of words (first, past last) covered by windows of
     ``length`` words that also start elsewhere. ``kept`` is the text without them in
     its own spacing, ``kept_words`` its words with one space between.
     """
-    texts = repeats.keyed(docs, id_col, text_col)
+    texts, kept = repeats.keyed(docs, id_col, text_col, *keep), docs.select(*keep)
     found = repeats.repeated_windows(texts, length, gram, by_word=True, every=True)
-    return (
-        texts.join(found, ["doc", "tag"], "left").select("id", "text", "ranges")
-        .mapInArrow(_kept(length), "doc_id long, n_words long, kept_words string, kept string, spans array<struct<start: long, end: long>>")
-    )
+    types = repeats.with_names("doc_id long", kept) + ", n_words long, kept_words string, kept string, spans array<struct<start: long, end: long>>"
+    return texts.join(found, ["doc", "tag"], "left").select("id", "text", "ranges", *kept.columns).mapInArrow(_kept(length, kept.columns), types)
