@@ -37,6 +37,8 @@ RADIUS = 4
 SEED = 42
 # Members of a bucket that are compared in pairs; larger buckets take the full ball.
 CROWD = 32
+# Fingerprints whose variants one task writes.
+PRINTS = 50_000
 
 U = np.uint64
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -156,7 +158,10 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     """``(a, b)`` signed fingerprints within ``radius`` bits: pairs, or stars that connect the same."""
     if radius not in (2, 4):
         raise ValueError("the blocks are laid out for a radius of 2 or 4 bits")
-    variants = fps.select("fp").distinct().mapInArrow(_emit(_blocks(radius)), "which tinyint, key long, fp long")
+    fps = materialize(fps.select("fp").distinct(), "prints")
+    # a print becomes 130 rows: as many tasks as keep each of them small
+    tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // PRINTS))
+    variants = fps.repartition(tasks, "fp").mapInArrow(_emit(_blocks(radius)), "which tinyint, key long, fp long")
     met = materialize(
         variants.repartition("which", "key").sortWithinPartitions("which", "key").mapInArrow(_meet(radius, crowd), "a long, b long"), "met"
     )
