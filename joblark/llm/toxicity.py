@@ -48,6 +48,8 @@ STRONG_CONTEXTS = 15
 MAX_TERMS = 5_000
 CONTEXT = 6
 CACHE = 300_000
+# Terms a task adds up before it hands them on.
+HELD = 300_000
 RIDGE = 1.0
 
 _WORD = re.compile(r"[^\W_]+")
@@ -227,8 +229,19 @@ def _gathered(toxic: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[str, str, str]] = set()
         count: Counter = Counter()
+
+        def held() -> Iterator[pa.RecordBatch]:
+            rows = [(*x, 0) for x in seen] if toxic else [(t, "", "", n) for t, n in count.items()]
+            for i in range(0, len(rows), 50_000):
+                part = list(zip(*rows[i : i + 50_000]))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in part[:3]), pa.array(part[3], pa.int64())], ["term", "word", "around", "n"])
+            seen.clear()
+            count.clear()
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
+                if len(seen) + len(count) > HELD:
+                    yield from held()
                 words = _WORD.findall(text.lower())
                 if not toxic:
                     distinct = set(words)
@@ -239,10 +252,7 @@ def _gathered(toxic: bool):
                     around = " ".join(words[max(0, i - 1) : i] + ["_"] + words[i + 1 : i + 2])
                     seen.add((w, w, around))
                     seen.update((w[:n] + "*", w, around) for n in STEM_SIZES if len(w) >= n)
-        rows = [(*x, 0) for x in seen] if toxic else [(t, "", "", n) for t, n in count.items()]
-        for i in range(0, len(rows), 50_000):
-            part = list(zip(*rows[i : i + 50_000]))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in part[:3]), pa.array(part[3], pa.int64())], ["term", "word", "around", "n"])
+        yield from held()
 
     return run
 
