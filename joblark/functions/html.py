@@ -3,8 +3,7 @@
 The pages are mostly what a browser writes when it serialises a document: well
 nested, attribute values quoted. Rules find an opening tag with a regular
 expression and its end by counting tags of the same name, which keeps the work
-in the JVM and linear in the page. All rules expect a ``clean`` page, in which
-missing and stray end tags have been made good.
+in the JVM. All rules expect a ``clean`` page, in which tags nest.
 """
 
 from __future__ import annotations
@@ -12,8 +11,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from joblark.functions.text import let, or_empty, strip, unescape
 
@@ -37,17 +38,19 @@ _ATTR = r"""(?:[\s/]++[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?
 # Cheap and loose: a page that matches without need is only tokenised in vain.
 _QUOTED_ANGLE = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
 _ALONE = rf"^(?:<[^>]*/>|<(?i:{'|'.join(VOID_TAGS)})[\s>])"
-_OPENING = rf"<(?!(?i:{'|'.join(VOID_TAGS)})[\s/>])[a-zA-Z][^>]*+(?<!/)>"
+# A tag up to its end or to the next tag: slash, name, rest, end.
+_TAG_PARTS = re.compile(r"<(/?)([a-zA-Z](?:[^\s/><]|<(?!/?[a-zA-Z]))*)((?:[^<>]|<(?!/?[a-zA-Z]))*)(>?)")
 _TOKEN = r"""<[/!?a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<"""
 
 
-def clean(html: Column, well_nested: bool = False) -> Column:
+def clean(html: Column, well_nested: bool | Column = False) -> Column:
     """Cut comments, scripts and styles, and escape angle brackets inside
     attribute values, so that later every ``<name`` opens a real tag.
 
-    A page whose opening and closing tags do not add up is repaired: what is
-    left open closes where an outer element ends, stray end tags go. Pages known
-    to be ``well_nested`` skip that test, a fifth of the time.
+    Tags that do not nest are repaired: what is left open closes where an outer
+    element ends, stray end tags go. That takes a stack, which no built-in function
+    keeps in time linear in the page, so pages go through Python in Arrow batches; pages
+    known to be ``well_nested`` stay in the JVM.
     """
 
     def guard(token: Column) -> Column:
@@ -64,70 +67,45 @@ def clean(html: Column, well_nested: bool = False) -> Column:
             F.rlike(page, F.lit(_QUOTED_ANGLE)), F.array_join(F.transform(tokens, guard), "")
         ).otherwise(page)
 
-    def nested(page: Column) -> Column:
-        return F.when(_uneven(page), _repaired(page)).otherwise(page)
-
     tags = let(F.regexp_replace(or_empty(html), _UNSEEN, _GAP), guarded)
-    return tags if well_nested else let(tags, nested)
-
-
-def _uneven(page: Column) -> Column:
-    """Opening and closing tags do not add up."""
-    closing = (F.length(page) - F.length(F.replace(page, F.lit("</"), F.lit("")))) / 2
-    return F.regexp_count(page, F.lit(_OPENING)) != closing
+    if isinstance(well_nested, bool):
+        return tags if well_nested else _nested(tags)
+    return F.when(well_nested, tags).otherwise(_nested(F.when(~well_nested, tags)))
 
 
-def _repaired(page: Column) -> Column:
+def nested_page(page: str) -> str:
     """Put in the end tags that are missing before an outer end tag, and cut
-    those that close nothing.
-
-    One pass keeps the names of the open elements and notes the few places to
-    change; the page is then put together from the stretches between them.
-    """
-
-    def notes_of(pieces: Column) -> Column:
-        def state(i: Column, stack: Column, notes: Column) -> Column:
-            return F.struct(i.alias("i"), stack.alias("stack"), notes.alias("notes"))
-
-        def note(acc: Column, i: Column, put: Column) -> Column:
-            return F.array_append(acc["notes"], F.struct(i.alias("at"), put.alias("put")))
-
-        def step(acc: Column, piece: Column) -> Column:
-            i, stack, notes = acc["i"] + 1, acc["stack"], acc["notes"]
-
-            def placed(name: Column) -> Column:
-                # 1 for the innermost open element of this name, 0 when none is open.
-                level = F.array_position(F.reverse(stack), name)
-                top = F.reverse(F.slice(stack, F.size(stack) - level + 2, level - 1))
-                ends = F.array_join(F.transform(top, lambda n: F.concat(F.lit("</"), n, F.lit(">"))), "")
-                stray = F.concat(F.lit(_GAP), F.regexp_replace(piece, "^<[^>]*>?", ""))
-                lower = F.slice(stack, F.lit(1), F.size(stack) - level.cast("int"))
-                return (
-                    F.when(_closes(piece) & (level == 0), state(i, stack, note(acc, i, stray)))
-                    .when(_closes(piece) & (level == 1), state(i, lower, notes))
-                    .when(_closes(piece), state(i, lower, note(acc, i, F.concat(ends, piece))))
-                    .when((name == "") | F.rlike(piece, F.lit(_ALONE)), state(i, stack, notes))
-                    .otherwise(state(i, F.array_append(stack, name), notes))
-                )
-
-            return let(F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][^\s/>]*+)", 1)), placed)
-
-        none = F.array().cast("array<struct<at:int,put:string>>")
-        return F.aggregate(pieces, state(F.lit(0), _none(), none), step, lambda acc: acc["notes"])
-
-    def rebuilt(pieces: Column, notes: Column) -> Column:
-        def stretch(after: Column, before: Column) -> Column:
-            return F.array_join(F.slice(pieces, after + 1, before - after - 1), "")
-
-        def part(note: Column, k: Column) -> Column:
-            last = F.coalesce(F.get(notes, k - 1)["at"], F.lit(0))
-            return F.concat(stretch(last, note["at"]), note["put"])
-
-        last = F.coalesce(F.get(notes, F.size(notes) - 1)["at"], F.lit(0))
-        return F.concat(F.array_join(F.transform(notes, part), ""), stretch(last, F.size(pieces) + 1))
-
-    cut = F.split(page, r"(?=</?[a-zA-Z])")
-    return let(cut, lambda pieces: let(notes_of(pieces), lambda notes: rebuilt(pieces, notes)))
+    those that close nothing, so that tags nest. One pass: the open elements are
+    a stack, with the number of each name beside it."""
+    held: list[str] = []
+    count: dict[str, int] = {}
+    out: list[str] = []
+    at = 0
+    for tag in _TAG_PARTS.finditer(page):
+        name = tag[2].lower()
+        if not tag[1]:
+            if name not in VOID_TAGS and not (tag[3].endswith("/") and tag[4]):
+                held.append(name)
+                count[name] = count.get(name, 0) + 1
+            continue
+        if not count.get(name):  # closes nothing
+            out += (page[at : tag.start()], _GAP)
+            at = tag.end()
+            continue
+        ends = []
+        while held[-1] != name:
+            ends.append(f"</{held[-1]}>")
+            count[held.pop()] -= 1
+        count[held.pop()] -= 1
+        if ends:
+            out += (page[at : tag.start()], *ends)
+            at = tag.start()
+    return "".join((*out, page[at:])) if at or out else page
+
+
+@F.pandas_udf(T.StringType())
+def _nested(pages: pd.Series) -> pd.Series:
+    return pages.map(nested_page, na_action="ignore")
 
 
 class Selector:
@@ -267,30 +245,43 @@ def _tag_name(element: Column) -> Column:
 
 
 def outermost(html: Column, sel: Selector) -> Column:
-    """All matching elements that lie in no other matching element."""
+    """All matching elements that lie in no other matching element.
+
+    The pass notes between which pieces each lies; texts are put together after it.
+    """
+
+    def _state(i: Column, depth: Column, start: Column, out: Column) -> Column:
+        return F.struct(i.alias("i"), depth.alias("depth"), start.alias("start"), out.alias("out"))
 
     def step(acc: Column, piece: Column) -> Column:
-        depth, buf, out = acc["depth"], acc["buf"], acc["out"]
+        i, depth, out = acc["i"] + 1, acc["depth"], acc["out"]
         opens = F.rlike(piece, F.lit(f"(?s)^{sel.open}")) & ~_empty_element(piece)
         new_depth = depth + F.when(_closes(piece), -1).when(_empty_element(piece), 0).otherwise(1)
+        span = F.struct(acc["start"].alias("a"), i.alias("b"))
         return (
-            F.when((depth == 0) & opens, _state(F.lit(1), piece, out))
-            .when(depth == 0, acc)
-            .when(new_depth == 0, _state(F.lit(0), F.lit(""), F.array_append(out, buf)))
-            .otherwise(_state(new_depth, F.concat(buf, piece), out))
+            F.when((depth == 0) & opens, _state(i, F.lit(1), i, out))
+            .when(depth == 0, _state(i, depth, acc["start"], out))
+            .when(new_depth == 0, _state(i, F.lit(0), F.lit(0), F.array_append(out, span)))
+            .otherwise(_state(i, new_depth, acc["start"], out))
         )
 
-    def _state(depth: Column, buf: Column, out: Column) -> Column:
-        return F.struct(depth.alias("depth"), buf.alias("buf"), out.alias("out"))
-
-    def search(page: Column) -> Column:
+    def spans_of(pieces: Column) -> Column:
+        none = F.array().cast("array<struct<a:int,b:int>>")
         return F.aggregate(
-            _pieces(page, F.lit(sel.tag)),
-            _state(F.lit(0), F.lit(""), _none()),
+            pieces,
+            _state(F.lit(0), F.lit(0), F.lit(0), none),
             step,
-            lambda acc: F.when(acc["depth"] > 0, F.array_append(acc["out"], acc["buf"])).otherwise(acc["out"]),
+            lambda acc: F.when(
+                acc["depth"] > 0, F.array_append(acc["out"], F.struct(acc["start"].alias("a"), (acc["i"] + 1).alias("b")))
+            ).otherwise(acc["out"]),
         )
 
+    def search(page: Column) -> Column:
+        def cut(pieces: Column) -> Column:
+            return F.transform(spans_of(pieces), lambda s: F.array_join(F.slice(pieces, s["a"], s["b"] - s["a"]), ""))
+
+        return let(_pieces(page, F.lit(sel.tag)), cut)
+
     return sel.search(html, search, _none())
 
 

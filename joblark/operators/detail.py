@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from joblark.functions.html import clean, raw_text, text, texts
 from joblark.functions.text import contains_any, or_empty, utc_iso
 from joblark.schemas import BRONZE, DETAIL_PAGE
-from joblark.sources.spec import Field, ListField, SourceSpec
+from joblark.sources.spec import Field, ListField, SourceSpec, nested_sources, of_sources, per_source
 
 NO_HTML = "no_html"
 CHALLENGE = "challenge_page"
@@ -30,16 +30,18 @@ def has_heading(page: Column) -> Column:
     return F.rlike(page, F.lit(r"(?i)<h1[\s/>]"))
 
 
-def extract_details(pages: DataFrame, spec: SourceSpec) -> DataFrame:
-    """One row per page of a source: the record's columns and ``page_reject``.
+def extract_details(pages: DataFrame, specs: SourceSpec | tuple[SourceSpec, ...]) -> DataFrame:
+    """One row per page of some sources: the record's columns and ``page_reject``.
 
-    A map over pages without a shuffle; columns beside the page's own, such as
-    a batch number, pass through. Fields of a rejected page are null.
+    A map over one scan of the pages without a shuffle, each page by the rules
+    of its source; columns beside the page's own, such as a batch number, pass
+    through. Fields of a rejected page are null.
     """
+    specs = specs if isinstance(specs, tuple) else (specs,)
     extra = [c for c in pages.columns if c not in DETAIL_PAGE.fieldNames()]
     kept = ["source", "url", "job_id", *extra, "page_reject"]
-    rules = _rules(spec, pages.sparkSession.sparkContext.applicationId)
-    fetched = pages.where(F.col("source") == spec.name).withColumn("page_reject", rules["fetch_reject"])
+    rules = _rules(specs, pages.sparkSession.sparkContext.applicationId)
+    fetched = pages.where(of_sources(specs)).withColumn("page_reject", rules["fetch_reject"])
     cleaned = fetched.withColumn("html", rules["clean"]).withColumn("page_reject", rules["page_reject"])
     # Named apart from the record's text column, which Spark would else take for it.
     seen = F.col("crawled_at").alias("_seen_at")
@@ -49,39 +51,47 @@ def extract_details(pages: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 @lru_cache(maxsize=32)
-def _rules(spec: SourceSpec, application: str) -> dict:
-    """The Columns of a source, built once per application: a stream would
+def _rules(specs: tuple[SourceSpec, ...], application: str) -> dict:
+    """The Columns of some sources, built once per application: a stream would
     otherwise spend seconds of every micro-batch on building them.
 
     Three steps: pieces of the page, their texts by one shared rule, values.
     """
     html, reject = F.col("html"), F.col("page_reject")
-    single = [n for n, f in spec.fields.items() if isinstance(f, Field)]
-    lists = {n: f for n, f in spec.fields.items() if isinstance(f, ListField)}
-    pieces = F.array(*[_piece(spec.fields[n], html) for n in single])
+    single = {s.name: [n for n, f in s.fields.items() if isinstance(f, Field)] for s in specs}
+    lists = list(dict.fromkeys(n for s in specs for n, f in s.fields.items() if isinstance(f, ListField)))
+    no_heading = F.when(~has_heading(html), F.lit(NO_HEADING))
 
-    def value(name: str) -> Column:
+    def elements(spec: SourceSpec, name: str) -> Column:
+        rule = spec.fields.get(name)
+        return texts(rule.elements(html)) if isinstance(rule, ListField) else F.lit(None).cast("array<string>")
+
+    def value(spec: SourceSpec, name: str) -> Column:
         rule = spec.fields.get(name)
-        if name == "crawled_at":
-            return utc_iso(F.col("_seen_at"))
-        if name in ("source", "url", "job_id"):
-            return F.col(name)
         if rule is None:
             return F.lit(None).cast(BRONZE[name].dataType)
         if isinstance(rule, ListField):
             return rule.then(F.col(name)) if rule.then else F.col(name)
-        found = F.get("_texts", F.lit(single.index(name)))
+        found = F.get("_texts", F.lit(single[spec.name].index(name)))
         return rule.then(found, F.col("_seen_at")) if rule.then else found
 
-    no_heading = F.when(~has_heading(html), F.lit(NO_HEADING))
+    def column(name: str) -> Column:
+        if name == "crawled_at":
+            return utc_iso(F.col("_seen_at"))
+        if name in ("source", "url", "job_id"):
+            return F.col(name)
+        return per_source(specs, lambda spec: value(spec, name))
+
     return {
-        "fetch_reject": fetch_reject(spec, html),
-        "clean": F.when(reject.isNull(), clean(html, spec.well_nested)),
-        "page_reject": F.coalesce(reject, no_heading) if spec.heading_required else reject,
-        "pieces": F.when(reject.isNull(), pieces).alias("_pieces"),
-        "lists": [F.when(reject.isNull(), texts(f.elements(html))).alias(n) for n, f in lists.items()],
+        "fetch_reject": per_source(specs, lambda s: fetch_reject(s, html)),
+        "clean": F.when(reject.isNull(), clean(F.when(reject.isNull(), html), nested_sources(specs))),
+        "page_reject": per_source(specs, lambda s: F.coalesce(reject, no_heading) if s.heading_required else reject),
+        "pieces": F.when(
+            reject.isNull(), per_source(specs, lambda s: F.array(*[_piece(s.fields[n], html) for n in single[s.name]]))
+        ).alias("_pieces"),
+        "lists": [F.when(reject.isNull(), per_source(specs, lambda s, n=n: elements(s, n))).alias(n) for n in lists],
         "texts": F.transform("_pieces", _piece_text),
-        "record": [value(n).alias(n) for n in BRONZE.fieldNames()],
+        "record": [column(n).alias(n) for n in BRONZE.fieldNames()],
     }
 
 

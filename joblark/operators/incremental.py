@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from joblark.functions.text import or_empty
 from joblark.operators.joins import Join, skew_join
 from joblark.schemas import KEYS
+from joblark.session import materialize
 
 LOOK_BACK_DAYS = 30
 PAIR = ["job_id", "posted_date"]
@@ -82,18 +83,59 @@ def dedup_across_batches(
 ) -> DataFrame:
     """Keep rows of the first batch that has their key; equal keys inside it all stay.
 
-    No window holds all rows of a key: the later batches of each key are found
-    on distinct ``(key, batch)`` pairs, which are few next to the rows, and the
-    rows are joined with those later pairs alone.
+    No window holds all rows of a key: the first batch of each key is an
+    aggregate that combines before the shuffle, and rows are joined with it once.
+    Rows with a null in their key all stay.
     """
-    pairs = rows.select(*keys, "batch_no").distinct()
-    firsts = pairs.groupBy(*keys).agg(F.min("batch_no").alias("_first"))
-    later = (
-        skew_join(pairs, firsts, keys, "left", ["batch_no"])
-        .where(F.col("batch_no") > F.col("_first"))
-        .drop("_first")
-    )
-    return join(rows, later, [*keys, "batch_no"], "left_anti", spread)
+    firsts = rows.groupBy(*keys).agg(F.min("batch_no").alias("_first"))
+    joined = join(rows, firsts, keys, "left", spread)
+    return joined.where(F.col("_first").isNull() | (F.col("batch_no") == F.col("_first"))).drop("_first")
+
+
+def settle_batches(members: DataFrame, threshold: Column) -> tuple[DataFrame, DataFrame]:
+    """Which batches pass the gate when they are saved in order, and what repeats in them.
+
+    ``members`` has ``(source, batch_no, key, total, bad)``: records and bad records
+    of a key in a batch. A key counts as known in a batch once an earlier batch
+    of its source that passed holds it, and its records there are not judged.
+    Returns ``(source, batch_no, total, bad, passed)`` and the ``(source, batch_no, key)``
+    that are known there.
+
+    Each round settles every batch none of whose keys waits for an earlier batch.
+    A key waits only until some earlier batch with it has passed, so there are few rounds
+    unless failing batches form a chain by their keys. A batch without records to judge passes.
+    """
+    at = ["source", "batch_no"]
+    members = materialize(members, "members")
+    settled = None
+    while True:
+        if settled is None:
+            state = members.withColumn("passed", F.lit(None).cast("boolean"))
+        else:
+            state = members.join(settled.select(*at, "passed"), at, "left")
+        state = state.withColumn("open", F.col("passed").isNull())
+        firsts = state.groupBy("source", "key").agg(
+            F.min(F.when(F.col("passed"), F.col("batch_no"))).alias("_held"),
+            F.min(F.when(F.col("open"), F.col("batch_no"))).alias("_open"),
+            F.count(F.lit(1)).alias("_batches"),
+        ).where("_batches > 1")
+        judged = state.join(firsts.drop("_batches"), ["source", "key"], "left").select(
+            *at, "key", "total", "bad", "open",
+            F.coalesce(F.col("_held") < F.col("batch_no"), F.lit(False)).alias("known"),
+            F.coalesce(F.col("_open") < F.col("batch_no"), F.lit(False)).alias("before"),
+        )
+        if settled is not None and not left:
+            return settled, judged.where("known").select(*at, "key")
+        fresh = judged.where("open").groupBy(*at).agg(
+            F.coalesce(F.sum(F.when(~F.col("known"), F.col("total"))), F.lit(0)).alias("total"),
+            F.coalesce(F.sum(F.when(~F.col("known"), F.col("bad"))), F.lit(0)).alias("bad"),
+            F.max(F.col("before") & ~F.col("known")).alias("_waits"),
+        )
+        passed = (F.col("total") == 0) | (F.try_divide("bad", "total") <= threshold)
+        fresh = materialize(fresh.withColumn("passed", passed), "settled")
+        done = fresh.where(~F.col("_waits")).drop("_waits")
+        left = fresh.where("_waits").take(1)
+        settled = done if settled is None else settled.unionByName(done)
 
 
 def triage(records: DataFrame, keys: DataFrame, spread: list[str], join: Join = skew_join) -> DataFrame:
@@ -119,36 +161,28 @@ def triage(records: DataFrame, keys: DataFrame, spread: list[str], join: Join =
 # ---- batches -----------------------------------------------------------------------
 
 
-def batch_key(url: Column, batches: Column) -> Column:
-    """A batch number from 1 without any shuffle; sizes are even on average."""
-    return F.pmod(F.xxhash64(url), F.greatest(batches, F.lit(1)).cast("bigint")) + 1
-
-
-def assign_batches(urls: DataFrame, size: Column, buckets: int | None = None) -> DataFrame:
+def assign_batches(urls: DataFrame, size: Column, digits: int = 3) -> DataFrame:
     """Number the rows of each source into batches of exactly ``size`` rows, the
-    last one smaller.
+    last one smaller, in the order of the MD5 of their URL.
 
     ``urls`` has to be distinct on ``(source, url)``. Rows are numbered inside
-    hash buckets and shifted by the sizes of the buckets before, so a source of
-    any size is spread over ``buckets`` tasks instead of ordered in one.
+    buckets of the first hexadecimal ``digits`` and shifted by the sizes of the buckets
+    before, so a source of any size is spread over 16 ** digits groups instead of ordered in one.
     """
-    spark = urls.sparkSession
-    if buckets is None:
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = urls.withColumn("_bucket", F.pmod(F.xxhash64("url"), F.lit(buckets)))
+    placed = urls.withColumn("_hash", F.md5("url")).withColumn("_bucket", F.substring("_hash", 1, digits))
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         placed.groupBy("source", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("source", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
-    inside = Window.partitionBy("source", "_bucket").orderBy("url")
+    inside = Window.partitionBy("source", "_bucket").orderBy("_hash", "url")
     row = F.col("_shift") + F.col("_row") - 1
     return (
         placed.withColumn("_row", F.row_number().over(inside))
         .join(shifts, ["source", "_bucket"])
         .withColumn("batch_no", (F.floor(row / size) + 1).cast("bigint"))
-        .drop("_bucket", "_row", "_shift")
+        .drop("_bucket", "_hash", "_row", "_shift")
     )
 
 

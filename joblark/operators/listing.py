@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from joblark.functions.html import clean
 from joblark.functions.text import or_empty
-from joblark.sources.spec import SourceSpec
+from joblark.sources.spec import SourceSpec, nested_sources, of_sources, per_source
 
 
 class ListingError(RuntimeError):
@@ -21,31 +21,27 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def listing_facts(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
-    """``(source, page_no, has_html, slugs, page_count)``, the HTML read once per page."""
-
-    application = pages.sparkSession.sparkContext.applicationId
-
-    def one(spec: SourceSpec) -> DataFrame:
-        rules = _rules(spec, application)
-        own = pages.where(F.col("source") == spec.name).select(
-            "source",
-            F.col("page_no").cast("bigint").alias("page_no"),
-            (or_empty(F.col("html")) != "").alias("has_html"),
-            rules["clean"].alias("html"),
-        )
-        first_page = F.when(F.col("page_no") == 1, rules["page_count"])
-        return own.select(
-            "source", "page_no", "has_html", rules["slugs"].alias("slugs"), first_page.alias("page_count")
-        )
-
-    return union_all([one(s) for s in specs])
+    """``(source, page_no, has_html, slugs, page_count)`` in one scan, the HTML read once per page."""
+    rules = _rules(specs, pages.sparkSession.sparkContext.applicationId)
+    cleaned = pages.where(of_sources(specs)).select(
+        "source",
+        F.col("page_no").cast("bigint").alias("page_no"),
+        (or_empty(F.col("html")) != "").alias("has_html"),
+        rules["clean"].alias("html"),
+    )
+    first_page = F.when(F.col("page_no") == 1, rules["page_count"])
+    return cleaned.select("source", "page_no", "has_html", rules["slugs"].alias("slugs"), first_page.alias("page_count"))
 
 
 @lru_cache(maxsize=32)
-def _rules(spec: SourceSpec, application: str) -> dict:
-    """The listing Columns of a source, built once per application."""
+def _rules(specs: tuple[SourceSpec, ...], application: str) -> dict:
+    """The listing Columns of some sources, built once per application."""
     html = F.col("html")
-    return {"clean": clean(html, spec.well_nested), "slugs": spec.slugs(html), "page_count": spec.page_count(html)}
+    return {
+        "clean": clean(html, nested_sources(specs)),
+        "slugs": per_source(specs, lambda s: s.slugs(html)),
+        "page_count": per_source(specs, lambda s: s.page_count(html)),
+    }
 
 
 def require_first_pages(facts: DataFrame, specs: tuple[SourceSpec, ...]) -> None:
@@ -90,15 +86,11 @@ def frontier(facts: DataFrame, max_pages: int = 0) -> DataFrame:
 
 
 def url_id_map(slugs: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
-    """``(source, slug, url, job_id)``: URLs are unique, two may share an id."""
-
-    def one(spec: SourceSpec) -> DataFrame:
-        slug = F.col("slug")
-        return slugs.where(F.col("source") == spec.name).select(
-            "source",
-            "slug",
-            F.concat(F.lit(spec.detail_url + "/"), slug).alias("url"),
-            spec.job_id(slug).alias("job_id"),
-        )
-
-    return union_all([one(s) for s in specs]).distinct()
+    """``(source, slug, url, job_id)``: slugs are distinct and so are URLs, but two may share an id."""
+    slug = F.col("slug")
+    return slugs.where(of_sources(specs)).select(
+        "source",
+        "slug",
+        per_source(specs, lambda s: F.concat(F.lit(s.detail_url + "/"), slug)).alias("url"),
+        per_source(specs, lambda s: s.job_id(slug)).alias("job_id"),
+    )

@@ -33,19 +33,24 @@ def quality_report(
     Groups without records have no row, and so pass. Counts combine before the
     shuffle, so the size of a group does not matter.
     """
-    name = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
     present = [f for f in fields if f in records.columns]
     test = bad if bad is not None else is_bad(fields) if len(present) == len(fields) else F.lit(True)
     counts = records.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(test).alias("bad")
     )
-    ratio = F.col("bad") / F.col("total")
+    return judged(counts, by, F.lit(", ".join(fields)), F.lit(threshold))
+
+
+def judged(counts: DataFrame, by: list[str], fields: Column, threshold: Column) -> DataFrame:
+    """The report of counts ``(*by, total, bad)``; a group without records passes."""
+    name = F.concat_ws("/", *[F.col(c).cast("string") for c in by])
+    ratio = F.when(F.col("total") > 0, F.col("bad") / F.col("total")).otherwise(0.0)
     failed = F.format_string(
-        "Quality check failed for '%s': %d/%d records (%.0f%%) lack a critical field (" + ", ".join(fields) + ")",
-        name, F.col("bad"), F.col("total"), F.bround(ratio * 100, 0),
+        "Quality check failed for '%s': %d/%d records (%.0f%%) lack a critical field (%s)",
+        name, F.col("bad"), F.col("total"), F.bround(ratio * 100, 0), fields,
     )
     passed = F.format_string(
-        "[%s] Quality check passed: %d/%d records are clean", name, F.col("total") - F.col("bad"), F.col("total")
+        "[%s] %d of %d records have all critical fields", name, F.col("total") - F.col("bad"), F.col("total")
     )
     return counts.select(
         *by,

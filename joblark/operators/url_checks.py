@@ -79,6 +79,7 @@ def error_records(failures: DataFrame, source: str | Column, at: Column | None =
         (at if at is not None else F.current_timestamp()).alias("timestamp"),
         (F.lit(source) if isinstance(source, str) else source).alias("source"),
         "error_type",
+        # Both templates, which readers of the error area know.
         F.format_string("[%d] %s", F.col("status_code"), F.col("reason")).alias("error_msg"),
         F.concat(F.lit("url_validator: "), F.col("url")).alias("context"),
         F.col("tb_str").alias("traceback"),

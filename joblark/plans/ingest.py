@@ -1,8 +1,10 @@
-"""The ingestion job: pages in, gated records and errors out."""
+"""The ingestion job: pages in, gated records, their outcomes and errors out."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +13,28 @@ from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, quality, url_checks
 from joblark.operators.joins import BROADCAST_ROWS, sized_join, skew_join
-from joblark.schemas import BRONZE
+from joblark.schemas import BRONZE, OUTCOME, REPORT
 from joblark.session import materialize
 from joblark.sources import store as areas
-from joblark.sources.spec import SourceSpec
+from joblark.sources.spec import SourceSpec, of_sources, per_source
 from joblark.sources.store import Store
 
 _GIVEN = ("job_id", "source", "url", "crawled_at")  # columns every site's record has
 
+# What becomes of a page: saved, or why not. Beside these the reasons of detail and triage.
+SAVED = "saved"
+NOT_LISTED = "not_listed"
+URL_FAILED = "url_failed"
+KNOWN_ID = "known_id"
+REPEATED = "repeated_key"
+GATE_FAILED = "gate_failed"
+
 
 @dataclass(frozen=True)
 class IngestOptions:
     """``mode="id"`` drops a known id whatever its date, ``"id_date"`` only a known
-    pair. ``on_gate="raise"`` stops at a failed group, ``"reject"`` leaves it out."""
+    pair. ``on_gate="raise"`` stops a run with a failed batch before anything is saved,
+    ``"reject"`` leaves the batch out."""
 
     mode: str = "id"
     on_gate: str = "raise"
@@ -50,16 +61,14 @@ def fresh_records(
     Pages are never shuffled. Few known ids are broadcast and drop pages before
     their HTML is read; many are joined with the extracted records instead.
     """
-    def extracted(source_pages: DataFrame) -> DataFrame:
-        return listing.union_all([detail.extract_details(source_pages, s) for s in specs])
-
     if options.mode == "id_date":
-        return extracted(pages)
+        return detail.extract_details(pages, specs)
     if options.mode != "id":
         raise ValueError(f"unknown mode: {options.mode}")
     if keys.count() <= options.broadcast_rows:
-        return extracted(pages.join(F.broadcast(keys.select("job_id")), "job_id", "left_anti"))
-    return incremental.new_ids(materialize(extracted(pages), "extracted"), keys, ["url"])
+        left = pages.join(F.broadcast(keys.select("job_id")), "job_id", "left_anti")
+        return detail.extract_details(left, specs)
+    return incremental.new_ids(materialize(detail.extract_details(pages, specs), "extracted"), keys, ["url"])
 
 
 def failed_urls(checks: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
@@ -79,53 +88,60 @@ def triaged(
     return incremental.triage(written, keys, ["url"], options.join)
 
 
-def gated(accepted: DataFrame, specs: tuple[SourceSpec, ...], options: IngestOptions) -> DataFrame:
-    """Accepted records of batches that pass the gate of their source."""
-    by = ["source", "batch_no"]
-    passed = []
-    for spec in specs:
-        own = accepted.where(F.col("source") == spec.name)
-        report = quality.quality_report(own, by, spec.critical_fields, spec.threshold)
-        if options.on_gate == "raise":
-            quality.enforce(report)
-            passed.append(own)
-        else:
-            passed.append(quality.passing_records(own, report, by, ["url"], options.join))
-    return listing.union_all(passed)
-
-
-def save(records: DataFrame, specs: tuple[SourceSpec, ...], store: Store, batch: int | None = None) -> None:
+def save(records: DataFrame, specs: tuple[SourceSpec, ...], store: Store, run_id: str) -> None:
     """Raw JSONL per source, then silver."""
     for spec in specs:
         columns = [n for n in BRONZE.fieldNames() if n in spec.fields or n in _GIVEN]
         own = records.where(F.col("source") == spec.name).select(*columns)
-        areas.append_jobs(own, store, spec.name, batch)
+        areas.append_jobs(own, store, spec.name, run_id)
     areas.load_silver(records, store)
 
 
-def silver_keys(spark: SparkSession, store: Store, as_of: Column | None = None,
-                days: int = incremental.LOOK_BACK_DAYS) -> DataFrame:
-    """Recent keys of the silver files; the look-back prunes partitions too."""
+def silver_keys(spark: SparkSession, store: Store, specs: tuple[SourceSpec, ...] | None = None,
+                as_of: Column | None = None, days: int = incremental.LOOK_BACK_DAYS) -> DataFrame:
+    """Recent keys of the silver files, of the run's sources; the look-back prunes partitions too."""
     today = as_of if as_of is not None else F.current_date()
     recent = areas.recent_silver(spark, store, F.date_sub(today, days))
-    return incremental.recent_keys(recent, as_of, days)
+    return incremental.recent_keys(recent.where(of_sources(specs)) if specs else recent, as_of, days)
 
 
-def with_batches(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
-    """Pages with a ``batch_no`` such that batches have the site's size on average.
+@dataclass(frozen=True)
+class Filter:
+    """A narrow table, written and counted once, that leaves out pages it holds or lacks."""
 
-    The number follows from the URL alone: no page moves. Only one count per
-    source reaches the driver.
-    """
-    names = [s.name for s in specs]
-    counts = pages.where(F.col("source").isin(*names)).groupBy("source").count().collect()
-    size = {s.name: s.batch_size for s in specs}
-    number = F.lit(None).cast("bigint")
-    for row in counts:  # one row per specification
-        batches = -(-row["count"] // size[row["source"]])
-        key = incremental.batch_key(F.col("url"), F.lit(batches))
-        number = F.when(F.col("source") == row["source"], key).otherwise(number)
-    return pages.withColumn("batch_no", number)
+    rows: DataFrame
+    on: tuple[str, ...]
+    outcome: str
+    keep_held: bool  # pages it holds go on, others go
+    count: int
+
+    @staticmethod
+    def of(rows: DataFrame, on: tuple[str, ...], outcome: str, keep_held: bool = False) -> Filter:
+        written = materialize(rows.select(*on).distinct(), outcome)
+        return Filter(written, on, outcome, keep_held, written.count())
+
+    def flag(self, df: DataFrame, name: str, limit: int) -> DataFrame:
+        marked = self.rows.withColumn(name, F.lit(True))
+        if self.count <= limit:
+            return df.join(F.broadcast(marked), [*self.on], "left")
+        return skew_join(df, marked, [*self.on], "left", ["url", "crawled_at"])
+
+
+def filtered(df: DataFrame, filters: list[Filter], limit: int) -> DataFrame:
+    """``df`` with the outcome of the first filter that stops a row, else null, in ``early``."""
+    for i, f in enumerate(filters):
+        df = f.flag(df, f"_f{i}", limit)
+    early = F.coalesce(
+        *(F.when(F.col(f"_f{i}").isNull() if f.keep_held else F.col(f"_f{i}"), F.lit(f.outcome)) for i, f in enumerate(filters)),
+        F.lit(None).cast("string"),
+    )
+    return df.withColumn("early", early).drop(*(f"_f{i}" for i in range(len(filters))))
+
+
+def site_batches(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
+    """``(source, url, batch_no)``: distinct URLs of some pages in batches of their site's size."""
+    urls = pages.select("source", "url").distinct()
+    return incremental.assign_batches(urls, per_source(specs, lambda s: F.lit(s.batch_size)))
 
 
 def ingest(
@@ -136,60 +152,140 @@ def ingest(
     checks: DataFrame | None = None,
     urls: DataFrame | None = None,
     as_of: Column | None = None,
-    batch: int | None = None,
+    run_id: str | None = None,
+    earlier: str | None = None,
 ) -> DataFrame:
     """One run over detail pages ``(source, url, job_id, html, crawled_at)``.
 
-    Pages may carry a ``batch_no``; without one each source is a single batch.
-    ``checks`` are URL check results with a ``source``; ``urls`` a URL map that
-    limits the run to its pages. Returns the saved records. The same function
-    serves a batch run and the micro-batches of a stream.
+    Pages may carry a ``batch_no``; without one the URLs that are left after the
+    filters go into batches of their site's size. ``checks`` are URL check results with a ``source``; ``urls`` a
+    URL map that limits the run to its pages. Returns the saved records. The same
+    function serves a batch run and the micro-batches of a stream.
+
+    ``run_id`` names the run: another attempt under the same name saves the same
+    rows, once. Without one, what an earlier run over the same sources had settled but not saved is saved first.
+    """
+    spark, names = pages.sparkSession, [s.name for s in specs]
+    if run_id is None:
+        prefix = f"run-{'+'.join(sorted(names))}-"
+        for left in areas.pending_runs(spark, store, prefix):
+            save(areas.staged_run(spark, store, left), specs, store, left)
+            areas.commit_run(spark, store, left)
+        run_id = f"{prefix}{uuid.uuid4().hex}"
+    if not areas.is_committed(spark, store, run_id):
+        staged = areas.staged_run(spark, store, run_id)
+        if staged is None:
+            staged = settle(pages, specs, store, options, checks, urls, as_of, run_id)
+        save(staged, specs, store, run_id)
+        areas.commit_run(spark, store, run_id, earlier)
+    return areas.read_run(spark, store, names, run_id)
+
+
+def settle(
+    pages: DataFrame, specs: tuple[SourceSpec, ...], store: Store, options: IngestOptions,
+    checks: DataFrame | None, urls: DataFrame | None, as_of: Column | None, run_id: str,
+) -> DataFrame:
+    """Decide about every page of a run and stage the records to save.
+
+    Pages are read once for their narrow columns and once, those no filter stops, for
+    their HTML. Records are written once; what becomes of them is decided on narrow
+    columns, and the decision joined back once. Outcomes of all pages and
+    the gate's report go to their areas.
     """
     spark = pages.sparkSession
-    if batch is not None:
-        staged = areas.staged_batch(spark, store, batch)
-        if staged is not None:  # a replay: what this batch saves is settled already
-            save(staged, specs, store, batch)
-            return staged
-    keys = materialize(silver_keys(spark, store, as_of), "keys")
+    pages = pages.where(of_sources(specs))
+    keys = materialize(silver_keys(spark, store, specs, as_of), "keys")
     filters = []
-    if checks is not None:
-        log_failed_urls(checks, specs, store, batch)
-        filters.append((failed_urls(checks, specs), "left_anti"))
     if urls is not None:
-        filters.append((urls.select("source", "url").distinct(), "left_semi"))
-    late = []
-    for side, how in filters:
-        side = materialize(side, "urls")
-        if side.count() <= options.broadcast_rows:
-            pages = pages.join(F.broadcast(side), ["source", "url"], how)
-        else:  # join the records instead, so that no HTML is shuffled
-            late.append((side, how))
-    batched = "batch_no" in pages.columns
-    if not batched:
-        pages = pages.withColumn("batch_no", F.lit((batch or 0) + 1).cast("bigint"))
-    accepted = triaged(pages, keys, specs, options).where(F.col("reject_reason").isNull())
-    for side, how in late:
-        accepted = skew_join(accepted, side, ["source", "url"], how, ["crawled_at"])
-    accepted = materialize(accepted, "accepted")
-    if batched:
-        accepted = incremental.dedup_across_batches(accepted, ["url"], ["job_id", "key_date"], options.join)
-    records = gated(accepted, specs, options)
-    if batch is not None:
-        records = areas.stage_batch(records, store, batch)
-    elif options.on_gate == "reject":
-        records = materialize(records, "gated")
-    save(records, specs, store, batch)
-    return records
-
-
-def log_failed_urls(
-    checks: DataFrame, specs: tuple[SourceSpec, ...], store: Store, batch: int | None = None
-) -> None:
+        filters.append(Filter.of(urls, ("source", "url"), NOT_LISTED, keep_held=True))
+    if options.mode == "id":
+        filters.append(Filter.of(keys, ("job_id",), KNOWN_ID))
+    elif options.mode != "id_date":
+        raise ValueError(f"unknown mode: {options.mode}")
+    if checks is not None:
+        log_failed_urls(checks, specs, store, run_id)
+        filters.append(Filter.of(failed_urls(checks, specs), ("source", "url"), URL_FAILED))
+
+    given = "batch_no" in pages.columns
+    columns = ["source", "url", "job_id", "crawled_at", *(["batch_no"] if given else [])]
+    flagged = filtered(pages.select(*columns), filters, options.broadcast_rows)
+    flagged = materialize(flagged if given else flagged.withColumn("batch_no", F.lit(None).cast("bigint")), "pages")
+    if not given:
+        batches = materialize(site_batches(flagged.where(F.col("early").isNull()), specs), "batches")
+
+    # pages that no filter stops; filters too large to broadcast are asked about the records
+    small = [f for f in filters if f.count <= options.broadcast_rows]
+    wanted = filtered(pages, small, options.broadcast_rows).where(F.col("early").isNull()).drop("early")
+    records = detail.extract_details(wanted, specs).withColumns(
+        {"key_date": or_empty(key_date(F.col("posted_date"))), "_row": F.monotonically_increasing_id()}
+    )
+    records = materialize(records, "records")
+    bad = per_source(specs, lambda s: quality.is_bad(s.critical_fields))
+    narrow = records.select(
+        "_row", "source", "url", "job_id", "key_date", "crawled_at", "page_reject", "title", bad.alias("bad"),
+        *(["batch_no"] if given else []),
+    )
+    large = [f for f in filters if f.count > options.broadcast_rows]
+    narrow = filtered(narrow, large, options.broadcast_rows).where(F.col("early").isNull()).drop("early")
+    narrow = incremental.triage(narrow, keys, ["url"], options.join)
+    if not given:
+        narrow = narrow.join(batches, ["source", "url"])
+    narrow = materialize(narrow, "triage")
+
+    decided, report = gate(narrow, specs)
+    report = materialize(report, "report")
+    areas.write_area(report.withColumn("run_id", F.lit(run_id)).select(*REPORT.fieldNames()), store.reports, run_id)
+    if options.on_gate == "raise":
+        quality.enforce(report)
+    decided = materialize(decided, "decided")
+    stopped = flagged.where(F.col("early").isNotNull()).withColumnRenamed("early", "outcome")
+    outcomes = decided.select("source", "url", "job_id", "batch_no", "outcome").unionByName(
+        stopped.select("source", "url", "job_id", "batch_no", "outcome")
+    )
+    areas.write_area(outcomes.withColumn("run_id", F.lit(run_id)).select(*OUTCOME.fieldNames()), store.outcomes, run_id)
+    accepted = decided.where(F.col("outcome") == SAVED).select("_row")
+    few = accepted.count() <= options.broadcast_rows
+    saved = records.join(F.broadcast(accepted) if few else accepted, "_row").drop("_row", "page_reject", "batch_no")
+    return areas.stage_run(saved, store, run_id)
+
+
+def gate(rows: DataFrame, specs: tuple[SourceSpec, ...]) -> tuple[DataFrame, DataFrame]:
+    """The outcome of triaged rows ``(source, batch_no, job_id, key_date, bad, reject_reason)``
+    when batches are saved in order, and the gate's report of every batch."""
+    at, key = ["source", "batch_no"], F.struct("job_id", "key_date")
+    open_rows = rows.where(F.col("reject_reason").isNull())
+    members = open_rows.groupBy(*at, key.alias("key")).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if("bad").alias("bad")
+    )
+    verdicts, known = incremental.settle_batches(members, per_source(specs, lambda s: F.lit(s.threshold)))
+    fields = per_source(specs, lambda s: F.lit(", ".join(s.critical_fields)))
+    report = quality.judged(verdicts.select(*at, "total", "bad"), at, fields, per_source(specs, lambda s: F.lit(s.threshold)))
+    known = known.withColumn("_known", F.lit(True))
+    judged = rows.withColumn("key", key).join(known, [*at, "key"], "left").join(verdicts.select(*at, "passed"), at, "left")
+    outcome = (
+        F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
+        .when(F.col("_known"), F.lit(REPEATED))
+        .when(~F.col("passed"), F.lit(GATE_FAILED))
+        .otherwise(F.lit(SAVED))
+    )
+    return judged.withColumn("outcome", outcome).drop("key", "_known", "passed"), report
+
+
+def log_failed_urls(checks: DataFrame, specs: tuple[SourceSpec, ...], store: Store, run_id: str | None = None) -> None:
     """Failed checks of the sources that check URLs, to the error area."""
     _, failures = url_checks.partition_urls(checks)
     mine = failures.where(F.col("source").isin(*[s.name for s in specs if s.check_urls]))
-    areas.append_errors(url_checks.error_records(mine, F.col("source")), store, batch)
+    areas.append_errors(url_checks.error_records(mine, F.col("source")), store, run_id)
+
+
+def error_class(specs: tuple[SourceSpec, ...]) -> Column:
+    """The class of an error record by its source's markers; a run over several
+    sources names them all, and any of their markers counts."""
+    rules = [
+        F.when(F.array_contains(F.split("source", ","), s.name), url_checks.error_class(F.col("error_msg"), s.disconnect_markers))
+        for s in specs
+    ]
+    return reduce(lambda a, b: F.when((a == "disconnect") | b.isNull(), a).otherwise(b), rules)
 
 
 def run(

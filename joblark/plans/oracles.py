@@ -22,7 +22,7 @@ def _any(expr: str, needles: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains(lower({expr}), '{n}')" for n in needles) + ")"
 
 
-_TITLE = _strip("substring(string_split(text, chr(10))[1], 1, 60)")
+_TITLE = _strip("string_split(text, chr(10))[1]")
 _LINES = f"list_filter(list_transform(string_split(text, chr(10)), lambda x: {_strip('x')}), lambda x: x <> '')"
 
 
@@ -30,7 +30,7 @@ def _iso(number: str) -> str:
     return f"strftime(epoch_ms(({_BASE} + {number} * 60) * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 
 
-# A reference may lack its semicolon, as where a title was cut in the middle of one.
+# A reference may lack its semicolon.
 _UNESCAPE = "{0}"
 for _name, _char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
     _UNESCAPE = f"regexp_replace({_UNESCAPE}, '&{_name}(?:;|\\b)', '{_char}', 'g')"
@@ -72,7 +72,7 @@ SELECT DISTINCT user_id || '-' || event_type AS job_id,
 FROM events WHERE event_id % 50 <> 0 AND ts >= TIMESTAMP '{lo}' AND ts < TIMESTAMP '{hi}'
 """
 _KNOWN = _EVENT_KEYS.format(lo="2024-01-16", hi="2024-01-23")
-_CANDIDATES = "SELECT event_id, user_id || '-' || event_type AS job_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-23'"
+_CANDIDATES = "SELECT event_id, user_id || '-' || event_type AS job_id, ts FROM events"
 
 _CODES = "[200, 204, 304, 404, 410, 451, 429, 500, 502, 503, 504, 403, 0]"
 _LOG = f"""
@@ -108,7 +108,7 @@ SELECT doc_id, lang AS source, doc_id % 10 AS batch_no,
 def _report(rows: str, by: str, name: str, fields: str) -> str:
     failed = f"'Quality check failed for ''' || {name} || ''': ' || bad || '/' || total || ' records (' || "
     failed += f"round_even(100.0 * bad / total, 0)::INT || '%) lack a critical field ({fields})'"
-    passed = f"'[' || {name} || '] Quality check passed: ' || (total - bad) || '/' || total || ' records are clean'"
+    passed = f"'[' || {name} || '] ' || (total - bad) || ' of ' || total || ' records have all critical fields'"
     return f"""
     SELECT {by}, total, bad, total - bad AS clean, bad / total AS ratio, bad / total <= 0.5 AS passed,
       CASE WHEN bad / total <= 0.5 THEN {passed} ELSE {failed} END AS message
@@ -137,12 +137,37 @@ def _saved(rows: str, skip: str = "FALSE") -> str:
 
 
 _SITE1_CARDS = "SELECT p_partkey // 20 + 1 AS page_no, p_partkey AS key FROM part"
-_FRONTIER = """
-SELECT 'itviec' AS source, 'part-' || key AS slug FROM ({cards}) WHERE page_no < 77 AND page_no <= {limit1}
+_PAGES = "(SELECT max(p_partkey) // 20 + 1 FROM part)"
+_NAMED = f"greatest(1, {_PAGES} * 2 // 3)"
+_FRONTIER = f"""
+SELECT 'itviec' AS source, 'part-' || key AS slug FROM ({_SITE1_CARDS}) WHERE page_no <= {_PAGES} * 3 // 4 AND page_no <= {{limit1}}
 UNION ALL
-SELECT 'topdev', 'part-x-' || key FROM ({cards}) WHERE page_no <= {limit2}
-""".replace("{cards}", _SITE1_CARDS)
+SELECT 'topdev', 'part-x-' || key FROM ({_SITE1_CARDS}) WHERE page_no <= {{limit2}}
+"""
+
+
+def _site1_batches(where: str) -> str:
+    """Documents as site-1 records of pages that pass the filters, with their batch."""
+    return f"""
+    SELECT b.batch_no, r.* FROM ({_ITVIEC}) r JOIN (
+      SELECT doc_id AS number, (row_number() OVER (ORDER BY md5('https://itviec.com/it-jobs/role-' || doc_id)) - 1) // 5 + 1 AS batch_no
+      FROM documents WHERE {where}) b USING (number)
+    WHERE title <> ''"""
+
+
+def _site1_saved(where: str) -> str:
+    return f"""
+    SELECT job_id, title, company, posted_date, url FROM ({_site1_batches(where)})
+    QUALIFY avg((company = '')::INT) OVER (PARTITION BY batch_no) <= 0.5"""
+
 
+_CHECKED_1 = _site1_batches("doc_id % 8 <> 3")
+_CHECKED_2 = f"""
+    SELECT b.batch_no, r.* FROM ({_TOPDEV}) r JOIN (
+      SELECT conv_id * 1000 + turn AS number,
+        row_number() OVER (ORDER BY md5('https://topdev.vn/detail-jobs/job-' || conv_id || '-' || (conv_id * 1000 + turn))) AS batch_no
+      FROM conversations) b USING (number)
+    WHERE title <> ''"""
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -180,7 +205,7 @@ def oracle_sql() -> dict[str, str]:
         "listing_slugs_attribute": f"""
             SELECT page_no::INT AS page_no,
               (row_number() OVER (PARTITION BY page_no ORDER BY key) - 1)::INT AS pos, 'part-' || key AS slug
-            FROM ({_SITE1_CARDS}) WHERE page_no % 77 <> 0""",
+            FROM ({_SITE1_CARDS}) WHERE page_no <> {_PAGES} * 3 // 4 + 1""",
         "listing_slugs_link": f"""
             SELECT page_no::INT AS page_no,
               (row_number() OVER (PARTITION BY page_no ORDER BY key) - 1)::INT AS pos, 'part-x-' || key AS slug
@@ -190,8 +215,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'itviec' AS source, page_no::INT AS page_no,
               CASE WHEN page_no = 1 THEN 1000000 ELSE page_no + 4 END AS pages FROM p
             UNION ALL
-            SELECT 'topdev', page_no::INT, CASE WHEN page_no = 1 THEN 40 ELSE page_no + 2 END FROM p""",
-        "frontier": _FRONTIER.format(limit1=1000000, limit2=40),
+            SELECT 'topdev', page_no::INT, CASE WHEN page_no = 1 THEN {_NAMED} ELSE page_no + 2 END FROM p""",
+        "frontier": _FRONTIER.format(limit1=1000000, limit2=_NAMED),
         "frontier_first_pages": _FRONTIER.format(limit1=3, limit2=3),
         "url_id_map": f"""
             SELECT source, slug,
@@ -199,7 +224,7 @@ def oracle_sql() -> dict[str, str]:
                 ELSE 'https://topdev.vn/detail-jobs/' END || slug AS url,
               CASE source WHEN 'itviec' THEN 'itviec_' || slug
                 ELSE 'topdev_' || replace(slug, 'part-x-', '') END AS job_id
-            FROM ({_FRONTIER.format(limit1=1000000, limit2=40)})""",
+            FROM ({_FRONTIER.format(limit1=1000000, limit2=_NAMED)})""",
         "job_ids": """
             SELECT page_id, 'topdev_' || CASE WHEN page_id % 3 <> 0 THEN page_id::VARCHAR
               ELSE string_split(string_split(url, '?')[1], '//')[-1] || '-' || page_id || 'x' END AS job_id
@@ -247,8 +272,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT source, 5::BIGINT AS batch_size, n // 5 AS batches FROM n WHERE n >= 5
             UNION ALL SELECT source, n % 5, 1 FROM n WHERE n % 5 > 0""",
         "batch_numbers": """
-            SELECT 'itviec' AS source, count(*) AS pages, TRUE AS in_range FROM documents
-            UNION ALL SELECT 'topdev', count(*), TRUE FROM conversations""",
+            WITH n AS (SELECT count(*) AS n FROM documents)
+            SELECT 'itviec' AS source, 5::BIGINT AS batch_size, n // 5 AS batches FROM n WHERE n >= 5
+            UNION ALL SELECT 'itviec', n % 5, 1 FROM n WHERE n % 5 > 0
+            UNION ALL SELECT 'topdev', 1, count(*) FROM conversations""",
+        "keys_of_failed_batches": """
+            WITH r AS (SELECT event_id, event_id // 50 + 1 AS batch_no, user_id || '-' || event_type AS key,
+              event_id % 17 = 0 AS rejected, (event_id // 50) % 2 = 1 AS passes FROM events)
+            SELECT event_id, batch_no, CASE WHEN rejected THEN 'no_title'
+              WHEN batch_no > min(batch_no) FILTER (passes AND NOT rejected) OVER (PARTITION BY key) THEN 'repeated_key'
+              WHEN passes THEN 'saved' ELSE 'gate_failed' END AS outcome FROM r""",
         "new_url_map": """
             SELECT 'https://itviec.com/it-jobs/part-' || p_partkey AS url, 'itviec_part-' || p_partkey AS job_id
             FROM part WHERE p_partkey % 3 <> 0""",
@@ -299,10 +332,35 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_RECORDS})""",
         "batch_ingest": f"""
             {_saved(_ITVIEC, "number % 9 = 0 OR number % 7 = 0")} UNION ALL {_saved(_TOPDEV)}""",
-        "listed_ingest": _saved(_ITVIEC, "number % 9 = 0 OR number >= 400"),
+        "listed_ingest": _site1_saved(
+            "doc_id % 9 <> 0 AND doc_id // 20 + 1 <= (SELECT max(doc_id) // 20 + 1 FROM documents) * 3 // 4"),
         "checked_ingest": f"""
-            SELECT 'itviec' AS source, count(*) AS n FROM ({_ITVIEC}) WHERE number % 8 <> 3 AND title <> ''
+            SELECT 'itviec' AS source, count(*) AS n FROM ({_site1_saved("doc_id % 8 <> 3")})
             UNION ALL SELECT 'topdev', count(*) FROM ({_TOPDEV}) WHERE title <> ''
             UNION ALL SELECT 'error', count(*) FROM documents WHERE doc_id % 8 = 3""",
-        "stream_ingest": f"{_saved(_ITVIEC, 'number % 9 = 0')} UNION ALL {_saved(_TOPDEV)}",
+        "page_outcomes": f"""
+            SELECT * FROM (
+            SELECT 'itviec' AS source, 'saved' AS outcome, count(*) AS n FROM ({_site1_saved("doc_id % 8 <> 3")})
+            UNION ALL SELECT 'itviec', 'gate_failed', (SELECT count(*) FROM ({_CHECKED_1})) - count(*) FROM ({_site1_saved("doc_id % 8 <> 3")})
+            UNION ALL SELECT 'itviec', 'url_failed', count(*) FROM documents WHERE doc_id % 8 = 3
+            UNION ALL SELECT 'itviec', 'no_heading', count(*) FROM documents WHERE doc_id % 8 <> 3 AND doc_id % 11 = 0
+            UNION ALL SELECT 'itviec', 'no_title', count(*) FROM documents WHERE doc_id % 8 <> 3 AND doc_id % 11 <> 0 AND {_TITLE} = ''
+            UNION ALL SELECT 'topdev', 'saved', count(*) FROM ({_TOPDEV}) WHERE title <> ''
+            UNION ALL SELECT 'topdev', 'challenge_page', count(*) FROM conversations WHERE {_CHALLENGED}
+            UNION ALL SELECT 'topdev', 'no_title', count(*) FROM ({_TOPDEV}) WHERE title = '') WHERE n > 0""",
+        "gate_reports": f"""
+            SELECT source, batch_no, total, bad, passed, message FROM ({_report(
+                f"SELECT source, batch_no, company = '' AS bad FROM ({_CHECKED_1}) UNION ALL SELECT source, batch_no, company = '' FROM ({_CHECKED_2})",
+                "source, batch_no", "source || '/' || batch_no", "title, company")})""",
+        "stream_ingest": f"{_site1_saved('doc_id % 9 <> 0')} UNION ALL {_saved(_TOPDEV)}",
+        "catalog_keys": f"""
+            SELECT DISTINCT job_id, coalesce(try_cast(posted_date AS DATE)::VARCHAR, '') AS posted_date FROM ({_RECORDS})
+            WHERE to_timestamp({_BASE} + number * 60) >= TIMESTAMPTZ '2023-12-21 00:00:00+00'""",
+        "catalog_areas": f"""
+            SELECT 'raws' AS area, source, count(*) AS n FROM ({_RECORDS}) GROUP BY source
+            UNION ALL SELECT 'error', source, count(*) FROM ({_ERRORS}) GROUP BY source""",
+        "failed_run": """
+            SELECT 'itviec' AS source, 'ListingError' AS error_type,
+              'no HTML for the first listing page of: itviec' AS error_msg, 'main' AS context, 'generic' AS error_class,
+              0::BIGINT AS saved""",
     }

@@ -308,14 +308,13 @@ def recent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _known_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of one week; the candidates come from the days after it."""
+    """Keys of one week; all events are candidates."""
     rows = _silver_events(spark, sf_dir).where(F.col("crawled_at") < _day("2024-01-23"))
     return incremental.recent_keys(rows, as_of=F.lit("2024-01-23").cast("date"), days=7)
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where(F.col("ts") >= _day("2024-01-23"))
-    return rows.select("event_id", _event_id_text().alias("job_id"), "ts")
+    return table(spark, sf_dir, "events").select("event_id", _event_id_text().alias("job_id"), "ts")
 
 
 @query
@@ -373,14 +372,27 @@ def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch numbers from the URL alone: do they stay in the range of a site's batches?"""
-    pages = _job_pages(spark, sf_dir).select("source", "url")
-    numbered = jobs.with_batches(pages, SITES)
-    size = F.when(F.col("source") == ITVIEC.name, ITVIEC.batch_size).otherwise(TOPDEV.batch_size)
-    return numbered.groupBy("source").agg(
-        F.count(F.lit(1)).alias("pages"),
-        ((F.min("batch_no") >= 1) & (F.max("batch_no") <= F.ceil(F.count(F.lit(1)) / size))).alias("in_range"),
+    """How many batches of each size the job makes of both sites' pages."""
+    sizes = jobs.site_batches(_job_pages(spark, sf_dir), SITES).groupBy("source", "batch_no").agg(
+        F.count(F.lit(1)).alias("batch_size")
+    )
+    return sizes.groupBy("source", "batch_size").agg(F.count(F.lit(1)).alias("batches"))
+
+
+@query
+def keys_of_failed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as records of batches, every other of which fails: what it holds is not known to later ones."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.lit(ITVIEC.name).alias("source"),
+        (F.expr("event_id div 50") + 1).alias("batch_no"),
+        _event_id_text().alias("job_id"),
+        F.lit("").alias("key_date"),
+        (F.expr("event_id div 50") % 2 == 0).alias("bad"),
+        F.when(F.col("event_id") % 17 == 0, F.lit("no_title")).alias("reject_reason"),
     )
+    decided, _ = jobs.gate(rows, (ITVIEC,))
+    return decided.select("event_id", "batch_no", "outcome")
 
 
 @query
@@ -644,37 +656,103 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def listed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job from its listing pages on: only pages that the frontier names."""
+    """The job from its listing pages on: only pages that the frontier names, in batches of the site's size."""
     store = _store_with_silver(spark, sf_dir, "listed")
     listed = site_pages.listing_pages(table(spark, sf_dir, "documents"), "doc_id", "role-")
     details = _itviec(spark, sf_dir)
-    jobs.run(details, (ITVIEC,), store, listing_pages=listed, max_pages=20, as_of=_as_of())
+    jobs.run(details, (ITVIEC,), store, listing_pages=listed, options=_REJECT, as_of=_as_of())
     return areas.read_jobs(spark, store, ITVIEC.name).select(*_SAVED)
 
 
-@query
-def checked_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+_REJECT = jobs.IngestOptions(on_gate="reject")
+
+
+def _checked_run(spark: SparkSession, sf_dir: str, name: str) -> Store:
     """The job with URL checks of the source that has them."""
-    store = Store(shared_dir(spark, "checked"))
+    store = Store(shared_dir(spark, name))
     pages = _job_pages(spark, sf_dir)
     number = F.regexp_extract("url", "-([0-9]+)$", 1).cast("bigint")
     log = pages.select(
         "source", "url", F.when(number % 8 == 3, 404).otherwise(200).alias("status_code"),
         F.lit("Not Found").alias("reason"), F.lit("").alias("error_type"), F.lit("").alias("tb_str"),
     )
-    jobs.run(pages, SITES, store, checks=url_checks.check_urls(log), as_of=_as_of())
+    jobs.run(pages, SITES, store, options=_REJECT, checks=url_checks.check_urls(log), as_of=_as_of())
+    return store
+
+
+@query
+def checked_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _checked_run(spark, sf_dir, "checked")
     saved = areas.read_silver(spark, store).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     errors = areas.read_errors(spark, store).groupBy(F.lit("error").alias("source")).agg(F.count(F.lit(1)).alias("n"))
     return saved.unionByName(errors)
 
 
+@query
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every page of a run: saved, or one reason why not."""
+    store = _checked_run(spark, sf_dir, "outcomes")
+    return areas.read_outcomes(spark, store).groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def gate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's report of every batch of a run."""
+    store = _checked_run(spark, sf_dir, "reports")
+    return areas.read_reports(spark, store).select("source", "batch_no", "total", "bad", "passed", "message")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job as a stream over page files, known rows included."""
+    """One stream a site over page files, both on one store, known rows included."""
     store = _store_with_silver(spark, sf_dir, "stream")
-    inbox = f"{store.base}/inbox"
-    _job_pages(spark, sf_dir).repartition(4, "url").write.parquet(inbox)
-    done = start_ingest(page_stream(spark, inbox, files_per_batch=2), SITES, store, f"{store.base}/checkpoint")
-    done.awaitTermination()
+    for spec, pages in ((ITVIEC, _itviec(spark, sf_dir)), (TOPDEV, _topdev(spark, sf_dir))):
+        inbox = f"{store.base}/inbox/{spec.name}"
+        pages.write.parquet(inbox)
+        start_ingest(page_stream(spark, inbox), (spec,), store, f"{store.base}/checkpoint/{spec.name}").awaitTermination()
     saved = listing.union_all([areas.read_jobs(spark, store, s.name) for s in SITES])
     return saved.select(*_SAVED)
+
+
+# ---- catalog -----------------------------------------------------------------------
+
+
+def _catalog_store(spark: SparkSession, name: str) -> Store:
+    base = shared_dir(spark, name)
+    return Store(base, schema="jobs_" + base.rsplit("-", 1)[-1])
+
+
+@query
+def catalog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set-up job, twice, then silver rows through the catalog's fact table."""
+    store = _catalog_store(spark, "catalog")
+    areas.bootstrap(spark, store)
+    areas.load_silver(_records(spark, sf_dir), store)
+    areas.bootstrap(spark, store)
+    return incremental.known_keys(spark, store.table(areas.FACT_TABLE), as_of=F.lit("2024-01-20").cast("date"))
+
+
+@query
+def catalog_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each area through the catalog: raw records and error records."""
+    store = _catalog_store(spark, "areas")
+    areas.bootstrap(spark, store)
+    areas.append_jobs(_records(spark, sf_dir), store, ITVIEC.name)
+    areas.append_errors(_errors(spark, sf_dir), store)
+    raw = spark.table(store.table("raws")).groupBy(F.lit("raws").alias("area"), "source").agg(F.count(F.lit(1)).alias("n"))
+    errors = spark.table(store.table("error")).groupBy(F.lit("error").alias("area"), "source").agg(F.count(F.lit(1)).alias("n"))
+    return raw.unionByName(errors)
+
+
+@query
+def failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without a first listing page fails: its exception as a classed error record, and what it saved."""
+    store = Store(shared_dir(spark, "failed"))
+    listed = site_pages.listing_pages(table(spark, sf_dir, "documents"), "doc_id", "role-").where("page_no > 1")
+    try:
+        jobs.run(_itviec(spark, sf_dir), (ITVIEC,), store, listing_pages=listed, options=_REJECT, as_of=_as_of())
+    except listing.ListingError:
+        pass
+    errors = areas.read_errors(spark, store, jobs.error_class(SITES))
+    saved = areas.silver_files(spark, store).agg(F.count(F.lit(1)).alias("saved"))
+    return errors.select("source", "error_type", "error_msg", "context", "error_class").crossJoin(saved)

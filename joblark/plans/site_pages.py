@@ -39,7 +39,7 @@ def _lines(text: Column) -> Column:
 
 
 def title_of(text: Column) -> Column:
-    return strip(F.substring(F.get(_lines(text), F.lit(0)), 1, 60))
+    return strip(F.get(_lines(text), F.lit(0)))
 
 
 def _paragraphs(text: Column) -> Column:
@@ -116,9 +116,11 @@ def topdev_pages(conversations: DataFrame) -> DataFrame:
 
 
 def listing_pages(rows: DataFrame, key: str = "p_partkey", slug: str = "part-") -> DataFrame:
-    """Listing pages of both sites, twenty rows on each; every 77th page of site 1
-    is empty, and site 2 says on its first page that it has 40 pages."""
+    """Listing pages of both sites, twenty rows on each; the page after three
+    quarters of them is empty on site 1, and site 2 names two thirds of them on its first page."""
     key = F.col(key)
+    last = rows.agg(F.max(F.floor(key / CARDS_PER_PAGE) + 1)).first()[0] or 0
+    empty, named = last * 3 // 4 + 1, max(1, last * 2 // 3)
     cards = rows.select(
         (F.floor(key / CARDS_PER_PAGE) + 1).cast("int").alias("page_no"),
         key.alias("key"),
@@ -133,10 +135,10 @@ def listing_pages(rows: DataFrame, key: str = "p_partkey", slug: str = "part-")
     number = F.col("page_no")
     box = _join("<nav><ul><li>77777</li></ul><div class='page'><div><a>", number, "</a><a>", number + 4,
                 "</a></div><a>next</a></div><a>88888</a></nav>")
-    itviec = _join(_HEAD, F.when(number % 77 != 0, F.array_join(F.col("rows.card"), "\n")).otherwise(""),
+    itviec = _join(_HEAD, F.when(number != empty, F.array_join(F.col("rows.card"), "\n")).otherwise(""),
                    F.when(number == 1, "<nav><div class='page'><a>1</a><a>1000000</a></div></nav>").otherwise(box),
                    _TAIL)
-    count = F.when(number == 1, F.lit(40)).otherwise(number + 2)
+    count = F.when(number == 1, F.lit(named)).otherwise(number + 2)
     topdev = _join(_HEAD, F.array_join(F.col("rows.link"), "\n"), '<a href="?page=', count, '">', count,
                    '</a><a href="?page=2">next</a>', _TAIL)
     both = F.array(

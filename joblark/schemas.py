@@ -56,3 +56,17 @@ ERROR = T.StructType(
     [T.StructField("timestamp", T.TimestampType())]
     + _strings("source", "error_type", "error_msg", "context", "traceback")
 )
+
+# What became of each page of a run; OUTCOMES in plans/ingest.py names the values.
+OUTCOME = T.StructType(
+    _strings("source", "url", "job_id")
+    + [T.StructField("batch_no", T.LongType())]
+    + _strings("outcome", "run_id")
+)
+
+REPORT = T.StructType(
+    [T.StructField("source", T.StringType()), T.StructField("batch_no", T.LongType())]
+    + [T.StructField(n, T.LongType()) for n in ("total", "bad", "clean")]
+    + [T.StructField("ratio", T.DoubleType()), T.StructField("passed", T.BooleanType())]
+    + _strings("message", "run_id")
+)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # Values of the quality gate unless a site says otherwise.
 CRITICAL_FIELDS = ("title", "company")
@@ -56,3 +57,22 @@ class SourceSpec:
     disconnect_markers: tuple[str, ...] = ()
     critical_fields: tuple[str, ...] = CRITICAL_FIELDS
     threshold: float = EMPTY_THRESHOLD
+
+
+def per_source(specs: tuple[SourceSpec, ...], value: Callable[[SourceSpec], Column], source: str = "source") -> Column:
+    """Each row's value by the rules of its own source; null for other sources."""
+    out = None
+    for spec in specs:
+        own = F.col(source) == spec.name
+        out = F.when(own, value(spec)) if out is None else out.when(own, value(spec))
+    return out
+
+
+def of_sources(specs: tuple[SourceSpec, ...], source: str = "source") -> Column:
+    return F.col(source).isin(*[s.name for s in specs])
+
+
+def nested_sources(specs: tuple[SourceSpec, ...]) -> bool | Column:
+    """Whether pages need no repair, by source where that differs."""
+    known = {s.well_nested for s in specs}
+    return known.pop() if len(known) == 1 else F.col("source").isin(*[s.name for s in specs if s.well_nested])

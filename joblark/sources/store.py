@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from joblark.schemas import BRONZE, ERROR, SILVER, SILVER_FILES, SILVER_PARTITION
+from joblark.schemas import BRONZE, ERROR, OUTCOME, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
 
 log = logging.getLogger(__name__)
 
+FACT_TABLE = "fact_jobs"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -30,6 +32,14 @@ class Store:
     def errors(self) -> str:
         return f"{self.base}/error"
 
+    @property
+    def outcomes(self) -> str:
+        return f"{self.base}/outcomes"
+
+    @property
+    def reports(self) -> str:
+        return f"{self.base}/reports"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver/fact_jobs"
@@ -58,46 +68,56 @@ def ensure_schema(spark: SparkSession, store: Store) -> None:
 
 
 def ensure_areas(spark: SparkSession, store: Store) -> None:
-    """Catalog tables over the raw and error areas; existing ones stay as they are."""
+    """Catalog tables over the raw, error and silver areas; existing ones stay as they are."""
     for area, schema, path in (("raws", BRONZE, store.raws), ("error", ERROR, store.errors)):
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {store.table(area)} ({_ddl(schema)}) "
             f"USING json OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
         )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {store.table(FACT_TABLE)} ({_ddl(SILVER_FILES)}) "
+        f"USING {store.silver_format} PARTITIONED BY ({SILVER_PARTITION}) LOCATION '{store.silver}'"
+    )
 
 
 def ensure_fact_table(spark: SparkSession, store: Store) -> None:
-    """The empty silver table; one that exists is left untouched."""
+    """The empty silver files; those that exist are left untouched."""
     empty = spark.createDataFrame([], SILVER_FILES)
     empty.write.format(store.silver_format).partitionBy(SILVER_PARTITION).mode("ignore").save(store.silver)
 
 
+def refresh_fact_table(spark: SparkSession, store: Store) -> None:
+    """Let the catalog table see new days of silver."""
+    spark.sql(f"MSCK REPAIR TABLE {store.table(FACT_TABLE)}")
+
+
 def bootstrap(spark: SparkSession, store: Store) -> None:
     """The set-up job: schema, areas, fact table. Safe to run again."""
     ensure_schema(spark, store)
-    ensure_areas(spark, store)
     ensure_fact_table(spark, store)
+    ensure_areas(spark, store)
+    refresh_fact_table(spark, store)
 
 
 # ---- JSONL sinks -------------------------------------------------------------------
 
 
-def append_jobs(records: DataFrame, store: Store, source: str, batch: int | None = None) -> str:
+def append_jobs(records: DataFrame, store: Store, source: str, run_id: str | None = None) -> str:
     """Append the records of a source as new JSONL files; none for no records.
 
-    With ``batch`` (the micro-batch id of a stream) the files go to a folder of
-    that batch, which a replay of the same batch replaces.
+    With ``run_id`` the files go to a folder of that run, which a repeated
+    attempt of the same run replaces.
     """
     own = records.where(F.col("source") == source)
     if own.isEmpty():
         return ""
     path = f"{store.raws}/{source}"
     writer = own.write.option("ignoreNullFields", False)
-    if batch is None:
+    if run_id is None:
         writer.mode("append").json(path)
         return path
-    writer.mode("overwrite").json(f"{path}/batch_id={batch}")
-    return f"{path}/batch_id={batch}"
+    writer.mode("overwrite").json(f"{path}/run_id={run_id}")
+    return f"{path}/run_id={run_id}"
 
 
 def overwrite_jobs(records: DataFrame, path: str) -> None:
@@ -106,12 +126,12 @@ def overwrite_jobs(records: DataFrame, path: str) -> None:
         records.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_errors(errors: DataFrame, store: Store, batch: int | None = None) -> bool:
+def append_errors(errors: DataFrame, store: Store, run_id: str | None = None) -> bool:
     """Append error records. A failed write is logged and never fails the job."""
-    path = store.errors if batch is None else f"{store.errors}/batch_id={batch}"
+    path = store.errors if run_id is None else f"{store.errors}/run_id={run_id}"
     try:
         if not errors.isEmpty():
-            mode = "append" if batch is None else "overwrite"
+            mode = "append" if run_id is None else "overwrite"
             errors.select(*ERROR.fieldNames()).write.mode(mode).option("ignoreNullFields", False).json(path)
         return True
     except Exception:  # the error area must not take the job down with it
@@ -124,32 +144,101 @@ def read_jobs(spark: SparkSession, store: Store, source: str) -> DataFrame:
     return spark.read.schema(BRONZE).option("recursiveFileLookup", True).json(path)
 
 
-def read_errors(spark: SparkSession, store: Store) -> DataFrame:
-    return spark.read.schema(ERROR).option("recursiveFileLookup", True).json(store.errors)
+def read_errors(spark: SparkSession, store: Store, error_class: Column | None = None) -> DataFrame:
+    """All error records, with their class where a rule for it is given."""
+    found = spark.read.schema(ERROR).option("recursiveFileLookup", True).json(store.errors)
+    return found if error_class is None else found.withColumn("error_class", error_class)
+
+
+def read_run(spark: SparkSession, store: Store, sources: list[str], run_id: str) -> DataFrame:
+    """What a run saved, from its raw files."""
+    paths = [f"{store.raws}/{s}/run_id={run_id}" for s in sources]
+    held = [p for p in paths if _exists(spark, p)]
+    return spark.read.schema(BRONZE).json(held) if held else spark.createDataFrame([], BRONZE)
+
+
+# ---- runs --------------------------------------------------------------------------
+#
+# A run settles what it will save in staged/<run>, touches the sinks, then leaves a
+# marker in committed/ and drops its staged folder. An attempt that finds a staged folder
+# marked ready saves those very rows; one that finds the marker has nothing to do.
+
+
+def _path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _path(spark, path)
+    return fs.exists(jpath)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, jpath = _path(spark, path)
+    fs.create(jpath, True).close()
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, jpath = _path(spark, path)
+    fs.delete(jpath, True)
 
 
-# ---- micro-batches of a stream -----------------------------------------------------
+def _staged_path(store: Store, run_id: str) -> str:
+    return f"{store.base}/staged/{run_id}"
 
 
-def stage_batch(records: DataFrame, store: Store, batch: int) -> DataFrame:
-    """Write what a micro-batch will save before any sink is touched, so that a
-    replay after a failure saves the very same rows."""
-    path = f"{store.base}/staged/batch_id={batch}"
+def write_area(rows: DataFrame, path: str, run_id: str) -> None:
+    """A run's share of an area, replaced by a repeated attempt."""
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+
+
+def stage_run(records: DataFrame, store: Store, run_id: str) -> DataFrame:
+    """Write what a run will save before any sink is touched."""
+    path = f"{_staged_path(store, run_id)}/records"
     records.write.mode("overwrite").parquet(path)
+    _touch(records.sparkSession, f"{_staged_path(store, run_id)}/READY")
     return records.sparkSession.read.schema(records.schema).parquet(path)
 
 
-def staged_batch(spark: SparkSession, store: Store, batch: int) -> DataFrame | None:
-    path = f"{store.base}/staged/batch_id={batch}"
-    return spark.read.parquet(path) if _exists(spark, f"{path}/_SUCCESS") else None
+def staged_run(spark: SparkSession, store: Store, run_id: str) -> DataFrame | None:
+    path = _staged_path(store, run_id)
+    return spark.read.parquet(f"{path}/records") if _exists(spark, f"{path}/READY") else None
 
 
-# ---- silver ------------------------------------------------------------------------
+def is_committed(spark: SparkSession, store: Store, run_id: str) -> bool:
+    return _exists(spark, f"{store.base}/committed/{run_id}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+def commit_run(spark: SparkSession, store: Store, run_id: str, earlier: str | None = None) -> None:
+    """Mark a run as saved and drop its staged rows, and the marker of an ``earlier`` run
+    that cannot be attempted again."""
+    _touch(spark, f"{store.base}/committed/{run_id}")
+    _drop(spark, _staged_path(store, run_id))
+    if earlier:
+        _drop(spark, f"{store.base}/committed/{earlier}")
+
+
+def pending_runs(spark: SparkSession, store: Store, prefix: str) -> list[str]:
+    """Runs of a name that are settled but not committed, from an attempt that failed."""
+    fs, jpath = _path(spark, f"{store.base}/staged")
+    if not fs.exists(jpath):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(jpath)]  # one entry a run that failed
+    return sorted(n for n in names if n.startswith(prefix) and _exists(spark, f"{store.base}/staged/{n}/READY"))
+
+
+def read_outcomes(spark: SparkSession, store: Store) -> DataFrame:
+    """One row a page that a run has seen: what became of it, and in which run."""
+    return spark.read.schema(OUTCOME).parquet(store.outcomes)
+
+
+def read_reports(spark: SparkSession, store: Store) -> DataFrame:
+    """The gate's reports of all runs."""
+    return spark.read.schema(REPORT).parquet(store.reports)
+
+
+# ---- silver ------------------------------------------------------------------------
 
 
 def silver_files(spark: SparkSession, store: Store) -> DataFrame:
@@ -191,7 +280,8 @@ def load_silver(records: DataFrame, store: Store) -> None:
     """Append raw records to silver, leaving out rows it already holds.
 
     A row is one fetch of one page (id, URL, fetch time), so loading the same
-    files again adds nothing. Only the days the records span are read back.
+    files again adds nothing. Only the days the records span are read back, and
+    which rows are held is found on narrow columns first.
     """
     spark = records.sparkSession
     same = ["job_id", "url", "crawled_at"]
@@ -201,7 +291,8 @@ def load_silver(records: DataFrame, store: Store) -> None:
     if span["lo"] is not None:
         day = F.col(SILVER_PARTITION)
         held = held.where(day.between(F.lit(span["lo"]), F.lit(span["hi"])) | day.isNull())
-    held = held.select(*same).distinct()
+    fresh = rows.select(*same).distinct()
+    held = held.select(*same).join(fresh, [held[c].eqNullSafe(fresh[c]) for c in same], "left_semi")
     match = [rows[c].eqNullSafe(held[c]) for c in same]
     (
         rows.join(held, match, "left_anti")

@@ -1,5 +1,6 @@
 import os
 import random
+import time
 from pathlib import Path
 
 import pytest
@@ -43,7 +44,7 @@ def node(rng, depth, inside_link=False, broken=0, how=""):
     shown = tag.upper() if rng.random() < 0.1 else tag
     end = f"</{shown}>"
     if rng.random() < broken:
-        end = {"open": "", "stray": rng.choice(["</em>" + end, end + "</section>"])}[how]
+        end = {"open": "", "stray": rng.choice(["</em>" + end, end + "</section>"]), "cross": f"<em>x{end}y</em>"}[how]
     return f"<{shown}{attributes(rng)}>{body(inside_link)}{end}"
 
 
@@ -52,7 +53,7 @@ def pages(broken, how, n=250):
     return ["<html><body>" + "".join(node(rng, 5, broken=broken, how=how) for _ in range(6)) + "</body></html>" for _ in range(n)]
 
 
-@pytest.mark.parametrize("broken, how", [(0, ""), (0.1, "open"), (0.4, "open"), (0.1, "stray"), (0.4, "stray")])
+@pytest.mark.parametrize("broken, how", [(0, ""), (0.1, "open"), (0.4, "open"), (0.1, "stray"), (0.4, "stray"), (0.1, "cross"), (0.4, "cross")])
 def test_rules_agree_with_a_document_tree(spark, broken, how):
     made = pages(broken, how)
     card = {"tag": "div", "classes": ("job-card",)}
@@ -147,6 +148,36 @@ def test_large_page(spark):
     assert got == ["deep", 249999]
 
 
+def test_crossed_tags(spark):
+    h = F.col("h")
+    assert values(spark, "<div><h1>A</div><p>B</p></h1>", html.text(html.first(h, Selector("h1")))) == ["A"]
+    assert html.nested_page("<b><i>x</b>y</i>z") == "<b><i>x</i></b>y<!---->z"
+    whole = "<div><br><img src=x/><p>a<b c='d'>e</b></p></div>"
+    assert html.nested_page(whole) == whole
+
+
+def test_repair_takes_time_in_proportion():
+    def took(n):
+        page = "<ul>" + "<li>item " * n + "</ul>" + "</b>" * n + "<p>x" * n
+        best = 9.0
+        for _ in range(3):
+            start = time.perf_counter()
+            html.nested_page(page)
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert took(20_000) < 2
+    assert took(80_000) < 12 * took(20_000) + 0.1
+
+
+def test_large_nested_navigation(spark):
+    n = 8_000
+    page = "<nav>" + "<nav><a>1</a></nav>" * n + "</nav><nav>2</nav>"
+    start = time.perf_counter()
+    got = values(spark, page, F.transform(html.outermost(F.col("h"), Selector("nav")), lambda e: F.length(html.text(e))))
+    assert got == [[n, 1]] and time.perf_counter() - start < 20
+
+
 RAW_PAGES = Path(os.environ.get("JOBLARK_TESTDATA", "/root/testdata")) / "sf0.01" / "pages.parquet"
 
 

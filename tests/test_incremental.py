@@ -113,7 +113,7 @@ def test_skew_join_spreads_the_hot_key(spark):
 def test_batches_have_exact_sizes(spark):
     rows = [("s1", f"u{i}") for i in range(103)] + [("s2", f"u{i}") for i in range(5)] + [("s3", "u")]
     df = spark.createDataFrame(rows, "source string, url string")
-    got = inc.assign_batches(df, F.when(F.col("source") == "s3", 1).otherwise(5), buckets=7).collect()
+    got = inc.assign_batches(df, F.when(F.col("source") == "s3", 1).otherwise(5), digits=1).collect()
     sizes = {}
     for r in got:
         sizes[(r["source"], r["batch_no"])] = sizes.get((r["source"], r["batch_no"]), 0) + 1
@@ -123,9 +123,28 @@ def test_batches_have_exact_sizes(spark):
     assert sizes[("s1", 21)] == 3 and sizes[("s2", 1)] == 5 and sizes[("s3", 1)] == 1
 
 
-def test_batch_key_covers_its_numbers(spark):
-    got = {r["b"] for r in spark.range(500).select(inc.batch_key(F.col("id").cast("string"), F.lit(7)).alias("b")).collect()}
-    assert got == set(range(1, 8))
+@pytest.mark.parametrize("seed", [1, 2])
+def test_batches_settle_as_if_saved_in_order(spark, seed):
+    rng = random.Random(seed)
+    held = {}
+    for _ in range(400):
+        at = (rng.choice("ab"), rng.randint(1, 25), f"k{rng.randint(0, 30)}")
+        total = rng.randint(1, 3)
+        held[at] = (total, rng.randint(0, total))
+    members = spark.createDataFrame([(*at, *n) for at, n in held.items()], "source string, batch_no long, key string, total long, bad long")
+    settled, known = inc.settle_batches(members, F.lit(0.5))
+    saved, verdicts, repeats = set(), set(), set()
+    for source, batch in sorted({at[:2] for at in held}):
+        own = {at: n for at, n in held.items() if at[:2] == (source, batch)}
+        again = {at for at in own if (source, at[2]) in saved}
+        total, bad = (sum(n[i] for at, n in own.items() if at not in again) for i in (0, 1))
+        passed = not total or bad / total <= 0.5
+        verdicts.add((source, batch, total, bad, passed))
+        repeats |= again
+        if passed:
+            saved |= {(source, at[2]) for at in own}
+    assert {(r["source"], r["batch_no"], r["total"], r["bad"], r["passed"]) for r in settled.collect()} == verdicts
+    assert {(r["source"], r["batch_no"], r["key"]) for r in known.collect()} == repeats
 
 
 @pytest.mark.parametrize("block", [1, 3, 4096])

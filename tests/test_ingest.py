@@ -115,6 +115,10 @@ def test_the_gate_can_reject_a_batch(spark, store):
     batched = rows.withColumn("batch_no", F.when(F.col("job_id") < "topdev_4", 1).otherwise(2).cast("bigint"))
     got = jobs.run(batched, SITES, store, options=IngestOptions(on_gate="reject"), as_of=as_of())
     assert ids(got) == ["topdev_4", "topdev_5"]  # two of three bad fail, one of two passes
+    reports = {r["batch_no"]: (r["total"], r["bad"], r["passed"]) for r in areas.read_reports(spark, store).collect()}
+    assert reports == {1: (3, 2, False), 2: (2, 1, True)}
+    outcomes = {r["job_id"]: r["outcome"] for r in areas.read_outcomes(spark, store).collect()}
+    assert outcomes == {f"topdev_{i}": "gate_failed" if i < 4 else "saved" for i in range(1, 6)}
     assert saved(spark, store) == ["topdev_4", "topdev_5"]
 
 
@@ -178,14 +182,14 @@ def test_a_replayed_batch_saves_the_same_rows(spark, store, lost, monkeypatch):
         real = getattr(areas, sink)
         monkeypatch.setattr(areas, sink, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
-            ingest(spark, store, *rows, batch=0)
+            ingest(spark, store, *rows, run_id="a-0")
         monkeypatch.setattr(areas, sink, real)
     for _ in range(2):
-        assert ids(ingest(spark, store, *rows, batch=0)) == ["itviec_s1", "itviec_s2", "topdev_1"]
+        assert ids(ingest(spark, store, *rows, run_id="a-0")) == ["itviec_s1", "itviec_s2", "topdev_1"]
     assert saved(spark, store) == ["itviec_s1", "itviec_s2", "topdev_1"]
     assert areas.read_jobs(spark, store, "itviec").count() == 2
     assert areas.read_jobs(spark, store, "topdev").count() == 1
-    assert ingest(spark, store, *rows, batch=1).count() == 0
+    assert ingest(spark, store, *rows, run_id="a-1").count() == 0
 
 
 def test_specifications_of_the_sites():
@@ -217,14 +221,101 @@ def test_a_run_without_a_first_listing_page_fails(spark, store):
     assert areas.read_errors(spark, store).first()["error_type"] == "ListingError"
 
 
-def test_batch_numbers(spark):
+def test_batches_have_the_sites_size(spark, store):
     rows = pages(spark, *[itviec(i) for i in range(23)], *[topdev(i) for i in range(4)])
-    got = jobs.with_batches(rows, SITES).select("source", "batch_no").collect()
-    assert {r["batch_no"] for r in got if r["source"] == "itviec"} <= set(range(1, 6))
-    assert {r["batch_no"] for r in got if r["source"] == "topdev"} <= set(range(1, 5))
+    got = jobs.site_batches(rows, SITES).groupBy("source", "batch_no").count().collect()
+    assert sorted((r["source"], r["batch_no"], r["count"]) for r in got) == [
+        *(("itviec", b, 3 if b == 5 else 5) for b in range(1, 6)), *(("topdev", b, 1) for b in range(1, 5)),
+    ]
 
 
 def test_pages_are_read_with_a_given_schema(spark, store):
     drop(spark, store, itviec(1))
     got = areas.read_pages(spark, f"{store.base}/inbox", DETAIL_PAGE)
     assert got.schema == DETAIL_PAGE and got.count() == 1
+
+
+def batched(spark, *rows):
+    """Pages with their batch: (row, batch)."""
+    return spark.createDataFrame([(*r, b) for r, b in rows], "source string, url string, job_id string, html string, crawled_at timestamp, batch_no long")
+
+
+def test_a_failed_batch_holds_no_key(spark, store):
+    """A pair of a batch that fails is saved by the next batch that has it."""
+    rows = [
+        (topdev(1, url="u/1a"), 1), (topdev(2, company="", url="u/2"), 1), (topdev(3, company="", url="u/3"), 1),
+        (topdev(1, url="u/1b"), 2), (topdev(4, url="u/4"), 2),
+        (topdev(1, url="u/1c"), 3), (topdev(5, company="", url="u/5"), 3),
+        (topdev(5, company="", url="u/5b"), 4), (topdev(6, url="u/6"), 4),
+    ]
+    got = jobs.run(batched(spark, *rows), SITES, store, options=IngestOptions(on_gate="reject"), as_of=as_of())
+    assert sorted(r["url"] for r in got.collect()) == ["u/1b", "u/4", "u/5b", "u/6"]
+    outcomes = {r["url"]: r["outcome"] for r in areas.read_outcomes(spark, store).collect()}
+    assert outcomes["u/1a"] == "gate_failed" and outcomes["u/1c"] == "repeated_key" and outcomes["u/5"] == "gate_failed"
+
+
+def test_every_page_has_one_outcome(spark, store):
+    ingest(spark, store, itviec(1), topdev(1))
+    rows = [itviec(1), itviec(2), itviec(3, title=""), ("itviec", "u4", "itviec_s4", "<h2>x</h2>", AT),
+            ("topdev", "u5", "topdev_5", "<h1>x</h1> captcha", AT), topdev(6), topdev(7, company="")]
+    ingest(spark, store, *rows, options=IngestOptions(on_gate="reject"))
+    got = [(r["job_id"], r["outcome"]) for r in areas.read_outcomes(spark, store).collect()]
+    assert sorted(got) == sorted([
+        ("itviec_s1", "saved"), ("topdev_1", "saved"), ("itviec_s1", "known_id"), ("itviec_s2", "saved"), ("itviec_s3", "no_title"),
+        ("itviec_s4", "no_heading"), ("topdev_5", "challenge_page"), ("topdev_6", "saved"), ("topdev_7", "gate_failed"),
+    ])
+
+
+def test_a_run_that_fails_and_is_repeated_saves_once(spark, store, monkeypatch):
+    rows = [itviec(1), itviec(2), topdev(1)]
+    real = areas.load_silver
+    monkeypatch.setattr(areas, "load_silver", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        ingest(spark, store, *rows)
+    monkeypatch.setattr(areas, "load_silver", real)
+    ingest(spark, store, *rows, itviec(3))
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "itviec_s3", "topdev_1"]
+    assert ids(areas.read_jobs(spark, store, "itviec")) == ["itviec_s1", "itviec_s2", "itviec_s3"]
+    assert areas.pending_runs(spark, store, "run-") == []
+
+
+def test_two_streams_share_a_store(spark, store):
+    for site, rows in ((ITVIEC, [itviec(1), itviec(2)]), (TOPDEV, [topdev(1), topdev(2), topdev(3)])):
+        inbox = f"{store.base}/in-{site.name}"
+        pages(spark, *rows).coalesce(1).write.parquet(inbox)
+        start_ingest(page_stream(spark, inbox), (site,), store, f"{store.base}/ck-{site.name}").awaitTermination()
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "topdev_1", "topdev_2", "topdev_3"]
+    assert areas.read_jobs(spark, store, "topdev").count() == 3
+
+
+def test_a_new_checkpoint_over_an_old_store(spark, store):
+    drop(spark, store, itviec(1))
+    run_stream(spark, store)
+    other = f"{store.base}/more"
+    pages(spark, itviec(2), itviec(3)).coalesce(1).write.parquet(other)
+    start_ingest(page_stream(spark, other), SITES, store, f"{store.base}/new").awaitTermination()
+    assert saved(spark, store) == ["itviec_s1", "itviec_s2", "itviec_s3"]
+    assert areas.read_jobs(spark, store, "itviec").count() == 3
+    import os
+
+    assert os.listdir(f"{store.base}/staged") == []
+
+
+def test_one_scan_for_all_sites(spark, store):
+    pages(spark, itviec(1), topdev(1)).write.parquet(f"{store.base}/both")
+    read = spark.read.schema(DETAIL_PAGE).parquet(f"{store.base}/both")
+    keys = spark.createDataFrame([], "job_id string, posted_date string")
+    plan = jobs.fresh_records(read, keys, SITES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    spark.createDataFrame([listing_page(1, "a")], LISTING_PAGE).write.parquet(f"{store.base}/listed")
+    from joblark.operators import listing
+
+    listed = spark.read.schema(LISTING_PAGE).parquet(f"{store.base}/listed")
+    assert listing.listing_facts(listed, SITES)._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_error_classes_by_the_sources_markers(spark, store):
+    for message in (TOPDEV.disconnect_markers[-1].upper() + " x", "other"):
+        areas.append_errors(url_checks.exception_record(spark, OSError(message), "topdev"), store)
+    got = {r["error_msg"]: r["error_class"] for r in areas.read_errors(spark, store, jobs.error_class(SITES)).collect()}
+    assert sorted(got.values()) == ["disconnect", "generic"]

@@ -22,7 +22,7 @@ def report(spark, *rows, **kwargs):
 def test_half_bad_passes_and_more_fails(spark):
     half = report(spark, ("t", "c"), ("t", ""))
     assert (half["total"], half["bad"], half["clean"], half["ratio"], half["passed"]) == (2, 1, 1, 0.5, True)
-    assert half["message"] == "[s/1] Quality check passed: 1/2 records are clean"
+    assert half["message"] == "[s/1] 1 of 2 records have all critical fields"
     more = report(spark, ("t", "c"), ("t", ""), ("", "c"))
     assert (more["bad"], more["passed"]) == (2, False)
     assert more["message"].startswith("Quality check failed for 's/1': 2/3 records (67%) lack a critical field (title, company)")

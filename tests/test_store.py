@@ -42,9 +42,9 @@ def test_no_file_for_no_records(spark, store):
 
 
 def test_a_batch_replaces_only_itself(spark, store):
-    areas.append_jobs(jobs(spark, job(1)), store, "itviec", batch=0)
-    areas.append_jobs(jobs(spark, job(2), job(3)), store, "itviec", batch=1)
-    areas.append_jobs(jobs(spark, job(2), job(3)), store, "itviec", batch=1)
+    areas.append_jobs(jobs(spark, job(1)), store, "itviec", run_id="r0")
+    areas.append_jobs(jobs(spark, job(2), job(3)), store, "itviec", run_id="r1")
+    areas.append_jobs(jobs(spark, job(2), job(3)), store, "itviec", run_id="r1")
     assert sorted(r["job_id"] for r in areas.read_jobs(spark, store, "itviec").collect()) == ["itviec_1", "itviec_2", "itviec_3"]
 
 
@@ -76,7 +76,7 @@ def test_bootstrap_is_idempotent(spark, store):
     areas.append_jobs(jobs(spark, job(1)), store, "itviec")
     areas.bootstrap(spark, store)
     assert areas.read_silver(spark, store).count() == 1
-    assert sorted(t.name for t in spark.catalog.listTables(store.schema) if not t.isTemporary) == ["error", "raws"]
+    assert sorted(t.name for t in spark.catalog.listTables(store.schema) if not t.isTemporary) == ["error", "fact_jobs", "raws"]
     spark.catalog.refreshTable(store.table("raws"))
     assert spark.table(store.table("raws")).select("job_id").collect()[0][0] == "itviec_1"
 
