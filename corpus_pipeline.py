@@ -1,7 +1,8 @@
 """From raw documents to token ids, in stages that are each written before the next.
 
 1. quality: documents the classifier gives less than ``KEEP_SCORE`` go
-2. near_dedup: of each component of SimHash links the document with the smallest id stays
+2. near_dedup: documents linked by SimHash whose 5-word shingles are alike (0.8 or more)
+   form groups, of which the document with the smallest id stays
 3. substring_dedup: words inside stretches of 35 words that occur twice or more go,
    and documents of which no word is left
 4. decontaminate: documents that hold a window of the benchmark go
@@ -41,7 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs)
+    groups = simhash.similar_documents(docs)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
 

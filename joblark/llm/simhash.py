@@ -15,6 +15,11 @@ inequality, so that a star of links says all. No step makes the pairs of a group
 Links join fingerprints, not documents: copies share one. Components come from
 alternating large-star and small-star rounds over tables in the shared folder.
 
+``similar_documents`` is for removal instead of for the links themselves: its prints are of
+the different single words, which few edits hardly move, and what they link is
+kept only if the sets of 5-word shingles are alike (Jaccard 0.8 or more, of bottom
+``SKETCH`` hashes: exact up to so many shingles, else an estimate).
+
 Null texts have no words; null ids are smaller than all others, and a component
 with one has a null id. Repeated rows come back as often as they occur. Other columns are ignored.
 """
@@ -30,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from joblark.llm import hashing
 from joblark.session import materialize
 
 SHINGLE = 4
@@ -39,6 +45,9 @@ SEED = 42
 CROWD = 32
 # Fingerprints whose variants one task writes.
 PRINTS = 50_000
+SKETCH = 128
+SKETCH_SHINGLE = 5
+SIMILARITY = 0.8
 
 U = np.uint64
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -211,5 +220,67 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return found.join(of_class, "fp").select("doc_id", "fp", F.nullif("component_id", F.lit(_SMALLEST)).alias("component_id"))
 
 
+def word_print(text: bytes) -> int:
+    """The fingerprint of a text's different words, each counted once."""
+    words = set(text.translate(_LOWER).split())
+    if not words:
+        return 0
+    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], U)
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
+
+
+def sketch(text: bytes, shingle: int = SKETCH_SHINGLE, size: int = SKETCH) -> bytes:
+    """The smallest hashes of a text's shingles, in order; fewer words are one shingle."""
+    h, _, _ = hashing.word_elements([text.translate(_LOWER)])
+    runs = hashing.run_hashes(h, min(shingle, max(1, len(h))))
+    return np.unique(runs)[:size].tobytes()
+
+
+def alike(a: bytes, b: bytes, size: int = SKETCH) -> float:
+    """Jaccard similarity of the sets behind two sketches; two empty ones are equal."""
+    x, y = np.frombuffer(a, U), np.frombuffer(b, U)
+    both = np.union1d(x, y)[:size]
+    return float((np.isin(both, x) & np.isin(both, y)).mean()) if len(both) else 1.0
+
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, component_id)`` a doc_id; ``component_id`` is the smallest doc_id reachable by
+    links between documents whose word prints are near and whose shingles are alike.
+
+    Documents of one print are compared with the first of them, linked prints by their first documents.
+    """
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            prints = np.array([word_print(t) for t in texts], U).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(prints), pa.array([sketch(t) for t in texts], pa.binary())], ["doc", "fp", "sketch"])
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [alike(x, y) >= similarity for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.alias("text"))
+    found = materialize(texts.mapInArrow(described, "doc long, fp long, sketch binary").withColumn("same", F.xxhash64("sketch")), "sketches")
+    # equal prints and sketches are one unit, so that copies are no links
+    units = materialize(found.groupBy("fp", "same").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch")), "units")
+    first = F.min(F.struct("doc", "sketch")).alias("first")
+    classes = materialize(units.groupBy("fp").agg(first).select("fp", F.col("first.doc").alias("b"), F.col("first.sketch").alias("y")), "classes")
+    inside = units.select("fp", F.col("doc").alias("a"), F.col("sketch").alias("x")).join(classes, "fp").where("a <> b")
+    near = links(classes, radius).withColumnsRenamed({"a": "p", "b": "fp"})
+    across = near.join(classes, "fp").join(classes.select(F.col("fp").alias("p"), F.col("b").alias("a"), F.col("y").alias("x")), "p")
+    pairs = inside.select("a", "x", "b", "y").unionByName(across.select("a", "x", "b", "y"))
+    moved = components(pairs.mapInArrow(verified, "a long, b long"))
+    roots = units.select("fp", "same", F.col("doc").alias("node")).join(moved, "node", "left")
+    of = found.select("doc", "fp", "same").join(roots, ["fp", "same"])
+    real = lambda c: F.nullif(c, F.lit(_SMALLEST))
+    return of.groupBy("doc").agg(F.min(F.coalesce("root", "node")).alias("root")).select(
+        real(F.col("doc")).alias("doc_id"), real(F.col("root")).alias("component_id")
+    )
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -7,7 +7,7 @@ import corpus_pipeline
 from joblark.llm import bpe
 from tests.llm.test_decontaminate import brute as brute_decontaminate
 from tests.llm.test_repeats import brute_words
-from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_simhash import brute_similar
 
 
 def fixture(path, spark):
@@ -18,7 +18,7 @@ def fixture(path, spark):
     rows, labels = [], []
     for i in range(160):
         kind = i % 8
-        body = text(rng.randint(30, 160))
+        body = text(rng.randint(30, 90))
         if kind == 1:
             body = " ".join(w + rng.choice(["###", "%%%", "$$$"]) for w in body.split())
         elif kind == 2 and i > 8:
@@ -42,7 +42,7 @@ def test_pipeline(spark, tmp_path):
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
 
     kept = [(d, t) for d, t, *_ in rows if "###" not in t and "%%%" not in t and "$$$" not in t]
-    root = brute_components([brute_print(t) for _, t in kept])
+    root = brute_similar([t for _, t in kept])
     kept = [r for i, r in enumerate(kept) if root[i] == i]
     left = {d: w.decode() for (d, _), w in brute_words(kept, 35).items()}
     kept = [(d, t) for d, t in kept if left[d]]
