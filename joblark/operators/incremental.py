@@ -107,34 +107,49 @@ def settle_batches(members: DataFrame, threshold: Column) -> tuple[DataFrame, Da
     """
     at = ["source", "batch_no"]
     members = materialize(members, "members")
-    settled = None
+    shared = members.groupBy("source", "key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    # only keys of several batches can make one batch wait for another
+    repeats = materialize(members.join(shared, ["source", "key"], "left_semi"), "repeats")
+    ratio = F.try_divide("bad", "total")
+    passed = ((F.col("total") == 0) | (ratio <= threshold)).alias("passed")
+    whole = members.groupBy(*at).agg(F.sum("total").alias("total"), F.sum("bad").alias("bad"))
+    if repeats.isEmpty():
+        none = repeats.select(*at, "key")
+        return materialize(whole.select(*at, "total", "bad", passed), "settled"), none
+    whole = materialize(whole, "whole")
+    settled, left = None, True
     while True:
         if settled is None:
-            state = members.withColumn("passed", F.lit(None).cast("boolean"))
+            state = repeats.withColumn("passed", F.lit(None).cast("boolean"))
         else:
-            state = members.join(settled.select(*at, "passed"), at, "left")
+            state = repeats.join(settled.select(*at, "passed"), at, "left")
         state = state.withColumn("open", F.col("passed").isNull())
         firsts = state.groupBy("source", "key").agg(
             F.min(F.when(F.col("passed"), F.col("batch_no"))).alias("_held"),
             F.min(F.when(F.col("open"), F.col("batch_no"))).alias("_open"),
-            F.count(F.lit(1)).alias("_batches"),
-        ).where("_batches > 1")
-        judged = state.join(firsts.drop("_batches"), ["source", "key"], "left").select(
-            *at, "key", "total", "bad", "open",
+        )
+        judged = state.join(firsts, ["source", "key"]).select(
+            *at, "key", "total", "bad",
             F.coalesce(F.col("_held") < F.col("batch_no"), F.lit(False)).alias("known"),
             F.coalesce(F.col("_open") < F.col("batch_no"), F.lit(False)).alias("before"),
         )
-        if settled is not None and not left:
+        if not left:
             return settled, judged.where("known").select(*at, "key")
-        fresh = judged.where("open").groupBy(*at).agg(
-            F.coalesce(F.sum(F.when(~F.col("known"), F.col("total"))), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(~F.col("known"), F.col("bad"))), F.lit(0)).alias("bad"),
+        known = judged.groupBy(*at).agg(
+            F.sum(F.when(F.col("known"), F.col("total")).otherwise(0)).alias("_total"),
+            F.sum(F.when(F.col("known"), F.col("bad")).otherwise(0)).alias("_bad"),
             F.max(F.col("before") & ~F.col("known")).alias("_waits"),
         )
-        passed = (F.col("total") == 0) | (F.try_divide("bad", "total") <= threshold)
-        fresh = materialize(fresh.withColumn("passed", passed), "settled")
+        open_batches = whole if settled is None else whole.join(settled.select(*at), at, "left_anti")
+        fresh = open_batches.join(known, at, "left").select(
+            *at,
+            (F.col("total") - F.coalesce("_total", F.lit(0))).alias("total"),
+            (F.col("bad") - F.coalesce("_bad", F.lit(0))).alias("bad"),
+            F.coalesce("_waits", F.lit(False)).alias("_waits"),
+        )
+        fresh = materialize(fresh.select(*at, "total", "bad", passed, "_waits"), "settled")
         done = fresh.where(~F.col("_waits")).drop("_waits")
-        left = fresh.where("_waits").take(1)
+        left = bool(fresh.where("_waits").take(1))
         settled = done if settled is None else settled.unionByName(done)
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, quality, url_checks
-from joblark.operators.joins import BROADCAST_ROWS, sized_join, skew_join
-from joblark.schemas import BRONZE, OUTCOME, REPORT
+from joblark.operators.joins import BROADCAST_ROWS, Join, sized_join, skew_join
+from joblark.schemas import BRONZE, REPORT
 from joblark.session import materialize
 from joblark.sources import store as areas
 from joblark.sources.spec import SourceSpec, of_sources, per_source
@@ -43,6 +43,12 @@ class IngestOptions:
     def join(self, *args) -> DataFrame:
         return sized_join(*args, limit=self.broadcast_rows)
 
+    def known_join(self, count: int) -> Join:
+        """A join with a right side of known size."""
+        if count > self.broadcast_rows:
+            return skew_join
+        return lambda left, right, on, how, spread: left.join(F.broadcast(right), on, how)
+
 
 def crawl_frontier(
     pages: DataFrame, specs: tuple[SourceSpec, ...], max_pages: int = 0
@@ -195,11 +201,12 @@ def settle(
     spark = pages.sparkSession
     pages = pages.where(of_sources(specs))
     keys = materialize(silver_keys(spark, store, specs, as_of), "keys")
+    n_keys = keys.count()
     filters = []
     if urls is not None:
         filters.append(Filter.of(urls, ("source", "url"), NOT_LISTED, keep_held=True))
     if options.mode == "id":
-        filters.append(Filter.of(keys, ("job_id",), KNOWN_ID))
+        filters.append(Filter(keys.select("job_id").distinct(), ("job_id",), KNOWN_ID, False, n_keys))
     elif options.mode != "id_date":
         raise ValueError(f"unknown mode: {options.mode}")
     if checks is not None:
@@ -227,25 +234,21 @@ def settle(
     )
     large = [f for f in filters if f.count > options.broadcast_rows]
     narrow = filtered(narrow, large, options.broadcast_rows).where(F.col("early").isNull()).drop("early")
-    narrow = incremental.triage(narrow, keys, ["url"], options.join)
+    narrow = incremental.triage(narrow, keys, ["url"], options.known_join(n_keys))
     if not given:
         narrow = narrow.join(batches, ["source", "url"])
     narrow = materialize(narrow, "triage")
 
     decided, report = gate(narrow, specs)
-    report = materialize(report, "report")
     areas.write_area(report.withColumn("run_id", F.lit(run_id)).select(*REPORT.fieldNames()), store.reports, run_id)
     if options.on_gate == "raise":
         quality.enforce(report)
-    decided = materialize(decided, "decided")
-    stopped = flagged.where(F.col("early").isNotNull()).withColumnRenamed("early", "outcome")
-    outcomes = decided.select("source", "url", "job_id", "batch_no", "outcome").unionByName(
-        stopped.select("source", "url", "job_id", "batch_no", "outcome")
-    )
-    areas.write_area(outcomes.withColumn("run_id", F.lit(run_id)).select(*OUTCOME.fieldNames()), store.outcomes, run_id)
-    accepted = decided.where(F.col("outcome") == SAVED).select("_row")
-    few = accepted.count() <= options.broadcast_rows
-    saved = records.join(F.broadcast(accepted) if few else accepted, "_row").drop("_row", "page_reject", "batch_no")
+    stopped = flagged.where(F.col("early").isNotNull()).withColumnsRenamed({"early": "outcome"})
+    columns = ["source", "url", "job_id", "batch_no", "outcome", "_row"]
+    outcomes = decided.select(*columns).unionByName(stopped.withColumn("_row", F.lit(None).cast("bigint")).select(*columns))
+    decided = areas.write_area(outcomes.withColumn("run_id", F.lit(run_id)), store.outcomes, run_id)
+    accepted = decided.where((F.col("outcome") == SAVED) & F.col("_row").isNotNull()).select("_row")
+    saved = records.join(accepted, "_row").drop("_row", "page_reject", "batch_no")
     return areas.stage_run(saved, store, run_id)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,12 @@ def build_session(app: str = "joblark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """For local sessions without a shared folder: one that goes with the process."""
+    return tempfile.TemporaryDirectory(prefix="joblark-", ignore_cleanup_errors=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
@@ -39,9 +46,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="joblark-")
+        base = _own_folder().name
     return f"{base.rstrip('/')}/joblark/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -188,9 +188,10 @@ def _staged_path(store: Store, run_id: str) -> str:
     return f"{store.base}/staged/{run_id}"
 
 
-def write_area(rows: DataFrame, path: str, run_id: str) -> None:
-    """A run's share of an area, replaced by a repeated attempt."""
+def write_area(rows: DataFrame, path: str, run_id: str) -> DataFrame:
+    """A run's share of an area, replaced by a repeated attempt, as written."""
     rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/run_id={run_id}")
 
 
 def stage_run(records: DataFrame, store: Store, run_id: str) -> DataFrame:
