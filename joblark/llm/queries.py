@@ -100,7 +100,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~left_out(5, 0)))
-    found = language_id.languages(docs, model, left_out(5, 0).alias("held_out"))
+    found = language_id.languages(docs, model, F.coalesce(left_out(5, 0), F.lit(False)).alias("held_out"))
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
