@@ -163,6 +163,19 @@ def _meet(radius: int, crowd: int):
     return run
 
 
+def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first member of each bucket with each of the others."""
+    centre, number = U(0), -1
+    for fp, bucket in _runs(batches):
+        start = np.flatnonzero(np.r_[bucket[0] != number, bucket[1:] != bucket[:-1]])
+        heads = np.r_[centre, fp[start]]
+        of = heads[np.searchsorted(start, np.arange(len(fp)), side="right")]
+        both = np.unique(np.stack([of, fp])[:, of != fp], axis=1)
+        if both.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(x.copy().view(np.int64)) for x in both], ["a", "b"])
+        centre, number = of[-1], bucket[-1]
+
+
 def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """``(a, b)`` signed fingerprints within ``radius`` bits: pairs, or stars that connect the same."""
     if radius not in (2, 4):
@@ -178,9 +191,7 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     ball = [(_balls(list(range(64)), radius // 2), U(2**64 - 1))]
     full = crowded.mapInArrow(_emit(ball), "which tinyint, key long, fp long")
     # in one bucket of the full ball all are within the radius: a star links them
-    star = full.join(
-        full.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("key", "a"), "key"
-    ).where("a < fp").select("a", F.col("fp").alias("b"))
+    star = full.repartition("key").sortWithinPartitions("which", "key", "fp").mapInArrow(_star, "a long, b long")
     return met.where("a <> b").unionByName(star).distinct()
 
 
@@ -193,10 +204,10 @@ def components(edges: DataFrame) -> DataFrame:
         # large star: larger neighbours of a node go to the smallest of its neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node and its smaller neighbours go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        small = large.join(low.hint("merge"), "u")
         edges = materialize(
             small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "edges"
         )
@@ -269,9 +280,10 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: i
     units = materialize(found.groupBy("fp", "same").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch")), "units")
     first = F.min(F.struct("doc", "sketch")).alias("first")
     classes = materialize(units.groupBy("fp").agg(first).select("fp", F.col("first.doc").alias("b"), F.col("first.sketch").alias("y")), "classes")
-    inside = units.select("fp", F.col("doc").alias("a"), F.col("sketch").alias("x")).join(classes, "fp").where("a <> b")
+    inside = units.select("fp", F.col("doc").alias("a"), F.col("sketch").alias("x")).join(classes.hint("merge"), "fp").where("a <> b")
     near = links(classes, radius).withColumnsRenamed({"a": "p", "b": "fp"})
-    across = near.join(classes, "fp").join(classes.select(F.col("fp").alias("p"), F.col("b").alias("a"), F.col("y").alias("x")), "p")
+    other = classes.select(F.col("fp").alias("p"), F.col("b").alias("a"), F.col("y").alias("x"))
+    across = near.join(classes.hint("merge"), "fp").join(other.hint("merge"), "p")
     pairs = inside.select("a", "x", "b", "y").unionByName(across.select("a", "x", "b", "y"))
     moved = components(pairs.mapInArrow(verified, "a long, b long"))
     roots = units.select("fp", "same", F.col("doc").alias("node")).join(moved, "node", "left")
