@@ -277,8 +277,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'itviec', n % 5, 1 FROM n WHERE n % 5 > 0
             UNION ALL SELECT 'topdev', 1, count(*) FROM conversations""",
         "keys_of_failed_batches": """
-            WITH r AS (SELECT event_id, event_id // 50 + 1 AS batch_no, user_id || '-' || event_type AS key,
-              event_id % 17 = 0 AS rejected, (event_id // 50) % 2 = 1 AS passes FROM events)
+            WITH r AS (SELECT event_id, event_id % 8 + 1 AS batch_no, user_id || '-' || event_type AS key,
+              event_id % 17 = 0 AS rejected, event_id % 2 = 1 AS passes FROM events)
             SELECT event_id, batch_no, CASE WHEN rejected THEN 'no_title'
               WHEN batch_no > min(batch_no) FILTER (passes AND NOT rejected) OVER (PARTITION BY key) THEN 'repeated_key'
               WHEN passes THEN 'saved' ELSE 'gate_failed' END AS outcome FROM r""",
