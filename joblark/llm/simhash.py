@@ -17,8 +17,7 @@ alternating large-star and small-star rounds over tables in the shared folder.
 
 ``similar_documents`` is for removal instead of for the links themselves: its prints are of
 the different single words, which few edits hardly move, and what they link is
-kept only if the sets of 5-word shingles are alike (Jaccard 0.8 or more, of bottom
-``SKETCH`` hashes: exact up to so many shingles, else an estimate).
+kept only if the sets of 5-word shingles are alike (Jaccard 0.8 or more, of all shingles).
 
 Null texts have no words; null ids are smaller than all others, and a component
 with one has a null id. Repeated rows come back as often as they occur. Other columns are ignored.
@@ -45,8 +44,7 @@ SEED = 42
 CROWD = 32
 # Fingerprints whose variants one task writes.
 PRINTS = 50_000
-SKETCH = 128
-SKETCH_SHINGLE = 5
+ALIKE_SHINGLE = 5
 SIMILARITY = 0.8
 
 U = np.uint64
@@ -241,51 +239,78 @@ def word_print(text: bytes) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
 
 
-def sketch(text: bytes, shingle: int = SKETCH_SHINGLE, size: int = SKETCH) -> bytes:
-    """The smallest hashes of a text's shingles, in order; fewer words are one shingle."""
+def shingles(text: bytes, shingle: int = ALIKE_SHINGLE) -> np.ndarray:
+    """The different hashes of a text's shingles, in order; fewer words are one shingle."""
     h, _, _ = hashing.word_elements([text.translate(_LOWER)])
-    runs = hashing.run_hashes(h, min(shingle, max(1, len(h))))
-    return np.unique(runs)[:size].tobytes()
+    return np.unique(hashing.run_hashes(h, min(shingle, max(1, len(h)))))
 
 
-def alike(a: bytes, b: bytes, size: int = SKETCH) -> float:
-    """Jaccard similarity of the sets behind two sketches; two empty ones are equal."""
+def alike(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sets of hashes; two empty ones are equal."""
     x, y = np.frombuffer(a, U), np.frombuffer(b, U)
-    both = np.union1d(x, y)[:size]
-    return float((np.isin(both, x) & np.isin(both, y)).mean()) if len(both) else 1.0
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
-def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, component_id)`` a doc_id; ``component_id`` is the smallest doc_id reachable by
-    links between documents whose word prints are near and whose shingles are alike.
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        prints = np.array([word_print(t) for t in texts], U).view(np.int64)
+        sets = [shingles(t) for t in texts]
+        same, n = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [len(s) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), batch.column("of"), pa.array(prints), pa.array(same, pa.binary()), pa.array(n, pa.int64())], ["doc", "of", "fp", "same", "n"]
+        )
 
-    Documents of one print are compared with the first of them, linked prints by their first documents.
-    """
 
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            prints = np.array([word_print(t) for t in texts], U).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(prints), pa.array([sketch(t) for t in texts], pa.binary())], ["doc", "fp", "sketch"])
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        grams = pa.array([shingles(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("same"), batch.column("doc"), grams], ["same", "doc", "grams"])
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)`` documents of the pairs ``(x, y)`` of sets that are alike, by all their shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [alike(x, y) >= similarity for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            keep = [alike(p, q) >= similarity for p, q in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
+    one = sets.select(F.col("same").alias("x"), F.col("doc").alias("a"), F.col("grams").alias("p"))
+    two = sets.select(F.col("same").alias("y"), F.col("doc").alias("b"), F.col("grams").alias("q"))
+    joined = pairs.join(one.hint("merge"), "x").join(two.hint("merge"), "y").where("a <> b")
+    return materialize(joined.select("a", "b", "p", "q").mapInArrow(run, "a long, b long"), "alike")
+
+
+def _fits(similarity: float) -> Column:
+    """Sets of ``m`` and ``n`` shingles can be alike."""
+    return F.least("m", "n") >= F.greatest("m", "n") * F.lit(similarity - 1e-9)
+
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, component_id)`` a doc_id; ``component_id`` is the smallest doc_id reachable by
+    links between documents whose word prints are near and whose shingles are alike.
+
+    Documents of one print are compared with the first of them, linked prints by their first documents.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.alias("text"))
-    found = materialize(texts.mapInArrow(described, "doc long, fp long, sketch binary").withColumn("same", F.xxhash64("sketch")), "sketches")
-    # equal prints and sketches are one unit, so that copies are no links
-    units = materialize(found.groupBy("fp", "same").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch")), "units")
-    first = F.min(F.struct("doc", "sketch")).alias("first")
-    classes = materialize(units.groupBy("fp").agg(first).select("fp", F.col("first.doc").alias("b"), F.col("first.sketch").alias("y")), "classes")
-    inside = units.select("fp", F.col("doc").alias("a"), F.col("sketch").alias("x")).join(classes.hint("merge"), "fp").where("a <> b")
+    texts = texts.select("doc", F.xxhash64("text").alias("of"), "text")
+    found = materialize(texts.mapInArrow(_described, "doc long, of long, fp long, same binary, n long"), "described")
+    # equal sets of shingles are one unit, so that copies are no links
+    least = F.min(F.struct("doc", "of")).alias("least")
+    units = materialize(found.groupBy("fp", "same").agg(least, F.first("n").alias("n")).select("fp", "same", "least.*", "n"), "units")
+    first = F.min(F.struct("doc", "same", "n")).alias("first")
+    classes = materialize(units.groupBy("fp").agg(first).select("fp", F.col("first.same").alias("x"), F.col("first.n").alias("m")), "classes")
+    inside = units.select("fp", F.col("same").alias("y"), "n").join(classes.hint("merge"), "fp").where("x <> y")
     near = links(classes, radius).withColumnsRenamed({"a": "p", "b": "fp"})
-    other = classes.select(F.col("fp").alias("p"), F.col("b").alias("a"), F.col("y").alias("x"))
+    other = classes.select(F.col("fp").alias("p"), F.col("x").alias("y"), F.col("m").alias("n"))
     across = near.join(classes.hint("merge"), "fp").join(other.hint("merge"), "p")
-    pairs = inside.select("a", "x", "b", "y").unionByName(across.select("a", "x", "b", "y"))
-    moved = components(pairs.mapInArrow(verified, "a long, b long"))
+    pairs = materialize(inside.unionByName(across.select(*inside.columns)).where(_fits(similarity)).select("x", "y"), "pairs")
+    wanted = pairs.select(F.col("x").alias("same")).unionByName(pairs.select(F.col("y").alias("same"))).distinct()
+    sets = _sets_of(texts, units.join(wanted, "same"))
+    moved = components(_verified(pairs, sets, similarity))
     roots = units.select("fp", "same", F.col("doc").alias("node")).join(moved, "node", "left")
     of = found.select("doc", "fp", "same").join(roots, ["fp", "same"])
     real = lambda c: F.nullif(c, F.lit(_SMALLEST))
@@ -294,5 +319,11 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: i
     )
 
 
+def _sets_of(texts: DataFrame, units: DataFrame) -> DataFrame:
+    """``(same, doc, grams)``: all shingles of each unit, from one text that has them."""
+    one = texts.join(units.select("doc", "of", "same"), ["doc", "of"]).groupBy("same").agg(F.first("doc").alias("doc"), F.first("text").alias("text"))
+    return materialize(one.mapInArrow(_sets, "same binary, doc long, grams binary"), "sets")
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -139,3 +139,27 @@ def test_similar_documents(spark):
     null = spark.createDataFrame([(None, "x y z"), (4, "x y z"), (4, "x y z")], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in simhash.similar_documents(null).collect()} == {(None, None), (4, None)}
     assert simhash.similar_documents(df.limit(0)).count() == 0
+
+
+def compared(spark, rows):
+    """Components of similar_documents and of brute force."""
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
+    root = brute_similar([t for _, t in rows])
+    return got, {d: rows[root[i]][0] for i, (d, _) in enumerate(rows)}
+
+
+def test_long_texts_are_verified_on_all_shingles(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for i in range(60):
+        text = [rng.choice(words) for _ in range(rng.randint(300, 600))]
+        other = list(text)
+        # words that swap places keep the print; some 10 % of the shingles change, so that the similarity is about 0.8
+        for at in rng.sample(range(len(text) - 1), len(text) // 50 + rng.randint(-1, 2)):
+            other[at], other[at + 1] = other[at + 1], other[at]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+    got, want = compared(spark, rows)
+    assert got == want
+    assert 70 < len(set(want.values())) < 110
