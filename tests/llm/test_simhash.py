@@ -163,3 +163,21 @@ def test_long_texts_are_verified_on_all_shingles(spark):
     got, want = compared(spark, rows)
     assert got == want
     assert 70 < len(set(want.values())) < 110
+
+
+def test_orders_of_the_same_sentences(spark):
+    rng = random.Random(12)
+    sentences = [" ".join(f"s{rng.randint(0, 900)}" for _ in range(8)) for _ in range(15)]
+    rows = []
+    for i in range(40):
+        rng.shuffle(sentences)
+        text = " ".join(sentences).split()
+        rows.append((10 * i, " ".join(text)))
+        for k in range(1, 4):
+            other = list(text)
+            at = rng.randrange(len(other) - 1)
+            other[at], other[at + 1] = other[at + 1], other[at]
+            rows.append((10 * i + k, " ".join(other)))
+    got, want = compared(spark, rows)
+    assert got == want
+    assert len(set(want.values())) == 40
