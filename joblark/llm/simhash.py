@@ -409,7 +409,7 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: i
     links between documents whose word prints are near and whose shingles are alike.
 
     All texts of near prints are compared in pairs, but where more than ``CROWD`` texts share a print
-    those that share rare shingles.
+    or a bucket those that share rare shingles.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.alias("text"))
@@ -419,9 +419,9 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: i
     least = F.min(F.struct("doc", "of")).alias("least")
     units = materialize(found.groupBy("fp", "same").agg(least, F.first("n").alias("n")).select("fp", "same", "least.*", "n"), "units")
     classes = materialize(units.groupBy("fp").agg(F.count(F.lit(1)).alias("texts")), "classes")
-    near = links(classes, radius)
+    near, crowded = near_prints(classes, radius)
     many = classes.where(F.col("texts") > CROWD).select("fp")
-    dense = materialize(many, "dense")
+    dense = materialize(many.unionByName(crowded).distinct(), "dense")
     one, two = (dense.select(F.col("fp").alias(c), F.lit(True).alias(f"dense_{c}")) for c in "ab")
     near = materialize(near.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("dense_a", "dense_b").isNotNull().alias("dense")), "near")
     # what is near to a dense print is looked up with it

@@ -181,3 +181,17 @@ def test_orders_of_the_same_sentences(spark):
     got, want = compared(spark, rows)
     assert got == want
     assert len(set(want.values())) == 40
+
+
+def test_crowds_of_prints_are_compared_like_few(spark):
+    rng = random.Random(2)
+    base, more = [f"w{i}" for i in range(200)], [f"t{i}" for i in range(12)]
+    rows = []
+    for i in range(150):
+        order = list(base)
+        rng.shuffle(order)
+        # two of each order, whose prints lie in a crowd of 120
+        rows += [(2 * i + k, " ".join(order + [t for t in more if rng.random() < 0.5])) for k in range(2)]
+    got, want = compared(spark, rows)
+    assert got == want
+    assert 150 <= len(set(want.values())) < 200
