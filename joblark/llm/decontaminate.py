@@ -96,7 +96,7 @@ def _in_original(text: bytes, runs: list[tuple[int, int]]) -> list[dict]:
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _OUT = (
-    "id long, doc long, tag int, n_words long, runs array<struct<start: long, end: long>>, "
+    "id long, doc long, tag long, n_words long, runs array<struct<start: long, end: long>>, "
     "spans array<struct<start: long, end: long>>, items array<string>"
 )
 

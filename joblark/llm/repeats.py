@@ -4,8 +4,8 @@ Every window of ``length`` elements has one anchor: the leftmost smallest hash o
 its runs of ``gram`` elements (winnowing). Equal windows have equal anchors at
 equal offsets, so only documents that share an anchor's hash can share a window.
 The windows of one anchor occurrence are consecutive; an occurrence stands for
-them all as one entry ``(key, cls, doc, pos, n)``: hash of the anchor, hash of
-the whole stretch the windows cover, place of the first window, their number.
+them all as one entry ``(key, cls, doc, tag, pos, n)``: hash of the anchor, hash of the whole
+stretch the windows cover, id and hash of the text, place of the first window, their number.
 
 1. ``Levels`` collapses entries of one class (same stretch) inside each task, then
    once more after a shuffle on the anchor: members of a class share every window.
@@ -15,7 +15,7 @@ the whole stretch the windows cover, place of the first window, their number.
    anchor's partition and compared window by window (128-bit hashes).
 3. What is marked meets its text in one join.
 
-A document is its doc_id and the hash of its text: rows that repeat both count as
+A document is its doc_id and the 64-bit hash of its text: rows that repeat both count as
 one document; of different texts under one doc_id the order is that of the hash.
 """
 
@@ -32,16 +32,16 @@ from joblark.llm import hashing
 from joblark.llm.hashing import U
 from joblark.session import materialize
 
-ENTRY = np.dtype([("cls", U), ("key", U), ("doc", np.int64), ("pos", np.int64), ("n", np.int32), ("seen", bool)])
+ENTRY = np.dtype([("cls", U), ("key", U), ("doc", np.int64), ("tag", np.int64), ("pos", np.int64), ("n", np.int32), ("seen", bool)])
 MARKED, REQUEST, CANDIDATE, SEEN = 0, 1, 2, 3
 
+# Bits that hold any place in a text.
 POS_BITS = 40
-TAG_BITS = 23
 # Longer texts are cut into pieces that overlap by length - 1, to bound memory.
 PIECE = 1 << 22
 
-_WIRE = "kind tinyint, key long, cls long, doc long, pos long, n int"
-_FOUND = "kind tinyint, key long, doc long, pos long, n int"
+_WIRE = "kind tinyint, key long, cls long, doc long, tag long, pos long, n int"
+_FOUND = "kind tinyint, key long, doc long, tag long, pos long, n int"
 
 
 class Levels:
@@ -50,7 +50,7 @@ class Levels:
     ``insert`` sorts a batch, scans it against every level, and merges levels of
     like size, so that there are O(log) of them. It returns the entries whose
     windows repeat: with ``every`` all members of a class of two or more, else all
-    but the first in (doc, pos). Batches may come in any order.
+    but the first in (doc, tag, pos). Batches may come in any order.
     """
 
     def __init__(self, every: bool):
@@ -58,11 +58,11 @@ class Levels:
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def insert(self, batch: np.ndarray) -> np.ndarray:
-        order = np.lexsort((batch["pos"], batch["doc"], batch["cls"]))
+        order = np.lexsort((batch["pos"], batch["tag"], batch["doc"], batch["cls"]))
         batch = batch[order]
         if len(batch) > 1:
             same = batch["cls"][1:] == batch["cls"][:-1]
-            twin = same & (batch["doc"][1:] == batch["doc"][:-1]) & (batch["pos"][1:] == batch["pos"][:-1])
+            twin = same & (batch["doc"][1:] == batch["doc"][:-1]) & (batch["tag"][1:] == batch["tag"][:-1]) & (batch["pos"][1:] == batch["pos"][:-1])
             if twin.any():
                 batch["seen"][:-1] |= twin & batch["seen"][1:]
                 batch = batch[np.r_[True, ~twin]]
@@ -84,12 +84,13 @@ class Levels:
                 continue
             at, new, fresh = at[hit], fresh[hit], fresh[~hit]
             old = rows[at]
-            other = (old["doc"] != new["doc"]) | (old["pos"] != new["pos"])
+            other = (old["doc"] != new["doc"]) | (old["tag"] != new["tag"]) | (old["pos"] != new["pos"])
             if self.every:
                 marked += [new[other & ~new["seen"]], old[other & ~old["seen"]]]
                 rows["seen"][at] |= other | new["seen"]
             else:
-                later = (new["doc"] > old["doc"]) | (new["doc"] == old["doc"]) & (new["pos"] > old["pos"])
+                later = (new["tag"] > old["tag"]) | (new["tag"] == old["tag"]) & (new["pos"] > old["pos"])
+                later = (new["doc"] > old["doc"]) | (new["doc"] == old["doc"]) & later
                 earlier = other & ~later
                 marked += [new[later], old[earlier]]
                 rows[at[earlier]] = new[earlier]
@@ -152,8 +153,8 @@ def spanned(marked: np.ndarray) -> np.ndarray:
     """Marked entries with neighbours of one document put together."""
     if len(marked) < 2:
         return marked
-    marked = marked[np.lexsort((marked["pos"], marked["doc"]))]
-    after = (marked["doc"][1:] == marked["doc"][:-1]) & (marked["pos"][1:] == marked["pos"][:-1] + marked["n"][:-1])
+    marked = marked[np.lexsort((marked["pos"], marked["tag"], marked["doc"]))]
+    after = (marked["doc"][1:] == marked["doc"][:-1]) & (marked["tag"][1:] == marked["tag"][:-1]) & (marked["pos"][1:] == marked["pos"][:-1] + marked["n"][:-1])
     start = np.flatnonzero(np.r_[True, ~after])
     out = marked[start]
     out["n"] = np.add.reduceat(marked["n"], start)
@@ -161,18 +162,18 @@ def spanned(marked: np.ndarray) -> np.ndarray:
 
 
 def _wire(rows: np.ndarray, kind) -> pa.RecordBatch:
-    key = rows["key"] if not np.isscalar(kind) or kind != MARKED else hashing.mix(rows["pos"].astype(U) + rows["doc"].astype(U) * hashing._ODD[0])
+    key = rows["key"] if not np.isscalar(kind) or kind != MARKED else hashing.mix(rows["pos"].astype(U) + rows["tag"].astype(U) + rows["doc"].astype(U) * hashing._ODD[0])
     kinds = np.full(len(rows), kind, np.int8) if np.isscalar(kind) else kind
     return pa.RecordBatch.from_arrays(
-        [pa.array(kinds), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, rows["cls"], rows["doc"], rows["pos"])), pa.array(np.ascontiguousarray(rows["n"]))],
-        ["kind", "key", "cls", "doc", "pos", "n"],
+        [pa.array(kinds), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, rows["cls"], rows["doc"], rows["tag"], rows["pos"])), pa.array(np.ascontiguousarray(rows["n"]))],
+        ["kind", "key", "cls", "doc", "tag", "pos", "n"],
     )
 
 
 def _found(rows: np.ndarray, kind: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(rows), kind, np.int8)), pa.array(np.ascontiguousarray(rows["key"]).view(np.int64)), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("doc", "pos", "n"))],
-        ["kind", "key", "doc", "pos", "n"],
+        [pa.array(np.full(len(rows), kind, np.int8)), pa.array(np.ascontiguousarray(rows["key"]).view(np.int64)), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("doc", "tag", "pos", "n"))],
+        ["kind", "key", "doc", "tag", "pos", "n"],
     )
 
 
@@ -180,26 +181,25 @@ def _entries(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
     out = np.zeros(int(rows.sum()), ENTRY)
     for name in ("key", "cls"):
         out[name] = batch.column(name).to_numpy()[rows].view(U)
-    for name in ("doc", "pos", "n"):
+    for name in ("doc", "tag", "pos", "n"):
         out[name] = batch.column(name).to_numpy()[rows]
     out["seen"] = batch.column("kind").to_numpy()[rows] == SEEN
     return out
 
 
 def _pieces(batch: pa.RecordBatch, overlap: int, by_word: bool) -> Iterator[tuple]:
-    """(doc, tagged place of the first element, bytes) of a batch's texts."""
+    """(doc, tag, place of the first element, bytes) of a batch's texts."""
     for doc, tag, text in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), batch.column("text")):
         body = text.as_py()
-        base = tag << POS_BITS
         if len(body) <= PIECE:
-            yield doc, base, body
+            yield doc, tag, 0, body
         elif by_word:
             words = body.split()
             for i in range(0, max(1, len(words) - overlap), PIECE // 8):
-                yield doc, base + i, b" ".join(words[i : i + PIECE // 8 + overlap])
+                yield doc, tag, i, b" ".join(words[i : i + PIECE // 8 + overlap])
         else:
             for i in range(0, max(1, len(body) - overlap), PIECE):
-                yield doc, base + i, body[i : i + PIECE + overlap]
+                yield doc, tag, i, body[i : i + PIECE + overlap]
 
 
 def _anchored(length: int, gram: int, by_word: bool, every: bool) -> Callable:
@@ -207,7 +207,7 @@ def _anchored(length: int, gram: int, by_word: bool, every: bool) -> Callable:
         levels = Levels(every)
         for batch in batches:
             for rows in hashing.chunks(_pieces(batch, length - 1, by_word)):
-                h, first, last = (hashing.word_elements if by_word else hashing.byte_elements)([r[2] for r in rows])
+                h, first, last = (hashing.word_elements if by_word else hashing.byte_elements)([r[-1] for r in rows])
                 key, cls, ws, n = stretches(h, first, last, length, gram)
                 if not len(key):
                     continue
@@ -215,7 +215,8 @@ def _anchored(length: int, gram: int, by_word: bool, every: bool) -> Callable:
                 found = np.zeros(len(key), ENTRY)
                 found["key"], found["cls"], found["n"] = key, cls, n
                 found["doc"] = np.array([r[0] for r in rows], np.int64)[at]
-                found["pos"] = np.array([r[1] for r in rows], np.int64)[at] + ws - first[at]
+                found["tag"] = np.array([r[1] for r in rows], np.int64)[at]
+                found["pos"] = np.array([r[2] for r in rows], np.int64)[at] + ws - first[at]
                 marked = spanned(levels.insert(found))
                 if len(marked):
                     yield _wire(marked, MARKED)
@@ -236,7 +237,7 @@ def _collapsed(every: bool) -> Callable:
             kind = batch.column("kind").to_numpy()
             passed = kind == MARKED
             if passed.any():
-                yield batch.filter(pa.array(passed)).select(["kind", "key", "doc", "pos", "n"])
+                yield batch.filter(pa.array(passed)).select(["kind", "key", "doc", "tag", "pos", "n"])
             if not passed.all():
                 marked = spanned(levels.insert(_entries(batch, ~passed)))
                 if len(marked):
@@ -258,15 +259,15 @@ def _stretches_of(length: int, by_word: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, asked in enumerate(batch.column("asked").to_pylist()):
-                doc, base, body = batch.column("doc")[i].as_py(), batch.column("tag")[i].as_py() << POS_BITS, batch.column("text")[i].as_py()
+                doc, tag, body = batch.column("doc")[i].as_py(), batch.column("tag")[i].as_py(), batch.column("text")[i].as_py()
                 if by_word:
                     words = body.split()
                     bodies = [b" ".join(words[w["ws"] : w["ws"] + w["n"] + length - 1]) for w in asked]
                 else:
                     bodies = [body[w["ws"] : w["ws"] + w["n"] + length - 1] for w in asked]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w["key"] for w in asked]), pa.array([doc] * len(asked)), pa.array([base + w["ws"] for w in asked]), pa.array(bodies, pa.binary())],
-                    ["key", "doc", "pos", "body"],
+                    [pa.array([w["key"] for w in asked]), pa.array([doc] * len(asked)), pa.array([tag] * len(asked)), pa.array([w["ws"] for w in asked]), pa.array(bodies, pa.binary())],
+                    ["key", "doc", "tag", "pos", "body"],
                 )
 
     return run
@@ -278,7 +279,7 @@ def _compared(length: int, gram: int, by_word: bool, every: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(every)
         for batch in batches:
-            for part in hashing.chunks(zip(*(batch.column(c).to_pylist() for c in ("doc", "pos", "body")))):
+            for part in hashing.chunks(zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "pos", "body")))):
                 h, first, last = (hashing.word_elements if by_word else hashing.byte_elements)([r[-1] for r in part])
                 grams = hashing.run_hashes(h, gram)
                 one, two = window_hashes(grams, length, gram), second_hashes(grams, length, gram)
@@ -288,7 +289,8 @@ def _compared(length: int, gram: int, by_word: bool, every: bool) -> Callable:
                 found = np.zeros(len(at), ENTRY)
                 found["key"], found["cls"], found["n"] = one[at], hashing.mix(two[at] + one[at] * hashing._ODD[3]), 1
                 found["doc"] = np.repeat(np.array([r[0] for r in part], np.int64), n)
-                found["pos"] = np.repeat(np.array([r[1] for r in part], np.int64), n) + offset
+                found["tag"] = np.repeat(np.array([r[1] for r in part], np.int64), n)
+                found["pos"] = np.repeat(np.array([r[2] for r in part], np.int64), n) + offset
                 marked = spanned(levels.insert(found))
                 if len(marked):
                     yield _found(marked, MARKED)
@@ -302,7 +304,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFra
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"),
-        F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int").alias("tag"),
+        F.xxhash64(text).alias("tag"),
         text.cast("binary").alias("text"),
         *keep,
     )
@@ -317,8 +319,8 @@ def _of_document(found: DataFrame, kind: int, name: str, *more: str) -> DataFram
     """One row a document: the places found in it, whose number its length bounds."""
     return (
         found.where(F.col("kind") == kind)
-        .groupBy("doc", F.shiftright("pos", POS_BITS).cast("int").alias("tag"))
-        .agg(F.collect_list(F.struct(F.col("pos").bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("ws"), "n", *more)).alias(name))
+        .groupBy("doc", "tag")
+        .agg(F.collect_list(F.struct(F.col("pos").alias("ws"), "n", *more)).alias(name))
     )
 
 
@@ -332,7 +334,7 @@ def repeated_windows(texts: DataFrame, length: int, gram: int, by_word: bool, ev
     asked = _of_document(found, REQUEST, "asked", "key")
     single = (
         texts.select("doc", "tag", "text").join(asked, ["doc", "tag"]).select("doc", "tag", "text", "asked")
-        .mapInArrow(_stretches_of(length, by_word), "key long, doc long, pos long, body binary")
+        .mapInArrow(_stretches_of(length, by_word), "key long, doc long, tag long, pos long, body binary")
         .repartition("key").mapInArrow(_compared(length, gram, by_word, every), _FOUND)
     )
     marked = materialize(found.where(F.col("kind") == MARKED).unionByName(single), "marked")

@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from joblark.llm import repeats, substring_dedup, suffix_dedup
 
@@ -120,3 +122,20 @@ def test_empty_table_and_clashing_columns(spark):
     one = spark.createDataFrame([(1, "a b", "x", 1, 2, 3)], df.schema)
     row = suffix_dedup.suffix_dedup(one).first()
     assert hashlib.sha256(row.kept).hexdigest() == hashlib.sha256(b"a b").hexdigest()
+
+
+def test_texts_of_one_id_whose_hashes_share_bits(spark):
+    rng = random.Random(8)
+    tags, rows = {}, []
+    while len(rows) < 20:
+        text = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(25))
+        other = tags.setdefault(xxhash.xxh64_intdigest(text, 42) & ((1 << 23) - 1), text)
+        if other != text:
+            # the first one's words stand in another document, the second one's nowhere else
+            rows += [(None, other), (None, text), (len(rows), other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_words(rows, 7)
+    for r in substring_dedup.substring_dedup(df, F.col("text").alias("body"), length=7, gram=3).collect():
+        assert r.kept_words.encode() == want[-(2**63) if r.doc_id is None else r.doc_id, r.body.encode()]
+    want = sorted(brute_bytes(rows, 20).values())
+    assert sorted(bytes(r.kept) for r in suffix_dedup.suffix_dedup(df, length=20, gram=8).collect()) == want
