@@ -130,17 +130,19 @@ class Selector:
 
     def search(self, html: Column, body: Callable[[Column], Column], absent: Column) -> Column:
         """``body`` of the page from the tag that holds the needle on, ``absent``
-        without one. Plain string search is far cheaper than the expression."""
-        if not self.needle:
-            return body(html)
+        without one. Plain string search is far cheaper than the expression. The page is
+        bound first: it may come from a Python function, which no lambda may hold."""
 
-        def from_tag(ahead: Column) -> Column:
-            tag = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
-            rest = F.substring(html, F.length(ahead) + 1, F.lit(2**31 - 1))
-            return F.when(F.contains(ahead, F.lit("<")), F.concat(tag, rest)).otherwise(html)
+        def search_in(page: Column) -> Column:
+            def from_tag(ahead: Column) -> Column:
+                tag = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
+                rest = F.substring(page, F.length(ahead) + 1, F.lit(2**31 - 1))
+                return F.when(F.contains(ahead, F.lit("<")), F.concat(tag, rest)).otherwise(page)
 
-        near = let(F.substring_index(html, self.needle, 1), from_tag)
-        return F.when(F.contains(html, F.lit(self.needle)), let(near, body)).otherwise(absent)
+            near = let(F.substring_index(page, self.needle, 1), from_tag)
+            return F.when(F.contains(page, F.lit(self.needle)), let(near, body)).otherwise(absent)
+
+        return let(html, search_in if self.needle else body)
 
 
 def _has(attr: str, quoted: str, bare: str) -> str:

@@ -86,11 +86,11 @@ def frontier(facts: DataFrame, max_pages: int = 0) -> DataFrame:
 
 
 def url_id_map(slugs: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
-    """``(source, slug, url, job_id)``: slugs are distinct and so are URLs, but two may share an id."""
+    """Distinct ``(source, slug, url, job_id)``: one row a URL, but two may share an id."""
     slug = F.col("slug")
     return slugs.where(of_sources(specs)).select(
         "source",
         "slug",
         per_source(specs, lambda s: F.concat(F.lit(s.detail_url + "/"), slug)).alias("url"),
         per_source(specs, lambda s: s.job_id(slug)).alias("job_id"),
-    )
+    ).distinct()
