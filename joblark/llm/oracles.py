@@ -110,5 +110,96 @@ FROM d LEFT JOIN cut USING (doc_id)
 """
 
 
+_FIELDS = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+
+# CRC-32 of a text of ASCII characters, bit by bit
+_CRC = """xor(list_reduce(
+  list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda c, b: list_reduce(range(8), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)), xor(c, b)), 4294967295
+), 4294967295)"""
+
+OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN {_CRC.format('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM documents
+),
+hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g,
+    sha256({_FIELDS} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256({_FIELDS} || coalesce(strlen(changed) || ':' || changed, '-')) AS tampered
+  FROM d
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed),
+levels AS (
+  SELECT g, 0 AS level, list(leaf ORDER BY i) AS nodes FROM numbered GROUP BY g
+  UNION ALL
+  SELECT g, level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda p: sha256(array_to_string(nodes[3 * p + 1 : 3 * p + 3], '')))
+  FROM levels WHERE len(nodes) > 1
+),
+subroots AS (SELECT g, nodes[1] AS subroot, row_number() OVER (ORDER BY g) - 1 AS place FROM levels WHERE len(nodes) = 1),
+upper AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda p: sha256(array_to_string(nodes[3 * p + 1 : 3 * p + 3], '')))
+  FROM upper WHERE len(nodes) > 1
+),
+trees AS (
+  SELECT g, level, nodes FROM levels WHERE len(nodes) > 1
+  UNION ALL SELECT s.g, h.height + u.level, u.nodes
+  FROM upper u, subroots s JOIN (SELECT g, max(level) AS height FROM levels GROUP BY g) h USING (g) WHERE len(u.nodes) > 1
+),
+climb AS (
+  SELECT n.doc_id, n.g, n.leaf, n.i AS own, 0 AS level, n.i, h.height, s.place, n.tampered AS folded, '' AS proof
+  FROM numbered n JOIN (SELECT g, max(level) AS height FROM levels GROUP BY g) h USING (g) JOIN subroots s USING (g)
+  UNION ALL
+  SELECT doc_id, g, leaf, own, level + 1, p, height, place, sha256(before || folded || after), proof || before || after
+  FROM (
+    SELECT c.*, c.spot // 3 AS p, CASE WHEN spot % 3 = 0 THEN '' ELSE array_to_string(t.nodes[3 * (spot // 3) + 1 : spot], '') END AS before,
+      array_to_string(t.nodes[spot + 2 : 3 * (spot // 3) + 3], '') AS after
+    FROM (SELECT *, CASE WHEN level = height THEN place ELSE i END AS spot FROM climb) c JOIN trees t ON t.g = c.g AND t.level = c.level
+  )
+),
+ends AS (SELECT *, row_number() OVER (PARTITION BY g, own ORDER BY level DESC) AS back FROM climb)
+SELECT e.doc_id, e.leaf, s.subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = r.root AS verified
+FROM ends e JOIN subroots s USING (g), (SELECT nodes[1] AS root FROM upper WHERE len(nodes) = 1) r WHERE back = 1
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+words AS (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT doc) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+),
+shares AS (
+  SELECT lang, source, term, c, 1 + (CAST(1000000000 AS HUGEINT) * (c + 2)) // (CAST(sum(c) OVER (PARTITION BY lang, source) AS HUGEINT) + 2 * v) AS p
+  FROM grid JOIN sizes USING (lang)
+),
+whole AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 2)) // (CAST(sum(sum(c)) OVER (PARTITION BY lang) AS HUGEINT) + 2 * v) AS q
+  FROM grid JOIN sizes USING (lang) GROUP BY lang, term, v
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM shares JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3, "op6_decontaminate": OP6, "op7_suffix_dedup": OP7, "op10_substring_dedup": OP10}
+    return {"op3_chat": OP3, "op6_decontaminate": OP6, "op7_suffix_dedup": OP7, "op10_substring_dedup": OP10, "op12_merkle": OP12, "op13_source_divergence": OP13}

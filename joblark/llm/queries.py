@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from joblark.llm import bpe, chat, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, suffix_dedup, toxicity
+from joblark.llm import (
+    bpe, chat, decontaminate, divergence, language_id, merkle, packing, quality_classifier, quality_rules, simhash, substring_dedup,
+    suffix_dedup, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +114,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), kept={"doc_id": F.col("doc_id"), "tampered": merkle.leaf(text=changed)})
+    folded = found.withColumn("folded", merkle.fold(F.col("tampered"), F.col("path")))
+    return folded.select(
+        "doc_id", merkle.hexadecimal(F.col("digest")).alias("leaf"), *(merkle.hexadecimal(F.col(c)).alias(c) for c in ("subroot", "root")),
+        sha256(merkle.proof_text(F.col("path"))).alias("proof_sha256"), merkle.hexadecimal(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -123,4 +146,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_language_id": op9_language_id,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_packing": op11_packing,
+        "op12_merkle": op12_merkle,
+        "op13_source_divergence": op13_source_divergence,
     }

@@ -22,12 +22,15 @@ COLUMNS = {
     "op8_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_language_id": "doc_id held_out lang_pred score",
     "op10_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op11_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op12_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_source_divergence": "lang source part item value rank",
 }
 
 
 def test_every_query_is_known():
     assert set(queries.registry()) == set(COLUMNS)
-    assert set(oracles.oracle_sql()) == {"op3_chat", "op6_decontaminate", "op7_suffix_dedup", "op10_substring_dedup"}
+    assert set(oracles.oracle_sql()) == {"op3_chat", "op6_decontaminate", "op7_suffix_dedup", "op10_substring_dedup", "op12_merkle", "op13_source_divergence"}
 
 
 @pytest.mark.parametrize("name", list(COLUMNS))
@@ -35,7 +38,12 @@ def test_query(spark, name):
     df = queries.registry()[name](spark, str(DATA))
     rows = df.collect()
     assert df.columns[: len(COLUMNS[name].split())] == COLUMNS[name].split()
-    assert len(rows) == (21 if name == "op3_chat" else 200)
+    if name == "op11_packing":
+        assert len({r.doc_id for r in rows}) == 200
+    elif name == "op13_source_divergence":
+        assert {r.part for r in rows} == {"pair", "term"}
+    else:
+        assert len(rows) == (21 if name == "op3_chat" else 200)
     if name in oracles.oracle_sql():
         con = duckdb.connect()
         for path in DATA.glob("*.parquet"):
