@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,92 +40,129 @@ SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
 STRIPE_CELLS = 1 << 20
-TERMS_A_BUCKET = 1 << 9
+TERMS_A_BUCKET = 1 << 8
 TILE = 256
 
-_TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+_TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # bytes: all of a character beyond ASCII belong to a term
 _ROWS_A_BATCH = 4096
+_TERMS_AT_ONCE = 512
 
 STRIPE = "lang string, term string, df long, sources array<string>, counts array<long>"
 
 
-def terms_of(text: str) -> Counter:
-    return Counter(_TERM.findall(text.lower() if text.isascii() else text.translate(_LOWER)))
+def terms_of(text: bytes) -> list[bytes]:
+    return _TERM.findall(text.lower())  # of bytes, that is A-Z alone
 
 
 # ---- stripes -----------------------------------------------------------------------
 
 
-def _stripe_batches(stripes: Iterator[tuple[tuple[str, str], int, dict[str, int]]]) -> Iterator[pa.RecordBatch]:
-    """Rows of stripes ``((lang, term), df, {source: count})``."""
-    held: list[tuple] = []
-
-    def batch() -> pa.RecordBatch:
-        sizes = np.cumsum([0, *(len(c) for _, _, c in held)], dtype=np.int32)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k, _, _ in held], pa.string()), pa.array([k[1] for k, _, _ in held], pa.string()),
-                pa.array([df for _, df, _ in held], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(sizes), pa.array([s for _, _, c in held for s in c], pa.string())),
-                pa.ListArray.from_arrays(pa.array(sizes), pa.array([n for _, _, c in held for n in c.values()], pa.int64())),
-            ],
-            ["lang", "term", "df", "sources", "counts"],
-        )
+def _text(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
 
-    for stripe in stripes:
-        held.append(stripe)
-        if len(held) == _ROWS_A_BATCH:
-            yield batch()
-            held = []
-    if held:
-        yield batch()
 
+def _stripe_batch(langs: pa.Array, terms: pa.Array, df: np.ndarray, stripe: np.ndarray, sources: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """Rows of stripes from their cells, which ``stripe`` numbers in ascending order."""
+    ends = np.cumsum(np.bincount(stripe, minlength=len(df)), dtype=np.int32)
+    ends = pa.array(np.concatenate([np.zeros(1, np.int32), ends]))
+    return pa.RecordBatch.from_arrays(
+        [langs, terms, pa.array(df, pa.int64()), pa.ListArray.from_arrays(ends, sources), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))],
+        ["lang", "term", "df", "sources", "counts"],
+    )
 
-def stripes(docs: DataFrame, stripe_cells: int = STRIPE_CELLS) -> DataFrame:
-    """Merged stripes ``(lang, term, df, sources, counts)`` of ``docs`` ``(lang, source, text)``."""
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], list] = {}
-        cells = 0
+class Fold:
+    """What a mapper has read since its last spill: in how many documents of a language each term
+    stands, and how often in each source."""
+
+    def __init__(self):
+        self.df: dict[str, Counter] = {}
+        self.counts: dict[str, dict[str, Counter]] = {}
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
+        terms = terms_of(text)
+        if lang not in self.df:
+            self.df[lang], self.counts[lang] = Counter(), {}
+        self.df[lang].update(set(terms))
+        own = self.counts[lang]
+        if source not in own:
+            own[source] = Counter()
+        own[source].update(terms)
+
+    def cells(self) -> int:
+        return sum(len(c) for own in self.counts.values() for c in own.values())
+
+    def stripes(self) -> Iterator[pa.RecordBatch]:
+        for lang, df in self.df.items():
+            if not df:
+                continue
+            number = {term: i for i, term in enumerate(df)}
+            own = self.counts[lang]
+            at = np.concatenate([np.fromiter(map(number.__getitem__, c), np.int64, len(c)) for c in own.values()])
+            counts = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in own.values()])
+            source = np.repeat(np.arange(len(own)), [len(c) for c in own.values()])
+            order = np.argsort(at, kind="stable")
+            batch = _stripe_batch(
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(df), np.int32))), _text(list(df)), np.fromiter(df.values(), np.int64, len(df)),
+                at[order], pa.array(list(own), pa.string()).take(pa.array(source[order])), counts[order],
+            )
+            for start in range(0, batch.num_rows, _ROWS_A_BATCH):
+                yield batch.slice(start, _ROWS_A_BATCH)
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before it."""
+    return pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+
+
+def added(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Sorted stripes with those of one key added up."""
+    first = np.concatenate([[True], _changes(batch.column("lang")) | _changes(batch.column("term"))])
+    at = np.flatnonzero(first)
+    stripe = np.repeat(np.cumsum(first) - 1, pc.list_value_length(batch.column("sources")).to_numpy())
+    sources = batch.column("sources").flatten().dictionary_encode()
+    code = sources.indices.to_numpy()
+    order = np.lexsort((code, stripe))
+    stripe, code = stripe[order], code[order]
+    cell = np.flatnonzero(np.concatenate([[True], (stripe[1:] != stripe[:-1]) | (code[1:] != code[:-1])])) if len(code) else code
+    counts = batch.column("counts").flatten().to_numpy()[order]
+    return _stripe_batch(
+        batch.column("lang").take(pa.array(at)), batch.column("term").take(pa.array(at)), np.add.reduceat(batch.column("df").to_numpy(), at),
+        stripe[cell], sources.dictionary.take(pa.array(code[cell])), np.add.reduceat(counts, cell) if len(cell) else counts,
+    )
 
-        def spilled() -> Iterator[pa.RecordBatch]:
-            yield from _stripe_batches((key, df, counts) for key, (df, counts) in held.items())
-            held.clear()
 
+def stripes(docs: DataFrame, stripe_cells: int = STRIPE_CELLS, min_docs: int = 1) -> DataFrame:
+    """Merged stripes ``(lang, term, df, sources, counts)`` of ``docs`` ``(lang, source, text)``."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unseen = Fold(), 0
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
             for lang, source, text in zip(langs, sources, batch.column("text")):
-                for term, n in terms_of(text.as_py()).items():
-                    stripe = held.get((lang, term))
-                    if stripe is None:
-                        held[lang, term] = [1, {source: n}]
-                        cells += 1
-                    else:
-                        stripe[0] += 1
-                        cells += source not in stripe[1]
-                        stripe[1][source] = stripe[1].get(source, 0) + n
-                if cells >= stripe_cells:
-                    yield from spilled()
-                    cells = 0
-        yield from spilled()
+                text = text.as_buffer().to_pybytes()
+                held.add(lang, source, text)
+                unseen += len(text) // 2  # no text has more terms
+                if unseen >= stripe_cells:
+                    if held.cells() >= stripe_cells:
+                        yield from held.stripes()
+                        held = Fold()
+                    unseen = 0
+        yield from held.stripes()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def added() -> Iterator[tuple[tuple[str, str], int, dict[str, int]]]:
-            key, df, counts = None, 0, {}
-            for batch in batches:
-                for row in batch.to_pylist():
-                    if (row["lang"], row["term"]) != key:
-                        if key is not None:
-                            yield key, df, counts
-                        key, df, counts = (row["lang"], row["term"]), 0, {}
-                    df += row["df"]
-                    for source, n in zip(row["sources"], row["counts"]):
-                        counts[source] = counts.get(source, 0) + n
-            if key is not None:
-                yield key, df, counts
-
-        yield from _stripe_batches(added())
+        # the last stripe of a batch may go on in the next one
+        last = None
+        for batch in batches:
+            if batch.num_rows:
+                if last is not None:
+                    batch = pa.concat_batches([last, batch])
+                whole = added(batch)
+                last = whole.slice(whole.num_rows - 1)
+                done = whole.slice(0, whole.num_rows - 1)
+                yield done.filter(pc.greater_equal(done.column("df"), min_docs))
+        if last is not None:
+            yield last.filter(pc.greater_equal(last.column("df"), min_docs))
 
     mapped = docs.select("lang", "source", "text").mapInArrow(fold, STRIPE)
     return mapped.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(merge, STRIPE)
@@ -160,15 +198,15 @@ class Share:
         self.sums: np.ndarray | None = None
         self.best: dict[int, list[tuple[int, str]]] = {}
 
-    def add(self, terms: list[str], columns: list[list[str]], counts: list[list[int]]) -> None:
+    def add(self, terms: pa.Array, sources: pa.ListArray, counts: pa.ListArray) -> None:
+        row = np.repeat(np.arange(len(terms)), pc.list_value_length(sources).to_numpy())
+        found, own = sources.flatten().dictionary_encode(), counts.flatten().to_numpy()
         sides = []
         for names, totals in zip(self.names, self.totals):
             at = {s: i for i, s in enumerate(names)}
+            place = np.array([at.get(s, -1) for s in found.dictionary.to_pylist()], np.int64)[found.indices.to_numpy()]
             matrix = np.zeros((len(terms), len(names)), np.int64)
-            for t, (sources, own) in enumerate(zip(columns, counts)):
-                for source, n in zip(sources, own):
-                    if (i := at.get(source)) is not None:
-                        matrix[t, i] = n
+            matrix[row[place >= 0], place[place >= 0]] = own[place >= 0]
             sides.append((matrix, scaled(matrix, np.array(totals, np.int64) + 2 * self.n_terms)))
         (mine, p), (_, q) = sides
         if self.sums is None:
@@ -176,14 +214,18 @@ class Share:
         for i in range(p.shape[1]):
             self.sums[i] += divergence(p[:, i : i + 1], q).sum(axis=0)
         if self.with_terms:
-            whole = np.array([sum(c) for c in counts], np.int64)
+            whole = np.zeros(len(terms), np.int64)
+            np.add.at(whole, row, own)
             q = scaled(whole, np.int64(self.lang_total + 2 * self.n_terms))
             for i in range(p.shape[1]):
                 more = np.flatnonzero((mine[:, i] > 0) & (p[:, i] > q))
-                value = divergence(p[more, i], q[more]).tolist()
+                value = divergence(p[more, i], q[more])
+                if len(value) > self.top:  # ties with the last one that counts stay
+                    least = np.partition(value, -self.top)[-self.top]
+                    more, value = more[value >= least], value[value >= least]
                 # Python compares texts by code point, which is the order of their UTF-8 bytes
-                found = [*self.best.get(i, []), *((-v, terms[t]) for v, t in zip(value, more.tolist()))]
-                self.best[i] = sorted(found)[: self.top]
+                best = [*self.best.get(i, []), *zip((-value).tolist(), terms.take(pa.array(more)).to_pylist())]
+                self.best[i] = sorted(best)[: self.top]
 
     def rows(self) -> list[tuple]:
         out = []
@@ -205,33 +247,30 @@ def contributions(kept: DataFrame, totals: DataFrame, top: int, tile: int, terms
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "part", "item", "value"])
 
         # buckets of one language and tile follow each other, and add to the same sums
-        key, bucket, first = None, None, None
-        held: list[dict] = []
-
-        def flush() -> None:
-            for at in range(0, len(held), 512):
-                part = held[at : at + 512]
-                bucket.add([r["term"] for r in part], [r["sources"] for r in part], [r["counts"] for r in part])
-            held.clear()
-
+        key, share, first = None, None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                if (row["lang"], row["across"], row["down"]) != key:
-                    if bucket is not None:
-                        flush()
-                        yield from emitted(bucket.rows())
-                    key, first = (row["lang"], row["across"], row["down"]), row["bucket"]
-                    bucket = Share(row["lang"], row["down"] == 0, top)
-                if row["kind"] == 2:
-                    held.append(row)
-                elif row["bucket"] == first:
-                    bucket.names[row["kind"]].append(row["source"])
-                    bucket.totals[row["kind"]].append(row["n"])
-                    bucket.lang_total, bucket.n_terms = row["lang_n"], row["n_terms"]
-            if bucket is not None:
-                flush()
-        if bucket is not None:
-            yield from emitted(bucket.rows())
+            if not batch.num_rows:
+                continue
+            lang, source, terms = batch.column("lang"), batch.column("source"), batch.column("term")
+            across, down, bucket, kind = (batch.column(c).to_numpy() for c in ("across", "down", "bucket", "kind"))
+            runs = _changes(lang) | np.any([c[1:] != c[:-1] for c in (across, down, bucket, kind)], axis=0)
+            edges = [0, *(np.flatnonzero(runs) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:]):
+                now = (lang[a].as_py(), across[a], down[a])
+                if now != key:
+                    if share is not None:
+                        yield from emitted(share.rows())
+                    key, first, share = now, bucket[a], Share(now[0], now[2] == 0, top)
+                if kind[a] == 2:
+                    for at in range(a, b, _TERMS_AT_ONCE):
+                        n = min(_TERMS_AT_ONCE, b - at)
+                        share.add(terms.slice(at, n), batch.column("sources").slice(at, n), batch.column("counts").slice(at, n))
+                elif bucket[a] == first:
+                    share.names[kind[a]] += source.slice(a, b - a).to_pylist()
+                    share.totals[kind[a]] += batch.column("n").slice(a, b - a).to_pylist()
+                    share.lang_total, share.n_terms = batch.column("lang_n")[a].as_py(), batch.column("n_terms")[a].as_py()
+        if share is not None:
+            yield from emitted(share.rows())
 
     tiles = totals.groupBy("lang").agg(F.max(F.expr(f"at div {tile}")).alias("tiles"), F.max("n_terms").alias("_terms")).where("_terms > 0")
     tiles = tiles.withColumn("buckets", F.expr(f"_terms div {terms_a_bucket}"))
@@ -267,7 +306,7 @@ def source_divergence(
         return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
     docs = docs.select(named(lang_col).alias("lang"), named(source_col).alias("source"), named(text_col).alias("text"))
-    kept = materialize(stripes(docs, stripe_cells).where(F.col("df") >= min_docs), "stripes")
+    kept = materialize(stripes(docs, stripe_cells, min_docs), "stripes")
     cells = kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("c")).groupBy("lang", F.col("c.sources").alias("source")).agg(F.sum("c.counts").alias("n"))
     groups = docs.select("lang", "source").distinct().join(cells, ["lang", "source"], "left")
     n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"))
@@ -280,12 +319,12 @@ def source_divergence(
         "totals",
     )
     found = contributions(kept, totals, top, tile, terms_a_bucket)
-    pairs = found.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    whole = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))  # a term is in one bucket
     # no kept term: nothing was compared, and all pairs are alike
     wordless = totals.where("n_terms = 0").select("lang", "source")
     alike = wordless.join(wordless.withColumnRenamed("source", "item"), "lang").where("source <> item").select(
         "lang", "source", F.lit("pair").alias("part"), "item", F.lit(0).cast("long").alias("value")
     )
     rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
-    ranked = pairs.unionByName(alike).unionByName(found.where("part = 'term'")).withColumn("rank", rank)
+    ranked = whole.unionByName(alike).withColumn("rank", rank)
     return ranked.where((F.col("part") == "pair") | (F.col("rank") <= top))

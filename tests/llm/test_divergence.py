@@ -61,7 +61,7 @@ def test_stripes(spark):
     got = {(r.lang, r.term): (r.df, dict(zip(r.sources, r.counts))) for r in divergence.stripes(docs, 10).collect()}
     df, counts = Counter(), defaultdict(Counter)
     for text, lang, source in rows:
-        terms = divergence.terms_of(text or "")
+        terms = Counter(t.decode() for t in divergence.terms_of((text or "").encode()))
         for t, n in terms.items():
             df[lang or "", t] += 1
             counts[lang or "", t][source or ""] += n
