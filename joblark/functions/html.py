@@ -1,9 +1,8 @@
 """HTML rules as Column expressions.
 
-The pages are mostly what a browser writes when it serialises a document: well
-nested, attribute values quoted. Rules find an opening tag with a regular
-expression and its end by counting tags of the same name, which keeps the work
-in the JVM. All rules expect a ``clean`` page, in which tags nest.
+A rule takes a ``Page``, whose elements one pass has found (see ``elements``), or a text: a part of
+a page, or a ``clean`` page, in which tags nest. In a text, rules find an opening tag with a regular
+expression and its end by counting tags of the same name.
 """
 
 from __future__ import annotations
@@ -43,15 +42,9 @@ _TAG_PARTS = re.compile(r"<(/?)([a-zA-Z](?:[^\s/><]|<(?!/?[a-zA-Z]))*)((?:[^<>]|
 _TOKEN = r"""<[/!?a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<"""
 
 
-def clean(html: Column, well_nested: bool | Column = False) -> Column:
+def cut(html: Column) -> Column:
     """Cut comments, scripts and styles, and escape angle brackets inside
-    attribute values, so that later every ``<name`` opens a real tag.
-
-    Tags that do not nest are repaired: what is left open closes where an outer
-    element ends, stray end tags go. That takes a stack, which no built-in function
-    keeps in time linear in the page, so pages go through Python in Arrow batches; pages
-    known to be ``well_nested`` stay in the JVM.
-    """
+    attribute values, so that later every ``<name`` opens a real tag."""
 
     def guard(token: Column) -> Column:
         body = F.substring(token, F.lit(2), F.length(token) - 2)
@@ -67,10 +60,18 @@ def clean(html: Column, well_nested: bool | Column = False) -> Column:
             F.rlike(page, F.lit(_QUOTED_ANGLE)), F.array_join(F.transform(tokens, guard), "")
         ).otherwise(page)
 
-    tags = let(F.regexp_replace(or_empty(html), _UNSEEN, _GAP), guarded)
-    if isinstance(well_nested, bool):
-        return tags if well_nested else _nested(tags)
-    return F.when(well_nested, tags).otherwise(_nested(F.when(~well_nested, tags)))
+    return let(F.regexp_replace(or_empty(html), _UNSEEN, _GAP), guarded)
+
+
+def clean(html: Column) -> Column:
+    """A page ``cut`` and repaired, as a text for rules on texts.
+
+    Tags that do not nest are repaired: what is left open closes where an outer
+    element ends, stray end tags go. That takes a stack, which no built-in function
+    keeps in time linear in the page, so the page goes through Python and comes back whole.
+    ``elements`` finds parts of pages without that.
+    """
+    return _nested(cut(html))
 
 
 def nested_page(page: str) -> str:
@@ -111,12 +112,13 @@ def _nested(pages: pd.Series) -> pd.Series:
 class Selector:
     """An element by tag name, class words and attribute substrings.
 
-    ``tag=None`` stands for any element. ``attrs`` maps an attribute name to a
-    text its value has to contain.
+    ``tag=None`` stands for any element, ``"span|p"`` for several. ``attrs`` maps an attribute name to a
+    text its value has to contain. ``inside`` is a selector one of whose elements has to be around
+    it; only pages whose elements are indexed can tell.
     """
 
-    def __init__(self, tag: str | None = None, classes: tuple[str, ...] = (), **attrs: str):
-        self.tag = tag
+    def __init__(self, tag: str | None = None, classes: tuple[str, ...] = (), inside: Selector | None = None, **attrs: str):
+        self.tag, self.classes, self.attrs, self.inside = tag, classes, attrs, inside
         name = f"(?i:{tag})" if tag else r"(?<tag>[a-zA-Z][^\s/>]*+)"
         self.same_name = f"(?i:{tag})" if tag else r"(?i:\k<tag>)"
         looks = ""
@@ -128,6 +130,24 @@ class Selector:
         # The longest literal every match contains: a cheap first test.
         self.needle = max([*classes, *attrs.values()], key=len, default="")
 
+    def _key(self) -> tuple:
+        return self.tag, self.classes, tuple(self.attrs.items()), self.inside
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Selector) and self._key() == other._key()
+
+    def __hash__(self) -> int:
+        return hash(self._key())
+
+    @property
+    def tests(self) -> bool:
+        return bool(self.classes or self.attrs)
+
+    def holds(self, attrs: dict[str, str]) -> bool:
+        """Whether the attributes of an opening tag are those asked for."""
+        words = attrs.get("class", "").split() if self.classes else ()
+        return all(w in words for w in self.classes) and all(part in attrs.get(name.lower(), "") for name, part in self.attrs.items())
+
     def search(self, html: Column, body: Callable[[Column], Column], absent: Column) -> Column:
         """``body`` of the page from the tag that holds the needle on, ``absent``
         without one. Plain string search is far cheaper than the expression. The page is
@@ -145,6 +165,32 @@ class Selector:
         return let(html, search_in if self.needle else body)
 
 
+class Page:
+    """A page as rules see it: its ``cut`` HTML and, per selector that rules ask for, the places
+    ``(a, o, b, outer)`` of its elements. ``wanted`` fills as rules are written against it."""
+
+    def __init__(self, html: Column, found: Column):
+        self.html, self.found = html, found
+        self.wanted: list[Selector] = []
+
+    def hits(self, sel: Selector) -> Column:
+        if sel.inside is not None:
+            self.hits(sel.inside)
+        if sel not in self.wanted:
+            self.wanted.append(sel)
+        return F.get(self.found, F.lit(self.wanted.index(sel)))
+
+    def _from(self, start: Column, end: Column) -> Column:
+        return F.substring(self.html, start + 1, end - start)
+
+    def element(self, hit: Column) -> Column:
+        """An element without its end tag."""
+        return self._from(hit["a"], hit["b"])
+
+    def opening(self, hit: Column) -> Column:
+        return self._from(hit["a"], hit["o"])
+
+
 def _has(attr: str, quoted: str, bare: str) -> str:
     """A look-ahead for an attribute value; ``{q}`` is the value's quote."""
     double, single = quoted.replace("{q}", '"'), quoted.replace("{q}", "'")
@@ -166,14 +212,18 @@ def _none() -> Column:
     return F.array().cast("array<string>")
 
 
-def open_tags(html: Column, sel: Selector) -> Column:
+def open_tags(html: Column | Page, sel: Selector) -> Column:
     """All matching opening tags in document order."""
+    if isinstance(html, Page):
+        return F.transform(html.hits(sel), html.opening)
     pattern = F.lit(f"(?s){sel.open}")
     return sel.search(html, lambda page: F.regexp_extract_all(page, pattern, F.lit(0)), _none())
 
 
-def flat(html: Column, sel: Selector) -> Column:
+def flat(html: Column | Page, sel: Selector) -> Column:
     """All matching elements of a kind that cannot nest, such as links."""
+    if isinstance(html, Page):
+        return F.transform(html.hits(sel), html.element)
     close = rf"</(?i:{sel.tag})\s*>"
     pattern = F.lit(rf"{sel.open}[^<]*+(?:<(?!/(?i:{sel.tag})[\s>])[^<]*+)*+(?:{close}|$)")
     return sel.search(html, lambda page: F.regexp_extract_all(page, pattern, F.lit(0)), _none())
@@ -212,12 +262,14 @@ def _head_element(rest: Column, tag: Column) -> Column:
     return let(_pieces(rest, tag), cut)
 
 
-def first(html: Column, sel: Selector, nth: int = 1) -> Column:
+def first(html: Column | Page, sel: Selector, nth: int = 1) -> Column:
     """The ``nth`` matching element in document order, null when absent.
 
-    One expression reads up to the next tag of the same name. When that opens
+    In a text, one expression reads up to the next tag of the same name. When that opens
     another element, the end is found by counting.
     """
+    if isinstance(html, Page):
+        return html.element(F.get(html.hits(sel), F.lit(nth - 1)))
     skip = rf"(?:{sel.open}.*?){{{nth - 1}}}" if nth > 1 else ""
     inside = rf"[^<]*+(?:<(?!/?{sel.same_name}[\s/>])[^<]*+)*+"
     upto = rf"(?s){skip}({sel.open}{inside}(?:</?{sel.same_name}(?=[\s/>])|$))"
@@ -246,12 +298,15 @@ def _tag_name(element: Column) -> Column:
     return F.regexp_extract(element, r"^<([^\s/>]+)", 1)
 
 
-def outermost(html: Column, sel: Selector) -> Column:
+def outermost(html: Column | Page, sel: Selector) -> Column:
     """All matching elements that lie in no other matching element.
 
-    The pass notes between which pieces each lies; texts are put together after it.
+    In a text, the pass notes between which pieces each lies; texts are put together after it.
     """
 
+    if isinstance(html, Page):
+        return F.transform(F.filter(html.hits(sel), lambda hit: hit["outer"]), html.element)
+
     def _state(i: Column, depth: Column, start: Column, out: Column) -> Column:
         return F.struct(i.alias("i"), depth.alias("depth"), start.alias("start"), out.alias("out"))
 
@@ -287,13 +342,31 @@ def outermost(html: Column, sel: Selector) -> Column:
     return sel.search(html, search, _none())
 
 
-def first_where(html: Column, tags: str, test: Callable[[Column], Column]) -> Column:
+def within(html: Column | Page, *sels: Selector) -> Column:
+    """All elements of the last selector that lie in one of the selector before it, and so on.
+
+    In a text the last one must be of a kind that cannot nest.
+    """
+    if isinstance(html, Page):
+        chain = None
+        for sel in sels:
+            chain = Selector(sel.tag, sel.classes, chain, **sel.attrs)
+        return flat(html, chain)
+    if len(sels) == 1:
+        return flat(html, sels[0])
+    return F.flatten(F.transform(outermost(html, sels[0]), lambda e: within(e, *sels[1:])))
+
+
+def first_where(html: Column | Page, tags: str, test: Callable[[Column], Column]) -> Column:
     """The first element of some tag names (``"span|p"``) that passes ``test``.
 
     An element that holds a wanted text lies in outer elements that hold it too
     and start earlier; so only elements outside any other one need a test.
     """
 
+    if isinstance(html, Page):
+        return F.get(F.filter(outermost(html, Selector(tags)), test), F.lit(0))
+
     def search(pieces: Column) -> Column:
         def state(i: Column, depth: Column, start: Column, hit: Column) -> Column:
             return F.struct(i.alias("i"), depth.alias("depth"), start.alias("start"), hit.alias("hit"))

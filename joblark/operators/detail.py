@@ -7,10 +7,11 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblark.functions.html import clean, raw_text, text, texts
+from joblark.functions.elements import found_by_source, pages_by_source
+from joblark.functions.html import Page, cut, raw_text, text, texts
 from joblark.functions.text import contains_any, or_empty, utc_iso
 from joblark.schemas import BRONZE, DETAIL_PAGE
-from joblark.sources.spec import Field, ListField, SourceSpec, nested_sources, of_sources, per_source
+from joblark.sources.spec import Field, ListField, SourceSpec, of_sources, per_source
 
 NO_HTML = "no_html"
 CHALLENGE = "challenge_page"
@@ -42,7 +43,7 @@ def extract_details(pages: DataFrame, specs: SourceSpec | tuple[SourceSpec, ...]
     kept = ["source", "url", "job_id", *extra, "page_reject"]
     rules = _rules(specs, pages.sparkSession.sparkContext.applicationId)
     fetched = pages.where(of_sources(specs)).withColumn("page_reject", rules["fetch_reject"])
-    cleaned = fetched.withColumn("html", rules["clean"]).withColumn("page_reject", rules["page_reject"])
+    cleaned = fetched.withColumn("html", rules["cut"]).withColumn("page_reject", rules["page_reject"]).withColumns(rules["found"])
     # Named apart from the record's text column, which Spark would else take for it.
     seen = F.col("crawled_at").alias("_seen_at")
     cut = cleaned.select(*kept, seen, rules["pieces"], *rules["lists"])
@@ -55,16 +56,17 @@ def _rules(specs: tuple[SourceSpec, ...], application: str) -> dict:
     """The Columns of some sources, built once per application: a stream would
     otherwise spend seconds of every micro-batch on building them.
 
-    Three steps: pieces of the page, their texts by one shared rule, values.
+    Four steps: where the wanted elements are, pieces of the page, their texts by one shared rule, values.
     """
     html, reject = F.col("html"), F.col("page_reject")
+    pages = pages_by_source(specs)
     single = {s.name: [n for n, f in s.fields.items() if isinstance(f, Field)] for s in specs}
     lists = list(dict.fromkeys(n for s in specs for n, f in s.fields.items() if isinstance(f, ListField)))
     no_heading = F.when(~has_heading(html), F.lit(NO_HEADING))
 
     def elements(spec: SourceSpec, name: str) -> Column:
         rule = spec.fields.get(name)
-        return texts(rule.elements(html)) if isinstance(rule, ListField) else F.lit(None).cast("array<string>")
+        return texts(rule.elements(pages[spec.name])) if isinstance(rule, ListField) else F.lit(None).cast("array<string>")
 
     def value(spec: SourceSpec, name: str) -> Column:
         rule = spec.fields.get(name)
@@ -82,22 +84,23 @@ def _rules(specs: tuple[SourceSpec, ...], application: str) -> dict:
             return F.col(name)
         return per_source(specs, lambda spec: value(spec, name))
 
+    pieces = per_source(specs, lambda s: F.array(*[_piece(s.fields[n], pages[s.name]) for n in single[s.name]]))
+    found_lists = [F.when(reject.isNull(), per_source(specs, lambda s, n=n: elements(s, n))).alias(n) for n in lists]
     return {
         "fetch_reject": per_source(specs, lambda s: fetch_reject(s, html)),
-        "clean": F.when(reject.isNull(), clean(F.when(reject.isNull(), html), nested_sources(specs))),
+        "cut": F.when(reject.isNull(), cut(F.when(reject.isNull(), html))),
+        "found": found_by_source(pages),
         "page_reject": per_source(specs, lambda s: F.coalesce(reject, no_heading) if s.heading_required else reject),
-        "pieces": F.when(
-            reject.isNull(), per_source(specs, lambda s: F.array(*[_piece(s.fields[n], html) for n in single[s.name]]))
-        ).alias("_pieces"),
-        "lists": [F.when(reject.isNull(), per_source(specs, lambda s, n=n: elements(s, n))).alias(n) for n in lists],
+        "pieces": F.when(reject.isNull(), pieces).alias("_pieces"),
+        "lists": found_lists,
         "texts": F.transform("_pieces", _piece_text),
         "record": [column(n).alias(n) for n in BRONZE.fieldNames()],
     }
 
 
-def _piece(rule: Field, html: Column) -> Column:
+def _piece(rule: Field, page: Page) -> Column:
     return F.struct(
-        rule.element(html).alias("html"), F.lit(rule.sep).alias("sep"), F.lit(rule.raw).alias("raw")
+        rule.element(page).alias("html"), F.lit(rule.sep).alias("sep"), F.lit(rule.raw).alias("raw")
     )
 
 

@@ -7,9 +7,10 @@ from functools import lru_cache, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from joblark.functions.html import clean
+from joblark.functions.elements import found_by_source, pages_by_source
+from joblark.functions.html import cut
 from joblark.functions.text import or_empty
-from joblark.sources.spec import SourceSpec, nested_sources, of_sources, per_source
+from joblark.sources.spec import SourceSpec, of_sources, per_source
 
 
 class ListingError(RuntimeError):
@@ -27,8 +28,8 @@ def listing_facts(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
         "source",
         F.col("page_no").cast("bigint").alias("page_no"),
         (or_empty(F.col("html")) != "").alias("has_html"),
-        rules["clean"].alias("html"),
-    )
+        rules["cut"].alias("html"),
+    ).withColumns(rules["found"])
     first_page = F.when(F.col("page_no") == 1, rules["page_count"])
     return cleaned.select("source", "page_no", "has_html", rules["slugs"].alias("slugs"), first_page.alias("page_count"))
 
@@ -37,11 +38,10 @@ def listing_facts(pages: DataFrame, specs: tuple[SourceSpec, ...]) -> DataFrame:
 def _rules(specs: tuple[SourceSpec, ...], application: str) -> dict:
     """The listing Columns of some sources, built once per application."""
     html = F.col("html")
-    return {
-        "clean": clean(html, nested_sources(specs)),
-        "slugs": per_source(specs, lambda s: s.slugs(html)),
-        "page_count": per_source(specs, lambda s: s.page_count(html)),
-    }
+    pages = pages_by_source(specs)
+    slugs = per_source(specs, lambda s: s.slugs(pages[s.name]))
+    page_count = per_source(specs, lambda s: s.page_count(pages[s.name]))
+    return {"cut": cut(html), "found": found_by_source(pages), "slugs": slugs, "page_count": page_count}
 
 
 def require_first_pages(facts: DataFrame, specs: tuple[SourceSpec, ...]) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joblark.functions import dates, html, text
+from joblark.functions.elements import with_elements
 from joblark.functions.html import Selector
 from joblark.operators import detail, incremental, listing, quality, url_checks
 from joblark.plans import ingest as jobs
@@ -43,8 +44,8 @@ def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return fill_cores(table(spark, sf_dir, name), key)
 
 
-def _clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spread(spark, sf_dir, "pages", "page_id").select("page_id", "url", html.clean(F.col("html")).alias("html"))
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spread(spark, sf_dir, "pages", "page_id")
 
 
 def _day(ts: str) -> Column:
@@ -61,29 +62,26 @@ def _event_id_text() -> Column:
 @query
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First heading of each raw page."""
-    title = html.text(html.first(F.col("html"), Selector("h1")))
-    return _clean_pages(spark, sf_dir).select("page_id", title.alias("title"))
+    return with_elements(_pages(spark, sf_dir), ["page_id"], title=lambda p: html.text(html.first(p, Selector("h1"))))
 
 
 @query
 def page_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last piece of each local link, the first mention per page only."""
-    slugs = link_slugs(F.col("html"), "/")
-    return _clean_pages(spark, sf_dir).select("page_id", F.posexplode(slugs).alias("pos", "slug"))
+    found = with_elements(_pages(spark, sf_dir), ["page_id"], slugs=lambda p: link_slugs(p, "/"))
+    return found.select("page_id", F.posexplode("slugs").alias("pos", "slug"))
 
 
 @query
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of a container with nested markup, line by line."""
-    body = html.text(html.first(F.col("html"), Selector("article")), "\n")
-    return _clean_pages(spark, sf_dir).select("page_id", body.alias("body"))
+    return with_elements(_pages(spark, sf_dir), ["page_id"], body=lambda p: html.text(html.first(p, Selector("article")), "\n"))
 
 
 @query
 def page_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Footer text, which holds named character references."""
-    footer = html.text(html.first(F.col("html"), Selector("footer")))
-    return _clean_pages(spark, sf_dir).select("page_id", footer.alias("footer"))
+    return with_elements(_pages(spark, sf_dir), ["page_id"], footer=lambda p: html.text(html.first(p, Selector("footer"))))
 
 
 @query
@@ -98,9 +96,9 @@ def challenge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def headed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pages and rendered site-1 pages per presence of a heading."""
-    raw = _clean_pages(spark, sf_dir).select(F.lit("pages").alias("kind"), "html")
+    raw = _pages(spark, sf_dir).select(F.lit("pages").alias("kind"), html.cut(F.col("html")).alias("html"))
     rendered = site_pages.itviec_pages(_spread(spark, sf_dir, "documents", "doc_id")).select(
-        F.lit("itviec").alias("kind"), html.clean(F.col("html")).alias("html")
+        F.lit("itviec").alias("kind"), html.cut(F.col("html")).alias("html")
     )
     both = raw.unionByName(rendered)
     return both.groupBy("kind", detail.has_heading(F.col("html")).alias("headed")).agg(
@@ -146,13 +144,8 @@ def listing_slugs_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def listing_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page count by the rule of each site, here for every listing page."""
-    pages = site_pages.listing_pages(table(spark, sf_dir, "part")).select(
-        "source", "page_no", html.clean(F.col("html")).alias("html")
-    )
-    counts = [
-        pages.where(F.col("source") == s.name).select("source", "page_no", s.page_count(F.col("html")).alias("pages"))
-        for s in SITES
-    ]
+    pages = site_pages.listing_pages(table(spark, sf_dir, "part"))
+    counts = [with_elements(pages.where(F.col("source") == s.name), ["source", "page_no"], pages=s.page_count) for s in SITES]
     return listing.union_all(counts)
 
 

@@ -1,4 +1,4 @@
-"""The two job sites as rules over cleaned pages."""
+"""The two job sites as rules over pages."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from joblark.functions import dates, html
-from joblark.functions.html import Selector
+from joblark.functions.html import Page, Selector
 from joblark.functions.text import after_last, all_digits, before, contains_any, let, strip
 from joblark.sources.spec import Field, ListField, SourceSpec
 
@@ -41,12 +41,12 @@ def _non_empty(values: Column) -> Column:
 # ---- listing rules -----------------------------------------------------------------
 
 
-def attribute_slugs(page: Column, sel: Selector, name: str) -> Column:
+def attribute_slugs(page: Column | Page, sel: Selector, name: str) -> Column:
     """An attribute of each matching element, in order, repeats kept."""
     return _non_empty(F.transform(html.open_tags(page, sel), lambda t: strip(html.attr(t, name))))
 
 
-def link_slugs(page: Column, mark: str) -> Column:
+def link_slugs(page: Column | Page, mark: str) -> Column:
     """What follows the last ``mark`` in each link address, first mention only."""
 
     def slug(tag: Column) -> Column:
@@ -62,14 +62,11 @@ def highest_number(texts: Column) -> Column:
     return F.coalesce(F.array_max(numbers), F.lit(1).cast("bigint"))
 
 
-def _itviec_page_count(page: Column) -> Column:
-    navs = html.outermost(page, Selector("nav"))
-    boxes = F.flatten(F.transform(navs, lambda n: html.outermost(n, Selector("div", ("page",)))))
-    links = F.flatten(F.transform(boxes, lambda b: html.flat(b, Selector("a"))))
-    return highest_number(html.texts(links))
+def _itviec_page_count(page: Column | Page) -> Column:
+    return highest_number(html.texts(html.within(page, Selector("nav"), Selector("div", ("page",)), Selector("a"))))
 
 
-def _topdev_page_count(page: Column) -> Column:
+def _topdev_page_count(page: Column | Page) -> Column:
     return highest_number(html.texts(html.flat(page, Selector("a", href="page="))))
 
 
@@ -100,12 +97,12 @@ ITVIEC_FIELDS = {
 }
 
 
-def _topdev_title(page: Column) -> Column:
+def _topdev_title(page: Column | Page) -> Column:
     link = Selector("a", ("text-brand-500", "font-semibold"))
     return F.coalesce(html.first(page, Selector("h1")), html.first(page, link))
 
 
-def _topdev_company(page: Column) -> Column:
+def _topdev_company(page: Column | Page) -> Column:
     def pick(links: Column) -> Column:
         spans = F.transform(links, lambda link: html.first(link, Selector("span")))
         found = F.filter(spans, lambda s: s.isNotNull())
@@ -114,24 +111,24 @@ def _topdev_company(page: Column) -> Column:
     return let(html.flat(page, Selector("a", href="/companies/")), pick)
 
 
-def _topdev_salary(page: Column) -> Column:
+def _topdev_salary(page: Column | Page) -> Column:
     named = html.first(page, Selector(**{"class": "salary"}))
     worded = html.first_where(page, "span", lambda e: contains_any(html.raw_text(e), SALARY_WORDS))
     return F.coalesce(named, worded)
 
 
-def _first_dated(page: Column) -> Column:
+def _first_dated(page: Column | Page) -> Column:
     """The first date text of the page; the site may show the closing date there."""
     return html.first_where(page, "span|p", lambda e: F.rlike(html.raw_text(e), F.lit(dates.DMY)))
 
 
-def _topdev_skills(page: Column) -> Column:
+def _topdev_skills(page: Column | Page) -> Column:
     return F.concat(
         html.flat(page, Selector("a", href="keyword=")), html.flat(page, Selector("a", href="/skills/"))
     )
 
 
-def _topdev_description(page: Column) -> Column:
+def _topdev_description(page: Column | Page) -> Column:
     box = html.first(page, Selector(**{"class": "job-description"}))
     return F.coalesce(box, html.first(page, Selector("article")))
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from joblark.functions.html import Page
+
 # Values of the quality gate unless a site says otherwise.
 CRITICAL_FIELDS = ("title", "company")
 EMPTY_THRESHOLD = 0.5
@@ -15,14 +17,14 @@ EMPTY_THRESHOLD = 0.5
 
 @dataclass(frozen=True)
 class Field:
-    """A record column from one element of the cleaned page.
+    """A record column from one element of the page.
 
     ``element`` picks the element; its stripped texts are joined by ``sep``, or
     its text is taken as it stands when ``raw``; ``then`` turns that text and
     the fetch time into the value.
     """
 
-    element: Callable[[Column], Column]
+    element: Callable[[Page], Column]
     sep: str = ""
     raw: bool = False
     then: Callable[[Column, Column], Column] | None = None
@@ -30,29 +32,28 @@ class Field:
 
 @dataclass(frozen=True)
 class ListField:
-    """A record column from the texts of many elements of the cleaned page."""
+    """A record column from the texts of many elements of the page."""
 
-    elements: Callable[[Column], Column]
+    elements: Callable[[Page], Column]
     then: Callable[[Column], Column] | None = None
 
 
 @dataclass(frozen=True, eq=False)
 class SourceSpec:
-    """The extension point: a new site is a new set of Column rules.
+    """The extension point: a new site is a new set of rules, which make Columns of a page.
 
-    ``fields`` maps record columns to rules of the cleaned page. ``slugs`` and ``page_count`` take a cleaned listing page.
+    ``fields`` maps record columns to rules of the detail page. ``slugs`` and ``page_count`` take a listing page.
     """
 
     name: str
     detail_url: str
     job_id: Callable[[Column], Column]
-    slugs: Callable[[Column], Column]
-    page_count: Callable[[Column], Column]
+    slugs: Callable[[Page], Column]
+    page_count: Callable[[Page], Column]
     fields: dict[str, Field | ListField] = field(default_factory=dict)
     batch_size: int = 5
     check_urls: bool = True
     heading_required: bool = False
-    well_nested: bool = False  # pages as a browser serialises them need no repair
     challenge_markers: tuple[str, ...] = ()
     disconnect_markers: tuple[str, ...] = ()
     critical_fields: tuple[str, ...] = CRITICAL_FIELDS
@@ -71,8 +72,3 @@ def per_source(specs: tuple[SourceSpec, ...], value: Callable[[SourceSpec], Colu
 def of_sources(specs: tuple[SourceSpec, ...], source: str = "source") -> Column:
     return F.col(source).isin(*[s.name for s in specs])
 
-
-def nested_sources(specs: tuple[SourceSpec, ...]) -> bool | Column:
-    """Whether pages need no repair, by source where that differs."""
-    known = {s.well_nested for s in specs}
-    return known.pop() if len(known) == 1 else F.col("source").isin(*[s.name for s in specs if s.well_nested])
