@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -92,65 +93,141 @@ def dedup_across_batches(
     return joined.where(F.col("_first").isNull() | (F.col("batch_no") == F.col("_first"))).drop("_first")
 
 
-def settle_batches(members: DataFrame, threshold: Column) -> tuple[DataFrame, DataFrame]:
+# Members of some batches that one task replays in order, a few tens of megabytes.
+BLOCK_ROWS = 200_000
+WIDEN = 16
+
+
+def settle_batches(members: DataFrame, threshold: Column, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """Which batches pass the gate when they are saved in order, and what repeats in them.
 
     ``members`` has ``(source, batch_no, key, total, bad)``: records and bad records
     of a key in a batch. A key counts as known in a batch once an earlier batch
-    of its source that passed holds it, and its records there are not judged.
+    of its source that passed holds it, and its records there are not judged. A batch without records to judge passes.
     Returns ``(source, batch_no, total, bad, passed)`` and the ``(source, batch_no, key)``
     that are known there.
 
-    Each round settles every batch none of whose keys waits for an earlier batch.
-    A key waits only until some earlier batch with it has passed, so there are few rounds
-    unless failing batches form a chain by their keys. A batch without records to judge passes.
+    Only keys of several batches make one batch depend on another. Their batches are replayed in order
+    in blocks: neighbouring batches of a source in one sorted group, so that chains inside a block cost no round.
+    A batch whose verdict is the same whatever becomes of its pending keys is decided at once, others wait
+    for the next round, whose blocks are ``WIDEN`` times as wide as long as what is left in each fits a task.
+    So only chains in which every verdict hangs on the one before, and which are longer than a block, take a round a block; every
+    round decides at least the first open batch of each source. A batch of more than ``block_rows`` shared keys is
+    judged by an aggregation. Counts are taken once, when all verdicts are known.
     """
     at = ["source", "batch_no"]
-    members = materialize(members, "members")
-    shared = members.groupBy("source", "key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    # only keys of several batches can make one batch wait for another
-    repeats = materialize(members.join(shared, ["source", "key"], "left_semi"), "repeats")
-    ratio = F.try_divide("bad", "total")
-    passed = ((F.col("total") == 0) | (ratio <= threshold)).alias("passed")
+    members = materialize(members.select(*at, "key", "total", "bad", F.to_json(F.struct("key")).alias("_key")), "members")
+    shared = members.groupBy("source", "_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeats = materialize(members.join(shared, ["source", "_key"], "left_semi"), "repeats")
     whole = members.groupBy(*at).agg(F.sum("total").alias("total"), F.sum("bad").alias("bad"))
     if repeats.isEmpty():
-        none = repeats.select(*at, "key")
-        return materialize(whole.select(*at, "total", "bad", passed), "settled"), none
+        return materialize(whole.select(*at, "total", "bad", _passes(threshold).alias("passed")), "settled"), repeats.select(*at, "key")
     whole = materialize(whole, "whole")
-    settled, left = None, True
+    sizes = repeats.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+    judged = whole.select(*at, F.col("total").alias("all"), F.col("bad").alias("all_bad"), threshold.alias("limit"))
+    linked = repeats.drop("key").join(sizes.select(*at, (F.col("_n") > block_rows).alias("large")), at).join(judged, at)
+    left, held = materialize(linked, "left"), None
+    widest = sizes.where(F.col("_n") <= block_rows).agg(F.max("_n").alias("n")).first()["n"] or block_rows
+    width = max(1, block_rows // widest)
     while True:
-        if settled is None:
-            state = repeats.withColumn("passed", F.lit(None).cast("boolean"))
-        else:
-            state = repeats.join(settled.select(*at, "passed"), at, "left")
-        state = state.withColumn("open", F.col("passed").isNull())
-        firsts = state.groupBy("source", "key").agg(
-            F.min(F.when(F.col("passed"), F.col("batch_no"))).alias("_held"),
-            F.min(F.when(F.col("open"), F.col("batch_no"))).alias("_open"),
-        )
-        judged = state.join(firsts, ["source", "key"]).select(
-            *at, "key", "total", "bad",
-            F.coalesce(F.col("_held") < F.col("batch_no"), F.lit(False)).alias("known"),
-            F.coalesce(F.col("_open") < F.col("batch_no"), F.lit(False)).alias("before"),
-        )
-        if not left:
-            return settled, judged.where("known").select(*at, "key")
-        known = judged.groupBy(*at).agg(
-            F.sum(F.when(F.col("known"), F.col("total")).otherwise(0)).alias("_total"),
-            F.sum(F.when(F.col("known"), F.col("bad")).otherwise(0)).alias("_bad"),
-            F.max(F.col("before") & ~F.col("known")).alias("_waits"),
-        )
-        open_batches = whole if settled is None else whole.join(settled.select(*at), at, "left_anti")
-        fresh = open_batches.join(known, at, "left").select(
-            *at,
-            (F.col("total") - F.coalesce("_total", F.lit(0))).alias("total"),
-            (F.col("bad") - F.coalesce("_bad", F.lit(0))).alias("bad"),
-            F.coalesce("_waits", F.lit(False)).alias("_waits"),
-        )
-        fresh = materialize(fresh.select(*at, "total", "bad", passed, "_waits"), "settled")
-        done = fresh.where(~F.col("_waits")).drop("_waits")
-        left = bool(fresh.where("_waits").take(1))
-        settled = done if settled is None else settled.unionByName(done)
+        verdicts = materialize(_replayed(left, held, width), "verdicts").where(F.col("passed").isNotNull())
+        fresh = left.join(verdicts.where("passed").select(*at), at, "left_semi").select("source", "_key", "batch_no")
+        if held is not None:
+            fresh = fresh.unionByName(held.withColumnRenamed("held", "batch_no"))
+        held = materialize(fresh.groupBy("source", "_key").agg(F.min("batch_no").alias("held")), "held")
+        left = materialize(left.join(verdicts.select(*at), at, "left_anti"), "left")
+        if left.isEmpty():
+            break
+        wider = left.where(~F.col("large")).groupBy("source", F.floor(F.col("batch_no") / (width * WIDEN)).alias("_block"))
+        most = wider.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+        if most <= block_rows:
+            width *= WIDEN
+    known = materialize(repeats.join(held, ["source", "_key"]).where(F.col("held") < F.col("batch_no")).select(*at, "key", "total", "bad"), "known")
+    again = known.groupBy(*at).agg(F.sum("total").alias("_total"), F.sum("bad").alias("_bad"))
+    none = F.lit(0)
+    settled = whole.join(again, at, "left").select(
+        *at, (F.col("total") - F.coalesce("_total", none)).alias("total"), (F.col("bad") - F.coalesce("_bad", none)).alias("bad")
+    )
+    return settled.withColumn("passed", _passes(threshold)), known.select(*at, "key")
+
+
+def _passes(limit: Column) -> Column:
+    return (F.col("total") == 0) | (F.try_divide("bad", "total") <= limit)
+
+
+def _replayed(left: DataFrame, held: DataFrame | None, width: int) -> DataFrame:
+    """``(source, batch_no, passed)`` of the open batches, null where it cannot be told yet;
+    ``left`` holds their shared keys, ``held`` the first batch that passed with a key."""
+    small, no = ~F.col("large"), F.lit(False)
+    firsts = left.groupBy("source", "_key").agg(
+        F.min(F.when(small, F.col("batch_no"))).alias("_small"), F.min(F.when(F.col("large"), F.col("batch_no"))).alias("_large")
+    )
+    state = left.join(firsts, ["source", "_key"])
+    state = state.join(held, ["source", "_key"], "left") if held is not None else state.withColumn("held", F.lit(None).cast("bigint"))
+    block = lambda c: F.floor(F.col(c) / width)
+    # batches of the own block are told apart when it is replayed
+    ahead = F.when(small, block("_small") < block("batch_no")).otherwise(F.col("_small") < F.col("batch_no"))
+    state = state.withColumn("known", F.coalesce(F.col("held") < F.col("batch_no"), no)).withColumn(
+        "pending", ~F.col("known") & (F.coalesce(ahead, no) | F.coalesce(F.col("_large") < F.col("batch_no"), no))
+    )
+    columns = ["source", "batch_no", "_key", "total", "bad", "all", "all_bad", "limit", "known", "pending"]
+    schema = f"source string, batch_no {left.schema['batch_no'].dataType.simpleString()}, passed boolean"
+    blocks = state.where(small).select(*columns, block("batch_no").alias("_block")).groupBy("source", "_block")
+    over = F.col("bad") - F.col("limit") * F.col("total")
+    sums = state.where("large").groupBy("source", "batch_no").agg(
+        (F.first("all") - F.sum(F.when(F.col("known"), F.col("total")).otherwise(0))).alias("total"),
+        (F.first("all_bad") - F.sum(F.when(F.col("known"), F.col("bad")).otherwise(0))).alias("bad"), F.first("limit").alias("limit"),
+        F.sum(F.when(F.col("pending"), F.least(over, F.lit(0.0))).otherwise(0.0)).alias("low"),
+        F.sum(F.when(F.col("pending"), F.greatest(over, F.lit(0.0))).otherwise(0.0)).alias("high"), F.max("pending").alias("waits"),
+    )
+    value, margin = F.col("bad") - F.col("limit") * F.col("total"), _MARGIN * (1 + F.col("total"))
+    told = F.when(~F.col("waits"), _passes(F.col("limit"))).when(value - F.col("low") < -margin, True).when(value - F.col("high") > margin, False)
+    return blocks.applyInArrow(_replay, schema).unionByName(sums.select("source", "batch_no", told.alias("passed")))
+
+
+_MARGIN = 1e-9  # a verdict this close to the limit, in records, is only given on exact counts
+
+
+def _verdict(total: int, bad: int, limit: float, pending: list[float]) -> bool | None:
+    """Whether a batch passes whichever of its pending keys turn out to be known; None if that matters.
+    ``pending`` has by how much a key's bad records exceed its share of the limit."""
+    if not pending:
+        return total == 0 or bad / total <= limit
+    value, margin = bad - limit * total, _MARGIN * (1 + total)
+    if value - sum(w for w in pending if w < 0) < -margin:
+        return True
+    return False if value - sum(w for w in pending if w > 0) > margin else None
+
+
+def _replay(block: pa.Table) -> pa.Table:
+    """The batches of one block in order, with the keys that passed and those that are undecided."""
+    rows = block.sort_by("batch_no")
+    number, keys, known, pending, total, bad, whole, whole_bad, limit = (
+        rows.column(c).to_pylist() for c in ("batch_no", "_key", "known", "pending", "total", "bad", "all", "all_bad", "limit")
+    )
+    passed_keys: set[str] = set()
+    open_keys: set[str] = set()
+    first, out = 0, []
+    while first < len(number):
+        end, left, left_bad, waiting = first, whole[first], whole_bad[first], []
+        while end < len(number) and number[end] == number[first]:
+            if known[end] or keys[end] in passed_keys:
+                left -= total[end]
+                left_bad -= bad[end]
+            elif pending[end] or keys[end] in open_keys:
+                waiting.append(bad[end] - limit[end] * total[end])
+            end += 1
+        passed = _verdict(left, left_bad, limit[first], waiting)
+        if passed is None:
+            open_keys.update(keys[first:end])
+        elif passed:
+            passed_keys.update(keys[first:end])
+        out.append((number[first], passed))
+        first = end
+    source = rows.column("source").slice(0, 1).to_pylist() * len(out)
+    columns = [source, [n for n, _ in out], [p for _, p in out]]
+    kinds = [pa.string(), block.schema.field("batch_no").type, pa.bool_()]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["source", "batch_no", "passed"])
 
 
 def triage(records: DataFrame, keys: DataFrame, spread: list[str], join: Join = skew_join) -> DataFrame:

@@ -147,6 +147,68 @@ def test_batches_settle_as_if_saved_in_order(spark, seed):
     assert {(r["source"], r["batch_no"], r["key"]) for r in known.collect()} == repeats
 
 
+def replayed(held, threshold=0.5):
+    """Batches saved in order: what ``settle_batches`` has to return."""
+    saved, verdicts, repeats = set(), set(), set()
+    batches = {}
+    for at, n in held.items():
+        batches.setdefault(at[:2], {})[at] = n
+    for source, batch in sorted(batches):
+        own = batches[source, batch]
+        again = {at for at in own if (source, at[2]) in saved}
+        total, bad = (sum(n[i] for at, n in own.items() if at not in again) for i in (0, 1))
+        passed = not total or bad / total <= threshold
+        verdicts.add((source, batch, total, bad, passed))
+        repeats |= again
+        if passed:
+            saved |= {(source, at[2]) for at in own}
+    return verdicts, repeats
+
+
+def settled(spark, held, **options):
+    members = spark.createDataFrame([(*at, *n) for at, n in held.items()], "source string, batch_no long, key string, total long, bad long")
+    verdicts, known = inc.settle_batches(members, F.lit(0.5), **options)
+    rows = verdicts.collect()
+    assert len(rows) == len({at[:2] for at in held})
+    return {(r["source"], r["batch_no"], r["total"], r["bad"], r["passed"]) for r in rows}, {(r["source"], r["batch_no"], r["key"]) for r in known.collect()}
+
+
+def rounds(monkeypatch):
+    names, write = [], inc.materialize
+    monkeypatch.setattr(inc, "materialize", lambda df, name: names.append(name) or write(df, name))
+    return lambda: names.count("verdicts")
+
+
+@pytest.mark.parametrize("block_rows, bad, most", [(200_000, 3, 1), (64, 3, 1), (200_000, 1, 1), (400, 1, 6)])
+def test_a_chain_of_batches_takes_few_rounds(spark, monkeypatch, block_rows, bad, most):
+    """Each batch shares a key with the next one, and fails by three bad records of its own, or by one just
+    when the batch before has passed: then every other one does."""
+    held = {}
+    for b in range(1000):
+        held |= {("s", b, f"own{b}"): (bad, bad), ("s", b, f"link{b}"): (1, 0), ("s", b, f"link{b + 1}"): (1, 1 if bad == 1 else 0)}
+    count = rounds(monkeypatch)
+    assert settled(spark, held, block_rows=block_rows) == replayed(held)
+    assert count() <= most
+
+
+@pytest.mark.parametrize("seed, block_rows", [(1, 1), (2, 3), (3, 12), (4, 40)])
+def test_blocks_of_any_size_and_large_batches_settle_alike(spark, seed, block_rows):
+    rng = random.Random(seed)
+    held = {}
+    for _ in range(300):
+        size = rng.choice([1, 1, 2, 5, 20])
+        at = rng.choice("ab"), rng.randint(-3, 40)
+        for _ in range(size):
+            total = rng.randint(1, 3)
+            held[(*at, f"k{rng.randint(0, 60)}")] = (total, rng.randint(0, total))
+    assert settled(spark, held, block_rows=block_rows) == replayed(held)
+
+
+def test_batches_that_share_nothing(spark):
+    held = {("a", 1, "x"): (2, 2), ("a", 2, "y"): (2, 1), ("b", 1, "x"): (1, 1)}
+    assert settled(spark, held) == replayed(held)
+
+
 @pytest.mark.parametrize("block", [1, 3, 4096])
 def test_run_progress(spark, block):
     rng = random.Random(3)
