@@ -49,14 +49,19 @@ def all_valid(urls: DataFrame) -> DataFrame:
 
 def partition_urls(checks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(valid, failed)``; every URL lies in exactly one of them."""
-    ok = F.coalesce(F.col("is_valid"), F.lit(False))
+    ok = _valid()
     return checks.where(ok).select("url"), checks.where(~ok)
 
 
+def _valid() -> Column:
+    """A check without a verdict has failed."""
+    return F.coalesce(F.col("is_valid"), F.lit(False))
+
+
 def check_counts(checks: DataFrame) -> DataFrame:
     return checks.agg(
-        F.count_if("is_valid").alias("reachable"),
-        F.count_if(~F.col("is_valid")).alias("failed"),
+        F.count_if(_valid()).alias("reachable"),
+        F.count_if(~_valid()).alias("failed"),
         F.count(F.lit(1)).alias("total"),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
-from joblark.operators import detail, incremental, listing, quality, url_checks
+from joblark.operators import detail, incremental, listing, membership, quality, url_checks
 from joblark.operators.joins import BROADCAST_ROWS, Join, sized_join, skew_join
 from joblark.schemas import BRONZE, REPORT
 from joblark.session import materialize
@@ -39,6 +39,7 @@ class IngestOptions:
     mode: str = "id"
     on_gate: str = "raise"
     broadcast_rows: int = BROADCAST_ROWS
+    filter_bytes: int = membership.MAX_BYTES
 
     def join(self, *args) -> DataFrame:
         return sized_join(*args, limit=self.broadcast_rows)
@@ -64,15 +65,17 @@ def fresh_records(
 ) -> DataFrame:
     """Records of the pages whose id is not known, with ``page_reject``.
 
-    Pages are never shuffled. Few known ids are broadcast and drop pages before
-    their HTML is read; many are joined with the extracted records instead.
+    Pages are never shuffled, and known ids drop them before their HTML is read: few ids are
+    broadcast, many through a filter of bounded size whose false hits are settled on ids. Only when those
+    are too many as well are ids joined with the extracted records instead.
     """
     if options.mode == "id_date":
         return detail.extract_details(pages, specs)
     if options.mode != "id":
         raise ValueError(f"unknown mode: {options.mode}")
-    if keys.count() <= options.broadcast_rows:
-        left = pages.join(F.broadcast(keys.select("job_id")), "job_id", "left_anti")
+    ids = keys.select("job_id").distinct()
+    left = membership.without_members(pages, ids, ("job_id",), keys.count(), options.broadcast_rows, ["url"], options.filter_bytes)
+    if left is not None:
         return detail.extract_details(left, specs)
     return incremental.new_ids(materialize(detail.extract_details(pages, specs), "extracted"), keys, ["url"])
 
@@ -133,6 +136,16 @@ class Filter:
         return skew_join(df, marked, [*self.on], "left", ["url", "crawled_at"])
 
 
+    def narrowed(self, pages: DataFrame, options: IngestOptions) -> tuple[DataFrame, bool]:
+        """Pages without those that the filter surely stops, and whether it stops none of the rest."""
+        if self.keep_held:
+            return membership.likely_members(pages, self.rows, self.on, self.count, options.filter_bytes), False
+        left = membership.without_members(
+            pages, self.rows, self.on, self.count, options.broadcast_rows, ["url", "crawled_at"], options.filter_bytes
+        )
+        return (pages, False) if left is None else (left, True)
+
+
 def filtered(df: DataFrame, filters: list[Filter], limit: int) -> DataFrame:
     """``df`` with the outcome of the first filter that stops a row, else null, in ``early``."""
     for i, f in enumerate(filters):
@@ -220,9 +233,14 @@ def settle(
     if not given:
         batches = materialize(site_batches(flagged.where(F.col("early").isNull()), specs), "batches")
 
-    # pages that no filter stops; filters too large to broadcast are asked about the records
+    # pages that no filter stops; false hits of filters too large to broadcast are settled on the records
     small = [f for f in filters if f.count <= options.broadcast_rows]
     wanted = filtered(pages, small, options.broadcast_rows).where(F.col("early").isNull()).drop("early")
+    large = []
+    for f in filters:
+        if f.count > options.broadcast_rows:
+            wanted, settled = f.narrowed(wanted, options)
+            large += [] if settled else [f]
     records = detail.extract_details(wanted, specs).withColumns(
         {"key_date": or_empty(key_date(F.col("posted_date"))), "_row": F.monotonically_increasing_id()}
     )
@@ -232,7 +250,6 @@ def settle(
         "_row", "source", "url", "job_id", "key_date", "crawled_at", "page_reject", "title", bad.alias("bad"),
         *(["batch_no"] if given else []),
     )
-    large = [f for f in filters if f.count > options.broadcast_rows]
     narrow = filtered(narrow, large, options.broadcast_rows).where(F.col("early").isNull()).drop("early")
     narrow = incremental.triage(narrow, keys, ["url"], options.known_join(n_keys))
     if not given:

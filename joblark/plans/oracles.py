@@ -255,6 +255,9 @@ def oracle_sql() -> dict[str, str]:
         "new_ids": f"""
             SELECT event_id, job_id FROM ({_CANDIDATES})
             WHERE job_id NOT IN (SELECT job_id FROM ({_KNOWN}))""",
+        "filtered_ids": f"""
+            SELECT event_id, job_id FROM ({_CANDIDATES})
+            WHERE job_id NOT IN (SELECT job_id FROM ({_KNOWN}))""",
         "first_run_ids": f"SELECT DISTINCT job_id FROM ({_CANDIDATES})",
         "new_records": f"""
             SELECT c.* FROM (SELECT event_id, job_id, CASE WHEN event_id % 10 <> 0
@@ -268,14 +271,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, user_id, event_type, event_id // 500 AS batch_no FROM events
             QUALIFY event_id // 500 = min(event_id // 500) OVER (PARTITION BY user_id, event_type)""",
         "micro_batches": """
-            WITH n AS (SELECT event_type AS source, count(*) AS n FROM events GROUP BY ALL)
-            SELECT source, 5::BIGINT AS batch_size, n // 5 AS batches FROM n WHERE n >= 5
-            UNION ALL SELECT source, n % 5, 1 FROM n WHERE n % 5 > 0""",
+            SELECT event_type AS source, event_id::VARCHAR AS url,
+              (row_number() OVER (PARTITION BY event_type ORDER BY md5(event_id::VARCHAR), event_id::VARCHAR) - 1) // 5 + 1 AS batch_no
+            FROM events""",
         "batch_numbers": """
-            WITH n AS (SELECT count(*) AS n FROM documents)
-            SELECT 'itviec' AS source, 5::BIGINT AS batch_size, n // 5 AS batches FROM n WHERE n >= 5
-            UNION ALL SELECT 'itviec', n % 5, 1 FROM n WHERE n % 5 > 0
-            UNION ALL SELECT 'topdev', 1, count(*) FROM conversations""",
+            WITH u AS (
+              SELECT 'itviec' AS source, 'https://itviec.com/it-jobs/role-' || doc_id AS url, 5 AS size FROM documents
+              UNION SELECT 'topdev', 'https://topdev.vn/detail-jobs/job-' || conv_id || '-' || (conv_id * 1000 + turn), 1 FROM conversations)
+            SELECT source, url, (row_number() OVER (PARTITION BY source ORDER BY md5(url), url) - 1) // size + 1 AS batch_no FROM u""",
         "keys_of_failed_batches": """
             WITH r AS (SELECT event_id, event_id // 50 + 1 AS batch_no, user_id || '-' || event_type AS key,
               event_id % 17 = 0 AS rejected, (event_id // 50) % 2 = 1 AS passes FROM events)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from joblark.functions import dates, html, text
 from joblark.functions.elements import with_elements
 from joblark.functions.html import Selector
-from joblark.operators import detail, incremental, listing, quality, url_checks
+from joblark.operators import detail, incremental, listing, membership, quality, url_checks
 from joblark.plans import ingest as jobs
 from joblark.plans import site_pages
 from joblark.schemas import BRONZE
@@ -316,6 +316,17 @@ def new_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fresh.select("event_id", "job_id")
 
 
+@query
+def filtered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with known ids that count as too many to broadcast: a filter over them, its false hits settled."""
+    rows, keys = _candidates(spark, sf_dir), materialize(_known_events(spark, sf_dir).select("job_id").distinct(), "known")
+    count = keys.count()
+    fresh = membership.without_members(rows, keys, ("job_id",), count, count // 2, ["event_id"])
+    if fresh is None:
+        fresh = incremental.new_ids(rows, keys, ["event_id"])
+    return fresh.select("event_id", "job_id")
+
+
 @query
 def first_run_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a silver table nothing is known and every candidate is new."""
@@ -351,25 +362,17 @@ def dedup_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of five: how many there are of each size, per source."""
+    """Events in batches of five, per source."""
     urls = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"), F.col("event_id").cast("string").alias("url")
     )
-    sizes = incremental.assign_batches(urls, F.lit(5)).groupBy("source", "batch_no").agg(
-        F.count(F.lit(1)).alias("batch_size")
-    )
-    return sizes.groupBy("source", "batch_size").agg(
-        F.count(F.lit(1)).alias("batches"), F.max("batch_no").alias("last_batch")
-    ).drop("last_batch")
+    return incremental.assign_batches(urls, F.lit(5)).select("source", "url", "batch_no")
 
 
 @query
 def batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many batches of each size the job makes of both sites' pages."""
-    sizes = jobs.site_batches(_job_pages(spark, sf_dir), SITES).groupBy("source", "batch_no").agg(
-        F.count(F.lit(1)).alias("batch_size")
-    )
-    return sizes.groupBy("source", "batch_size").agg(F.count(F.lit(1)).alias("batches"))
+    """The batches that the job makes of both sites' pages."""
+    return jobs.site_batches(_job_pages(spark, sf_dir), SITES).select("source", "url", "batch_no")
 
 
 @query
@@ -747,5 +750,5 @@ def failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     except listing.ListingError:
         pass
     errors = areas.read_errors(spark, store, jobs.error_class(SITES))
-    saved = areas.silver_files(spark, store).agg(F.count(F.lit(1)).alias("saved"))
-    return errors.select("source", "error_type", "error_msg", "context", "error_class").crossJoin(saved)
+    saved = areas.silver_files(spark, store).count()
+    return errors.select("source", "error_type", "error_msg", "context", "error_class", F.lit(saved).alias("saved"))
