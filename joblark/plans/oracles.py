@@ -362,6 +362,20 @@ def oracle_sql() -> dict[str, str]:
         "catalog_areas": f"""
             SELECT 'raws' AS area, source, count(*) AS n FROM ({_RECORDS}) GROUP BY source
             UNION ALL SELECT 'error', source, count(*) FROM ({_ERRORS}) GROUP BY source""",
+        "stream_new_pairs": """
+            WITH r AS (
+              SELECT event_id, user_id || '-' || event_type AS job_id, CASE WHEN event_id % 3 = 0 THEN '2024-01-01' ELSE '' END AS posted_date,
+                ts::DATE AS day, CASE WHEN day(ts) <= 8 THEN 1 WHEN day(ts) <= 16 THEN 2 ELSE 3 END AS batch FROM events),
+            first AS (SELECT * FROM r WHERE batch = 1),
+            known1 AS (SELECT job_id, posted_date, max(day) AS kept FROM first GROUP BY ALL),
+            second AS (
+              SELECT r.* FROM r LEFT JOIN known1 k USING (job_id, posted_date)
+              WHERE batch = 2 AND (kept IS NULL OR day > kept + 10)),
+            known2 AS (SELECT job_id, posted_date, max(day) AS kept FROM (FROM first UNION ALL FROM second) GROUP BY ALL),
+            third AS (
+              SELECT r.* FROM r LEFT JOIN known2 k USING (job_id, posted_date)
+              WHERE batch = 3 AND (kept IS NULL OR day > kept + 10))
+            SELECT event_id, job_id, posted_date FROM (FROM first UNION ALL FROM second UNION ALL FROM third)""",
         "failed_run": """
             SELECT 'itviec' AS source, 'ListingError' AS error_type,
               'no HTML for the first listing page of: itviec' AS error_msg, 'main' AS context, 'generic' AS error_class,

@@ -22,6 +22,7 @@ from joblark.sources import store as areas
 from joblark.sources.sites import DISCONNECT_MARKERS, ITVIEC, SITES, TOPDEV, link_slugs
 from joblark.sources.store import Store
 from joblark.streaming.ingest_stream import page_stream, start_ingest
+from joblark.streaming.new_pairs import start_new_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -710,6 +711,23 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved.select(*_SAVED)
 
 
+@query
+def stream_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of three times of a month as a stream of three micro-batches, whose state knows what was kept in the last ten days."""
+    base = shared_dir(spark, "pairs")
+    day = F.dayofmonth("ts")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", _event_id_text().alias("job_id"), F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-01")).alias("posted_date"),
+        dates.ntz_as_utc(F.col("ts")).alias("crawled_at"), F.when(day <= 8, 1).when(day <= 16, 2).otherwise(3).alias("batch"),
+    )
+    inbox = f"{base}/inbox"
+    for batch in (1, 2, 3):  # one file each, in this order
+        rows.where(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    start_new_pairs(stream, f"{base}/kept", f"{base}/checkpoint", look_back_days=10).awaitTermination()
+    return spark.read.parquet(f"{base}/kept").select("event_id", "job_id", "posted_date")
+
+
 # ---- catalog -----------------------------------------------------------------------
 
 
