@@ -14,7 +14,7 @@ from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, membership, quality, url_checks
 from joblark.operators.joins import BROADCAST_ROWS, Join, sized_join, skew_join
 from joblark.schemas import BRONZE, REPORT
-from joblark.session import materialize
+from joblark.session import materialize, shared_dir, write_table
 from joblark.sources import store as areas
 from joblark.sources.spec import SourceSpec, of_sources, per_source
 from joblark.sources.store import Store
@@ -244,7 +244,8 @@ def settle(
     records = detail.extract_details(wanted, specs).withColumns(
         {"key_date": or_empty(key_date(F.col("posted_date"))), "_row": F.monotonically_increasing_id()}
     )
-    records = materialize(records, "records")
+    records_path = shared_dir(spark, "records")
+    records = write_table(records, records_path)
     bad = per_source(specs, lambda s: quality.is_bad(s.critical_fields))
     narrow = records.select(
         "_row", "source", "url", "job_id", "key_date", "crawled_at", "page_reject", "title", bad.alias("bad"),
@@ -265,8 +266,11 @@ def settle(
     outcomes = decided.select(*columns).unionByName(stopped.withColumn("_row", F.lit(None).cast("bigint")).select(*columns))
     decided = areas.write_area(outcomes.withColumn("run_id", F.lit(run_id)), store.outcomes, run_id)
     accepted = decided.where((F.col("outcome") == SAVED) & F.col("_row").isNotNull()).select("_row")
-    saved = records.join(accepted, "_row").drop("_row", "page_reject", "batch_no")
-    return areas.stage_run(saved, store, run_id)
+    # whole records are moved only when the accepted ones are too many to broadcast
+    saved = options.join(records, accepted, ["_row"], "left_semi", ["_row"]).drop("_row", "page_reject", "batch_no")
+    staged = areas.stage_run(saved, store, run_id)
+    areas.drop(spark, records_path)
+    return staged
 
 
 def gate(rows: DataFrame, specs: tuple[SourceSpec, ...]) -> tuple[DataFrame, DataFrame]:

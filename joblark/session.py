@@ -58,7 +58,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage in a way that survives lost executors, and lets several
     consumers use a result without parsing the pages again.
     """
-    path = shared_dir(df.sparkSession, name)
+    return write_table(df, shared_dir(df.sparkSession, name))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

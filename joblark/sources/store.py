@@ -179,7 +179,7 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(jpath, True).close()
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
     fs, jpath = _path(spark, path)
     fs.delete(jpath, True)
 
@@ -215,9 +215,9 @@ def commit_run(spark: SparkSession, store: Store, run_id: str, earlier: str | No
     """Mark a run as saved and drop its staged rows, and the marker of an ``earlier`` run
     that cannot be attempted again."""
     _touch(spark, f"{store.base}/committed/{run_id}")
-    _drop(spark, _staged_path(store, run_id))
+    drop(spark, _staged_path(store, run_id))
     if earlier:
-        _drop(spark, f"{store.base}/committed/{earlier}")
+        drop(spark, f"{store.base}/committed/{earlier}")
 
 
 def pending_runs(spark: SparkSession, store: Store, prefix: str) -> list[str]:

@@ -54,15 +54,14 @@ def test_only_unknown_and_falsely_hit_pages_are_read(spark, store, monkeypatch):
     """Known ids beyond the broadcast: the records that are extracted are those of unknown ids."""
     known = [itviec(i) for i in range(40)] + [topdev(i) for i in range(40)]
     jobs.run(pages(spark, *known), jobs_sites(), store, options=IngestOptions(on_gate="reject"), as_of=as_of())
-    read, write = [], jobs.materialize
+    read, write = [], jobs.write_table
 
-    def counted(df, name):
-        out = write(df, name)
-        if name == "records":
-            read.append(out.count())
+    def counted(df, path):
+        out = write(df, path)
+        read.append(out.count())
         return out
 
-    monkeypatch.setattr(jobs, "materialize", counted)
+    monkeypatch.setattr(jobs, "write_table", counted)
     more = pages(spark, *known, itviec(100), itviec(101), topdev(100))
     got = jobs.run(more, jobs_sites(), store, options=IngestOptions(broadcast_rows=20, on_gate="reject"), as_of=as_of())
     assert ids(got) == ["itviec_s100", "itviec_s101", "topdev_100"]
