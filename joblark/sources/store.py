@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from joblark.operators.joins import BROADCAST_ROWS
 from joblark.schemas import BRONZE, ERROR, OUTCOME, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
+from joblark.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -293,7 +295,9 @@ def load_silver(records: DataFrame, store: Store) -> None:
         day = F.col(SILVER_PARTITION)
         held = held.where(day.between(F.lit(span["lo"]), F.lit(span["hi"])) | day.isNull())
     fresh = rows.select(*same).distinct()
-    held = held.select(*same).join(fresh, [held[c].eqNullSafe(fresh[c]) for c in same], "left_semi")
+    held = materialize(held.select(*same).join(fresh, [held[c].eqNullSafe(fresh[c]) for c in same], "left_semi"), "held")
+    if held.count() <= BROADCAST_ROWS:  # few rows are loaded again as a rule: whole rows stay where they are
+        held = F.broadcast(held)
     match = [rows[c].eqNullSafe(held[c]) for c in same]
     (
         rows.join(held, match, "left_anti")
