@@ -3,7 +3,8 @@
 A template says how each role's turns are marked, which roles are learned from, which turns may
 follow which, and thereby its control strings. Control strings inside texts
 get a backslash after their first character, backslashes are doubled before, so that a
-formatted text can be split again and gives back the very texts.
+formatted text can be split again and gives back the very texts. In names of roles, which end
+with their line, line breaks are escaped too.
 
 Columns only. Null text, role: empty. Turns are ordered by turn (null first), role and
 text. A null conversation id is a conversation. Roles the template does not know are
@@ -55,6 +56,14 @@ class Template:
         text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
         return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(f"{c[0]}\\{c[1:]}")), self.control, text)
 
+    def escape_name(self, name: Column) -> Column:
+        """A role's name, whose line breaks would end it, as one line."""
+        return F.replace(self.escape(name), F.lit("\n"), F.lit("\\n"))
+
+    def unescape_name(self, name: Column) -> Column:
+        """Backslashes of a name are doubled, so that an odd one before n stands for a line break."""
+        return self.unescape(F.regexp_replace(name, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"))
+
     def unescape(self, text: Column) -> Column:
         text = reduce(lambda t, c: F.replace(t, F.lit(f"{c[0]}\\{c[1:]}"), F.lit(c)), self.control, text)
         return F.replace(text, F.lit("\\\\"), F.lit("\\"))
@@ -76,7 +85,7 @@ def _segments(turn: Column, template: Template) -> Column:
     for kind in template.turns:
         condition, value = turn["role"] == kind.role, parts(kind, F.lit(template.begin + kind.prefix))
         known = F.when(condition, value) if known is None else known.when(condition, value)
-    named = F.concat(F.lit(template.begin + template.other.prefix), template.escape(turn["role"]), F.lit("\n"))
+    named = F.concat(F.lit(template.begin + template.other.prefix), template.escape_name(turn["role"]), F.lit("\n"))
     return known.otherwise(parts(template.other, named))
 
 
@@ -119,7 +128,7 @@ def read_back(formatted: Column, template: Template = DEFAULT) -> Column:
     def turn(part: Column) -> Column:
         rest = inner(part, template.other)
         line = F.instr(rest, F.lit("\n"))
-        named = F.struct(template.unescape(F.substring(rest, F.lit(1), line - 1)).alias("role"), template.unescape(F.substring(rest, line + 1, F.char_length(rest))).alias("text"))
+        named = F.struct(template.unescape_name(F.substring(rest, F.lit(1), line - 1)).alias("role"), template.unescape(F.substring(rest, line + 1, F.char_length(rest))).alias("text"))
         out = F.when(F.startswith(part, F.lit(template.other.prefix)), named)
         plain = None
         for kind in template.turns:

@@ -33,8 +33,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from joblark.llm import hashing
+from joblark.llm.repeats import with_names
 from joblark.session import materialize
 
 SHINGLE = 4
@@ -74,16 +76,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, *keep: Column, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, fp, *keep)``: the fingerprint as a signed long."""
+    kept = docs.select(*keep)
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t.as_py() or b"", shingle) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(values, U).view(np.int64))], ["doc_id", "fp"])
+            prints = pa.array(np.array(values, U).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints, *(batch.column(n) for n in names)], ["doc_id", "fp", *names])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), *keep)
+    return texts.mapInArrow(run, with_names("doc_id long, fp long", kept))
 
 
 def _balls(bits: list[int], flips: int) -> np.ndarray:
@@ -225,16 +230,32 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` a row; ``component_id`` is the smallest doc_id reachable."""
-    found = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+def near_duplicates(
+    docs: DataFrame, *keep: Column, radius: int = RADIUS, shingle: int = SHINGLE, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``(doc_id, fp, component_id, root, *keep)`` a row; ``component_id`` is the smallest doc_id reachable and
+    ``root`` the smallest fingerprint, which names the component also where rows share a doc_id."""
+    found = materialize(fingerprints(docs, *keep, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
     first = F.min(F.coalesce("doc_id", F.lit(_SMALLEST))).alias("first")
     classes = materialize(found.groupBy("fp").agg(first), "classes")
     joined = components(links(classes, radius, crowd)).join(classes.withColumnRenamed("fp", "node"), "node")
     least = joined.groupBy("root").agg(F.min("first").alias("least"))
-    moved = joined.join(least, "root").select(F.col("node").alias("fp"), "least")
-    of_class = classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return found.join(of_class, "fp").select("doc_id", "fp", F.nullif("component_id", F.lit(_SMALLEST)).alias("component_id"))
+    moved = joined.join(least, "root").select(F.col("node").alias("fp"), "root", "least")
+    of_class = classes.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id"))
+    component = F.nullif("component_id", F.lit(_SMALLEST)).alias("component_id")
+    return found.join(of_class, "fp").select("doc_id", "fp", component, "root", *docs.select(*keep).columns)
+
+
+def first_rows(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, with the columns of ``docs``: that of the smallest doc_id, among rows of
+    one doc_id that of the smallest hash of all columns. Rows alike in all columns are one."""
+    whole = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, MapType))).alias("_whole")
+    found = near_duplicates(docs, whole, radius=radius, shingle=shingle, id_col=id_col, text_col=text_col)
+    # a minimum a component, taken in part before the shuffle however many copies there are
+    least = found.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(_SMALLEST)).alias("_doc"), "_whole")).alias("least"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_SMALLEST)).alias("_doc"), whole, row)
+    return rows.join(least.select("least.*"), ["_doc", "_whole"], "left_semi").dropDuplicates(["_doc", "_whole"]).select("_row.*")
 
 
 def word_print(text: bytes) -> int:

@@ -15,7 +15,7 @@ def formatted(spark):
     for c in range(150):
         for t in range(rng.randint(1, 6)):
             text = None if rng.random() < 0.05 else "".join(rng.choice(MARKS) for _ in range(rng.randint(0, 8)))
-            rows.append((c, t, rng.choice(["user", "assistant", "system", "tool", "<s>", None, "a"]), text))
+            rows.append((c, t, rng.choice(["user", "assistant", "system", "tool", "<s>", None, "a", "x\ny", "\\n", "a\\\n", "\n", "\\\\n</s>\n"]), text))
     rows += [(None, 1, "user", "x"), (None, None, "system", "first"), (900, 1, "user", "same"), (900, 1, "user", "same"), (901, 0, "user", "long " * 50_000)]
     rng.shuffle(rows)
     df = spark.createDataFrame([(*r, 1, True) for r in rows], "conv_id long, turn long, role string, text string, formatted int, valid boolean").repartition(4)

@@ -117,6 +117,33 @@ def test_documents(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_first_rows_keep_one_row_of_each_component(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(30):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 300))]
+        rows += [(i, " ".join(text), "a"), (100 + i, " ".join([*text, "more"]), "b"), (200 + i, " ".join(text).upper(), "c")]
+    # different texts under one id, rows alike in all columns, no id, no words
+    rows += [(5, "another text of five", "a"), (400, "a text under two ids", "a"), (401, "a text under two ids", "b"), (401, "quite another", "a")]
+    rows += [rows[7], (None, rows[6][1], "n"), (None, "of no id", "n"), (500, None, "n"), (501, "", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(4)
+    got = simhash.first_rows(df)
+    assert got.columns == df.columns
+    order = sorted(set(rows), key=lambda r: -(2**63) if r[0] is None else r[0])
+    root = brute_components([brute_print(t) for _, t, _ in order])
+    groups = {}
+    for i, r in enumerate(order):
+        groups.setdefault(root[i], []).append(r)
+    kept = [tuple(r) for r in got.collect()]
+    assert len(kept) == len(set(kept)) == len(groups)
+    for members in groups.values():
+        one = [r for r in kept if r in members]
+        assert len(one) == 1 and one[0][0] == members[0][0]
+    assert {"another text of five", "quite another", "of no id"} <= {r[1] for r in kept}
+    assert simhash.first_rows(df.limit(0)).count() == 0
+
+
 def test_similar_documents(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]
