@@ -1,15 +1,15 @@
 """From raw documents to token ids, in stages that are each written before the next.
 
 1. quality: documents the classifier gives less than ``KEEP_SCORE`` go
-2. near_dedup: documents linked by SimHash whose 5-word shingles are alike (0.8 or more)
-   form groups, of which the document with the smallest id stays
+2. near_dedup: documents whose SimHash fingerprints of 4-word shingles are linked by 4 or fewer
+   bits form groups, of which the document with the smallest id stays
 3. substring_dedup: words inside stretches of 35 words that occur twice or more go,
    and documents of which no word is left
 4. decontaminate: documents that hold a window of the benchmark go
 5. tokenize: ids of what is left
 
-Stages 1 to 4 return the columns of documents. Repeated rows: of rows that repeat a doc_id all stay or
-all go; null texts count as empty, null ids as the smallest.
+Stages 1 to 4 return the columns of documents. Rows that share a doc_id are documents of their own; null
+texts count as empty, null ids as the smallest.
 """
 
 from __future__ import annotations
@@ -42,9 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.similar_documents(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    return simhash.first_rows(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
