@@ -15,9 +15,7 @@ inequality, so that a star of links says all. No step makes the pairs of a group
 Links join fingerprints, not documents: copies share one. Components come from
 alternating large-star and small-star rounds over tables in the shared folder.
 
-``similar_documents`` is for removal instead of for the links themselves: its prints are of
-the different single words, which few edits hardly move, and what they link is
-kept only if the sets of 5-word shingles are alike (Jaccard 0.8 or more, of all shingles).
+``first_rows`` keeps one row of each component.
 
 Null texts have no words; null ids are smaller than all others, and a component
 with one has a null id. Repeated rows come back as often as they occur. Other columns are ignored.
@@ -31,11 +29,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from joblark.llm import hashing
 from joblark.llm.repeats import with_names
 from joblark.session import materialize
 
@@ -46,11 +43,6 @@ SEED = 42
 CROWD = 32
 # Fingerprints whose variants one task writes.
 PRINTS = 50_000
-ALIKE_SHINGLE = 5
-# Bits of the parities that stand for a set of shingles, and the others that a member of a crowd meets at first.
-BITS = 1024
-FEW = 4
-SIMILARITY = 0.8
 
 U = np.uint64
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -258,223 +250,5 @@ def first_rows(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id
     return rows.join(least.select("least.*"), ["_doc", "_whole"], "left_semi").dropDuplicates(["_doc", "_whole"]).select("_row.*")
 
 
-def word_print(text: bytes) -> int:
-    """The fingerprint of a text's different words, each counted once."""
-    words = set(text.translate(_LOWER).split())
-    if not words:
-        return 0
-    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], U)
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(U)[0])
-
-
-def shingles(text: bytes, shingle: int = ALIKE_SHINGLE) -> np.ndarray:
-    """The different hashes of a text's shingles, in order; fewer words are one shingle."""
-    h, _, _ = hashing.word_elements([text.translate(_LOWER)])
-    return np.unique(hashing.run_hashes(h, min(shingle, max(1, len(h)))))
-
-
-def alike(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sets of hashes; two empty ones are equal."""
-    x, y = np.frombuffer(a, U), np.frombuffer(b, U)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
-
-
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        prints = np.array([word_print(t) for t in texts], U).view(np.int64)
-        sets = [shingles(t) for t in texts]
-        same, n = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [len(s) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), batch.column("of"), pa.array(prints), pa.array(same, pa.binary()), pa.array(n, pa.int64())], ["doc", "of", "fp", "same", "n"]
-        )
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        grams = pa.array([shingles(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("same", "doc", "fp", "dense")), grams], ["same", "doc", "fp", "dense", "grams"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)`` documents of the pairs ``(x, y)`` of sets that are alike, by all their shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [alike(p, q) >= similarity for p, q in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist())]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    one = sets.select(F.col("same").alias("x"), F.col("doc").alias("a"), F.col("grams").alias("p"))
-    two = sets.select(F.col("same").alias("y"), F.col("doc").alias("b"), F.col("grams").alias("q"))
-    joined = pairs.join(one.hint("merge"), "x").join(two.hint("merge"), "y").where("a <> b")
-    return materialize(joined.select("a", "b", "p", "q").mapInArrow(run, "a long, b long"), "alike")
-
-
-def _fits(similarity: float) -> Column:
-    """Sets of ``m`` and ``n`` shingles can be alike."""
-    return F.least("m", "n") >= F.greatest("m", "n") * F.lit(similarity - 1e-9)
-
-
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of each set, with its number of them and the parities of their hashes in ``BITS`` classes."""
-    for batch in batches:
-        for i, grams in enumerate(batch.column("grams")):
-            one = np.frombuffer(grams.as_py(), U)
-            if not len(one):
-                continue
-            odd = np.bincount((hashing.mix(one.copy()) % U(BITS)).astype(np.int64), minlength=BITS) & 1
-            bits = np.packbits(odd.astype(bool)).tobytes()
-            rest = [pa.array([batch.column(c)[i].as_py()] * len(one), t) for c, t in (("same", pa.binary()), ("doc", pa.int64()), ("fp", pa.int64()))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), *rest, pa.array(np.full(len(one), len(one), np.int64)), pa.array([bits] * len(one), pa.binary())],
-                ["token", "same", "doc", "fp", "n", "bits"],
-            )
-
-
-def _together(similarity: float, radius: int, limit: int | None):
-    """Pairs of one bucket and different roots that can be alike; at most ``limit`` for a member of a crowd."""
-
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        roots = rows.column("root").to_numpy()
-        # the largest component comes last: its members are looked up, but need not look
-        _, at, size = np.unique(roots, return_inverse=True, return_counts=True)
-        if len(size) == 1:
-            return
-        order = np.lexsort((roots, size[at]))
-        roots, fp = roots[order], rows.column("fp").to_numpy()[order].view(U)
-        n, same = rows.column("n").to_numpy()[order], rows.column("same").take(pa.array(order)).to_pylist()
-        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), U).reshape(len(fp), -1)[order]
-        most = limit if limit and len(fp) > CROWD else len(fp)
-        x, y = [], []
-        for i in range(len(fp) - int(size.max())) if size.max() > 1 else range(len(fp) - 1):
-            after, found = i + 1, 0
-            while after < len(fp) and found < most:
-                part = slice(after, after + 4096)
-                hit = after + np.flatnonzero((np.bitwise_count(fp[part] ^ fp[i]) <= radius) & (roots[part] != roots[i]))
-                total = n[hit] + n[i]
-                # of sets alike by s, (1 - s) / (1 + s) of all elements differ at most, and each changes one parity
-                differ = np.bitwise_count(bits[hit] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                hit = hit[(differ <= total * ((1 - similarity) / (1 + similarity)) + 1e-6) & (np.minimum(n[hit], n[i]) >= np.maximum(n[hit], n[i]) * (similarity - 1e-9))]
-                hit = hit[: most - found]
-                found += len(hit)
-                x += [min(same[i], same[k]) for k in hit.tolist()]
-                y += [max(same[i], same[k]) for k in hit.tolist()]
-                after += 4096
-            if len(x) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["x", "y"])
-                x, y = [], []
-        if x:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["x", "y"])
-
-    def buckets(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        token = rows.column("token").to_numpy()
-        edge = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            if b - a > 1:
-                yield from pairs(rows.slice(a, b - a))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token = batch.column("token").to_numpy()
-            last, rows = int(np.searchsorted(token, token[-1])), pa.Table.from_batches([batch])
-            if held and (last or token[0] != held[-1].column("token")[-1].as_py()):
-                yield from buckets(pa.concat_tables([*held, rows.slice(0, last)]))
-                held = []
-            elif last:
-                yield from buckets(rows.slice(0, last))
-            held.append(rows.slice(last))
-        if held:
-            yield from buckets(pa.concat_tables(held))
-
-    return run
-
-
-def _linked_by_shingles(sets: DataFrame, similarity: float, radius: int) -> DataFrame:
-    """``(a, b)`` documents that connect all of ``sets`` that are alike and whose prints are near.
-
-    Sets that are alike share one of their rarest shingles: of n all but ``similarity`` n, and one. In the crowd of
-    a shingle each member meets a few others; what is then not connected yet meets in full.
-    """
-    tokens = materialize(sets.mapInArrow(_tokens, "token long, same binary, doc long, fp long, n long, bits binary"), "tokens")
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
-    rank = F.row_number().over(Window.partitionBy("same").orderBy("often", "token"))
-    rare = tokens.join(often.hint("merge"), "token").withColumn("rank", rank).where(
-        (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1) & (F.col("often") > 1)
-    )
-    rare = materialize(rare.select(*tokens.columns), "rare")
-
-    def met(rows: DataFrame, limit: int | None) -> DataFrame:
-        dealt = rows.repartition("token").sortWithinPartitions("token", "same")
-        pairs = materialize(dealt.mapInArrow(_together(similarity, radius, limit), "x binary, y binary").distinct(), "pairs")
-        return _verified(pairs, sets, similarity)
-
-    alike = met(rare.withColumn("root", F.col("doc")), FEW)
-    crowds = rare.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > CROWD).select("token")
-    crowded = materialize(rare.join(crowds.hint("merge"), "token"), "crowded")
-    if crowded.isEmpty():
-        return alike
-    for limit in (FEW, None):
-        moved = components(alike).withColumnRenamed("node", "doc")
-        rows = crowded.join(moved.hint("merge"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
-        alike = alike.unionByName(met(rows, limit))
-    return alike
-
-
-def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, component_id)`` a doc_id; ``component_id`` is the smallest doc_id reachable by
-    links between documents whose word prints are near and whose shingles are alike.
-
-    All texts of near prints are compared in pairs, but where more than ``CROWD`` texts share a print
-    or a bucket those that share rare shingles.
-    """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_SMALLEST)).alias("doc"), text.alias("text"))
-    texts = texts.select("doc", F.xxhash64("text").alias("of"), "text")
-    found = materialize(texts.mapInArrow(_described, "doc long, of long, fp long, same binary, n long"), "described")
-    # equal sets of shingles are one unit, so that copies are no links
-    least = F.min(F.struct("doc", "of")).alias("least")
-    units = materialize(found.groupBy("fp", "same").agg(least, F.first("n").alias("n")).select("fp", "same", "least.*", "n"), "units")
-    classes = materialize(units.groupBy("fp").agg(F.count(F.lit(1)).alias("texts")), "classes")
-    near, crowded = near_prints(classes, radius)
-    many = classes.where(F.col("texts") > CROWD).select("fp")
-    dense = materialize(many.unionByName(crowded).distinct(), "dense")
-    one, two = (dense.select(F.col("fp").alias(c), F.lit(True).alias(f"dense_{c}")) for c in "ab")
-    near = materialize(near.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("dense_a", "dense_b").isNotNull().alias("dense")), "near")
-    # what is near to a dense print is looked up with it
-    beside = near.where("dense")
-    beside = dense.unionByName(beside.select(F.col("a").alias("fp"))).unionByName(beside.select(F.col("b").alias("fp"))).distinct()
-    inside = classes.where(F.col("texts").between(2, CROWD)).join(dense, "fp", "left_anti").select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    one = units.select(F.col("fp").alias("a"), F.col("same").alias("x"), F.col("n").alias("m"))
-    two = units.select(F.col("fp").alias("b"), F.col("same").alias("y"), "n")
-    both = near.where("not dense").select("a", "b").unionByName(inside).join(one.hint("merge"), "a").join(two.hint("merge"), "b")
-    pairs = materialize(both.where("a <> b or x < y").where(_fits(similarity)).select("x", "y"), "pairs")
-    wanted = pairs.select(F.col("x").alias("same")).unionByName(pairs.select(F.col("y").alias("same"))).distinct()
-    wanted = units.join(wanted.withColumn("paired", F.lit(True)), "same", "left").join(beside.withColumn("beside", F.lit(True)), "fp", "left")
-    sets = _sets_of(texts, wanted.where("paired or beside").withColumn("dense", F.col("beside").isNotNull()))
-    alike = _verified(pairs, sets, similarity)
-    crowd = sets.where("dense")
-    if not crowd.isEmpty():
-        alike = alike.unionByName(_linked_by_shingles(crowd, similarity, radius))
-    moved = components(alike)
-    roots = units.select("fp", "same", F.col("doc").alias("node")).join(moved, "node", "left")
-    of = found.select("doc", "fp", "same").join(roots, ["fp", "same"])
-    real = lambda c: F.nullif(c, F.lit(_SMALLEST))
-    return of.groupBy("doc").agg(F.min(F.coalesce("root", "node")).alias("root")).select(
-        real(F.col("doc")).alias("doc_id"), real(F.col("root")).alias("component_id")
-    )
-
-
-def _sets_of(texts: DataFrame, units: DataFrame) -> DataFrame:
-    """``(same, doc, fp, dense, grams)``: all shingles of each unit, from one text that has them."""
-    one = texts.join(units.select("doc", "of", "same", "fp", "dense"), ["doc", "of"]).groupBy("same")
-    one = one.agg(*(F.first(c).alias(c) for c in ("doc", "fp", "dense", "text")))
-    return materialize(one.mapInArrow(_sets, "same binary, doc long, fp long, dense boolean, grams binary"), "sets")
-
-
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

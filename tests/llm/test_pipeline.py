@@ -7,7 +7,7 @@ import corpus_pipeline
 from joblark.llm import bpe
 from tests.llm.test_decontaminate import brute as brute_decontaminate
 from tests.llm.test_repeats import brute_words
-from tests.llm.test_simhash import brute_similar
+from tests.llm.test_simhash import brute_components, brute_print
 
 
 def fixture(path, spark):
@@ -42,7 +42,7 @@ def test_pipeline(spark, tmp_path):
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
 
     kept = [(d, t) for d, t, *_ in rows if "###" not in t and "%%%" not in t and "$$$" not in t]
-    root = brute_similar([t for _, t in kept])
+    root = brute_components([brute_print(t) for _, t in kept])
     kept = [r for i, r in enumerate(kept) if root[i] == i]
     left = {d: w.decode() for (d, _), w in brute_words(kept, 35).items()}
     kept = [(d, t) for d, t in kept if left[d]]
@@ -62,3 +62,11 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert out.schema.names == docs.schema.names, name
         assert out.count() > 0
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_near_dedup_keeps_other_texts_under_the_id_of_a_copy(spark):
+    one, other = "the first text of this test", "quite another text that has no copy"
+    rows = [(1, one), (5, one), (5, other), (None, other.upper()), (None, one + " and more words than before")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(1, one), (None, rows[3][1]), (None, rows[4][1])}

@@ -30,29 +30,6 @@ def brute_components(fps):
     return [find(i) for i in range(len(fps))]
 
 
-def brute_similar(texts):
-    """Components of texts whose different words' fingerprints and 5-word shingles are alike."""
-    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) for t in texts]
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()) for w in words]
-    prints = []
-    for w in words:
-        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in set(w)]
-        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
-    root = list(range(len(texts)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            one = sets[i] | sets[j]
-            if (prints[i] ^ prints[j]).bit_count() <= 4 and (not one or len(sets[i] & sets[j]) / len(one) >= 0.8):
-                root[max(find(i), find(j))] = min(find(i), find(j))
-    return [find(i) for i in range(len(texts))]
-
-
 def signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -142,83 +119,3 @@ def test_first_rows_keep_one_row_of_each_component(spark):
         assert len(one) == 1 and one[0][0] == members[0][0]
     assert {"another text of five", "quite another", "of no id"} <= {r[1] for r in kept}
     assert simhash.first_rows(df.limit(0)).count() == 0
-
-
-def test_similar_documents(spark):
-    rng = random.Random(5)
-    words = [f"w{i}" for i in range(400)]
-    rows = []
-    for i in range(40):
-        text = [rng.choice(words) for _ in range(rng.randint(30, 110))]
-        rows.append((i, " ".join(text)))
-        for k in range(rng.randint(0, 3)):
-            other = list(text)
-            for _ in range(rng.randint(0, 4)):
-                other[rng.randrange(len(other))] = "edited"
-            rows.append((1000 + 10 * i + k, " ".join(other).upper()))
-    rows += [(2000, None), (2001, ""), (2002, "a b"), (2003, "A B"), (2004, "a c"), (7, rows[7][1])]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, doc int").repartition(4)
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
-    order = sorted(set(rows), key=lambda r: r[0])
-    root = brute_similar([t for _, t in order])
-    assert got == {d: order[root[i]][0] for i, (d, _) in enumerate(order)}
-    assert len(set(got.values())) < len(got)
-    null = spark.createDataFrame([(None, "x y z"), (4, "x y z"), (4, "x y z")], "doc_id long, text string")
-    assert {(r.doc_id, r.component_id) for r in simhash.similar_documents(null).collect()} == {(None, None), (4, None)}
-    assert simhash.similar_documents(df.limit(0)).count() == 0
-
-
-def compared(spark, rows):
-    """Components of similar_documents and of brute force."""
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
-    root = brute_similar([t for _, t in rows])
-    return got, {d: rows[root[i]][0] for i, (d, _) in enumerate(rows)}
-
-
-def test_long_texts_are_verified_on_all_shingles(spark):
-    rng = random.Random(11)
-    words = [f"w{i}" for i in range(4000)]
-    rows = []
-    for i in range(60):
-        text = [rng.choice(words) for _ in range(rng.randint(300, 600))]
-        other = list(text)
-        # words that swap places keep the print; some 10 % of the shingles change, so that the similarity is about 0.8
-        for at in rng.sample(range(len(text) - 1), len(text) // 50 + rng.randint(-1, 2)):
-            other[at], other[at + 1] = other[at + 1], other[at]
-        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
-    got, want = compared(spark, rows)
-    assert got == want
-    assert 70 < len(set(want.values())) < 110
-
-
-def test_orders_of_the_same_sentences(spark):
-    rng = random.Random(12)
-    sentences = [" ".join(f"s{rng.randint(0, 900)}" for _ in range(8)) for _ in range(15)]
-    rows = []
-    for i in range(40):
-        rng.shuffle(sentences)
-        text = " ".join(sentences).split()
-        rows.append((10 * i, " ".join(text)))
-        for k in range(1, 4):
-            other = list(text)
-            at = rng.randrange(len(other) - 1)
-            other[at], other[at + 1] = other[at + 1], other[at]
-            rows.append((10 * i + k, " ".join(other)))
-    got, want = compared(spark, rows)
-    assert got == want
-    assert len(set(want.values())) == 40
-
-
-def test_crowds_of_prints_are_compared_like_few(spark):
-    rng = random.Random(2)
-    base, more = [f"w{i}" for i in range(200)], [f"t{i}" for i in range(12)]
-    rows = []
-    for i in range(150):
-        order = list(base)
-        rng.shuffle(order)
-        # two of each order, whose prints lie in a crowd of 120
-        rows += [(2 * i + k, " ".join(order + [t for t in more if rng.random() < 0.5])) for k in range(2)]
-    got, want = compared(spark, rows)
-    assert got == want
-    assert 150 <= len(set(want.values())) < 200
