@@ -230,6 +230,8 @@ def oracle_sql() -> dict[str, str]:
               ELSE string_split(string_split(url, '?')[1], '//')[-1] || '-' || page_id || 'x' END AS job_id
             FROM pages""",
         "itviec_records": f"SELECT * EXCLUDE (number) FROM ({_ITVIEC})",
+        "archived_records": f"SELECT * EXCLUDE (number) FROM ({_ITVIEC})",
+        "streamed_archives": "SELECT page_id, url, length(html) AS n_chars, md5(html) AS html_md5 FROM pages",
         "topdev_records": f"SELECT * EXCLUDE (number) FROM ({_TOPDEV})",
         "relative_dates": _relative(),
         "dmy_dates": """

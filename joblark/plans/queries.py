@@ -18,6 +18,7 @@ from joblark.plans import ingest as jobs
 from joblark.plans import site_pages
 from joblark.schemas import BRONZE
 from joblark.session import fill_cores, materialize, shared_dir
+from joblark.sources import archive
 from joblark.sources import store as areas
 from joblark.sources.sites import DISCONNECT_MARKERS, ITVIEC, SITES, TOPDEV, link_slugs
 from joblark.sources.store import Store
@@ -198,6 +199,15 @@ def itviec_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_record(records.where(F.col("page_reject").isNull()).drop("page_reject"))
 
 
+@query
+def archived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site-1 records of pages that come from archives, read in byte ranges."""
+    folder = f"{shared_dir(spark, 'archive')}/pages"
+    archive.append_archive(_itviec(spark, sf_dir), folder)
+    records = materialize(detail.extract_details(archive.read_archive(spark, folder), ITVIEC), "archived")
+    return _flat_record(records.where(F.col("page_reject").isNull()).drop("page_reject"))
+
+
 @query
 def topdev_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site-2 records; challenge pages give none."""
@@ -728,6 +738,22 @@ def stream_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/kept").select("event_id", "job_id", "posted_date")
 
 
+@query
+def streamed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages from archives as a stream, which is started again when more have come."""
+    base, rows = shared_dir(spark, "archives"), _pages(spark, sf_dir)
+    pages = rows.select(
+        F.lit("web").alias("source"), "url", F.col("page_id").cast("string").alias("job_id"), "html", F.lit(None).cast("timestamp").alias("crawled_at")
+    )
+    for part in (F.col("job_id").cast("long") % 2 == 0, F.col("job_id").cast("long") % 2 == 1):
+        archive.append_archive(pages.where(part), f"{base}/pages")
+        found = archive.archive_stream(spark, f"{base}/pages")
+        found = found.select(F.col("job_id").cast("long").alias("page_id"), "url", F.char_length("html").cast("long").alias("n_chars"), F.md5("html").alias("html_md5"))
+        sink = found.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        sink.start(f"{base}/read").awaitTermination()
+    return spark.read.parquet(f"{base}/read")
+
+
 # ---- catalog -----------------------------------------------------------------------
 
 
