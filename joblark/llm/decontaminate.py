@@ -6,8 +6,8 @@ automaton's symbols are words of the benchmark, every other word is symbol 0, so
 normalised and scanned once; word numbers lead back to places in the original.
 
 The benchmark is a stated set: its words are counted, and more than
-``block_words`` of them are dealt over several automata, one scan each, whose
-results are joined by document. Null texts and items have no words, a null item_id is written
+``block_words`` of them are dealt over several automata, one scan each. The first scan hands all
+rows on, those after it only the hits of a text, which are joined back to every row with that text. Null texts and items have no words, a null item_id is written
 as an empty string, rows repeating an item_id are one item. Rows of documents come back as often
 as they occur; rows repeating doc_id and text have one result. Other columns are ignored.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -30,6 +30,7 @@ LENGTH = 10
 BLOCK_WORDS = 200_000
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_WORDS_SQL = _WORD.pattern.decode()
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
 )
@@ -95,6 +96,7 @@ def _in_original(text: bytes, runs: list[tuple[int, int]]) -> list[dict]:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_FOUND = ("runs", "spans", "items")
 _OUT = (
     "id long, doc long, tag long, n_words long, runs array<struct<start: long, end: long>>, "
     "spans array<struct<start: long, end: long>>, items array<string>"
@@ -103,9 +105,10 @@ _OUT = (
 
 def _scan(texts: DataFrame, kept: DataFrame, items: tuple[tuple[str, bytes], ...], length: int) -> DataFrame:
     names = kept.columns
+    shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = scanner(items, length).scan
+        scan = scanner(shared.value, length).scan
         for batch in batches:
             count, runs, spans, of_items = [], [], [], []
             for value in batch.column("text"):
@@ -144,25 +147,21 @@ def contamination(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"),
     )
-    total = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    total = tests.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(_WORDS_SQL), F.lit(0))))).first()[0] or 0
     blocks = -(-total // block_words) or 1
     dealt = tests.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
-    texts, kept, found = keyed(docs, id_col, text_col, *keep), docs.select(*keep), []
-    for block in range(blocks):
-        rows = dealt.where(F.col("block") == block).select("item", F.col("text").cast("binary").alias("text")).collect()
-        one = _scan(texts, kept, tuple(sorted((r.item, bytes(r.text)) for r in rows)), length)
-        found.append(one if blocks == 1 else materialize(one, "scanned"))
-    if blocks == 1:
-        return found[0].select(F.col("id").alias("doc_id"), "n_words", "runs", "spans", "items", *kept.columns)
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    joined = every.groupBy("id", "doc", "tag").agg(
-        F.max("n_words").alias("n_words"), *(F.first(c).alias(c) for c in kept.columns),
-        *(F.flatten(F.collect_set(c)).alias(c) for c in ("runs", "spans", "items")),
-        (F.count(F.lit(1)) / blocks).cast("int").alias("copies"),
-    )
-    return joined.select(
-        F.col("id").alias("doc_id"), "n_words", F.expr(_union("runs")).alias("runs"), F.expr(_union("spans")).alias("spans"),
-        F.array_sort(F.array_distinct("items")).alias("items"), *kept.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
-    ).drop("copy")
+    texts, kept, none = keyed(docs, id_col, text_col, *keep), docs.select(*keep), docs.select()
+
+    def scanned(block: int, rows: DataFrame, kept: DataFrame) -> DataFrame:
+        own = dealt.where(F.col("block") == block).select("item", F.col("text").cast("binary").alias("text")).collect()
+        return _scan(rows, kept, tuple(sorted((r.item, bytes(r.text)) for r in own)), length)
+
+    every = scanned(0, texts, kept)
+    if blocks > 1:
+        # the other blocks give narrow hits, one a text, which are joined back to all its rows
+        narrow = texts.select("id", "doc", "tag", "text")
+        hits = [materialize(scanned(k, narrow, none).where(F.size("runs") > 0).select("doc", "tag", *_FOUND), "hits") for k in range(1, blocks)]
+        more = reduce(DataFrame.unionByName, hits).groupBy("doc", "tag").agg(*(F.flatten(F.collect_set(c)).alias(f"_more_{c}") for c in _FOUND))
+        every = every.join(more, ["doc", "tag"], "left").withColumns({c: F.concat(c, F.coalesce(f"_more_{c}", F.array())) for c in _FOUND})
+        every = every.withColumns({"runs": F.expr(_union("runs")), "spans": F.expr(_union("spans")), "items": F.array_sort(F.array_distinct("items"))})
+    return every.select(F.col("id").alias("doc_id"), "n_words", *_FOUND, *kept.columns)

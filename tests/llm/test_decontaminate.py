@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from joblark.llm.decontaminate import contamination
 
@@ -51,3 +52,19 @@ def test_against_brute_force(spark, block_words):
             assert norm(of[r.doc_id][span.start : span.end]) == words[run.start : run.end]
     assert contamination(df.limit(0), bench).count() == 0
     assert {len(r.items) for r in contamination(df, bench.limit(0)).collect()} == {0}
+
+
+def test_blocks_keep_the_columns_of_rows_with_one_text(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    items = [(str(i), "-".join(rng.choice(words) for _ in range(rng.randint(1, 14)))) for i in range(25)]
+    rows = []
+    for i in range(60):
+        text = " ".join([*(rng.choice(words) for _ in range(rng.randint(0, 30))), *rng.choice(items)[1].split("-"), "end"])
+        rows += [(i, text, "en", i), (i, text, "de", i), (i, text.upper(), "fr", i), (None, text, None, i)]
+    rows += [(7, None, "en", 1), (None, "", "de", 2), rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, tag int").repartition(3)
+    tests = spark.createDataFrame(items, "item_id string, text string")
+    one, many = ([tuple(map(str, r)) for r in contamination(docs, tests, F.col("lang"), F.col("tag").alias("_tag"), block_words=n).collect()] for n in (10**6, 20))
+    assert sorted(one) == sorted(many) and len(one) == len(rows)
+    assert sum("start" in r[2] for r in one) > 100
