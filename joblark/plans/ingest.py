@@ -13,7 +13,7 @@ from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, membership, quality, url_checks
 from joblark.operators.joins import BROADCAST_ROWS, Join, sized_join, skew_join
-from joblark.schemas import BRONZE, REPORT
+from joblark.schemas import BRONZE, CLAIM, REPORT
 from joblark.session import materialize, shared_dir, write_table
 from joblark.sources import store as areas
 from joblark.sources.spec import SourceSpec, of_sources, per_source
@@ -34,12 +34,14 @@ GATE_FAILED = "gate_failed"
 class IngestOptions:
     """``mode="id"`` drops a known id whatever its date, ``"id_date"`` only a known
     pair. ``on_gate="raise"`` stops a run with a failed batch before anything is saved,
-    ``"reject"`` leaves the batch out."""
+    ``"reject"`` leaves the batch out. ``lease`` is the time in seconds after which a run that shares the store and
+    has not ended its save counts as lost; it has to exceed the longest save."""
 
     mode: str = "id"
     on_gate: str = "raise"
     broadcast_rows: int = BROADCAST_ROWS
     filter_bytes: int = membership.MAX_BYTES
+    lease: float = 6 * 3600.0
 
     def join(self, *args) -> DataFrame:
         return sized_join(*args, limit=self.broadcast_rows)
@@ -107,10 +109,12 @@ def save(records: DataFrame, specs: tuple[SourceSpec, ...], store: Store, run_id
 
 
 def silver_keys(spark: SparkSession, store: Store, specs: tuple[SourceSpec, ...] | None = None,
-                as_of: Column | None = None, days: int = incremental.LOOK_BACK_DAYS) -> DataFrame:
-    """Recent keys of the silver files, of the run's sources; the look-back prunes partitions too."""
+                as_of: Column | None = None, days: int = incremental.LOOK_BACK_DAYS, claimed: list[str] | None = None) -> DataFrame:
+    """Recent keys of the silver files and of ``claimed`` runs, of the run's sources; the look-back prunes partitions too."""
     today = as_of if as_of is not None else F.current_date()
-    recent = areas.recent_silver(spark, store, F.date_sub(today, days))
+    recent = areas.recent_silver(spark, store, F.date_sub(today, days)).select(*CLAIM.fieldNames())
+    if claimed:
+        recent = recent.unionByName(areas.read_claims(spark, store, claimed))
     return incremental.recent_keys(recent.where(of_sources(specs)) if specs else recent, as_of, days)
 
 
@@ -182,27 +186,58 @@ def ingest(
     function serves a batch run and the micro-batches of a stream.
 
     ``run_id`` names the run: another attempt under the same name saves the same
-    rows, once. Without one, what an earlier run over the same sources had settled but not saved is saved first.
+    rows, once. Without one, what an earlier run over the same sources had claimed but not saved is saved first.
+
+    Runs may share a store. Each settles on its own; one that finds that a run which claimed
+    meanwhile is to save an id of its own settles again, with that run's keys as known ones.
     """
     spark, names = pages.sparkSession, [s.name for s in specs]
+    turns = areas.turns(spark, store)
     if run_id is None:
         prefix = f"run-{'+'.join(sorted(names))}-"
         for left in areas.pending_runs(spark, store, prefix):
-            save(areas.staged_run(spark, store, left), specs, store, left)
-            areas.commit_run(spark, store, left)
+            if turns.is_abandoned(left, options.lease):
+                save_claimed(spark, specs, store, left, turns.again(left), options)
         run_id = f"{prefix}{uuid.uuid4().hex}"
-    if not areas.is_committed(spark, store, run_id):
-        staged = areas.staged_run(spark, store, run_id)
-        if staged is None:
-            staged = settle(pages, specs, store, options, checks, urls, as_of, run_id)
-        save(staged, specs, store, run_id)
-        areas.commit_run(spark, store, run_id, earlier)
+    while not areas.is_committed(spark, store, run_id):
+        listed = turns.listed()
+        base, claimed = (listed[-1].number if listed else 0), set(turns.unsaved(listed).values())
+        if run_id in claimed:  # an earlier attempt
+            number = turns.again(run_id)
+        else:
+            staged = settle(pages, specs, store, options, checks, urls, as_of, run_id, sorted(claimed))
+            own = areas.write_claim(staged, store, run_id)
+            number = turns.claim(run_id, base, lambda others: _shares_ids(own, others, specs, store))
+        if number is not None:
+            save_claimed(spark, specs, store, run_id, number, options, earlier)
     return areas.read_run(spark, store, names, run_id)
 
 
+def _shares_ids(own: DataFrame, others: list[str], specs: tuple[SourceSpec, ...], store: Store) -> bool:
+    theirs = areas.read_claims(own.sparkSession, store, others).where(of_sources(specs)).select("job_id")
+    return not own.select("job_id").join(theirs, "job_id", "left_semi").isEmpty()
+
+
+def save_claimed(
+    spark: SparkSession, specs: tuple[SourceSpec, ...], store: Store, run_id: str, number: int,
+    options: IngestOptions = IngestOptions(), earlier: str | None = None,
+) -> None:
+    """Save a run's staged rows when its turn comes, unless another attempt did."""
+    turns = areas.turns(spark, store)
+    try:
+        turns.wait(number, options.lease)
+        if not areas.is_committed(spark, store, run_id):
+            save(areas.staged_run(spark, store, run_id), specs, store, run_id)
+            areas.commit_run(spark, store, run_id, earlier)
+    except BaseException:
+        turns.fail(number)
+        raise
+    areas.end_turns(spark, store, run_id)
+
+
 def settle(
     pages: DataFrame, specs: tuple[SourceSpec, ...], store: Store, options: IngestOptions,
-    checks: DataFrame | None, urls: DataFrame | None, as_of: Column | None, run_id: str,
+    checks: DataFrame | None, urls: DataFrame | None, as_of: Column | None, run_id: str, claimed: list[str] | None = None,
 ) -> DataFrame:
     """Decide about every page of a run and stage the records to save.
 
@@ -213,7 +248,7 @@ def settle(
     """
     spark = pages.sparkSession
     pages = pages.where(of_sources(specs))
-    keys = materialize(silver_keys(spark, store, specs, as_of), "keys")
+    keys = materialize(silver_keys(spark, store, specs, as_of, claimed=claimed), "keys")
     n_keys = keys.count()
     filters = []
     if urls is not None:

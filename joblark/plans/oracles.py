@@ -358,6 +358,7 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT source, batch_no, company = '' AS bad FROM ({_CHECKED_1}) UNION ALL SELECT source, batch_no, company = '' FROM ({_CHECKED_2})",
                 "source, batch_no", "source || '/' || batch_no", "title, company")})""",
         "stream_ingest": f"{_site1_saved('doc_id % 9 <> 0')} UNION ALL {_saved(_TOPDEV)}",
+        "concurrent_ingest": _saved(_TOPDEV),
         "catalog_keys": f"""
             SELECT DISTINCT job_id, coalesce(try_cast(posted_date AS DATE)::VARCHAR, '') AS posted_date FROM ({_RECORDS})
             WHERE to_timestamp({_BASE} + number * 60) >= TIMESTAMPTZ '2023-12-21 00:00:00+00'""",

@@ -6,6 +6,7 @@ Each query has the SQL in ``oracles.py`` that gives the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -721,6 +722,19 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved.select(*_SAVED)
 
 
+@query
+def concurrent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs at once over two thirds of the pages each: what both have is saved by one of them."""
+    store = Store(shared_dir(spark, "concurrent"))
+    areas.ensure_fact_table(spark, store)
+    number = F.regexp_extract("url", "-([0-9]+)$", 1).cast("bigint")
+    pages = _topdev(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        shares = [pages.where(number % 3 != part) for part in (0, 1)]
+        list(pool.map(lambda share: jobs.run(share, (TOPDEV,), store, options=_REJECT, as_of=_as_of()), shares))
+    return areas.read_jobs(spark, store, TOPDEV.name).select(*_SAVED)
+
+
 @query
 def stream_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of three times of a month as a stream of three micro-batches, whose state knows what was kept in the last ten days."""

@@ -43,6 +43,9 @@ SILVER_FILES = T.StructType(SILVER.fields + [T.StructField(SILVER_PARTITION, T.D
 
 KEYS = T.StructType(_strings("job_id", "posted_date"))
 
+# What a run is about to save, until silver holds it.
+CLAIM = T.StructType([SILVER[n] for n in ("source", "job_id", "posted_date", "crawled_at")])
+
 FETCH_LOG = T.StructType(
     [
         T.StructField("url", T.StringType()),

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from joblark.operators.joins import BROADCAST_ROWS
-from joblark.schemas import BRONZE, ERROR, OUTCOME, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
+from joblark.schemas import BRONZE, CLAIM, ERROR, OUTCOME, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
 from joblark.session import materialize
+from joblark.sources.turns import Turns
 
 log = logging.getLogger(__name__)
 
@@ -42,6 +43,10 @@ class Store:
     def reports(self) -> str:
         return f"{self.base}/reports"
 
+    @property
+    def claims(self) -> str:
+        return f"{self.base}/claims"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver/fact_jobs"
@@ -161,9 +166,9 @@ def read_run(spark: SparkSession, store: Store, sources: list[str], run_id: str)
 
 # ---- runs --------------------------------------------------------------------------
 #
-# A run settles what it will save in staged/<run>, touches the sinks, then leaves a
-# marker in committed/ and drops its staged folder. An attempt that finds a staged folder
-# marked ready saves those very rows; one that finds the marker has nothing to do.
+# A run settles what it will save in staged/<run>, claims its keys and a turn (turns.py), touches the
+# sinks when its turn comes, then leaves a marker in committed/ and drops its staged folder. An attempt of a run
+# that has claimed saves those very rows; one that finds the marker has nothing to do.
 
 
 def _path(spark: SparkSession, path: str):
@@ -231,6 +236,25 @@ def pending_runs(spark: SparkSession, store: Store, prefix: str) -> list[str]:
     return sorted(n for n in names if n.startswith(prefix) and _exists(spark, f"{store.base}/staged/{n}/READY"))
 
 
+def turns(spark: SparkSession, store: Store) -> Turns:
+    return Turns(spark, f"{store.base}/turns")
+
+
+def write_claim(staged: DataFrame, store: Store, run_id: str) -> DataFrame:
+    """The keys a run is about to save, typed as in silver."""
+    return write_area(to_silver(staged).select(*CLAIM.fieldNames()), store.claims, run_id)
+
+
+def read_claims(spark: SparkSession, store: Store, run_ids: list[str]) -> DataFrame:
+    return spark.read.schema(CLAIM).parquet(*(f"{store.claims}/run_id={r}" for r in run_ids))
+
+
+def end_turns(spark: SparkSession, store: Store, run_id: str) -> None:
+    """A saved run gives up its turns; keys of runs long past go."""
+    for gone in set(turns(spark, store).saved(run_id)):
+        drop(spark, f"{store.claims}/run_id={gone}")
+
+
 def read_outcomes(spark: SparkSession, store: Store) -> DataFrame:
     """One row a page that a run has seen: what became of it, and in which run."""
     return spark.read.schema(OUTCOME).parquet(store.outcomes)
