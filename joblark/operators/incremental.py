@@ -285,11 +285,12 @@ def run_progress(rows: DataFrame, block: int = 4096) -> DataFrame:
     running total works on blocks of batches first and then inside each block,
     so a source with millions of batches is not summed in one task.
     """
-    batches = (
-        rows.groupBy("source", "batch_no")
-        .agg(F.count_if("saved").alias("saved"))
-        .withColumn("_block", F.floor(F.col("batch_no") / block))
-    )
+    return batch_progress(rows.groupBy("source", "batch_no").agg(F.count_if("saved").alias("saved")), block)
+
+
+def batch_progress(batches: DataFrame, block: int = 4096) -> DataFrame:
+    """``run_progress`` of counts ``(source, batch_no, saved)``, a row a batch."""
+    batches = batches.withColumn("_block", F.floor(F.col("batch_no") / block))
     earlier = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         batches.groupBy("source", "_block")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from joblark.session import materialize
+from joblark.session import counted
 
 # left, right, key columns, join type, columns that tell rows of one key apart
 Join = Callable[[DataFrame, DataFrame, list[str], str, list[str]], DataFrame]
@@ -68,7 +68,7 @@ def sized_join(
     """The same result by a plan that fits the size of ``right``, which is narrow
     and written once to be counted: broadcast up to ``limit`` rows, so that
     ``left`` is not shuffled at all, and salted beyond."""
-    written = materialize(right, "right")
-    if written.count() <= limit:
+    written, count = counted(right, "right")
+    if count <= limit:
         return left.join(F.broadcast(written), on, how)
     return skew_join(left, written, on, how, spread)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.operators.joins import skew_join
-from joblark.session import materialize
+from joblark.session import counted, materialize
 
 BITS = 4
 BITS_A_KEY = 16
@@ -82,8 +82,8 @@ def without_members(rows: DataFrame, keys: DataFrame, on: tuple[str, ...], count
         return rows.join(F.broadcast(keys.select(*on)), [*on], "left_anti")
     bloom = Bloom.of(keys, on, count, max_bytes)
     hit = bloom.flag(rows.select(*dict.fromkeys([*on, *spread])), "_hit").where("_hit").drop("_hit")
-    false = materialize(skew_join(hit, keys.select(*on), [*on], "left_anti", spread).select(*on).distinct(), "false_hits")
-    if false.count() > limit:
+    false, count = counted(skew_join(hit, keys.select(*on), [*on], "left_anti", spread).select(*on).distinct(), "false_hits")
+    if count > limit:
         return None
     flagged = bloom.flag(rows, "_hit").join(F.broadcast(false.withColumn("_false", F.lit(True))), [*on], "left")
     return flagged.where(~F.col("_hit") | F.col("_false")).drop("_hit", "_false")

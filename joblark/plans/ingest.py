@@ -13,11 +13,11 @@ from joblark.functions.dates import key_date
 from joblark.functions.text import or_empty
 from joblark.operators import detail, incremental, listing, membership, quality, url_checks
 from joblark.operators.joins import BROADCAST_ROWS, Join, sized_join, skew_join
-from joblark.schemas import BRONZE, CLAIM, REPORT
-from joblark.session import materialize, shared_dir, write_table
+from joblark.schemas import BRONZE, CLAIM
+from joblark.session import counted, materialize, shared_dir, write_table
 from joblark.sources import store as areas
 from joblark.sources.spec import SourceSpec, of_sources, per_source
-from joblark.sources.store import Store
+from joblark.sources.store import Staged, Store
 
 _GIVEN = ("job_id", "source", "url", "crawled_at")  # columns every site's record has
 
@@ -99,13 +99,15 @@ def triaged(
     return incremental.triage(written, keys, ["url"], options.join)
 
 
-def save(records: DataFrame, specs: tuple[SourceSpec, ...], store: Store, run_id: str) -> None:
+def save(records: DataFrame, specs: tuple[SourceSpec, ...], store: Store, run_id: str, staged: Staged) -> None:
     """Raw JSONL per source, then silver."""
+    if not any(staged.rows.values()):
+        return
     for spec in specs:
         columns = [n for n in BRONZE.fieldNames() if n in spec.fields or n in _GIVEN]
         own = records.where(F.col("source") == spec.name).select(*columns)
-        areas.append_jobs(own, store, spec.name, run_id)
-    areas.load_silver(records, store)
+        areas.append_jobs(own, store, spec.name, run_id, staged.rows[spec.name])
+    areas.load_silver(records, store, (staged.first, staged.last))
 
 
 def silver_keys(spark: SparkSession, store: Store, specs: tuple[SourceSpec, ...] | None = None,
@@ -130,8 +132,8 @@ class Filter:
 
     @staticmethod
     def of(rows: DataFrame, on: tuple[str, ...], outcome: str, keep_held: bool = False) -> Filter:
-        written = materialize(rows.select(*on).distinct(), outcome)
-        return Filter(written, on, outcome, keep_held, written.count())
+        written, count = counted(rows.select(*on).distinct(), outcome)
+        return Filter(written, on, outcome, keep_held, count)
 
     def flag(self, df: DataFrame, name: str, limit: int) -> DataFrame:
         marked = self.rows.withColumn(name, F.lit(True))
@@ -227,7 +229,9 @@ def save_claimed(
     try:
         turns.wait(number, options.lease)
         if not areas.is_committed(spark, store, run_id):
-            save(areas.staged_run(spark, store, run_id), specs, store, run_id)
+            staged = areas.staged_facts(spark, store, run_id)
+            save(areas.staged_run(spark, store, run_id), specs, store, run_id, staged)
+            areas.write_progress(spark, store, run_id, number, staged.rows)
             areas.commit_run(spark, store, run_id, earlier)
     except BaseException:
         turns.fail(number)
@@ -248,8 +252,7 @@ def settle(
     """
     spark = pages.sparkSession
     pages = pages.where(of_sources(specs))
-    keys = materialize(silver_keys(spark, store, specs, as_of, claimed=claimed), "keys")
-    n_keys = keys.count()
+    keys, n_keys = counted(silver_keys(spark, store, specs, as_of, claimed=claimed), "keys")
     filters = []
     if urls is not None:
         filters.append(Filter.of(urls, ("source", "url"), NOT_LISTED, keep_held=True))
@@ -293,9 +296,9 @@ def settle(
     narrow = materialize(narrow, "triage")
 
     decided, report = gate(narrow, specs)
-    areas.write_area(report.withColumn("run_id", F.lit(run_id)).select(*REPORT.fieldNames()), store.reports, run_id)
+    failures = areas.write_report(report, store, run_id)
     if options.on_gate == "raise":
-        quality.enforce(report)
+        quality.enforce(report, failures)
     stopped = flagged.where(F.col("early").isNotNull()).withColumnsRenamed({"early": "outcome"})
     columns = ["source", "url", "job_id", "batch_no", "outcome", "_row"]
     outcomes = decided.select(*columns).unionByName(stopped.withColumn("_row", F.lit(None).cast("bigint")).select(*columns))
@@ -303,7 +306,7 @@ def settle(
     accepted = decided.where((F.col("outcome") == SAVED) & F.col("_row").isNotNull()).select("_row")
     # whole records are moved only when the accepted ones are too many to broadcast
     saved = options.join(records, accepted, ["_row"], "left_semi", ["_row"]).drop("_row", "page_reject", "batch_no")
-    staged = areas.stage_run(saved, store, run_id)
+    staged = areas.stage_run(saved, store, run_id, [s.name for s in specs])
     areas.drop(spark, records_path)
     return staged
 

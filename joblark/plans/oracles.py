@@ -358,6 +358,10 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT source, batch_no, company = '' AS bad FROM ({_CHECKED_1}) UNION ALL SELECT source, batch_no, company = '' FROM ({_CHECKED_2})",
                 "source, batch_no", "source || '/' || batch_no", "title, company")})""",
         "stream_ingest": f"{_site1_saved('doc_id % 9 <> 0')} UNION ALL {_saved(_TOPDEV)}",
+        "saved_so_far": f"""
+            SELECT source, number % 3 + 1 AS batch_no, count(*) OVER (PARTITION BY source) AS total_batches, count(title) AS saved,
+              (sum(count(title)) OVER (PARTITION BY source ORDER BY number % 3))::BIGINT AS total_saved
+            FROM (SELECT source, number, CASE WHEN title <> '' THEN title END AS title FROM ({_TOPDEV})) GROUP BY source, number % 3""",
         "concurrent_ingest": _saved(_TOPDEV),
         "catalog_keys": f"""
             SELECT DISTINCT job_id, coalesce(try_cast(posted_date AS DATE)::VARCHAR, '') AS posted_date FROM ({_RECORDS})

@@ -722,6 +722,19 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved.select(*_SAVED)
 
 
+@query
+def saved_so_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is started again whenever more pages have come: what its micro-batches saved, and all until each."""
+    store = Store(shared_dir(spark, "progress"))
+    areas.ensure_fact_table(spark, store)
+    inbox, number = f"{store.base}/inbox", F.regexp_extract("url", "-([0-9]+)$", 1).cast("bigint")
+    for part in range(3):
+        _topdev(spark, sf_dir).where(number % 3 == part).write.mode("append").parquet(inbox)
+        found = page_stream(spark, inbox, files_per_batch=1_000_000)
+        start_ingest(found, (TOPDEV,), store, f"{store.base}/checkpoint").awaitTermination()
+    return incremental.batch_progress(areas.read_progress(spark, store).withColumnRenamed("turn", "batch_no"))
+
+
 @query
 def concurrent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs at once over two thirds of the pages each: what both have is saved by one of them."""

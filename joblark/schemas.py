@@ -46,6 +46,11 @@ KEYS = T.StructType(_strings("job_id", "posted_date"))
 # What a run is about to save, until silver holds it.
 CLAIM = T.StructType([SILVER[n] for n in ("source", "job_id", "posted_date", "crawled_at")])
 
+# What a run saved from each of its sources; turns number the runs of a store in the order of their saves.
+PROGRESS = T.StructType(
+    _strings("run_id", "source") + [T.StructField(n, T.LongType()) for n in ("turn", "saved")]
+)
+
 FETCH_LOG = T.StructType(
     [
         T.StructField("url", T.StringType()),

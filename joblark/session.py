@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter for large runs; none of them fixes a partition count.
 SCALE_CONF = {
@@ -61,6 +62,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, shared_dir(df.sparkSession, name))
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialize`` and the number of rows, which the write itself counts."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return written, seen.get["n"]
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from joblark.operators.joins import BROADCAST_ROWS
-from joblark.schemas import BRONZE, CLAIM, ERROR, OUTCOME, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
-from joblark.session import materialize
+from joblark.schemas import BRONZE, CLAIM, ERROR, OUTCOME, PROGRESS, REPORT, SILVER, SILVER_FILES, SILVER_PARTITION
+from joblark.session import counted
 from joblark.sources.turns import Turns
 
 log = logging.getLogger(__name__)
@@ -47,6 +49,10 @@ class Store:
     def claims(self) -> str:
         return f"{self.base}/claims"
 
+    @property
+    def progress(self) -> str:
+        return f"{self.base}/progress"
+
     @property
     def silver(self) -> str:
         return f"{self.base}/silver/fact_jobs"
@@ -109,14 +115,14 @@ def bootstrap(spark: SparkSession, store: Store) -> None:
 # ---- JSONL sinks -------------------------------------------------------------------
 
 
-def append_jobs(records: DataFrame, store: Store, source: str, run_id: str | None = None) -> str:
+def append_jobs(records: DataFrame, store: Store, source: str, run_id: str | None = None, count: int | None = None) -> str:
     """Append the records of a source as new JSONL files; none for no records.
 
     With ``run_id`` the files go to a folder of that run, which a repeated
-    attempt of the same run replaces.
+    attempt of the same run replaces. ``count`` is their number where it is known.
     """
     own = records.where(F.col("source") == source)
-    if own.isEmpty():
+    if own.isEmpty() if count is None else not count:
         return ""
     path = f"{store.raws}/{source}"
     writer = own.write.option("ignoreNullFields", False)
@@ -181,9 +187,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def _touch(spark: SparkSession, path: str) -> None:
+def _put(spark: SparkSession, path: str, text: str = "") -> None:
     fs, jpath = _path(spark, path)
-    fs.create(jpath, True).close()
+    out = fs.create(jpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
 
 
 def drop(spark: SparkSession, path: str) -> None:
@@ -201,14 +209,48 @@ def write_area(rows: DataFrame, path: str, run_id: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/run_id={run_id}")
 
 
-def stage_run(records: DataFrame, store: Store, run_id: str) -> DataFrame:
-    """Write what a run will save before any sink is touched."""
-    path = f"{_staged_path(store, run_id)}/records"
-    records.write.mode("overwrite").parquet(path)
-    _touch(records.sparkSession, f"{_staged_path(store, run_id)}/READY")
+def write_report(report: DataFrame, store: Store, run_id: str) -> int:
+    """The gate's report to its area. Returns how many batches failed, counted by the write."""
+    seen = Observation()
+    rows = report.withColumn("run_id", F.lit(run_id)).select(*REPORT.fieldNames())
+    write_area(rows.observe(seen, F.count(F.when(~F.col("passed"), 1)).alias("failed")), store.reports, run_id)
+    return seen.get["failed"]
+
+
+@dataclass(frozen=True)
+class Staged:
+    """What is known of a run's staged rows, measured by the write that staged them."""
+
+    rows: dict[str, int]  # a source
+    first: date | None  # UTC days of fetch
+    last: date | None
+
+    @staticmethod
+    def measures(sources: list[str]) -> list[Column]:
+        day = utc_day(F.try_to_timestamp(F.col("crawled_at")))
+        counts = [F.count(F.when(F.col("source") == s, 1)).alias(f"rows_{i}") for i, s in enumerate(sources)]
+        return [*counts, F.min(day).cast("string").alias("first"), F.max(day).cast("string").alias("last")]
+
+    @staticmethod
+    def of(seen: dict, sources: list[str]) -> Staged:
+        day = lambda at: at and date.fromisoformat(at)
+        return Staged({s: seen[f"rows_{i}"] for i, s in enumerate(sources)}, day(seen["first"]), day(seen["last"]))
+
+
+def stage_run(records: DataFrame, store: Store, run_id: str, sources: list[str]) -> DataFrame:
+    """Write what a run will save before any sink is touched, and what the write saw beside it."""
+    path, seen = f"{_staged_path(store, run_id)}/records", Observation()
+    records.observe(seen, *Staged.measures(sources)).write.mode("overwrite").parquet(path)
+    _put(records.sparkSession, f"{_staged_path(store, run_id)}/READY", json.dumps({"sources": sources, "seen": seen.get}))
     return records.sparkSession.read.schema(records.schema).parquet(path)
 
 
+def staged_facts(spark: SparkSession, store: Store, run_id: str) -> Staged:
+    """What the write of a run's staged rows saw, also for another attempt."""
+    held = json.loads(spark.read.text(f"{_staged_path(store, run_id)}/READY", wholetext=True).first()["value"])
+    return Staged.of(held["seen"], held["sources"])
+
+
 def staged_run(spark: SparkSession, store: Store, run_id: str) -> DataFrame | None:
     path = _staged_path(store, run_id)
     return spark.read.parquet(f"{path}/records") if _exists(spark, f"{path}/READY") else None
@@ -221,7 +263,7 @@ def is_committed(spark: SparkSession, store: Store, run_id: str) -> bool:
 def commit_run(spark: SparkSession, store: Store, run_id: str, earlier: str | None = None) -> None:
     """Mark a run as saved and drop its staged rows, and the marker of an ``earlier`` run
     that cannot be attempted again."""
-    _touch(spark, f"{store.base}/committed/{run_id}")
+    _put(spark, f"{store.base}/committed/{run_id}")
     drop(spark, _staged_path(store, run_id))
     if earlier:
         drop(spark, f"{store.base}/committed/{earlier}")
@@ -255,6 +297,17 @@ def end_turns(spark: SparkSession, store: Store, run_id: str) -> None:
         drop(spark, f"{store.claims}/run_id={gone}")
 
 
+def write_progress(spark: SparkSession, store: Store, run_id: str, turn: int, saved: dict[str, int]) -> None:
+    """How many rows a run saved from each of its sources; another attempt replaces it."""
+    rows = [json.dumps({"run_id": run_id, "source": s, "turn": turn, "saved": n}) for s, n in saved.items()]
+    _put(spark, f"{store.progress}/{run_id}.json", "\n".join(rows) + "\n")
+
+
+def read_progress(spark: SparkSession, store: Store) -> DataFrame:
+    """What every run saved from every source, micro-batches of streams included."""
+    return spark.read.schema(PROGRESS).json(store.progress)
+
+
 def read_outcomes(spark: SparkSession, store: Store) -> DataFrame:
     """One row a page that a run has seen: what became of it, and in which run."""
     return spark.read.schema(OUTCOME).parquet(store.outcomes)
@@ -303,8 +356,9 @@ def to_silver(records: DataFrame, ingested_at: Column | None = None) -> DataFram
     )
 
 
-def load_silver(records: DataFrame, store: Store) -> None:
-    """Append raw records to silver, leaving out rows it already holds.
+def load_silver(records: DataFrame, store: Store, days: tuple[date | None, date | None] | None = None) -> None:
+    """Append raw records to silver, leaving out rows it already holds. ``days`` are the first and the last
+    day of fetch where they are known.
 
     A row is one fetch of one page (id, URL, fetch time), so loading the same
     files again adds nothing. Only the days the records span are read back, and
@@ -313,14 +367,14 @@ def load_silver(records: DataFrame, store: Store) -> None:
     spark = records.sparkSession
     same = ["job_id", "url", "crawled_at"]
     rows = to_silver(records).withColumn(SILVER_PARTITION, utc_day(F.col("crawled_at")))
-    span = rows.agg(F.min(SILVER_PARTITION).alias("lo"), F.max(SILVER_PARTITION).alias("hi")).first()
+    low, high = days or rows.agg(F.min(SILVER_PARTITION), F.max(SILVER_PARTITION)).first()
     held = silver_files(spark, store)
-    if span["lo"] is not None:
+    if low is not None:
         day = F.col(SILVER_PARTITION)
-        held = held.where(day.between(F.lit(span["lo"]), F.lit(span["hi"])) | day.isNull())
+        held = held.where(day.between(F.lit(low), F.lit(high)) | day.isNull())
     fresh = rows.select(*same).distinct()
-    held = materialize(held.select(*same).join(fresh, [held[c].eqNullSafe(fresh[c]) for c in same], "left_semi"), "held")
-    if held.count() <= BROADCAST_ROWS:  # few rows are loaded again as a rule: whole rows stay where they are
+    held, n_held = counted(held.select(*same).join(fresh, [held[c].eqNullSafe(fresh[c]) for c in same], "left_semi"), "held")
+    if n_held <= BROADCAST_ROWS:  # few rows are loaded again as a rule: whole rows stay where they are
         held = F.broadcast(held)
     match = [rows[c].eqNullSafe(held[c]) for c in same]
     (
