@@ -4,8 +4,9 @@ Every language gets a codeword of +1/-1 bits: all distinct splits up to
 ``EXHAUSTIVE`` languages, beyond that random words far from each other. A bit's classifier is
 linear in hashed letter trigrams of the folded text: the log ratio of their
 smoothed frequencies in the languages on either side. Frequencies are counted by
-Spark over all labelled texts; only sums per language and trigram, whose number ``MAX_LANGUAGES``
-and ``BUCKETS`` bound, reach the driver. The mean margin of a text is decoded by
+Spark over all labelled texts and stay rows a language and trigram, of which there may be any number: weights are
+summed where a trigram's rows meet, margins where a language's do. The driver gets the model alone, a row of
+bits a trigram (``BUCKETS`` of them) and one a language; a language has some 6 log2 bits. The mean margin of a text is decoded by
 its exponential loss against each codeword, every bit weighted by how well it
 sets that language apart. ``score`` is the winner's share of the weights of all
 languages, ``ambiguous`` says that it is under ``AMBIGUOUS``.
@@ -27,10 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.llm import hashing
+from joblark.session import materialize
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 200
+HELD_LANGUAGES = 200  # counters a task holds before it hands them on
+PAIRS = 1 << 20  # texts by languages that are decoded at once
+CODE_PAIRS = 2_000_000
 EXHAUSTIVE = 5
 SMOOTHING = 0.5
 SHARPNESS = 6.0
@@ -67,10 +71,11 @@ def codewords(languages: int) -> np.ndarray:
     rng = np.random.default_rng(languages)
     size = 6 * int(np.ceil(np.log2(languages)))
     best, apart = None, -1.0
-    for _ in range(50):
+    tries = min(50, CODE_PAIRS // languages**2)  # many languages lie far apart in any draw
+    for _ in range(max(1, tries)):
         words = rng.choice([-1.0, 1.0], (languages, size))
         words[0] = np.where(np.abs(words.sum(axis=0)) == languages, -words[0], words[0])
-        nearest = (size - (words @ words.T - 2 * size * np.eye(languages))).min()
+        nearest = (size - (words @ words.T - 2 * size * np.eye(languages))).min() if tries > 1 else 0.0
         if nearest > apart:
             best, apart = words, nearest
     return best
@@ -85,26 +90,25 @@ class Decoder:
     scale: np.ndarray
 
     @staticmethod
-    def fit(counts: dict[str, np.ndarray]) -> Decoder:
-        languages = sorted(counts)
-        words = codewords(len(languages))
-        share = np.array([counts[k] + SMOOTHING for k in languages]).reshape(len(languages), BUCKETS)
-        share /= share.sum(axis=1, keepdims=True)
-        bits = words.shape[1]
-        weights = np.zeros((BUCKETS, bits), np.float32)
-        for b in range(bits):
-            weights[:, b] = np.log(share[words[:, b] > 0].mean(axis=0)) - np.log(share[words[:, b] < 0].mean(axis=0))
-        margins = words * (share @ weights) if bits else words
-        scale = np.abs(margins).mean(axis=0) + 1e-9 if bits else np.zeros(0)
-        trust = np.clip(margins / scale, 0.05, None) if bits else margins
+    def of(languages: list[str], words: np.ndarray, weights: np.ndarray, means: np.ndarray) -> Decoder:
+        """``means`` holds the mean of a language's own texts at every bit."""
+        margins = words * means
+        scale = np.abs(margins).mean(axis=0) + 1e-9 if margins.size else np.zeros(margins.shape[1])
+        trust = np.clip(margins / scale, 0.05, None)
         return Decoder(languages, words, weights, trust / np.maximum(trust.sum(axis=1, keepdims=True), 1e-9), scale)
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The index of the language with the least loss, and its share."""
         if len(self.languages) < 2:
             return np.zeros(len(margins), int), np.ones(len(margins))
+        step = max(1, PAIRS // len(self.languages))
+        parts = [self._decoded(margins[i : i + step]) for i in range(0, max(1, len(margins)), step)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _decoded(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         m = np.clip(margins / self.scale, -4, 4)
-        loss = (self.trust[None] * np.exp(-self.words[None] * m[:, None, :])).sum(axis=2)
+        up = self.words > 0  # the loss of a bit is exp(-m) where the word has +1, exp(m) elsewhere
+        loss = np.exp(-m) @ (self.trust * up).T + np.exp(m) @ (self.trust * ~up).T
         shares = np.exp(-SHARPNESS * (loss - loss.min(axis=1, keepdims=True)))
         shares /= shares.sum(axis=1, keepdims=True)
         best = loss.argmin(axis=1)
@@ -124,6 +128,11 @@ class Decoder:
 def counted(docs: DataFrame) -> DataFrame:
     """``(lang, bucket, n)`` over rows (lang, text); each task adds up its own first."""
 
+    def handed_on(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k, row in held.items():
+            at = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at])], ["lang", "bucket", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -133,29 +142,82 @@ def counted(docs: DataFrame) -> DataFrame:
                 names = sorted({r[0] for r in part})
                 number = {k: i for i, k in enumerate(names)}
                 owner = np.repeat([number[r[0]] for r in part], last - first)
-                sums = np.bincount(owner * BUCKETS + code, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
-                for k, row in zip(names, sums):
-                    held[k] = held[k] + row if k in held else row
-                if len(held) > MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        for k, row in held.items():
-            at = np.flatnonzero(row)
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at])], ["lang", "bucket", "n"])
+                for low in range(0, len(names), HELD_LANGUAGES):
+                    some = names[low : low + HELD_LANGUAGES]
+                    own = (owner >= low) & (owner < low + len(some))
+                    sums = np.bincount((owner[own] - low) * BUCKETS + code[own], minlength=len(some) * BUCKETS).reshape(len(some), BUCKETS)
+                    for k, row in zip(some, sums):
+                        held[k] = held[k] + row if k in held else row.copy()
+                    if len(held) > HELD_LANGUAGES:
+                        yield from handed_on(held)
+                        held = {}
+        yield from handed_on(held)
 
     return docs.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _weights(counts: DataFrame, number: dict[str, int], total: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Trigrams by bits: the log ratio of the mean smoothed frequencies on either side."""
+    up = words > 0
+    sides = np.maximum(np.array([up.sum(axis=0), (~up).sum(axis=0)]), 1)
+    least = np.array([(SMOOTHING / total) @ up, (SMOOTHING / total) @ ~up])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.array([number[k] for k in batch.column("lang").to_pylist()], np.int64)
+            share = batch.column("n").to_numpy() / total[at]
+            for bucket, i, x in zip(batch.column("bucket").to_pylist(), at.tolist(), share.tolist()):
+                held = sums.setdefault(bucket, np.zeros((2, words.shape[1])))
+                held += np.where(np.array([up[i], ~up[i]]), x, 0.0)
+        logs = [np.log((held + least) / sides) for held in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([(x[0] - x[1]).tolist() for x in logs], pa.list_(pa.float64()))], ["bucket", "weights"])
+
+    met = counts.repartition("bucket").sortWithinPartitions("bucket", "lang")
+    found = met.mapInArrow(run, "bucket int, weights array<double>").toArrow()
+    high, low = np.log(least / sides)  # of trigrams that were not seen
+    weights = np.tile((high - low).astype(np.float32), (BUCKETS, 1))
+    if found.num_rows:
+        weights[found.column("bucket").to_numpy()] = np.array(found.column("weights").to_pylist(), np.float32)
+    return weights
+
+
+def _means(counts: DataFrame, number: dict[str, int], total: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Languages by bits: the weight that a language's trigrams have on average."""
+    shared = counts.sparkSession.sparkContext.broadcast(weights)  # BUCKETS rows, whatever the corpus
+    least = SMOOTHING * weights.sum(axis=0, dtype=np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs = np.array(batch.column("lang").to_pylist())
+            n, rows = batch.column("n").to_numpy()[:, None], shared.value[batch.column("bucket").to_numpy()]
+            edges = np.r_[0, np.flatnonzero(langs[1:] != langs[:-1]) + 1, len(langs)] if len(langs) else [0]
+            for first, last in zip(edges[:-1], edges[1:]):
+                part = (n[first:last] * rows[first:last]).sum(axis=0, dtype=np.float64)
+                sums[str(langs[first])] = sums.get(str(langs[first]), 0.0) + part
+        means = [((held + least) / total[number[k]]).tolist() for k, held in sums.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.string()), pa.array(means, pa.list_(pa.float64()))], ["lang", "mean"])
+
+    found = counts.repartition("lang").sortWithinPartitions("lang", "bucket").mapInArrow(run, "lang string, mean array<double>").toArrow()
+    means = np.tile(least, (len(total), 1)) / total[:, None]
+    for k, mean in zip(found.column("lang").to_pylist(), found.column("mean").to_pylist()):
+        means[number[k]] = mean
+    return means
+
+
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Decoder:
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     pairs = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    table = counted(pairs).toArrow()
-    counts: dict[str, np.ndarray] = {}
-    names, buckets, n = (table.column(c).to_pylist() for c in ("lang", "bucket", "n"))
-    for k, bucket, many in zip(names, buckets, n):
-        counts.setdefault(k, np.zeros(BUCKETS))[bucket] = many
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    return Decoder.fit(counts)
+    counts = materialize(counted(pairs), "trigrams")
+    totals = sorted(tuple(r) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect())  # a row a language
+    names = [k for k, _ in totals]
+    number, words = {k: i for i, k in enumerate(names)}, codewords(len(names))
+    total = np.array([n for _, n in totals], float) + SMOOTHING * BUCKETS
+    if len(names) < 2:
+        return Decoder.of(names, words, np.zeros((BUCKETS, words.shape[1]), np.float32), np.zeros(words.shape))
+    weights = _weights(counts, number, total, words)
+    return Decoder.of(names, words, weights, _means(counts, number, total, weights))
 
 
 def languages(docs: DataFrame, model: Decoder, *keep: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,8 +225,10 @@ def languages(docs: DataFrame, model: Decoder, *keep: Column, id_col: str = "doc
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     names = texts.columns[:-1]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.select(*names).schema)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             best, share = [], []

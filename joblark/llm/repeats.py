@@ -12,7 +12,10 @@ stretch the windows cover, id and hash of the text, place of the first window, t
    At most one entry a class leaves a task, so a passage that a third of all
    documents hold comes to its anchor's partition once for each task.
 2. Of classes that share an anchor but not the stretch, one stretch each is sent to the
-   anchor's partition and compared window by window (128-bit hashes).
+   anchor's partition and compared window by window.
+
+Entries are told apart by ``key`` and ``cls`` together: windows by 128 bits, stretches by 64 bits among those
+of one anchor.
 3. What is marked meets its text in one join.
 
 A document is its doc_id and the 64-bit hash of its text: rows that repeat both count as
@@ -59,15 +62,17 @@ class Levels:
 
     def insert(self, batch: np.ndarray) -> np.ndarray:
         order = np.lexsort((batch["pos"], batch["tag"], batch["doc"], batch["cls"]))
+        if (~_alike(batch[order]) & (np.diff(batch["cls"][order]) == 0)).any():  # one hash of different entries
+            order = np.lexsort((batch["pos"], batch["tag"], batch["doc"], batch["key"], batch["cls"]))
         batch = batch[order]
         if len(batch) > 1:
-            same = batch["cls"][1:] == batch["cls"][:-1]
+            same = _alike(batch)
             twin = same & (batch["doc"][1:] == batch["doc"][:-1]) & (batch["tag"][1:] == batch["tag"][:-1]) & (batch["pos"][1:] == batch["pos"][:-1])
             if twin.any():
                 batch["seen"][:-1] |= twin & batch["seen"][1:]
                 batch = batch[np.r_[True, ~twin]]
         first = np.ones(len(batch), bool)
-        first[1:] = batch["cls"][1:] != batch["cls"][:-1]
+        first[1:] = ~_alike(batch)
         marked = []
         if self.every:
             shared = ~first
@@ -78,8 +83,7 @@ class Levels:
             marked.append(batch[~first])
         fresh = batch[first]
         for cls, rows in self.runs:
-            at = np.minimum(np.searchsorted(cls, fresh["cls"]), len(cls) - 1)
-            hit = cls[at] == fresh["cls"]
+            at, hit = _places(cls, rows["key"], fresh)
             if not hit.any():
                 continue
             at, new, fresh = at[hit], fresh[hit], fresh[~hit]
@@ -107,6 +111,25 @@ class Levels:
         return np.concatenate([np.zeros(0, ENTRY), *(rows for _, rows in self.runs)])
 
 
+def _alike(rows: np.ndarray) -> np.ndarray:
+    """Which entries are of the class of the one before, from the second on."""
+    return (rows["cls"][1:] == rows["cls"][:-1]) & (rows["key"][1:] == rows["key"][:-1])
+
+
+def _places(cls: np.ndarray, key: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a run sorted by ``cls`` holds the wanted classes, and whether it does."""
+    at = np.searchsorted(cls, wanted["cls"])
+    hit, left = np.zeros(len(wanted), bool), np.arange(len(wanted))
+    while len(left):  # more than once only where different entries have one hash
+        left = left[at[left] < len(cls)]
+        left = left[cls[at[left]] == wanted["cls"][left]]
+        same = key[at[left]] == wanted["key"][left]
+        hit[left[same]] = True
+        left = left[~same]
+        at[left] += 1
+    return at, hit
+
+
 def stretches(h: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, gram: int) -> tuple:
     """Anchors of all windows inside the texts: key, class, first window, number of windows."""
     none = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))

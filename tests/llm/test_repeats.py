@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,3 +140,20 @@ def test_texts_of_one_id_whose_hashes_share_bits(spark):
         assert r.kept_words.encode() == want[-(2**63) if r.doc_id is None else r.doc_id, r.body.encode()]
     want = sorted(brute_bytes(rows, 20).values())
     assert sorted(bytes(r.kept) for r in suffix_dedup.suffix_dedup(df, length=20, gram=8).collect()) == want
+
+
+@pytest.mark.parametrize("every", [True, False])
+def test_entries_of_one_hash_are_told_apart(every):
+    """Classes of few values: entries are alike only if both hashes are."""
+    rng = np.random.default_rng(7)
+    levels, first, members, marked = repeats.Levels(every), {}, {}, set()
+    for _ in range(40):
+        batch = np.zeros(rng.integers(1, 30), repeats.ENTRY)
+        batch["cls"], batch["key"] = rng.integers(0, 4, len(batch)), rng.integers(0, 12, len(batch))
+        batch["doc"], batch["pos"], batch["n"] = rng.integers(0, 50, len(batch)), rng.integers(0, 5, len(batch)), 1
+        for e in batch:
+            members.setdefault((e["cls"], e["key"]), set()).add((e["doc"], e["pos"]))
+        marked |= {(e["cls"], e["key"], e["doc"], e["pos"]) for e in levels.insert(batch)}
+    want = {(*c, *p) for c, places in members.items() if len(places) > 1 for p in places if every or p != min(places)}
+    assert marked == want
+    assert len(levels.entries()) == len(members)
