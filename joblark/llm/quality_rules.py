@@ -2,13 +2,16 @@
 
 The vector of a document: log of its words, letters a word, and symbols,
 duplicate lines and repeated words, each on a log scale of its share. Per (lang,
-source) a minimum-covariance-determinant estimate is found by concentration: from
-medians and median deviations, keep the ``support`` share of documents nearest in
-Mahalanobis distance, take their mean and covariance, and again ``steps`` times. All documents
-that pass the base take part; every step is one aggregation for the cut and one for
-the moments. A group's covariance is shrunk towards the corpus's (``prior`` rows' worth) and no
-deviation counts as less than ``FLOOR``, so that statistics that hardly vary do
-not reject by themselves. Beyond the ``level`` quantile of chi-square a document is rejected.
+source) a minimum-covariance-determinant estimate is sought from several starts: medians with
+median deviations as scales, and with correlations of all standardised vectors under tanh or cut to length one, and
+``RANDOM`` sets of ``SIZE + 1`` documents, those whose vectors have the least hash under as many seeds.
+A concentration step keeps the ``support`` share of documents nearest in Mahalanobis distance and
+takes their mean and covariance. The covariance is regularised by a target that stays the same for all steps, the corpus's
+(``prior`` rows' worth), and no deviation counts as less than ``FLOOR``, so that statistics that hardly vary do
+not reject by themselves. After ``trial`` steps the start of a group with the smallest determinant goes on until its determinant
+no longer falls, at most ``steps`` steps in all; the estimate with the smallest determinant that was met counts. All documents
+that pass the base take part; every step is one aggregation for the cuts and one for
+the moments of all groups and starts. Beyond the ``level`` quantile of chi-square a document is rejected.
 
 Null texts have no words and fail the base. Null lang or source is a group of its own. Repeated rows
 come back as often as they occur and count as often. Other columns are ignored.
@@ -16,7 +19,8 @@ come back as often as they occur and count as often. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from joblark.llm import hashing, stats
-from joblark.session import materialize
+from joblark.session import counted, materialize
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 
 SUPPORT = 0.75
-STEPS = 3
+STEPS = 30
+TRIAL = 2
+RANDOM = 12
+STARTS = ("scales", "tanh", "signs", *(f"random{i}" for i in range(RANDOM)))
+FALL = 1e-4  # a fall of the log determinant by less ends the steps; cuts are exact to some 1e-4 of the ranks
 PRIOR = 50.0
 LEVEL = 0.9999
 # Least deviation of each statistic: log words, log letters a word, then three log shares.
@@ -80,59 +88,160 @@ def _distance(x: Column, mean: Column, inverse: Column) -> Column:
     return total
 
 
-def _estimates(groups: DataFrame, pooled: tuple[list[float], list[float]], correct: float, prior: float) -> DataFrame:
-    """``(g1, g2, mean, inverse)`` from each group's moments."""
-    centre, target = np.array(pooled[0]), np.array(pooled[1]).reshape(SIZE, SIZE)
+_ESTIMATE = "g1 string, g2 string, start string, mean array<double>, inverse array<double>, logdet double"
+
+
+def _estimated(target: list[float], correct: float, prior: float, centre: list[float] | None = None) -> Callable:
+    """Estimates ``(g1, g2, start, mean, inverse, logdet)`` from moments. With ``centre`` the mean is
+    drawn to it like the covariance to the target."""
+    goal, floor = np.array(target).reshape(SIZE, SIZE), np.diag(np.square(FLOOR))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            means, inverses = [], []
+            out = []
             for row in batch.to_pylist():
                 mean, cov = stats.mean_and_covariance(row["n"], row["sums"], row["products"])
                 share = row["n"] / (row["n"] + prior)
-                cov = share * cov * correct + (1 - share) * target + share * (1 - share) * np.outer(mean - centre, mean - centre)
-                means.append((share * mean + (1 - share) * centre).tolist())
-                inverses.append(np.linalg.inv(cov + np.diag(np.square(FLOOR))).ravel().tolist())
+                cov = share * cov * correct + (1 - share) * goal + floor
+                logdet = float(np.linalg.slogdet(cov)[1])
+                if centre is not None:
+                    off = mean - np.array(centre)
+                    cov, mean = cov + share * (1 - share) * np.outer(off, off), mean - (1 - share) * off
+                out.append((mean.tolist(), np.linalg.inv(cov).ravel().tolist(), logdet))
             kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("g1"), batch.column("g2"), pa.array(means, kind), pa.array(inverses, kind)], ["g1", "g2", "mean", "inverse"])
+            means, inverses, logdets = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("g1", "g2", "start")), pa.array(means, kind), pa.array(inverses, kind), pa.array(logdets, pa.float64())],
+                ["g1", "g2", "start", "mean", "inverse", "logdet"],
+            )
 
-    return groups.mapInArrow(run, "g1 string, g2 string, mean array<double>, inverse array<double>")
+    return run
 
 
-def _with_group(rows: DataFrame, of_group: DataFrame) -> DataFrame:
+def _with_group(rows: DataFrame, of_group: DataFrame, how: str = "left") -> DataFrame:
     """A join by language and source, whose nulls are a group."""
     right = of_group.withColumnsRenamed({"g1": "r1", "g2": "r2"})
     same = F.col("g1").eqNullSafe(F.col("r1")) & F.col("g2").eqNullSafe(F.col("r2"))
-    return rows.join(right, same, "left").drop("r1", "r2")
+    return rows.join(right, same, how).drop("r1", "r2")
 
 
-def outlier_distances(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, prior: float = PRIOR) -> DataFrame:
-    """``rows`` (g1, g2, fit, x) with the squared robust distance of each x."""
-    fit = rows.where("fit")
+def _started(starts: tuple[str, ...]) -> Callable:
+    """First estimates of every group: its medians, median deviations and correlations ``r_<start>``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                scale = np.sqrt(np.square(1.4826 * np.array(row["mad"])) + np.square(FLOOR))
+                for start in starts:
+                    shape = np.eye(SIZE)
+                    if start.startswith("random"):
+                        picked = np.array(row["picks"][int(start[6:]) * (SIZE + 1) :][: SIZE + 1])
+                        inverse = np.linalg.inv(np.cov(picked.T) + np.diag(np.square(FLOOR)))
+                        out.append((row["g1"], row["g2"], start, picked.mean(axis=0).tolist(), inverse.ravel().tolist(), float("inf")))
+                        continue
+                    if start != "scales":
+                        _, cov = stats.mean_and_covariance(row["n"], row[f"{start}_sums"], row[f"{start}_products"])
+                        size = np.sqrt(np.diag(cov)) + 1e-6
+                        shape = cov / np.outer(size, size) * 0.99  # so that it has an inverse
+                        np.fill_diagonal(shape, 1.0)
+                    inverse = np.linalg.inv(shape * np.outer(scale, scale))
+                    out.append((row["g1"], row["g2"], start, row["mean"], inverse.ravel().tolist(), float("inf")))
+            kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()]
+            columns = list(zip(*out)) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["g1", "g2", "start", "mean", "inverse", "logdet"])
+
+    return run
+
+
+def first_estimates(fit: DataFrame, starts: tuple[str, ...]) -> DataFrame:
+    """``(g1, g2, start, mean, inverse, logdet)`` from medians, and moments that outliers cannot move far."""
     near = [F.percentile_approx(F.col("x")[i], 0.5, 1000).alias(f"m{i}") for i in range(SIZE)]
-    centre = fit.groupBy("g1", "g2").agg(*near)
-    spread = _with_group(fit, centre).groupBy("g1", "g2").agg(
-        F.array(*(F.first(f"m{i}") for i in range(SIZE))).alias("mean"),
-        F.array(*(F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 1000) for i in range(SIZE))).alias("mad"),
-    )
-    inverse = [1 / (F.pow(1.4826 * F.col("mad")[i], 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0) for i in range(SIZE) for j in range(SIZE)]
-    now = materialize(spread.select("g1", "g2", "mean", F.array(*inverse).alias("inverse")), "estimates")
+    centre = fit.groupBy("g1", "g2").agg(F.array(*near).alias("mean"))
+    off = [F.col("x")[i] - F.col("mean")[i] for i in range(SIZE)]
+    mad = F.array(*(F.percentile_approx(F.abs(d), 0.5, 1000) for d in off)).alias("mad")
+    spread = materialize(_with_group(fit, centre).groupBy("g1", "g2").agg(F.first("mean").alias("mean"), mad), "spread")
+    if starts == ("scales",):
+        return spread.mapInArrow(_started(starts), _ESTIMATE)
+    z = [d / F.sqrt(F.pow(1.4826 * F.col("mad")[i], 2) + FLOOR[i] ** 2) for i, d in enumerate(off)]
+    length = F.sqrt(reduce(lambda a, b: a + b, (v * v for v in z)))
+    forms = {"tanh": [F.tanh(v) for v in z], "signs": [F.when(length > 0, v / length).otherwise(0.0) for v in z]}
+    moments = []
+    for name, values in forms.items():
+        n, sums, products = stats.moments(F.col(name), SIZE)
+        moments += [sums.alias(f"{name}_sums"), products.alias(f"{name}_products")]
+    shaped = _with_group(fit, spread).select("g1", "g2", "x", "mean", "mad", *(F.array(*v).alias(k) for k, v in forms.items()))
+    picks = F.array(*(F.min_by("x", F.xxhash64(F.lit(j), F.col("x"))) for j in range(RANDOM * (SIZE + 1)))).alias("picks")
+    found = shaped.groupBy("g1", "g2").agg(F.first("mean").alias("mean"), F.first("mad").alias("mad"), n, picks, *moments)
+    return found.mapInArrow(_started(starts), _ESTIMATE)
+
+
+def _concentrated(fit: DataFrame, now: DataFrame, support: float) -> DataFrame:
+    """Moments ``(g1, g2, start, n, sums, products)`` of the rows nearest to each estimate."""
+    at = ["g1", "g2", "start"]
+    measured = _with_group(fit, now, "inner").select(*at, "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
+    cut = measured.groupBy(*at).agg(F.percentile_approx("d", support, 10_000).alias("cut"))
+    right = cut.withColumnsRenamed({c: f"_{c}" for c in at})
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at))
+    return measured.join(right, same).where("d <= cut").groupBy(*at).agg(*stats.moments(F.col("x"), SIZE))
+
+
+def _pooled(groups: DataFrame) -> tuple[list[float], np.ndarray] | None:
+    """Mean and covariance of all groups' moments together: one row reaches the driver."""
+    pairs = SIZE * (SIZE + 1) // 2
+    total = groups.agg(
+        F.sum("n").alias("n"), *(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SIZE)),
+        *(F.sum(F.col("products")[i]).alias(f"p{i}") for i in range(pairs)),
+    ).first()
+    if not total.n:
+        return None
+    mean, cov = stats.mean_and_covariance(total.n, [total[f"s{i}"] for i in range(SIZE)], [total[f"p{i}"] for i in range(pairs)])
+    return mean.tolist(), cov
+
+
+def _least(estimates: DataFrame, *at: str) -> DataFrame:
+    """Of each group's estimates, which are few, the one with the smallest determinant."""
+    return estimates.groupBy(*at).agg(F.min_by(F.struct(*(c for c in estimates.columns if c not in at)), F.struct("logdet", "step", "start")).alias("e")).select(*at, "e.*")
+
+
+def minimum_covariance(fit: DataFrame, support: float = SUPPORT, steps: int = STEPS, prior: float = PRIOR, starts: tuple[str, ...] = STARTS, trial: int = TRIAL) -> DataFrame:
+    """``(g1, g2, start, step, mean, inverse, logdet, own_mean, own_inverse)``: the estimate of the smallest determinant
+    that was met in each group, and what becomes of it when groups of few rows are drawn to the corpus."""
     reach = stats.chi_square_quantile(support, SIZE)
     correct = support / stats.chi_square_cdf(reach, SIZE + 2)
-    for _ in range(steps):
-        measured = _with_group(fit, now).select("g1", "g2", "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
-        cut = measured.groupBy("g1", "g2").agg(F.percentile_approx("d", support, 10_000).alias("cut"))
-        kept = _with_group(measured, cut).where("d <= cut")
-        groups = materialize(kept.groupBy("g1", "g2").agg(*stats.moments(F.col("x"), SIZE)), "moments")
-        total = groups.agg(
-            F.sum("n").alias("n"), *(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(SIZE)),
-            *(F.sum(F.col("products")[i]).alias(f"p{i}") for i in range(SIZE * (SIZE + 1) // 2)),
-        ).first()
-        if not total.n:
+    at = ["g1", "g2", "start"]
+    now, held, goal = materialize(first_estimates(fit, starts), "starts"), None, None
+    for step in range(1, steps + 1):
+        moments = materialize(_concentrated(fit, now, support), "moments")
+        if goal is None:
+            goal = _pooled(moments.where(F.col("start") == starts[0]))
+            if goal is None:
+                break
+        target = (goal[1] * correct).ravel().tolist()
+        fresh = moments.mapInArrow(_estimated(target, correct, prior), _ESTIMATE).withColumn("step", F.lit(step))
+        drawn = moments.mapInArrow(_estimated(target, correct, prior, goal[0]), _ESTIMATE).select(*at, F.col("mean").alias("own_mean"), F.col("inverse").alias("own_inverse"))
+        right = drawn.withColumnsRenamed({c: f"_{c}" for c in at})
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at))
+        fresh = materialize(fresh.join(right, same).drop(*(f"_{c}" for c in at)), "estimates")
+        last = now.select(*(F.col(c).alias(f"_{c}") for c in at), F.col("logdet").alias("_logdet"))
+        falling = fresh.join(last, same).where(F.col("logdet") < F.col("_logdet") - FALL).select(*fresh.columns)
+        held = materialize(_least(fresh if held is None else held.unionByName(fresh), *at), "held")
+        if step == trial:  # the best start of a group goes on
+            best = _least(held, "g1", "g2").select(*(F.col(c).alias(f"_{c}") for c in at))
+            falling = falling.join(best, same, "left_semi")
+        now, left = counted(falling, "falling")
+        if not left:
             break
-        mean, cov = stats.mean_and_covariance(total.n, [total[f"s{i}"] for i in range(SIZE)], [total[f"p{i}"] for i in range(SIZE * (SIZE + 1) // 2)])
-        now = materialize(_estimates(groups, (mean.tolist(), (cov * correct).ravel().tolist()), correct, prior), "estimates")
-    return _with_group(rows, now).withColumn("distance", _distance(F.col("x"), F.col("mean"), F.col("inverse"))).drop("mean", "inverse")
+    if held is None:  # no rows
+        return now.withColumns({"step": F.lit(0), "own_mean": F.col("mean"), "own_inverse": F.col("inverse")})
+    return _least(held, "g1", "g2")
+
+
+def outlier_distances(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, prior: float = PRIOR, starts: tuple[str, ...] = STARTS[:1]) -> DataFrame:
+    """``rows`` (g1, g2, fit, x) with the squared robust distance of each x."""
+    found = minimum_covariance(rows.where("fit"), support, steps, prior, starts)
+    found = found.select("g1", "g2", F.col("own_mean").alias("mean"), F.col("own_inverse").alias("inverse"))
+    return _with_group(rows, found).withColumn("distance", _distance(F.col("x"), F.col("mean"), F.col("inverse"))).drop("mean", "inverse")
 
 
 def quality_rules(docs: DataFrame, level: float = LEVEL, id_col: str = "doc_id", text_col: str = "text", groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
@@ -141,4 +250,4 @@ def quality_rules(docs: DataFrame, level: float = LEVEL, id_col: str = "doc_id",
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = materialize(found.withColumns({"base_failed": failed, "fit": ~failed, "x": vector()}), "statistics")
     far = F.col("distance") > stats.chi_square_quantile(level, SIZE)
-    return outlier_distances(rows).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).drop("fit")
+    return outlier_distances(rows, starts=STARTS).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).drop("fit")

@@ -78,6 +78,86 @@ def test_one_step_against_numpy(spark):
     assert got == pytest.approx(np.sort(np.einsum("ij,jk,ik->i", diff, np.linalg.inv(cov), diff)), rel=1e-6)
 
 
+def concentrated(x, mean, inverse, prior, steps=30):
+    """Steps on one group, whose own first covariance is the target: log determinants and estimates."""
+    correct, goal, out, last = 0.75 / stats.chi_square_cdf(stats.chi_square_quantile(0.75, 5), 7), None, [], np.inf
+    for _ in range(steps):
+        d = np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean)
+        kept = x[d <= np.sort(d)[int(np.ceil(0.75 * len(x))) - 1]]
+        mean, cov = kept.mean(axis=0), np.cov(kept.T, bias=True) * correct
+        goal = cov if goal is None else goal
+        share = len(kept) / (len(kept) + prior)
+        whole = share * cov + (1 - share) * goal + np.diag(np.square(qr.FLOOR))
+        inverse, logdet = np.linalg.inv(whole), np.linalg.slogdet(whole)[1]
+        out.append((logdet, mean, inverse))
+        if logdet >= last - qr.FALL:
+            break
+        last = logdet
+    return min(out, key=lambda o: o[0])
+
+
+def crooked(seed, n=300, share=0.2):
+    """Correlated rows, of which some lie together where each value alone is not far off."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 5)) @ (np.eye(5) + 0.9 * np.tri(5, k=-1))
+    bad = int(n * share)
+    x[:bad] = rng.normal(size=(bad, 5)) * 0.2 + [2.0, -2.0, 2.0, -2.0, 2.0]
+    return x, np.arange(n) < bad
+
+
+def group_rows(x, g1, g2="s"):
+    return [(g1, g2, True, v.tolist()) for v in x]
+
+
+SCHEMA = "g1 string, g2 string, fit boolean, x array<double>"
+
+
+def test_steps_go_on_until_the_determinant_no_longer_falls(spark):
+    x, _ = crooked(5)
+    df = spark.createDataFrame(group_rows(x, "a"), SCHEMA)
+    first = qr.first_estimates(df, ("scales",)).first()
+    want = concentrated(x, np.array(first["mean"]), np.array(first["inverse"]).reshape(5, 5), qr.PRIOR)
+    got = qr.minimum_covariance(df, starts=("scales",)).first()
+    assert got["step"] > 1 and got["logdet"] == pytest.approx(want[0], rel=1e-6)
+    assert got["mean"] == pytest.approx(want[1]) and got["inverse"] == pytest.approx(want[2].ravel(), rel=1e-5)
+
+
+def test_starts_against_numpy(spark):
+    x, _ = crooked(6, 200)
+    got = {r["start"]: r for r in qr.first_estimates(spark.createDataFrame(group_rows(x, None, None), SCHEMA), qr.STARTS).collect()}
+    lower = lambda v: np.sort(v, axis=0)[int(np.ceil(len(v) / 2)) - 1]
+    centre = lower(x)
+    scale = np.sqrt((1.4826 * lower(np.abs(x - centre))) ** 2 + np.square(qr.FLOOR))
+    z = (x - centre) / scale
+    for name, v in (("tanh", np.tanh(z)), ("signs", z / np.linalg.norm(z, axis=1, keepdims=True))):
+        shape = np.corrcoef(v.T) * 0.99
+        np.fill_diagonal(shape, 1.0)
+        assert got[name]["mean"] == pytest.approx(centre)
+        assert np.linalg.inv(np.array(got[name]["inverse"]).reshape(5, 5)) == pytest.approx(shape * np.outer(scale, scale), rel=1e-3, abs=1e-3)
+
+
+def test_the_smallest_determinant_of_all_starts_counts(spark):
+    groups = {"a": crooked(7), "b": crooked(8, 200, 0.1), "c": (np.ones((3, 5)), None), "d": (np.zeros((1, 5)), None)}
+    df = spark.createDataFrame([r for g, (x, _) in groups.items() for r in group_rows(x, g, None if g == "b" else "s")], SCHEMA)
+    got = {r["g1"]: r for r in qr.minimum_covariance(df, prior=5.0).collect()}
+    alone = {r["g1"]: r for r in qr.minimum_covariance(df, prior=5.0, starts=("scales",)).collect()}
+    assert set(got) == set(alone) == set(groups)
+    assert all(got[g]["logdet"] <= alone[g]["logdet"] + qr.FALL for g in groups)
+    assert got["a"]["logdet"] < alone["a"]["logdet"] - 0.1  # the medians alone lead to a worse one
+    cut = stats.chi_square_quantile(0.99, 5)
+    rows = qr.outlier_distances(df, prior=5.0, starts=qr.STARTS).where("g1 in ('a', 'b')").collect()
+    assert len(rows) == 500
+    far = {(r["g1"], tuple(r["x"])) for r in rows if r["distance"] > cut}
+    planted = {(g, tuple(v)) for g in "ab" for v, bad in zip(*groups[g]) if bad}
+    assert planted <= far and len(far - planted) < 30
+
+
+def test_no_rows_to_fit(spark):
+    df = spark.createDataFrame([("a", "s", False, [1.0] * 5)], SCHEMA)
+    assert [r["distance"] for r in qr.outlier_distances(df, starts=qr.STARTS).collect()] == [None]
+    assert qr.minimum_covariance(df.where("fit")).count() == 0
+
+
 def test_chi_square():
     assert stats.chi_square_quantile(0.95, 2) == pytest.approx(5.991464547)
     assert stats.chi_square_quantile(0.99, 5) == pytest.approx(15.08627247)
