@@ -38,8 +38,9 @@ SUPPORT = 0.75
 STEPS = 30
 TRIAL = 2
 RANDOM = 12
+BROADCAST_ESTIMATES = 50_000  # some 20 MB; more are joined by their group
 STARTS = ("scales", "tanh", "signs", *(f"random{i}" for i in range(RANDOM)))
-FALL = 1e-4  # a fall of the log determinant by less ends the steps; cuts are exact to some 1e-4 of the ranks
+FALL = 1e-3  # a fall of the log determinant by less ends the steps; cuts are exact to some 1e-4 of the ranks
 PRIOR = 50.0
 LEVEL = 0.9999
 # Least deviation of each statistic: log words, log letters a word, then three log shares.
@@ -89,11 +90,12 @@ def _distance(x: Column, mean: Column, inverse: Column) -> Column:
 
 
 _ESTIMATE = "g1 string, g2 string, start string, mean array<double>, inverse array<double>, logdet double"
+_STEP = "g1 string, g2 string, start string, last double, mean array<double>, inverse array<double>, logdet double, own_mean array<double>, own_inverse array<double>"
 
 
-def _estimated(target: list[float], correct: float, prior: float, centre: list[float] | None = None) -> Callable:
-    """Estimates ``(g1, g2, start, mean, inverse, logdet)`` from moments. With ``centre`` the mean is
-    drawn to it like the covariance to the target."""
+def _estimated(target: list[float], correct: float, prior: float, centre: list[float]) -> Callable:
+    """Estimates from moments, and what becomes of them when the mean is drawn to ``centre``
+    like the covariance to the target (``own_mean``, ``own_inverse``)."""
     goal, floor = np.array(target).reshape(SIZE, SIZE), np.diag(np.square(FLOOR))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,16 +105,15 @@ def _estimated(target: list[float], correct: float, prior: float, centre: list[f
                 mean, cov = stats.mean_and_covariance(row["n"], row["sums"], row["products"])
                 share = row["n"] / (row["n"] + prior)
                 cov = share * cov * correct + (1 - share) * goal + floor
-                logdet = float(np.linalg.slogdet(cov)[1])
-                if centre is not None:
-                    off = mean - np.array(centre)
-                    cov, mean = cov + share * (1 - share) * np.outer(off, off), mean - (1 - share) * off
-                out.append((mean.tolist(), np.linalg.inv(cov).ravel().tolist(), logdet))
+                off = mean - np.array(centre)
+                drawn = cov + share * (1 - share) * np.outer(off, off)
+                inverse, own = (np.linalg.inv(c).ravel().tolist() for c in (cov, drawn))
+                out.append((mean.tolist(), inverse, float(np.linalg.slogdet(cov)[1]), (mean - (1 - share) * off).tolist(), own))
             kind = pa.list_(pa.float64())
-            means, inverses, logdets = zip(*out) if out else ((), (), ())
+            columns = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("g1", "g2", "start")), pa.array(means, kind), pa.array(inverses, kind), pa.array(logdets, pa.float64())],
-                ["g1", "g2", "start", "mean", "inverse", "logdet"],
+                [*(batch.column(c) for c in ("g1", "g2", "start", "last")), *(pa.array(c, k) for c, k in zip(columns, (kind, kind, pa.float64(), kind, kind)))],
+                ["g1", "g2", "start", "last", "mean", "inverse", "logdet", "own_mean", "own_inverse"],
             )
 
     return run
@@ -176,14 +177,15 @@ def first_estimates(fit: DataFrame, starts: tuple[str, ...]) -> DataFrame:
     return found.mapInArrow(_started(starts), _ESTIMATE)
 
 
-def _concentrated(fit: DataFrame, now: DataFrame, support: float) -> DataFrame:
-    """Moments ``(g1, g2, start, n, sums, products)`` of the rows nearest to each estimate."""
-    at = ["g1", "g2", "start"]
-    measured = _with_group(fit, now, "inner").select(*at, "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
+def _concentrated(fit: DataFrame, now: DataFrame, support: float, small: bool) -> DataFrame:
+    """Moments ``(g1, g2, start, last, n, sums, products)`` of the rows nearest to each estimate, whose log determinant is ``last``."""
+    at = ["g1", "g2", "start", "last"]
+    estimates = F.broadcast(now.withColumnRenamed("logdet", "last")) if small else now.withColumnRenamed("logdet", "last")
+    measured = _with_group(fit, estimates, "inner").select(*at, "x", _distance(F.col("x"), F.col("mean"), F.col("inverse")).alias("d"))
     cut = measured.groupBy(*at).agg(F.percentile_approx("d", support, 10_000).alias("cut"))
     right = cut.withColumnsRenamed({c: f"_{c}" for c in at})
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at))
-    return measured.join(right, same).where("d <= cut").groupBy(*at).agg(*stats.moments(F.col("x"), SIZE))
+    return measured.join(F.broadcast(right) if small else right, same).where("d <= cut").groupBy(*at).agg(*stats.moments(F.col("x"), SIZE))
 
 
 def _pooled(groups: DataFrame) -> tuple[list[float], np.ndarray] | None:
@@ -199,9 +201,10 @@ def _pooled(groups: DataFrame) -> tuple[list[float], np.ndarray] | None:
     return mean.tolist(), cov
 
 
-def _least(estimates: DataFrame, *at: str) -> DataFrame:
+def _least(estimates: DataFrame) -> DataFrame:
     """Of each group's estimates, which are few, the one with the smallest determinant."""
-    return estimates.groupBy(*at).agg(F.min_by(F.struct(*(c for c in estimates.columns if c not in at)), F.struct("logdet", "step", "start")).alias("e")).select(*at, "e.*")
+    rest = F.struct(*(c for c in estimates.columns if c not in ("g1", "g2")))
+    return estimates.groupBy("g1", "g2").agg(F.min_by(rest, F.struct("logdet", "step", "start")).alias("e")).select("g1", "g2", "e.*")
 
 
 def minimum_covariance(fit: DataFrame, support: float = SUPPORT, steps: int = STEPS, prior: float = PRIOR, starts: tuple[str, ...] = STARTS, trial: int = TRIAL) -> DataFrame:
@@ -209,32 +212,27 @@ def minimum_covariance(fit: DataFrame, support: float = SUPPORT, steps: int = ST
     that was met in each group, and what becomes of it when groups of few rows are drawn to the corpus."""
     reach = stats.chi_square_quantile(support, SIZE)
     correct = support / stats.chi_square_cdf(reach, SIZE + 2)
-    at = ["g1", "g2", "start"]
-    now, held, goal = materialize(first_estimates(fit, starts), "starts"), None, None
+    now, left = counted(first_estimates(fit, starts), "starts")
+    seen, goal = [], None
     for step in range(1, steps + 1):
-        moments = materialize(_concentrated(fit, now, support), "moments")
+        moments = materialize(_concentrated(fit, now, support, left <= BROADCAST_ESTIMATES), "moments")
         if goal is None:
             goal = _pooled(moments.where(F.col("start") == starts[0]))
             if goal is None:
                 break
         target = (goal[1] * correct).ravel().tolist()
-        fresh = moments.mapInArrow(_estimated(target, correct, prior), _ESTIMATE).withColumn("step", F.lit(step))
-        drawn = moments.mapInArrow(_estimated(target, correct, prior, goal[0]), _ESTIMATE).select(*at, F.col("mean").alias("own_mean"), F.col("inverse").alias("own_inverse"))
-        right = drawn.withColumnsRenamed({c: f"_{c}" for c in at})
-        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at))
-        fresh = materialize(fresh.join(right, same).drop(*(f"_{c}" for c in at)), "estimates")
-        last = now.select(*(F.col(c).alias(f"_{c}") for c in at), F.col("logdet").alias("_logdet"))
-        falling = fresh.join(last, same).where(F.col("logdet") < F.col("_logdet") - FALL).select(*fresh.columns)
-        held = materialize(_least(fresh if held is None else held.unionByName(fresh), *at), "held")
+        fresh = moments.mapInArrow(_estimated(target, correct, prior, goal[0]), _STEP).withColumn("step", F.lit(step))
+        seen.append(materialize(fresh, "estimates"))
+        now = seen[-1].where(F.col("logdet") < F.col("last") - FALL)
         if step == trial:  # the best start of a group goes on
-            best = _least(held, "g1", "g2").select(*(F.col(c).alias(f"_{c}") for c in at))
-            falling = falling.join(best, same, "left_semi")
-        now, left = counted(falling, "falling")
+            best = _least(reduce(DataFrame.unionByName, seen)).select("g1", "g2", F.col("start").alias("best"))
+            now = _with_group(now, best, "inner").where(F.col("start") == F.col("best"))
+        now, left = counted(now.select("g1", "g2", "start", "mean", "inverse", "logdet"), "falling")
         if not left:
             break
-    if held is None:  # no rows
+    if not seen:  # no rows
         return now.withColumns({"step": F.lit(0), "own_mean": F.col("mean"), "own_inverse": F.col("inverse")})
-    return _least(held, "g1", "g2")
+    return _least(reduce(DataFrame.unionByName, seen))
 
 
 def outlier_distances(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, prior: float = PRIOR, starts: tuple[str, ...] = STARTS[:1]) -> DataFrame:
