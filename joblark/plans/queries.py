@@ -758,10 +758,10 @@ def stream_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         dates.ntz_as_utc(F.col("ts")).alias("crawled_at"), F.when(day <= 8, 1).when(day <= 16, 2).otherwise(3).alias("batch"),
     )
     inbox = f"{base}/inbox"
-    for batch in (1, 2, 3):  # one file each, in this order
-        rows.where(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(inbox)
-    stream = spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    start_new_pairs(stream, f"{base}/kept", f"{base}/checkpoint", look_back_days=10).awaitTermination()
+    for batch in (1, 2, 3):  # started again whenever more have come, which one micro-batch then takes
+        rows.where(F.col("batch") == batch).drop("batch").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.drop("batch").schema).parquet(inbox)
+        start_new_pairs(stream, f"{base}/kept", f"{base}/checkpoint", look_back_days=10).awaitTermination()
     return spark.read.parquet(f"{base}/kept").select("event_id", "job_id", "posted_date")
 
 

@@ -2,8 +2,8 @@
 
 One state a pair of id and posted date: the latest day a record of it was kept. A record is known
 when a micro-batch before has kept one of its pair on a day in the look-back from its own day; equal pairs
-in one micro-batch are all kept. No record is too late to be looked at. A timer drops a state that has not
-changed for the time it has to be kept, so states number as the pairs of that time, however long
+in one micro-batch are all kept. No record is too late to be looked at. A state that has not
+changed for the time it has to be kept is dropped, so states number as the pairs of that time, however long
 the stream runs. The state lives in the checkpoint and survives a restart.
 """
 
@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -28,35 +27,29 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class NewPairs(StatefulProcessor):
-    """Keeps the records of a pair that are new; ``_day`` is the day of a record, as a number."""
+    """Keeps the records of a pair that are new; ``_day`` is the day of a record, as a number.
 
-    def __init__(self, look_back_days: int, keep_ms: int, columns: list[str]):
-        self.look_back, self.keep_ms, self.columns = look_back_days, keep_ms, columns
+    Every call on a state is a message to the JVM and back, so a pair takes one to read its state and, if a
+    record is kept, one to write it; Spark itself drops states whose time is over.
+    """
+
+    def __init__(self, look_back_days: int, keep_ms: int):
+        self.look_back, self.keep_ms = look_back_days, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.kept = handle.getValueState("kept", T.StructType([T.StructField("day", T.IntegerType()), T.StructField("timer", T.LongType())]))
+        self.kept = handle.getValueState("kept", "day int", ttlDurationMs=self.keep_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before, timer = self.kept.get() if self.kept.exists() else (None, None)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.kept.get()
+        since = before[0] + self.look_back if before else None
         latest = None
-        for part in rows:
-            part = part.set_axis(self.columns, axis=1)  # names with an underscore ahead are lost on the way
-            new = part if before is None else part[part["_day"] > before + self.look_back]
-            if len(new):
-                day = int(new["_day"].max())
+        for row in rows:
+            day = row["_day"]
+            if since is None or day > since:
                 latest = day if latest is None else max(day, latest)
-                yield new
+                yield row
         if latest is not None:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            timer = timerValues.getCurrentProcessingTimeInMs() + self.keep_ms
-            self.kept.update((latest, timer))
-            self.handle.registerTimer(timer)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.kept.clear()
-        return iter(())
+            self.kept.update((latest,))
 
     def close(self) -> None:
         pass
@@ -71,8 +64,8 @@ def new_pairs(records: DataFrame, look_back_days: int = LOOK_BACK_DAYS, keep_ms:
     day = F.coalesce(F.unix_date(F.to_date("crawled_at")), F.lit(0))
     keyed = records.withColumns({**{c: or_empty(F.col(c)) for c in PAIR}, "_day": day})
     out = T.StructType([T.StructField(f.name, f.dataType, True) for f in keyed.schema.fields])
-    processor = NewPairs(look_back_days, (look_back_days + 1) * DAY_MS if keep_ms is None else keep_ms, keyed.columns)
-    kept = keyed.groupBy(*PAIR).transformWithStateInPandas(
+    processor = NewPairs(look_back_days, (look_back_days + 1) * DAY_MS if keep_ms is None else keep_ms)
+    kept = keyed.groupBy(*PAIR).transformWithState(
         statefulProcessor=processor, outputStructType=out, outputMode="append", timeMode="ProcessingTime"
     )
     return kept.drop("_day")
@@ -80,8 +73,8 @@ def new_pairs(records: DataFrame, look_back_days: int = LOOK_BACK_DAYS, keep_ms:
 
 @contextmanager
 def _settings(spark: SparkSession):
-    """What a query takes from the session when it starts: the state store that timers need, and no
-    batches without data, which would follow each other without end while any timer is set."""
+    """What a query takes from the session when it starts: the state store that this needs, and no
+    batches without data, which would follow each other without end while states can expire."""
     wanted = {STATE_STORE: ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():

@@ -5,8 +5,9 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 
-from joblark.streaming.new_pairs import STATE_STORE, start_new_pairs
+from joblark.streaming.new_pairs import STATE_STORE, NewPairs, start_new_pairs
 
 SCHEMA = "job_id string, posted_date string, crawled_at timestamp, n int, _extra string"
 START = datetime(2024, 1, 1, 12)
@@ -88,3 +89,32 @@ def test_the_session_keeps_its_state_store(spark, stream):
     before = spark.conf.get(STATE_STORE)
     stream.put([("a", None, at(0), 1, None)])
     assert stream.run() == [1] and spark.conf.get(STATE_STORE) == before
+
+
+def test_a_pair_takes_one_read_and_one_write_of_its_state():
+    calls = []
+
+    class Kept:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema, ttlDurationMs=None):
+            calls.append((name, ttlDurationMs))
+            return Kept()
+
+    processor = NewPairs(30, 1000)
+    processor.init(Handle())
+
+    def kept(*days):
+        return [r["_day"] for r in processor.handleInputRows(("a", "x"), iter([Row(_day=d) for d in days]), None)]
+
+    assert [kept(5, 1), kept(35), kept(36, 35)] == [[5, 1], [], [36]]
+    assert calls == [("kept", 1000), "get", "update", "get", "get", "update"]
