@@ -23,7 +23,9 @@ from joblark.functions.html import VOID_TAGS, Page, Selector, cut
 FOUND = "array<array<struct<a:int,o:int,b:int,outer:boolean>>>"
 
 # A tag up to its end or to the next tag: slash, name, rest, end.
-_TAG = re.compile(r"<(/?)([a-zA-Z](?:[^\s/><]++|<(?!/?[a-zA-Z]))*+)((?:[^<>]++|<(?!/?[a-zA-Z]))*+)(>?)")
+_TAG = r"<(/?)([a-zA-Z](?:[^\s/><]++|<(?!/?[a-zA-Z]))*+)((?:[^<>]++|<(?!/?[a-zA-Z]))*+)(>?)"
+# An element without attributes that holds nothing but text, and the text after it.
+_PLAIN = r"<{}([a-zA-Z][a-zA-Z0-9]*+)>[^<]*+</\1>[^<]*+"
 _ATTRIBUTE = re.compile(r"""[\s/]++([^\s=>"'/]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?+""")
 
 
@@ -45,6 +47,18 @@ class Scan:
         names = {n for s in wanted if s.tag for n in s.tag.lower().split("|")}
         self.by_name = {n: [i for i, s in enumerate(wanted) if not s.tag or n in s.tag.lower().split("|")] for n in names}
         self.of_any = [i for i, s in enumerate(wanted) if not s.tag]
+        self.tags = re.compile(f"{self._runs()}|{_TAG}")
+
+    def _runs(self) -> str:
+        """Elements that are passed over whole, as many as follow each other: they hold no other element, and no selector
+        wants one of their name that has no attributes. The first group is theirs."""
+        bare = [s for s in self.wanted if s.holds({})]
+        if not all(s.tag for s in bare):
+            return "(?!)()"
+        names = {n for s in bare for n in s.tag.lower().split("|")}
+        others = rf"(?!(?i:{'|'.join(sorted(names))})>)" if names else ""
+        void = "|".join(n for n in VOID_TAGS if n not in names)
+        return rf"(?:{_PLAIN.format(others)}|<(?:{void})>[^<]*+)++"
 
     def spans(self, page: str) -> list[list[list]]:
         """Per selector, in document order: where the opening tag starts and ends, where the
@@ -59,9 +73,11 @@ class Scan:
         open_hits = [0] * len(wanted)
         stack: list[tuple[str, list[tuple[int, list]] | None]] = []
         depth: dict[str, int] = {}
-        for tag in _TAG.finditer(page):
-            name = tag[2].lower()
-            if tag[1]:
+        for tag in self.tags.finditer(page):
+            if tag[3] is None:
+                continue
+            name = tag[3].lower()
+            if tag[2]:
                 if depth.get(name):
                     at = tag.start()
                     ended = None
@@ -80,14 +96,14 @@ class Scan:
                         continue
                     if wanted[i].tests:
                         if attrs is None:
-                            attrs = attributes(tag[3])
+                            attrs = attributes(tag[4])
                         if not wanted[i].holds(attrs):
                             continue
                     hits = hits or []
                     hits.append((i, [tag.start(), tag.end(), tag.end(), not open_hits[i]]))
                 for i, span in hits or ():
                     out[i].append(span)
-            if name in VOID_TAGS or (tag[4] and tag[3].endswith("/")):
+            if name in VOID_TAGS or (tag[5] and tag[4].endswith("/")):
                 continue
             stack.append((name, hits))
             depth[name] = depth.get(name, 0) + 1

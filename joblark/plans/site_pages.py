@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from joblark.functions.text import strip
+from joblark.functions.text import before, strip
 from joblark.sources.sites import ITVIEC, ITVIEC_SLUG_ATTRIBUTE, TOPDEV
 
 BASE_SECONDS = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -34,17 +34,13 @@ def _join(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _lines(text: Column) -> Column:
-    return F.split(text, "\n")
-
-
 def title_of(text: Column) -> Column:
-    return strip(F.get(_lines(text), F.lit(0)))
+    return strip(before(text, "\n"))
 
 
 def _paragraphs(text: Column) -> Column:
-    marked = F.transform(_lines(text), lambda line: _join("<p>", escape(line), "</p>"))
-    return F.array_join(marked, "<br>")
+    """A paragraph a line."""
+    return _join("<p>", F.replace(escape(text), F.lit("\n"), F.lit("</p><br><p>")), "</p>")
 
 
 def seen_at(number: Column) -> Column:

@@ -1,12 +1,14 @@
 """Elements found in one pass, compared with a document tree."""
 
+import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from joblark.functions import html
-from joblark.functions.elements import Scan, attributes, found, with_elements
+from joblark.functions.elements import _TAG, Scan, attributes, found, with_elements
 from joblark.functions.html import Page, Selector
 from joblark.operators import detail
 from joblark.schemas import DETAIL_PAGE
@@ -109,3 +111,24 @@ def test_pages_cross_to_python_once_and_do_not_come_back(spark):
     html.first(page, Selector("h1"))
     places = rows.withColumn("places", found(page.wanted, F.col("html"))).schema["places"].dataType.simpleString()
     assert places == "array<array<struct<a:int,o:int,b:int,outer:boolean>>>"
+
+
+def test_plain_elements_are_passed_over_as_one():
+    page = "<div class='x'>" + "<p>line</p><br>\n<b></b>" * 5000 + "<P>a</p><p>b<i>c</i></p><h1>t</h1></div>"
+    scan = Scan([Selector("h1"), Selector("div", ("x",))])
+    assert len(list(scan.tags.finditer(page))) < 20
+    assert len(scan.spans(page)[0]) == 1 and scan.spans(page)[1][0][2] == len(page) - 6
+
+
+@pytest.mark.parametrize("wanted", [
+    [Selector("h1"), Selector("div", ("x",))], [Selector("p|b"), Selector(**{"class": "x"})], [Selector("br"), Selector("p"), Selector("i", inside=Selector("p"))],
+])
+def test_passing_over_changes_nothing(wanted):
+    rng = random.Random(7)
+    parts = ["<p>", "</p>", "<P>", "</P>", "<b>", "</b>", "<h1>", "</h1 >", "<br>", "<br/>", "</br>", "<p/>", "<i>", "</i>", "a < b", "<1", "t", "\n",
+             "<div class=x>", "<div>", "</div>", "<p class='x'>", "<b", ">", "<p>q</p>", "<i>r</i>", "<h1>s</h1>"]
+    scan, plain = Scan(wanted), Scan(wanted)
+    plain.tags = re.compile(f"(?!)()|{_TAG}")
+    for _ in range(3000):
+        page = "".join(rng.choices(parts, k=rng.randint(1, 25)))
+        assert scan.spans(page) == plain.spans(page), page

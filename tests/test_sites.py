@@ -226,3 +226,18 @@ def test_a_site_is_a_set_of_rules(spark):
     )
     got = record(spark, spec, "<h2>Mine</h2>")
     assert (got["job_id"], got["title"], got["company"]) == ("mine_x", "Mine", None)
+
+
+def test_a_rendered_text_has_a_paragraph_a_line(spark):
+    from joblark.plans import site_pages
+
+    texts = [None, "", "\n", " a <b> & c \n\nd\n", "&lt;\r\n x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", site_pages._paragraphs(F.col("text")).alias("html"), site_pages.title_of(F.col("text")).alias("title")
+    )
+    found = {r.text: (r.html, r.title) for r in rows.collect()}
+    mark = lambda t: t.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+    assert found == {
+        t: (t if t is None else "<br>".join(f"<p>{mark(x)}</p>" for x in t.split("\n")), t if t is None else t.split("\n")[0].strip()) for t in texts
+    }
+    assert "transform" not in str(site_pages._paragraphs(F.col("text")))  # built-in functions on the whole text only
