@@ -202,11 +202,12 @@ def _verdict(total: int, bad: int, limit: float, pending: list[float]) -> bool |
 def _replay(block: pa.Table) -> pa.Table:
     """The batches of one block in order, with the keys that passed and those that are undecided."""
     rows = block.sort_by("batch_no")
-    number, keys, known, pending, total, bad, whole, whole_bad, limit = (
-        rows.column(c).to_pylist() for c in ("batch_no", "_key", "known", "pending", "total", "bad", "all", "all_bad", "limit")
+    number, known, pending, total, bad, whole, whole_bad, limit = (
+        rows.column(c).to_numpy().tolist() for c in ("batch_no", "known", "pending", "total", "bad", "all", "all_bad", "limit")
     )
-    passed_keys: set[str] = set()
-    open_keys: set[str] = set()
+    keys = rows.column("_key").combine_chunks().dictionary_encode().indices.to_numpy().tolist()  # equal keys, equal numbers
+    passed_keys: set[int] = set()
+    open_keys: set[int] = set()
     first, out = 0, []
     while first < len(number):
         end, left, left_bad, waiting = first, whole[first], whole_bad[first], []
